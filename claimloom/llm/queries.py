@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.llm import langid, media_avi, quality_cnn
+from claimloom.llm.common import fold_of
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.line_dedup import dedup_lines
 from claimloom.llm.mixing import mix_sources
+from claimloom.llm.packing import pack
 from claimloom.llm.sharding import extendible_shards
 from claimloom.llm.url_filters import judge_urls
 
 #: (host, path, blocked)
 URL_RULES = [("com", "/", False), ("example.com", "/en/", True), ("www.example.com", "/en/", False), ("net", "/es/", True), ("net", "/fr/", True)]
 SHARD_BYTES = 64 << 20
+CAPACITY = 4096
+QUALITY_CUT = 0.3
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file, where this machine has it; another place can be given to ``pack``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +42,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_shards(table(spark, sf_dir, "documents"), limit_bytes=SHARD_BYTES)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = quality_cnn.learn_quality(docs, table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
+    scored = quality_cnn.score_quality(docs.select("doc_id", "text"), net)
+    return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("clean_text").alias("clean_md5"))
@@ -39,12 +58,28 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), carry=False)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), CAPACITY)
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, fold_of("doc_id", 4) != 2)
+    found = langid.predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media_avi.decode_media(media_avi.encode_media(table(spark, sf_dir, "documents")))
+    return read.withColumn("feature", media_avi.feature_of()).drop("clips")
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_sharding, op5_line_dedup, op6_exact_dedup, op10_url_filters]
+    found = [op1_mixing, op2_sharding, op3_quality, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters]
     return {f.__name__: f for f in found}
 
 
