@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimloom.llm import langid, media_avi, quality_cnn
 from claimloom.llm.common import fold_of
 from claimloom.llm.exact_dedup import exact_dedup
+from claimloom.llm.jaccard_join import jaccard_components
 from claimloom.llm.line_dedup import dedup_lines
 from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
@@ -49,6 +50,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("clean_text").alias("clean_md5"))
@@ -79,7 +84,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_sharding, op3_quality, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters]
+    found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters]
     return {f.__name__: f for f in found}
 
 
