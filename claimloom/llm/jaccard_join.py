@@ -300,7 +300,7 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
 
 def _cross_pairs(t: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """The pairs of each list, whose members come by ascending size after its marks."""
-    cols = {c: pc.fill_null(t.column(c), NONE).to_numpy() for c in ("turn", "group", "id", "size", "comp", "home", "common", "rest")}
+    cols = {c: pc.fill_null(t.column(c).cast(pa.int64()), NONE).to_numpy() for c in ("turn", "group", "id", "size", "comp", "home", "common", "rest")}
     two = t.column("u").to_numpy() != t.column("v").to_numpy()
     out_a, out_b = [], []
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):

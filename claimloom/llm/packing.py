@@ -7,6 +7,7 @@ plan made from it; pieces themselves stay distributed.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -20,21 +21,67 @@ from claimloom.llm.common import text_of, write_table
 
 END_ID = 1
 CACHED_WORDS = 300_000
+#: Characters of texts whose new words are looked up together.
+TOGETHER = 1 << 18
 #: Python's str.split() also splits at these, the tokenizer doesn't.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
-_tokenizers: dict[str, tuple] = {}
+#: Only Latin letters and ASCII signs: here Python's lower case is the tokenizer's.
+NOT_LATIN = re.compile("[^\x00-\u024f]")
+#: A full stop or comma after a letter and before white space is a token of its own either way.
+MARK = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])([.,])(?=\s|$)")
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer of a file and the ids (little-endian, 32 bits) of the words seen so far in this process."""
-    if path not in _tokenizers:
-        import os
+class WordIds:
+    """The ids (little-endian, 32 bits) of words, kept for words seen lately: two generations of CACHED_WORDS each."""
 
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def known(self, words: set[str]) -> dict[str, bytes]:
+        """A table that holds all of ``words``."""
+        new = words.difference(self.young)
+        if new:
+            if len(self.young) + len(new) > CACHED_WORDS and self.young:
+                self.old, self.young = self.young, {}
+                new = words
+            unseen = []
+            for w in new:
+                ids = self.old.get(w)
+                if ids is None:
+                    unseen.append(w)
+                else:
+                    self.young[w] = ids
+            self._learn(unseen)
+        return self.young
+
+    def _learn(self, words: list[str]) -> None:
+        # Lower-case words of Latin letters are one pre-token each, so many are encoded as one text.
+        plain = [w for w in words if w.isalpha() and (w.islower() if w.isascii() else w == w.lower() and not NOT_LATIN.search(w))]
+        if plain:
+            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            raw, ends = _as_bytes(e.ids), 4 * np.cumsum(np.bincount(np.asarray(e.word_ids), minlength=len(plain)))
+            if len(ends) != len(plain):
+                raise ValueError("the tokenizer splits a word of letters")
+            at = 0
+            for w, end in zip(plain, ends.tolist(), strict=True):
+                self.young[w] = raw[at:end]
+                at = end
+        other = list(set(words).difference(plain)) if len(plain) < len(words) else []
+        if not other:
+            return
+        for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
+            self.young[w] = _as_bytes(e.ids)
+
+
+_word_ids: dict[str, WordIds] = {}
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -47,21 +94,33 @@ def encode_texts(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     Word by word: the tokenizer's pre-tokens never cross white space, so a text's ids are those of its words, and
     words recur. Texts with special tokens or control characters that only Python calls white space go whole.
     """
-    tokenizer, known = _tokenizer(path)
+    if path not in _word_ids:
+        _word_ids[path] = WordIds(path)
+    table = _word_ids[path]
+    waiting: list[list[str] | str] = []
+    size = 0
     for text in texts:
         text = text or ""
+        size += len(text)
         if "<|" in text or NOT_SPACE.search(text):
-            yield _as_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-            continue
-        words = text.split()
-        new = list(set(words).difference(known))
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = _as_bytes(e.ids)
-        yield b"".join([known[w] for w in words])
+            waiting.append(text)
+        else:
+            waiting.append((text if NOT_LATIN.search(text) else MARK.sub(r" \1", text.lower())).split())
+        if size > TOGETHER:
+            yield from _flush(waiting, table)
+            waiting, size = [], 0
+    yield from _flush(waiting, table)
+
+
+def _flush(waiting: list[list[str] | str], table: WordIds) -> Iterator[bytes]:
+    """Ids of texts given as words, or whole as strings; new words of all of them are looked up at once."""
+    words: set[str] = set()
+    for x in waiting:
+        if not isinstance(x, str):
+            words.update(x)
+    known = table.known(words)
+    for x in waiting:
+        yield table.whole(x) if isinstance(x, str) else b"".join(map(known.__getitem__, x))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
