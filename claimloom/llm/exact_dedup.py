@@ -31,6 +31,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     range, so their list is bounded by the number of ranges and not by the data. Rows of hot texts are
     salted over the ranges, and their group is summed apart, with partial sums before its shuffle.
     """
+    names = others(docs, OUT) if carry else [id_col]
+    found = _grouped(docs, id_col, text_col, list(docs.columns) if carry else [id_col])
+    return found.select(*[F.col("_row")[c].alias(c) for c in names], *OUT)
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, mine: list[str]) -> DataFrame:
+    """``_row``, a struct of the columns ``mine``, and OUT. A text among them is shuffled once, inside the struct."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     norm = F.regexp_replace(text_of(text_col), SPACE, "")
@@ -40,19 +47,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     limit = max(64, docs.count() // (4 * parts))
     hot = hashes.groupBy("_h").count().where(F.col("count") > limit).select("_h", F.ceil(F.col("count") / limit).alias("_pieces"))
 
-    mine = [c for c in others(docs, OUT)] if carry else [id_col]
-    rows = docs.select(F.struct(*[docs[c] for c in mine]).alias("_row"), docs[text_col].alias("_text"), docs[id_col].alias("_id"))
-    norm_of = F.regexp_replace(text_of("_text"), SPACE, "")
+    inside = text_col in mine
+    rows = docs.select(F.struct(*[docs[c] for c in mine]).alias("_row"), docs[id_col].alias("_id"), *([] if inside else [docs[text_col].alias("_text")]))
+    text = text_of(F.col("_row")[text_col] if inside else "_text")
+    norm_of = F.regexp_replace(text, SPACE, "")
     keyed = rows.withColumns({"_h": F.xxhash64(norm_of), "_first": F.substring(norm_of, 1, SPLIT_CHARS)}).join(F.broadcast(hot), "_h", "left")
     keyed = keyed.withColumn("_salt", F.when(F.col("_pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("_id"), "_pieces")))
     ranged = keyed.repartitionByRange("_first", "_h", "_salt").withColumn("_norm", norm_of)
 
     run = Window.partitionBy("_first", "_h", "_salt", "_norm")
-    order = run.orderBy((-F.char_length(text_of("_text"))), F.col("_id").isNull(), "_id")
+    order = run.orderBy(-F.char_length(text), F.col("_id").isNull(), "_id")
     runs = ranged.select(
         "_row", "_pieces", "_id", F.sha2("_norm", 256).alias("text_sha256"),
         F.row_number().over(order).alias("_rn"), F.first("_id").over(order).alias("_keep"), F.count(F.lit(1)).over(run).alias("_size"),
-        F.char_length(text_of("_text")).alias("_points"),
+        F.char_length(text).alias("_points"),
     )
 
     # Hot texts: partial sums before the shuffle, full comparison of the normalised text.
@@ -66,13 +74,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # The kept row of a hot text leads its own salted run, so rows repeated with the same id keep one.
     kept = F.when(is_hot, (F.col("_rn") == 1) & F.col("_id").eqNullSafe(F.col("_first_id")) & (F.col("_points") == -F.col("_p"))).otherwise(F.col("_rn") == 1)
     return joined.select(
-        "_row.*", F.when(is_hot, F.col("_first_id")).otherwise(F.col("_keep")).alias("keep_id"),
+        "_row", F.when(is_hot, F.col("_first_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.when(is_hot, F.col("_all")).otherwise(F.col("_size")).alias("group_size"), kept.alias("kept"), "text_sha256",
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The kept rows with the input's columns (see ``exact_dedup``); clashing input names survive here."""
-    wrapped = docs.select(F.struct("*").alias("_doc"), F.col(id_col), F.col(text_col)) if docs.columns else docs
-    out = exact_dedup(wrapped, id_col, text_col)
-    return out.where("kept").select("_doc.*")
+    return _grouped(docs, id_col, text_col, list(docs.columns)).where("kept").select("_row.*")

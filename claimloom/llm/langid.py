@@ -12,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of, write_table
+from claimloom.llm.common import others, text_of, write_table
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-CACHED_WORDS = 1 << 17
+#: Words whose scores a process keeps, and the bytes these may take.
+CACHED_WORDS, CACHED_BYTES = 400_000, 32 << 20
+TOGETHER = 4096
 
 
 def letters_of(text: str) -> list[str]:
@@ -115,46 +117,58 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
 
 class _Scorer:
-    """Scores of words, kept for the words seen last in this process."""
+    """Scores of words, kept for the words seen lately in this process."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.rows, self.seen = model, np.zeros((CACHED_WORDS, max(1, len(model.langs)))), {}
+        langs = max(1, len(model.langs))
+        self.model, self.seen = model, {}
+        self.rows = np.zeros((max(2 * TOGETHER, min(CACHED_WORDS, CACHED_BYTES // (8 * langs))), langs))
 
     def total(self, words: list[str]) -> np.ndarray:
         out = np.zeros(self.rows.shape[1])
-        for i in range(0, len(words), 4096):
-            out += self._part(words[i : i + 4096])
+        for i in range(0, len(words), TOGETHER):
+            out += self._part(words[i : i + TOGETHER])
         return out
 
     def _part(self, words: list[str]) -> np.ndarray:
-        if len(self.seen) + 4096 > CACHED_WORDS:
-            self.seen.clear()
         seen = self.seen
-        for w in set(words).difference(seen):
+        new = set(words).difference(seen)
+        if len(seen) + len(new) > len(self.rows):
+            seen.clear()
+            new = set(words)
+        for w in new:
             self.rows[len(seen)] = self.model.word_scores(w)
             seen[w] = len(seen)
-        return self.rows[[seen[w] for w in words]].sum(axis=0)
+        return self.rows[list(map(seen.__getitem__, words))].sum(axis=0)
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """All input columns, then ``lang_pred`` and ``score`` (an input column of such a name is replaced).
+_scorers: dict[int, _Scorer] = {}
+
+
+def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text", made: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All input columns, then the language and its probability under the names ``made`` (input columns of these
+    names are replaced).
 
     Every word of the whole text counts. Null texts and texts without a letter are ``und`` with score 0, as is every
-    text where no language was learned. Rows keep their order and number; nothing is shuffled.
+    text where no language was learned. Rows keep their number; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    at = columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(shared.value)
-        for b in batches:
-            found = []
-            for text in b.column(at).to_pylist():
-                words = letters_of(text) if text else []
-                found.append(shared.value.predict(scorer.total(words), len(words)) if words else (UNKNOWN, 0.0))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], [*columns, "lang_pred", "score"])
-
-    rows = docs.select(*[docs[c] for c in columns])
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + ["lang_pred string", "score double"])
-    return rows.mapInArrow(run, schema)
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def predicted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value
+        if id(own) not in _scorers:
+            _scorers.clear()
+            _scorers[id(own)] = _Scorer(own)
+        scorer = _scorers[id(own)]
+        for texts in parts:
+            langs, scores = [], []
+            for text in texts:
+                words = letters_of(text.as_py() or "")
+                lang, score = own.predict(scorer.total(words), len(words)) if words else (UNKNOWN, 0.0)
+                langs.append(lang)
+                scores.append(score)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+
+    rows = docs.select(*[docs[c] for c in others(docs, list(made))], predicted(text_of(text_col)).alias("_found"))
+    return rows.select(*[c for c in rows.columns if c != "_found"], F.col("_found.lang").alias(made[0]), F.col("_found.score").alias(made[1]))

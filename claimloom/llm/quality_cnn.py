@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of
+from claimloom.llm.common import others, text_of
 
 EMBED, WIDTH, FILTERS = 8, 6, 24
 BLOCK = 256  # a chunk is two neighbouring blocks, so chunks overlap by half
@@ -110,7 +110,7 @@ def forward(net: Network, best: np.ndarray, first: np.ndarray) -> tuple[np.ndarr
     return z, (source, raw, h, count, mean, top)
 
 
-def fit(texts: list[bytes], labels: list[int], rounds: int = 14, batch: int = 24, rate: float = 0.01, seed: int = 5) -> Network:
+def fit(texts: list[bytes], labels: list[int], rounds: int = 24, batch: int = 24, rate: float = 0.01, seed: int = 5) -> Network:
     """Adam on the log loss; both classes weigh the same. The pooling passes gradients only to the winning places."""
     net, r = new_network(seed), np.random.default_rng(seed)
     y = np.asarray(labels, np.float32)
@@ -200,15 +200,11 @@ def score_quality(docs: DataFrame, net: Network | None, text_col: str = "text",
     Null and empty texts are scored as one block of zero bytes. Without a network (no labelled rows) the score is
     0.5. An input column named as ``made`` is replaced. Nothing is shuffled.
     """
-    columns = [c for c in docs.columns if c.lower() != made.lower()]
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [x or b"" for x in b.column(b.num_columns - 1).to_pylist()]
-            got = score_texts(shared.value, texts) if shared.value is not None else np.full(len(texts), 0.5)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got)], [*columns, made])
+    @F.arrow_udf("double")
+    def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield pa.array(score_texts(shared.value, [x.as_py() for x in texts]) if shared.value is not None else np.full(len(texts), 0.5))
 
-    rows = docs.select(*[docs[c] for c in columns], text_of(text_col).cast("binary").alias("_bytes"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + [f"`{made}` double"])
-    return rows.mapInArrow(run, schema)
+    return docs.select(*[docs[c] for c in others(docs, [made])], scored(text_of(text_col).cast("binary")).alias(made))
