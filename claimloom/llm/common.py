@@ -39,6 +39,16 @@ def write_table(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Hand texts to Python in batches of at most ``rows`` rows and about ``size`` bytes, for the rest of the session:
+    whole texts are long, and a task holds a batch several times over."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = (spark.conf.get(key) or "").rstrip("b")
+        if not now.lstrip("-").isdigit() or int(now) <= 0 or int(now) > most:
+            spark.conf.set(key, str(most))
+
+
 def text_of(col: str | Column) -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

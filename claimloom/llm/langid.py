@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import others, text_of, write_table
+from claimloom.llm.common import others, small_batches, text_of, write_table
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-#: Words whose scores a process keeps, and the bytes these may take.
+#: Words whose scores a task keeps, and the bytes these may take.
 CACHED_WORDS, CACHED_BYTES = 400_000, 32 << 20
 TOGETHER = 4096
 
@@ -32,25 +32,32 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+class Frequencies:
+    """Log frequencies: a row for each known entry, a column for each language."""
+
+    def __init__(self, entries: list[str], rows: np.ndarray):
+        self.index, self.rows = {e: i for i, e in enumerate(entries)}, rows
+
+
 @dataclass
 class LanguageModel:
-    """langs: sorted. words: a row of log frequencies for each known word; grams: the same for n-grams, by length."""
+    """langs: sorted. words: frequencies of known words; grams: the same for n-grams, by length."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: Frequencies
+    grams: dict[int, Frequencies]
 
     def word_scores(self, word: str) -> np.ndarray:
         """A known word's log frequency in each language; else the mean over its known n-grams of the longest
         length that has any; zeros if there is none."""
-        found = self.words.get(word)
+        found = self.words.index.get(word)
         if found is not None:
-            return found
+            return self.words.rows[found]
         for n in sorted(self.grams, reverse=True):
             known = self.grams[n]
-            rows = [known[g] for g in grams_of(word, n) if g in known]
-            if rows:
-                return np.mean(rows, axis=0)
+            at = [known.index[g] for g in grams_of(word, n) if g in known.index]
+            if at:
+                return known.rows[at].sum(axis=0) / len(at)
         return np.zeros(len(self.langs))
 
     def predict(self, scores: np.ndarray, words: int) -> tuple[str, float]:
@@ -92,32 +99,30 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     per_lang = known.groupBy(F.col(lang_col).alias("lang")).count()
     counts = {r["lang"]: r["count"] for r in per_lang.orderBy(F.desc("count"), "lang").limit(1000).collect()}
     if not counts:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], Frequencies([], np.zeros((0, 0))), {})
     share = max_docs / len(counts)
     draw = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, share / n)))])
     ticket = F.pmod(F.xxhash64(F.lit("langid"), id_col), F.lit(1 << 30)) / (1 << 30)
     sample = known.where(ticket < F.coalesce(F.try_element_at(draw, F.col(lang_col)), F.lit(0.0))).select(F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     grams = write_table(_counted(sample, sizes), "grams")
     totals = grams.groupBy("size").pivot("lang", sorted(counts)).agg(F.sum("n")).collect()
     langs = [k for k in sorted(counts) if any(r[k] for r in totals)]
-    words: dict[str, np.ndarray] = {}
-    by_size: dict[int, dict[str, np.ndarray]] = {}
+    found = {0: Frequencies([], np.zeros((0, len(langs))))}
     for row in totals:
         size = row["size"]
-        table = words if size == 0 else by_size.setdefault(size, {})
-        # A word seen once in the sample says less than its n-grams.
+        # A word seen once or twice in the sample says less than its n-grams.
         top = grams.where(F.col("size") == size).groupBy("gram").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
         top = top.where(F.col("all") >= (3 if size == 0 else 1)).orderBy(F.desc("all"), "gram").limit(max_entries)
-        size_of = np.array([row[k] or 0 for k in langs], float)
         got = top.select("gram", "by").collect()
-        for r in got:
-            n = np.array([r["by"].get(k, 0) for k in langs], float)
-            table[r["gram"]] = np.log((n + smooth) / (size_of + smooth * (len(got) + 1)))
-    return LanguageModel(langs, words, by_size)
+        n = np.array([[r["by"].get(k, 0) for k in langs] for r in got], float).reshape(len(got), len(langs))
+        size_of = np.array([row[k] or 0 for k in langs], float)
+        found[size] = Frequencies([r["gram"] for r in got], np.log((n + smooth) / (size_of + smooth * (len(got) + 1))))
+    return LanguageModel(langs, found.pop(0), found)
 
 
 class _Scorer:
-    """Scores of words, kept for the words seen lately in this process."""
+    """Scores of words, kept for the words seen lately in this task."""
 
     def __init__(self, model: LanguageModel):
         langs = max(1, len(model.langs))
@@ -142,9 +147,6 @@ class _Scorer:
         return self.rows[list(map(seen.__getitem__, words))].sum(axis=0)
 
 
-_scorers: dict[int, _Scorer] = {}
-
-
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text", made: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """All input columns, then the language and its probability under the names ``made`` (input columns of these
     names are replaced).
@@ -153,14 +155,12 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     text where no language was learned. Rows keep their number; nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def predicted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        if id(own) not in _scorers:
-            _scorers.clear()
-            _scorers[id(own)] = _Scorer(own)
-        scorer = _scorers[id(own)]
+        scorer = _Scorer(own)
         for texts in parts:
             langs, scores = [], []
             for text in texts:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of
+from claimloom.llm.common import small_batches, text_of
 
 ROW = 64  # samples in a row of a frame
 MAX_ROWS = 32  # rows of a frame
@@ -254,6 +254,7 @@ def _in_parts(values: list[bytes], work) -> list:
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per input row: id, n_bytes, media (the AVI file). Null texts count as empty: one row of zero bytes."""
     kind = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

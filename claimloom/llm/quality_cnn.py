@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import others, text_of
+from claimloom.llm.common import others, small_batches, text_of
 
 EMBED, WIDTH, FILTERS = 8, 6, 24
 BLOCK = 256  # a chunk is two neighbouring blocks, so chunks overlap by half
@@ -201,6 +201,7 @@ def score_quality(docs: DataFrame, net: Network | None, text_col: str = "text",
     0.5. An input column named as ``made`` is replaced. Nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("double")
     def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
