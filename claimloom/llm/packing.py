@@ -9,6 +9,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -17,18 +18,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of, write_table
+from claimloom.llm.common import small_batches, text_of, write_table
 
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 #: Characters of texts whose new words are looked up together.
 TOGETHER = 1 << 18
 #: Python's str.split() also splits at these, the tokenizer doesn't.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 #: Only Latin letters and ASCII signs: here Python's lower case is the tokenizer's.
 NOT_LATIN = re.compile("[^\x00-\u024f]")
-#: A full stop or comma after a letter and before white space is a token of its own either way.
-MARK = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])([.,])(?=\s|$)")
+#: ASCII signs between a letter and white space are a pre-token of their own either way.
+MARK = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])([!-/:-@\[-`{-~]+)(?=\s|$)")
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The characters that byte-level vocabularies write for bytes: visible ones stand for themselves, the others are
+    numbered from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+ALPHABET = byte_alphabet()
 
 
 class WordIds:
@@ -63,22 +75,22 @@ class WordIds:
         return self.young
 
     def _learn(self, words: list[str]) -> None:
-        # Lower-case words of Latin letters are one pre-token each, so many are encoded as one text.
-        plain = [w for w in words if w.isalpha() and (w.islower() if w.isascii() else w == w.lower() and not NOT_LATIN.search(w))]
-        if plain:
-            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            raw, ends = _as_bytes(e.ids), 4 * np.cumsum(np.bincount(np.asarray(e.word_ids), minlength=len(plain)))
-            if len(ends) != len(plain):
-                raise ValueError("the tokenizer splits a word of letters")
-            at = 0
-            for w, end in zip(plain, ends.tolist(), strict=True):
-                self.young[w] = raw[at:end]
-                at = end
-        other = list(set(words).difference(plain)) if len(plain) < len(words) else []
-        if not other:
-            return
-        for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
-            self.young[w] = _as_bytes(e.ids)
+        other, young, model = [], self.young, self.tokenizer.model
+        for w in words:
+            # A lower-case word of Latin letters is one pre-token, so the model can take it without the stages before.
+            if not w.isalpha():
+                other.append(w)
+            elif w.isascii() and w.islower():
+                ids = [t.id for t in model.tokenize(w)]
+                young[w] = struct.pack(f"<{len(ids)}I", *ids)
+            elif w == w.lower() and not NOT_LATIN.search(w):
+                ids = [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(ALPHABET))]
+                young[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                other.append(w)
+        if other:
+            for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True):
+                young[w] = _as_bytes(e.ids)
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -316,6 +328,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, id_col: str
     each for itself. Equal pieces may share any order. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = write_table(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = spark.sparkContext.broadcast(slots(plan_packing(counts, capacity)))
