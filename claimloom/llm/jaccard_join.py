@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import text_of, write_table
+from claimloom.llm.common import small_batches, text_of, write_table
 from claimloom.llm.components import connected_components
 from claimloom.llm.shingles import _mix, shingle_sets
 
@@ -35,10 +35,12 @@ SKETCH_PARTS = 16
 MAX_MATCHES = 4
 SALTS = 16
 #: A centre with so many pairs is a hub: its tokens are known to all lists.
-HUB_PAIRS = 8
+HUB_PAIRS = 32
 #: Members of a list that are compared in one task; larger lists are compared block by block.
 LIST_BLOCK = 20_000
 VERIFY_COST = 8.0
+#: Up to so many pairs (some ten MB) go to where the texts are; beyond that texts and pairs are shuffled.
+BROADCAST_PAIRS = 100_000
 #: Stands for null in arrays.
 NONE = -(1 << 63)
 
@@ -152,14 +154,18 @@ def _prefixes(docs: DataFrame, k: int, shared: Broadcast) -> DataFrame:
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
+    """A row for each token of each prefix, with its place in it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens = np.frombuffer(b"".join(b.column(2).to_pylist()), np.int64)
-            n = np.array([len(x) // 8 for x in b.column(2).to_pylist()], np.int64)
-            row = pa.array(np.repeat(np.arange(len(b)), n))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), b.column(0).take(row), b.column(1).take(row)], ["token", "id", "info"])
+            parts = b.column(2).to_pylist()
+            n = np.array([len(x) // 8 for x in parts], np.int64)
+            row = np.repeat(np.arange(len(b)), n)
+            place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(parts), np.int64)), b.column(0).take(at), b.column(1).take(at), pa.array(place.astype(np.int32))], ["token", "id", "info", "place"])
 
-    return prefixes.mapInArrow(run, "token long, id long, info long")
+    return prefixes.mapInArrow(run, "token long, id long, info long, place int")
 
 
 def _shared_tokens(postings: DataFrame) -> DataFrame:
@@ -180,7 +186,7 @@ def _shared_tokens(postings: DataFrame) -> DataFrame:
         if held is not None and same:
             yield held
 
-    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, id long, info long")
+    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, id long, info long, place int")
 
 
 def _size(info: str) -> Column:
@@ -191,13 +197,28 @@ def _alike(a: Column, b: Column, num: int, den: int) -> Column:
     return F.greatest(a, b) * num <= F.least(a, b) * den
 
 
+def _needed(n: Column, m: Column, asked_n: Column, asked_m: Column, num: int, den: int) -> Column:
+    """How many prefix tokens two documents of sizes n and m must share to be linked.
+
+    The prefixes ask for the lesser of their two numbers. Beyond that, of the needed overlap at most what lies past the
+    prefix that ends first can be missing from the prefixes; which one that is isn't known, so the longer rest counts.
+    """
+    rest = lambda x, asked: x - F.least(x, x - F.ceil(x * num / den) + asked)
+    overlap = F.ceil((n + m) * num / (num + den))
+    return F.greatest(F.least(asked_n, asked_m), overlap - F.greatest(rest(n, asked_n), rest(m, asked_m)))
+
+
 def _star_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): a is the centre of lists that hold b, and they share as many of them as both prefixes ask for."""
+    """(a, b): a is the centre of lists that hold b, and they share as many of them as a linked pair must, or as both
+    prefixes ask for if a is the centre of HUB_PAIRS others: ``_rest`` wants to know how near these are to their hub."""
     best = F.struct(F.shiftright("info", 32).alias("h"), (-F.col("id")).alias("i"), F.col("info").alias("f"))
     centres = lists.groupBy("token").agg(F.max(best).alias("c")).select("token", (-F.col("c.i")).alias("a"), F.col("c.f").alias("a_info"))
     pairs = lists.join(centres, "token").where((F.col("id") != F.col("a")) & _alike(_size("info"), _size("a_info"), num, den))
+    need = _needed(_size("info"), _size("a_info"), F.col("info").bitwiseAND(7), F.col("a_info").bitwiseAND(7), num, den)
     asked = F.least(F.col("info").bitwiseAND(7), F.col("a_info").bitwiseAND(7))
-    return pairs.groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(asked).alias("asked")).where("n >= asked").select("a", "b")
+    met = pairs.groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need"), F.min(asked).alias("asked")).where("n >= asked")
+    hubs = met.groupBy("a").count().where(F.col("count") >= HUB_PAIRS).select("a", F.lit(True).alias("hub"))
+    return met.join(hubs, "a", "left").where("n >= need or hub").select("a", "b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, shared: Broadcast, hubs: bool) -> DataFrame:
@@ -212,7 +233,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, shared: Broadcast, hubs
     own = mine.select("a", "lane").distinct().join(sums, "a")
     own = own.select("a", "lane", F.col("a").alias("b"), ((F.col("pairs") >= HUB_PAIRS) & (F.col("lane") == F.col("low"))).cast("int").alias("many"), F.lit(0).alias("turn"))
     texts = docs.select(F.col("id").alias("b"), "text")
-    rows = mine.unionByName(own).join(texts, "b").select("a", "lane", "turn", "many", "b", "text")
+    wanted = mine.unionByName(own)
+    if pairs.count() <= BROADCAST_PAIRS:
+        wanted = F.broadcast(wanted)
+    rows = texts.join(wanted, "b").select("a", "lane", "turn", "many", "b", "text")
     rows = rows.repartition("a", "lane").sortWithinPartitions("a", "lane", "turn", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,6 +276,10 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
     rest(m), where rest counts the tokens past the prefix that h lacks. If they do share one, they also meet in its
     list, which h is not in and where nothing is ruled out. So pairs below the needed overlap by this bound are left
     out of h's lists. Among documents of one home, sizes that could still link are a range, found by bisection.
+
+    Other pairs must share k prefix tokens (``_needed``), so the first they share has k - 1 places after it in both
+    prefixes: in lists of tokens that stand too late in either prefix they are left out. The most frequent tokens, whose
+    lists are the longest, stand last.
     """
     named = lists.join(components.withColumnRenamed("component", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
     mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi").select("token", "members")
@@ -273,12 +301,12 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
     held = hubs.select("hub", "tokens").mapInArrow(explode, "token long, hub long").join(mixed, "token")
     members = named.join(mixed, "token").join(home, "id", "left")
     groups = F.ceil(F.col("members") / LIST_BLOCK).cast("int")
-    common = ["token", "u", "v", "turn", "group", "id", "size", "comp", "home", "common", "rest"]
+    common = ["token", "u", "v", "turn", "group", "id", "size", "asked", "place", "comp", "home", "common", "rest"]
     mine = members.withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("id"), "groups").cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    mine = mine.select("token", F.least("group", "x").alias("u"), F.greatest("group", "x").alias("v"), F.lit(1).alias("turn"), "group", "id", _size("info").alias("size"), "comp", "home", "common", "rest")
+    mine = mine.select("token", F.least("group", "x").alias("u"), F.greatest("group", "x").alias("v"), F.lit(1).alias("turn"), "group", "id", _size("info").alias("size"), F.col("info").bitwiseAND(7).alias("asked"), "place", "comp", "home", "common", "rest")
     marks = held.withColumn("groups", groups).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).withColumn("v", F.explode(F.sequence(F.col("u"), F.col("groups") - 1)))
     none = F.lit(None).cast("long")
-    marks = marks.select("token", "u", "v", F.lit(0).alias("turn"), F.lit(0).alias("group"), F.col("hub").alias("id"), none.alias("size"), none.alias("comp"), none.alias("home"), none.alias("common"), none.alias("rest"))
+    marks = marks.select("token", "u", "v", F.lit(0).alias("turn"), F.lit(0).alias("group"), F.col("hub").alias("id"), none.alias("size"), none.alias("asked"), F.lit(None).cast("int").alias("place"), none.alias("comp"), none.alias("home"), none.alias("common"), none.alias("rest"))
     rows = mine.unionByName(marks).select(*common).repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "turn", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,13 +328,14 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
 
 def _cross_pairs(t: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """The pairs of each list, whose members come by ascending size after its marks."""
-    cols = {c: pc.fill_null(t.column(c).cast(pa.int64()), NONE).to_numpy() for c in ("turn", "group", "id", "size", "comp", "home", "common", "rest")}
+    cols = {c: pc.fill_null(t.column(c).cast(pa.int64()), NONE).to_numpy() for c in ("turn", "group", "id", "size", "asked", "place", "comp", "home", "common", "rest")}
     two = t.column("u").to_numpy() != t.column("v").to_numpy()
-    out_a, out_b = [], []
+    out: list[tuple] = []
+    made = 0
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         marks = int((cols["turn"][lo:hi] == 0).sum())
         m = slice(lo + marks, hi)
-        comp, size, ids, group = (cols[c][m] for c in ("comp", "size", "id", "group"))
+        comp, size, ids, group, asked, place, real = (cols[c][m] for c in ("comp", "size", "id", "group", "asked", "place", "home"))
         if len(ids) < 2 or (comp == comp[0]).all():
             continue
         home = np.where(np.isin(cols["home"][m], cols["id"][lo : lo + marks]), cols["home"][m], NONE)
@@ -315,6 +344,10 @@ def _cross_pairs(t: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[
         outside = comp != values[np.argmax(counts)]
         most_rest = {h: rest[home == h].max() for h in np.unique(home) if h != NONE}
         by_home = {h: np.flatnonzero(home == h) for h in most_rest}
+
+        def length_of(at: np.ndarray, size=size, asked=asked) -> np.ndarray:
+            return np.minimum(size[at], size[at] - -(-size[at] * num // den) + asked[at])
+
         plain = np.flatnonzero(home == NONE)
         for i in np.flatnonzero(outside):
             top = size[i] * den // num
@@ -333,18 +366,25 @@ def _cross_pairs(t: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[
             j = j[(comp[j] != comp[i]) & (size[j] >= low) & (size[j] <= top) & (~outside[j] | (j > i))]
             if two[lo]:
                 j = j[group[j] != group[i]]
-            out_a.append(np.full(len(j), ids[i]))
-            out_b.append(ids[j])
-        if sum(map(len, out_a)) > 50_000:
-            yield _pair_batch(out_a, out_b)
-            out_a, out_b = [], []
-    yield _pair_batch(out_a, out_b)
-
-
-def _pair_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    x, y = (np.concatenate(p).astype(np.int64) if p else np.zeros(0, np.int64) for p in (a, b))
-    x, y = np.minimum(x, y), np.maximum(x, y)
-    both = np.unique(np.stack([x, y]), axis=1)
+            if not len(j):
+                continue
+            length, past = length_of(j), size[j] - length_of(j)
+            mine = length_of(np.array([i]))[0]
+            need = np.maximum(np.minimum(asked[i], asked[j]), -(-(size[i] + size[j]) * num // (num + den)) - np.maximum(past, size[i] - mine))
+            early = (place[i] <= mine - need) & (place[j] <= length - need)
+            j = j[early | ((real[j] == real[i]) & (real[i] != NONE))]
+            out.append((np.full(len(j), ids[i]), ids[j]))
+            made += len(j)
+        if made > 50_000:
+            yield _pair_batch(out)
+            out, made = [], 0
+    if out:
+        yield _pair_batch(out)
+
+
+def _pair_batch(parts: list[tuple]) -> pa.RecordBatch:
+    x, y = (np.concatenate(p) for p in zip(*parts, strict=True))
+    both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
 
 
@@ -358,6 +398,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     summaries = write_table(_summaries(slim, shingle, sketch_bits), "summaries")
     shared = spark.sparkContext.broadcast(Prefixes(_sketch(summaries, sketch_bits), num, den))
@@ -370,7 +411,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = write_table(_verified(write_table(_star_pairs(lists, num, den), "stars"), slim, shingle, shared, hubs=True), "first")
     links = first.where("linked").select("a", "b")
     components = write_table(connected_components(links), "components")
-    more = write_table(_rest(lists, first, components, num, den), "rest")
+    done = first.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = write_table(_rest(lists, first, components, num, den).join(done, ["a", "b"], "left_anti"), "rest")
     second = write_table(_verified(more, slim, shingle, shared, hubs=False).where("linked").select("a", "b"), "second")
     if not second.isEmpty():
         components = write_table(connected_components(links.unionByName(second)), "components")
