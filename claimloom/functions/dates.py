@@ -21,7 +21,8 @@ def epoch(c: Column) -> Column:
 
 def days_since(c: Column, now: Column) -> Column:
     """Days as a number, never below 0; infinite for what is no time."""
-    return F.coalesce(F.greatest((micros(now) - micros(c)) / float(DAY_MICROS), F.lit(0.0)), F.lit(float("inf")))
+    days = (micros(now) - micros(c)) / float(DAY_MICROS)
+    return F.when(days.isNull(), float("inf")).otherwise(F.greatest(days, F.lit(0.0)))
 
 
 def age_days(c: Column, now: Column) -> Column:
