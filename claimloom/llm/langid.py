@@ -164,7 +164,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
         for texts in parts:
             langs, scores = [], []
             for text in texts:
-                words = letters_of(text.as_py() or "")
+                words = letters_of(text.as_py() or "") if own.langs else []
                 lang, score = own.predict(scorer.total(words), len(words)) if words else (UNKNOWN, 0.0)
                 langs.append(lang)
                 scores.append(score)
