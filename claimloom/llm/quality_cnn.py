@@ -178,7 +178,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
     """The network from labelled rows that satisfy ``learn`` (an expression over the id).
 
     Bounds: about ``per_class`` whole documents of each class, drawn by a hash of the id, of at most
-    ``max_doc_bytes`` bytes each. They are all that reaches the driver. Null labels are left out. None without rows.
+    ``max_doc_bytes`` bytes each. Null labels are left out. None without rows.
     """
     known = labels.where(learn & F.col(label_col).isin(0, 1)).select(F.col(id_col), F.col(label_col).alias("_y")).distinct()
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
@@ -188,10 +188,18 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
     share = F.when(F.col("_y") == 1, per_class / max(1, counts.get(1, 0))).otherwise(per_class / max(1, counts.get(0, 0)))
     drawn = known.where(ticket < share)
     texts = docs.select(F.col(id_col), text_of(text_col).cast("binary").alias("_text")).where(F.octet_length("_text") <= max_doc_bytes)
-    rows = sorted(((r[id_col], bytes(r["_text"]), r["_y"]) for r in texts.join(F.broadcast(drawn), id_col).select(id_col, "_text", "_y").collect()), key=lambda r: (str(r[0]), r[1], r[2]))
-    if not rows:
-        return None
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    sample = texts.join(F.broadcast(drawn), id_col).select(F.col(id_col).cast("string").alias("id"), "_text", "_y")
+    small_batches(docs.sparkSession)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), key=lambda r: (r[0], r[1], r[2]))
+        if rows:
+            net = fit([r[1] for r in rows], [r[2] for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([p.astype(np.float32).tobytes() for p in net.parts()], pa.binary()), pa.array(range(5), pa.int32())], ["part", "at"])
+
+    # The bounded sample trains in one task; the network, some ten thousand numbers, is what comes back.
+    got = {r["at"]: np.frombuffer(r["part"], np.float32) for r in sample.repartition(1).mapInArrow(train, "part binary, at int").collect()}
+    return Network(*[got[i].reshape(p.shape).copy() for i, p in enumerate(new_network().parts())]) if got else None
 
 
 def score_quality(docs: DataFrame, net: Network | None, text_col: str = "text", made: str = "score") -> DataFrame:
