@@ -190,3 +190,58 @@ def test_urls(spark):
         rule = max(fits, default=(0, None, False))
         assert got[i] == (host, path, rule[1], "block" if rule[2] else "allow"), u
     assert url_filters.judge_urls(df.limit(0), rules).count() == 0 and url_filters.judge_urls(df, []).where("verdict = 'allow' and rule is null").count() == len(URLS)
+
+
+def brute_mixing(given, target, most, seed, block_tokens):
+    """given: (id, source, tokens). The rows of mix_sources without a budget."""
+    xxhash = pytest.importorskip("xxhash")
+
+    def h(*values):
+        out = 42
+        for v, size in values:
+            out = xxhash.xxh64(int(v).to_bytes(size, "little", signed=True), out).intdigest()
+        return out - (1 << 64) if out >> 63 else out
+
+    tokens = Counter()
+    for _, s, t in given:
+        tokens[s] += t
+    total = sum(tokens.values())
+    p = {s: t / total for s, t in tokens.items()}
+
+    def weights(a):
+        z = sum(x**a for x in p.values())
+        return {s: x**a / z for s, x in p.items()}
+
+    lo, hi = 0.0, 1.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if entropy(list(weights(mid).values())) >= target * math.log2(len(p)) else (lo, mid)
+    a = 1.0 if entropy(list(p.values())) >= target * math.log2(len(p)) else lo
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        ok = max(w * total / tokens[s] for s, w in weights(mid).items()) <= most
+        low, high = (low, mid) if ok else (mid, high)
+    w = weights(max(a, high if low else 0.0))
+    budget = max(tokens[s] / w[s] for s in w)
+    out = set()
+    for s in w:
+        r = w[s] * budget / tokens[s]
+        blocks = min(4096, max(1, math.ceil(tokens[s] / block_tokens)))
+        rows = [(i, t, h((seed, 4), (i, 8)) % blocks) for i, x, t in given if x == s]
+        for e in range(math.ceil(r - 1e-9)):
+            start = 0
+            for b in sorted({b for _, _, b in rows}, key=lambda b: (h((seed, 4), (e, 4), (b, 8)), b)):
+                for i, t, _ in sorted((x for x in rows if x[2] == b), key=lambda x: (h((seed, 4), (e, 4), (x[0], 8)), x[0])):
+                    if e + 1 <= r + 1e-9 or start < (r - e) * tokens[s]:
+                        out.add((i, s, e, b, start))
+                    start += t
+    return out
+
+
+def test_mixing_by_brute_force(spark):
+    given = [(i, ["big", "mid", "small"][(i % 10 > 6) + (i % 10 > 8)], i % 7 + 1) for i in range(900)]
+    df = spark.createDataFrame([(i, s, " ".join(["w"] * t)) for i, s, t in given], "doc_id long, source string, text string")
+    for target, most in ((0.97, 50.0), (1.0, 1.7)):
+        got = mixing.mix_sources(df, target_entropy=target, max_repeats=most, block_tokens=100, seed=17)
+        assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in got.collect()} == brute_mixing(given, target, most, 17, 100)
