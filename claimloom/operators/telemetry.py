@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.dates import age_days, recall_score
+from claimloom.functions.dates import age_days, micros, recall_score
 from claimloom.functions.text import shortened
 
 # Usage sources from best to worst, and what the recall looks at.
@@ -42,6 +42,15 @@ def recall_surface(claims: DataFrame, now: Column) -> DataFrame:
     return top.select("id", "type", "status", shortened(F.coalesce("text", F.lit("")), 240, 237, "...").alias("text"), "primary_home", "updated_at", "age_days", F.bround("_score", 3).alias("recall_score"))
 
 
+def posture(score: Column, names: list[str]) -> Column:
+    """One of four names by the bands from 0.8, 0.5 and 0.3."""
+    return F.when(score >= 0.8, names[0]).when(score >= 0.5, names[1]).when(score >= 0.3, names[2]).when(score.isNotNull(), names[3])
+
+
+def run_seconds(started: Column, finished: Column) -> Column:
+    return (micros(finished) - micros(started)) / 1e6
+
+
 def route_warnings(claims: DataFrame) -> DataFrame:
     """Claims whose route is not strong (see ``with_routes``)."""
     return claims.where("route_state <> 'strong'").select("id", "type", "primary_home", "route_state", "route_suggested")
@@ -51,6 +60,16 @@ def state_version(logic: str, manifest: str, artifact: str) -> str:
     return hashlib.sha1(f"{logic}|{manifest}|{artifact}".encode()).hexdigest()[:12]
 
 
+def run_report(report: dict) -> str:
+    """A run for people to read, as markdown."""
+    lines = [f"# Run {report['run_id']}", "", f"- status: {report['status']}", f"- mode: {report['mode']}", f"- profile: {report['profile']}"]
+    lines += [f"- {k.replace('_', ' ')}: {v}" for k, v in report.items() if k not in ("run_id", "status", "mode", "profile", "warnings", "errors") and v is not None]
+    for name in ("warnings", "errors"):
+        if report.get(name):
+            lines += ["", f"## {name.capitalize()}", "", *[f"- {x if isinstance(x, str) else ': '.join(map(str, x))}" for x in report[name]]]
+    return "\n".join(lines) + "\n"
+
+
 def suggests_ingest(manifest: dict) -> bool:
     """Downstream is told only of published runs whose claims changed."""
     return bool(manifest.get("publishCommitted")) and bool(manifest.get("downstreamWikiIngestSuggested"))

@@ -25,21 +25,23 @@ def rule_verdict(total: Column, noise: Column) -> Column:
     return F.when((total <= 0.5) | (noise >= 0.8), "reject").when(total < 2.0, "defer").otherwise("promote")
 
 
-def batch_chunks(rows: DataFrame, id_col: str, size: int, cap: int) -> DataFrame:
-    """``batch`` (from 0, by id; all 0 for size 0) and ``pending`` for rows past ``cap`` batches.
+def global_rank(rows: DataFrame, *by: str, out: str = "rank") -> DataFrame:
+    """Places from 0 over the whole table in two steps: rows are range-partitioned, counted by partition, and ranked
+    inside their partition, so no task sees all rows."""
+    parts = rows.repartitionByRange(*[F.col(c) for c in by]).withColumn("_part", F.spark_partition_id())
+    counts = parts.groupBy("_part").count()
+    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(*by)
+    ranked = parts.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(before), "_part")
+    return ranked.withColumn(out, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_part", "_rank", "_before")
 
-    Ranks over the whole table are made in two steps: ids are range-partitioned, counted by partition, and ranked
-    inside their partition, so no task sees all rows.
-    """
+
+def batch_chunks(rows: DataFrame, id_col: str, size: int, cap: int) -> DataFrame:
+    """``batch`` (from 0, by id; all 0 for size 0) and ``pending`` for rows past ``cap`` batches."""
     if size <= 0:
         return rows.withColumn("batch", F.lit(0).cast("long")).withColumn("pending", F.lit(False))
-    parts = rows.repartitionByRange(F.col(id_col)).withColumn("_part", F.spark_partition_id())
-    counts = parts.groupBy("_part").count()
-    before = counts.select(F.col("_part"), (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
-    inside = Window.partitionBy("_part").orderBy(id_col)
-    ranked = parts.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(before), "_part")
-    batch = F.floor((F.col("_before") + F.col("_rank") - 1) / size).cast("long")
-    return ranked.withColumn("batch", batch).withColumn("pending", F.col("batch") >= cap).drop("_part", "_rank", "_before")
+    ranked = global_rank(rows, id_col, out="_place")
+    return ranked.withColumn("batch", F.floor(F.col("_place") / size).cast("long")).withColumn("pending", F.col("batch") >= cap).drop("_place")
 
 
 def verdict_counts(scored: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.functions import dates, text
-from claimloom.operators import clusters, delta, extract, integrity, merge, recovery, resolve, retrieval, telemetry, verdicts, views
+from claimloom.operators import clusters, delta, extract, integrity, merge, recovery, resolve, retrieval, schedule, telemetry, verdicts, views
 from claimloom.plans.oracle import ORACLE
-from claimloom.schemas import DEFAULT_HOME, EP, HI, HOMES, LT, PB, TYPES, WI
+from claimloom.schemas import CONFIDENCE, DEFAULT_HOME, EP, FRESHNESS, HI, HOMES, LT, PB, TYPES, WI
 from claimloom.sources import files, fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +423,50 @@ def event_status_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.status_by_day(_read(spark, sf_dir, "events"), "ts", "event_type")
 
 
+@_query
+def posture_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = (F.col("ord") * 7 % 101) / 100.0
+    return _claims(spark, sf_dir).select("id", telemetry.posture(score, FRESHNESS).alias("freshness"), telemetry.posture(score, CONFIDENCE).alias("confidence"))
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job a customer: some fields missing, some schedules odd."""
+    k = F.col("c_custkey")
+    name = F.concat(F.when(k % 9 == 0, "other-").otherwise("claims-"), F.when(k % 2 == 0, "reconciliation-").otherwise("incremental-"), k.cast("string"))
+    cron = F.when(k % 7 == 0, "").otherwise(F.concat((k % 60).cast("string"), F.lit(" "), (k % 24).cast("string"), F.lit(" * * "), F.when(k % 5 == 0, "*").otherwise((k % 7).cast("string"))))
+    return _read(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), cron.alias("cron"), F.lit("UTC").alias("tz"), F.when(k % 4 != 0, k % 3 == 0).alias("deliver"))
+
+
+@_query
+def next_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.lit("2025-03-01 10:30:00").cast("timestamp_ntz").cast("timestamp")
+    return _jobs(spark, sf_dir).select("c_custkey", F.date_format(schedule.next_fire(F.col("cron"), now), "yyyy-MM-dd HH:mm").alias("fires_at"))
+
+
+@_query
+def next_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.lit("2025-03-01 10:30:00").cast("timestamp_ntz").cast("timestamp")
+    return schedule.next_schedule(_jobs(spark, sf_dir), now, "claims-").select("name", "mode", F.date_format("fires_at", "yyyy-MM-dd HH:mm").alias("fires_at"))
+
+
+@_query
+def delivery_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = schedule.Delivery(enabled=True, channel="c", target=None)
+    return schedule.delivery_actions(_jobs(spark, sf_dir), wanted, "claims-").groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def config_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"cron": {"tz": "UTC"}, "props": '), "props", F.lit("}"))).otherwise(F.col("props"))
+    return _read(spark, sf_dir, "events").select("event_id", _joined(schedule.missing_paths(made, ["cron.tz", "props.k", "k"])).alias("missing"))
+
+
+@_query
+def prior_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = retrieval.prior_context(_prior(spark, sf_dir))
+    return rows.select("claim_id", "type", "primary_home", _joined(F.transform("provenance", lambda p: p["source"])).alias("sources"), F.get(F.col("provenance"), F.lit(0))["line_span"][1].alias("last_line"))
+
+
 # Views
 
 

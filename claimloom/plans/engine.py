@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators import clusters, delta, extract, integrity, merge, resolve, retrieval, telemetry, verdicts, views
@@ -31,6 +31,7 @@ class Settings:
     timezone: str = "UTC"
     batch_size: int = 40
     batch_cap: int = 10
+    attempts: int = 2
     acknowledge_upgrade: bool = False
     checked_paths: list[str] = field(default_factory=list)
 
@@ -64,8 +65,7 @@ def claims_of(canonical: DataFrame, prior: DataFrame, settings: Settings) -> Dat
         "supersedes", "superseded_by", "freshness_posture", "confidence_posture", "rationale", "route_rationale",
     )
     done = resolve.dispositions(flat, prior)
-    place = Window.orderBy("source_cluster_id")
-    numbered = done.withColumn("ord", F.row_number().over(place).cast("long") - 1)
+    numbered = verdicts.global_rank(done, "source_cluster_id", out="ord")
     status = F.when(F.col("disposition") == "probable_duplicate", "probable_duplicate").otherwise(F.col("status"))
     out = numbered.withColumns({"id": F.col("final_id"), "status": status, "recurrence": F.lit(None).cast("double"), "updated_in_run_id": F.lit(settings.run_id), "updated_at": F.lit(settings.now), "retirement_reasons": F.array().cast(CLAIM["retirement_reasons"].dataType)})
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLAIM.fields])
@@ -88,6 +88,7 @@ class Engine:
         try:
             report = self._locked(manifest)
             self._log(report)
+            self.store.write_text("last-run.md", telemetry.run_report(report))
             return report
         finally:
             self.store.unlock()
@@ -123,9 +124,8 @@ class Engine:
         batched = store.save(s.run_id, "candidates", verdicts.batch_chunks(candidates, "candidate_id", s.batch_size, s.batch_cap))
         now_scored = batched.where("not pending").drop("batch", "pending")
         pending = store.save(s.run_id, "pending", batched.where("pending").drop("batch", "pending"))
-        given = store.save(s.run_id, "verdicts", self.scorer.verdicts(now_scored))
-        broken = verdicts.verdict_violations(given, now_scored)
-        if not broken.isEmpty():
+        given, broken = self._judged("verdicts", lambda: self.scorer.verdicts(now_scored), lambda v: verdicts.verdict_violations(v, now_scored))
+        if broken is not None:
             return self._failed("verdicts", broken)
         scored = store.save(s.run_id, "scored", verdicts.scored_candidates(given, now_scored, s.run_id))
         for verdict in ("reject", "defer"):
@@ -140,15 +140,23 @@ class Engine:
             cap, each = retrieval.caps(mode)
             ranked = retrieval.widened(retrieval.ranked_priors(hints, priors, F.lit(s.now), each + retrieval.BONUS), each)
             shown = priors.join(retrieval.global_cap(ranked, cap).select(F.col("claim_id").alias("id")), "id", "left_semi")
-            canonical = store.save(s.run_id, "canonical", self.scorer.claims(made, shown, s.profile))
-            broken = integrity.canonical_violations(canonical, made, s.profile, shown.select("id"))
-            if not broken.isEmpty():
+            canonical, broken = self._judged("canonical", lambda: self.scorer.claims(made, shown, s.profile), lambda c: integrity.canonical_violations(c, made, s.profile, shown.select("id")))
+            if broken is not None:
                 return self._failed("claims", broken)
             new = store.save(s.run_id, "new_claims", claims_of(canonical, prior, s))
         elif not sweep:
             return self._report("skipped", reason="no candidate was kept", verdicts=counts)
         return self._publish(found, prior, new, gone, counts, missing, pending, kind)
 
+    def _judged(self, name: str, ask, check) -> tuple[DataFrame, DataFrame | None]:
+        """The scorer's answer, saved, and what is wrong with it; it is asked again while attempts are left."""
+        for attempt in range(max(1, self.settings.attempts)):
+            given = self.store.save(self.settings.run_id, f"{name}-{attempt}", ask())
+            broken = check(given)
+            if broken.isEmpty():
+                return given, None
+        return given, broken
+
     def _failed(self, what: str, broken: DataFrame) -> dict:
         rows = broken.limit(50).collect()  # a report shows some of them; all are in the quarantine
         self.store.append("quarantine", broken.withColumn("run_id", F.lit(self.settings.run_id)))

@@ -128,6 +128,8 @@ CTES = {
     "routed": "SELECT c.*, CASE WHEN list_contains(a.impossible, primary_home) THEN 'impossible' WHEN a.strong = primary_home THEN 'strong' WHEN list_contains(a.acceptable, primary_home) THEN 'acceptable' ELSE 'suspicious' END AS state, a.strong FROM claims c JOIN affinity a USING (type)",
     "retired": f"SELECT id, sources FROM claims WHERE NOT is_new AND status NOT IN {_in(INACTIVE)} AND len(list_filter(sources, lambda s: NOT list_contains({_list(REMOVED)}, s))) = 0",
     "shown_": f"SELECT * FROM (SELECT * REPLACE (({_list(STATUSES)})[(ord // 11) % 7 + 1] AS status) FROM claims) WHERE status NOT IN {_in(INACTIVE)}",
+    "jobs": "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN 'other-' ELSE 'claims-' END || CASE WHEN c_custkey % 2 = 0 THEN 'reconciliation-' ELSE 'incremental-' END || c_custkey AS name, c_custkey % 7 <> 0 AS ok, c_custkey % 60 AS mi, c_custkey % 24 AS ho, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 7 END AS dow, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 3 = 0 END AS deliver FROM customer",
+    "job_fires": "SELECT c_custkey, min(t) AS t FROM (SELECT c_custkey, dow, unnest([TIMESTAMP '2025-03-01 00:00:00' + to_days(CAST(k AS INTEGER)) + to_hours(ho) + to_minutes(mi) FOR k IN range(0, 8)]) AS t FROM jobs WHERE ok) WHERE t > TIMESTAMP '2025-03-01 10:30:00' AND (dow IS NULL OR dayofweek(t) = dow) GROUP BY c_custkey",
     "active_": f"SELECT * FROM claims WHERE status NOT IN {_in(INACTIVE)}",
 }
 
@@ -236,6 +238,12 @@ SELECT id, status, age_days, round_even(score, 3) AS recall_score FROM (
   FROM (SELECT *, greatest(CAST(floor((epoch(TIMESTAMP '{NOW[:-1].replace('T', ' ')}') - epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP))) / 86400) AS BIGINT), 0) AS age_days FROM claims WHERE NOT is_new AND status IN ('contested', 'unresolved', 'retire_candidate')))
 ORDER BY score DESC, updated_at, id LIMIT 1""",
     "age_days": f"SELECT id, greatest(CAST(floor((epoch(TIMESTAMP '{NOW[:-1].replace('T', ' ')}') - epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP))) / 86400) AS BIGINT), 0) AS age, round(greatest((epoch(TIMESTAMP '{NOW[:-1].replace('T', ' ')}') - epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP))) / 86400.0::DOUBLE, 0), 6) AS days FROM claims",
+    "posture_bands": "SELECT id, CASE WHEN s >= 0.8::DOUBLE THEN 'fresh' WHEN s >= 0.5::DOUBLE THEN 'recent' WHEN s >= 0.3::DOUBLE THEN 'aging' ELSE 'stale' END AS freshness, CASE WHEN s >= 0.8::DOUBLE THEN 'high' WHEN s >= 0.5::DOUBLE THEN 'medium' WHEN s >= 0.3::DOUBLE THEN 'low' ELSE 'tentative' END AS confidence FROM (SELECT id, (ord * 7 % 101) / 100.0::DOUBLE AS s FROM claims)",
+    "next_fires": "SELECT j.c_custkey, strftime(f.t, '%Y-%m-%d %H:%M') AS fires_at FROM jobs j LEFT JOIN job_fires f USING (c_custkey)",
+    "next_schedule": "SELECT name, CASE WHEN contains(name, 'reconciliation') THEN 'reconciliation' ELSE 'incremental' END AS mode, strftime(t, '%Y-%m-%d %H:%M') AS fires_at FROM jobs JOIN job_fires USING (c_custkey) WHERE name LIKE 'claims-%' ORDER BY t, name LIMIT 1",
+    "delivery_actions": "SELECT action, count(*) AS n FROM (SELECT CASE WHEN deliver IS NULL THEN 'skipped_indeterminate' WHEN deliver THEN 'in_sync' WHEN NOT ok THEN 'skipped_missing_fields' ELSE 'skipped_missing_announce_target' END AS action FROM jobs WHERE name LIKE 'claims-%') GROUP BY action",
+    "config_paths": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'k' ELSE 'cron.tz,props.k' END AS missing FROM events",
+    "prior_context": "SELECT id AS claim_id, type, primary_home, array_to_string(sources, ',') AS sources, CAST(ord % 50 + 3 AS INTEGER) AS last_line FROM claims WHERE NOT is_new",
     "view_ltmemory": _view(_SECTION_NAME, _SECTION, f"primary_home = 'LTMEMORY.md' AND type IN {_in([k for _, k, _ in SECTIONS])}", f"CASE WHEN type IN {_in(_ASC)} THEN lower(subject) END, CASE WHEN type IN {_in(_ASC)} THEN updated_at END, updated_at DESC", _BLOCK),
     "view_playbooks": f"SELECT CAST(dense_rank() OVER (ORDER BY section = 'Uncategorized', lower(section)) - 1 AS INTEGER) AS section_ord, section, row_ord, id, block_md5 FROM ({_PLAYBOOKS})",
     "view_episodes": _view("''", "0", "primary_home = 'EPISODES.md' AND type = 'episode'", "updated_at DESC", f"'### ' || substr(updated_at, 1, 10) || ' — ' || subject || chr(10) || text || chr(10) || chr(10) || '_Source: ' || sources[1] || ' L' || (ord % 50 + 1) || '-' || (ord % 50 + 3) || '_' || {_TAGS} || {_CONTESTED}"),

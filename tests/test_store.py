@@ -124,3 +124,32 @@ def test_same_subject_window(spark):
     asks = ask(spark, ("c", "python", [], "", None, None))
     got = {r["claim_id"]: r["score"] for r in retrieval.ranked_priors(asks, prior, F.lit("2025-03-01T00:00:00Z")).where("rank > 0").collect()}
     assert got["new"] == got["old"] + 1.0
+
+
+def test_delivery_reads_only_good_values():
+    from claimloom.operators.schedule import Delivery
+
+    got = Delivery.read({"memoryPurifier": {"reporting": {"enabled": True, "delivery": {"channel": "", "to": 5}}}}, {"cron": {"tz": "", "timeout_seconds": -1, "announce_channel": "c"}})
+    assert got == Delivery(True, "c", None, "Asia/Manila", 1200)
+    assert Delivery.read({"memoryPurifier": {"reporting": {"enabled": "yes"}}}, None).enabled is None
+
+
+def test_delivery_actions(spark):
+    from claimloom.operators import schedule
+
+    jobs = spark.createDataFrame([("p-a", "0 3 * * *", "", None), ("p-b", "0 3 * * *", "", True), ("p-c", " ", "", False), ("p-d", "0 3 * * *", "UTC", False), ("x", "", "", False)], "name string, cron string, tz string, deliver boolean")
+    act = lambda d: {r["name"]: r["action"] for r in schedule.delivery_actions(jobs, d, "p-").collect()}
+    assert act(schedule.Delivery(True, "c", "t")) == {"p-a": "skipped_indeterminate", "p-b": "in_sync", "p-c": "skipped_missing_fields", "p-d": "would_update"}
+    assert act(schedule.Delivery(True, "c"))["p-d"] == "skipped_missing_announce_target" and act(schedule.Delivery()) == {}
+    assert schedule.sync_status(schedule.delivery_actions(jobs, schedule.Delivery(False), "p-")).first()["status"] == "synced"
+
+
+def test_json_lines(spark, tmp_path):
+    from claimloom.sources import jsonl
+
+    (tmp_path / "x.jsonl").write_text('{"ord": null, "id": "a"}\n\nnot json\n{"id": "b", "text": "t"}\n[1]\n')
+    got = jsonl.read_jsonl(spark, str(tmp_path / "x.jsonl"), CLAIM)
+    assert [(r["id"], r["text"]) for r in got.orderBy("ord").collect()] == [("a", None), ("b", "t")]
+    lines = spark.createDataFrame([(1, "{}"), (2, "bad"), (3, " ")], "line int, value string")
+    assert [r["line"] for r in jsonl.jsonl_errors(lines).collect()] == [2]
+    assert jsonl.read_json_object(spark, str(tmp_path / "none.json"), CLAIM).count() == 0
