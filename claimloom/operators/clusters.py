@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import entity_mentions, short_hash
+from claimloom.operators.saving import saved
 from claimloom.schemas import DEFAULT_HOME, UNKNOWN_TYPE
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of ``spark.checkpoint.dir``; a local folder only where none is set."""
-    spark: SparkSession = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix=f"claimloom-{uuid.uuid4().hex[:8]}-"))
-    return df.checkpoint(eager=True)
-
-
 def merge_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, component) for every node: the least id it is connected with through ``edges`` (src, dst) whose ends are
     both nodes.

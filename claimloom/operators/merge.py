@@ -14,8 +14,8 @@ CONTRADICTION_KEY = ["contradiction_cluster_id", "claim_id", "competing_claim_id
 def upsert_claims(prior: DataFrame, new: DataFrame) -> DataFrame:
     """Both by id: the last new row of an id replaces all others, and keeps the place of the prior one; rows without
     an id go. ``ord`` of new claims starts after the prior ones."""
-    last = prior.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("_last"))
-    shifted = new.crossJoin(F.broadcast(last)).withColumn("_place", F.col("_last") + 1 + F.col("ord")).drop("_last")  # one row
+    last = prior.agg(F.max("ord")).first()[0]
+    shifted = new.withColumn("_place", F.lit(0 if last is None else last + 1).cast("long") + F.col("ord"))
     rows = prior.withColumn("_place", F.col("ord")).withColumn("_gen", F.lit(0)).unionByName(shifted.withColumn("_gen", F.lit(1))).where(F.col("id") != "")
     same = Window.partitionBy("id")
     ranked = rows.withColumn("_rn", F.row_number().over(same.orderBy(F.desc("_gen"), F.desc("ord")))).withColumn("_first", F.min("_place").over(same))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.operators.saving import saved
 from claimloom.schemas import SURVIVING, VERDICT_SCORES, VERDICTS
 
 TOLERANCE = 0.01
@@ -27,8 +28,9 @@ def rule_verdict(total: Column, noise: Column) -> Column:
 
 def global_rank(rows: DataFrame, *by: str, out: str = "rank") -> DataFrame:
     """Places from 0 over the whole table in two steps: rows are range-partitioned, counted by partition, and ranked
-    inside their partition, so no task sees all rows."""
-    parts = rows.repartitionByRange(*[F.col(c) for c in by]).withColumn("_part", F.spark_partition_id())
+    inside their partition, so no task sees all rows. The partitioned rows are saved, as another evaluation could draw
+    other bounds."""
+    parts = saved(rows.repartitionByRange(*[F.col(c) for c in by]).withColumn("_part", F.spark_partition_id()))
     counts = parts.groupBy("_part").count()
     before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
     inside = Window.partitionBy("_part").orderBy(*by)
