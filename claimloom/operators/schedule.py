@@ -48,11 +48,12 @@ class Delivery:
     timeout: int = DEFAULT_TIMEOUT
 
     @classmethod
-    def read(cls, state: dict | None, config: dict | None) -> Delivery:
-        """State before configuration; nothing is wanted where the state does not say so with a boolean."""
+    def read(cls, state: dict | None, config: dict | None, namespace: str = "claims") -> Delivery:
+        """State (under ``namespace``) before configuration; nothing is wanted where the state does not say so with a
+        boolean."""
         level = lambda d, k: d.get(k) if isinstance(d, dict) and isinstance(d.get(k), dict) else {}
         text = lambda v: v if isinstance(v, str) and v else None
-        reporting, cron = level(level(state, "memoryPurifier"), "reporting"), level(config, "cron")
+        reporting, cron = level(level(state, namespace), "reporting"), level(config, "cron")
         there = level(reporting, "delivery")
         enabled, timeout = reporting.get("enabled"), cron.get("timeout_seconds")
         return cls(

@@ -11,7 +11,7 @@ from claimloom.schemas import DIGEST_CAP, EP, EPISODE_DIR, HI, LT, PB, SECTIONS,
 
 # Titles and notes of the views.
 TITLES = {LT: "LTMEMORY — Purified Durable Memory", PB: "PLAYBOOKS — Purified Reusable Methods", EP: "EPISODES — Purified Event Digest", HI: "HISTORY — Personal Milestones & Turning Points", WI: "WISHES — Stable Aspirations"}
-KEEP_OUT = "_Do not edit this file by hand — changes will be overwritten on the next purifier run._"
+KEEP_OUT = "_Do not edit this file by hand — changes will be overwritten on the next run._"
 NOTES = {
     EP: "_Full narratives live in `episodes/<slug>.md`. This file is an index._",
     WI: "_Aspirations included here are evidenced across multiple entries or reinforced by chronicles. One-off dream residue is excluded._",

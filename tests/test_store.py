@@ -129,9 +129,9 @@ def test_same_subject_window(spark):
 def test_delivery_reads_only_good_values():
     from claimloom.operators.schedule import Delivery
 
-    got = Delivery.read({"memoryPurifier": {"reporting": {"enabled": True, "delivery": {"channel": "", "to": 5}}}}, {"cron": {"tz": "", "timeout_seconds": -1, "announce_channel": "c"}})
+    got = Delivery.read({"claims": {"reporting": {"enabled": True, "delivery": {"channel": "", "to": 5}}}}, {"cron": {"tz": "", "timeout_seconds": -1, "announce_channel": "c"}})
     assert got == Delivery(True, "c", None, "Asia/Manila", 1200)
-    assert Delivery.read({"memoryPurifier": {"reporting": {"enabled": "yes"}}}, None).enabled is None
+    assert Delivery.read({"claims": {"reporting": {"enabled": "yes"}}}, None).enabled is None
 
 
 def test_delivery_actions(spark):
