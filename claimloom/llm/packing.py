@@ -22,13 +22,14 @@ from claimloom.llm.common import small_batches, text_of, write_table
 
 END_ID = 1
 CACHED_WORDS = 400_000
-#: Characters of texts whose new words are looked up together.
-TOGETHER = 1 << 18
-#: Python's str.split() also splits at these, the tokenizer doesn't.
+#: Neither Latin letters and ASCII signs, for which Python's lower case is the tokenizer's, nor free of the controls that
+#: only Python's str.split() takes for white space.
+ODD = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
 NOT_SPACE = re.compile("[\x1c-\x1f]")
-#: Only Latin letters and ASCII signs: here Python's lower case is the tokenizer's.
 NOT_LATIN = re.compile("[^\x00-\u024f]")
-#: ASCII signs between a letter and white space are a pre-token of their own either way.
+#: ASCII signs between a letter and white space are a pre-token of their own either way. Where no two signs (or
+#: controls) stand side by side, setting the most frequent ones apart takes no pattern.
+RUN = re.compile(r"[\x00-\x08\x0e-\x1b!-/:-@\[-`{-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\xd7\xf7]{2}")
 MARK = re.compile(r"(?<=[a-z\u00df-\u00f6\u00f8-\u00ff])([!-/:-@\[-`{-~]+)(?=\s|$)")
 
 
@@ -57,13 +58,14 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def known(self, words: set[str]) -> dict[str, bytes]:
-        """A table that holds all of ``words``."""
-        new = words.difference(self.young)
-        if new:
-            if len(self.young) + len(new) > CACHED_WORDS and self.young:
+    def of(self, words: list[str]) -> bytes:
+        """The ids of the words, one after the other."""
+        found = list(map(self.young.get, words))
+        if None in found:
+            new = {w for w, ids in zip(words, found, strict=True) if ids is None}
+            if len(self.young) + len(new) > CACHED_WORDS:
                 self.old, self.young = self.young, {}
-                new = words
+                new = set(words)
             unseen = []
             for w in new:
                 ids = self.old.get(w)
@@ -72,7 +74,8 @@ class WordIds:
                 else:
                     self.young[w] = ids
             self._learn(unseen)
-        return self.young
+            found = map(self.young.__getitem__, words)
+        return b"".join(found)
 
     def _learn(self, words: list[str]) -> None:
         other, young, model = [], self.young, self.tokenizer.model
@@ -109,30 +112,19 @@ def encode_texts(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
     if path not in _word_ids:
         _word_ids[path] = WordIds(path)
     table = _word_ids[path]
-    waiting: list[list[str] | str] = []
-    size = 0
     for text in texts:
         text = text or ""
-        size += len(text)
-        if "<|" in text or NOT_SPACE.search(text):
-            waiting.append(text)
-        else:
-            waiting.append((text if NOT_LATIN.search(text) else MARK.sub(r" \1", text.lower())).split())
-        if size > TOGETHER:
-            yield from _flush(waiting, table)
-            waiting, size = [], 0
-    yield from _flush(waiting, table)
-
-
-def _flush(waiting: list[list[str] | str], table: WordIds) -> Iterator[bytes]:
-    """Ids of texts given as words, or whole as strings; new words of all of them are looked up at once."""
-    words: set[str] = set()
-    for x in waiting:
-        if not isinstance(x, str):
-            words.update(x)
-    known = table.known(words)
-    for x in waiting:
-        yield table.whole(x) if isinstance(x, str) else b"".join(map(known.__getitem__, x))
+        odd = not text.isascii() and ODD.search(text) or NOT_SPACE.search(text)
+        if "<|" in text or odd and NOT_SPACE.search(text):
+            yield table.whole(text)
+            continue
+        if not odd:
+            text = text.lower()
+            if RUN.search(text):
+                text = MARK.sub(r" \1", text)
+            else:
+                text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+        yield table.of(text.split())
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
