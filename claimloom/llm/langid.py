@@ -17,7 +17,7 @@ from claimloom.llm.common import others, small_batches, text_of, write_table
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 #: Words whose scores a task keeps, and the bytes these may take.
-CACHED_WORDS, CACHED_BYTES = 400_000, 32 << 20
+CACHED_WORDS, CACHED_BYTES = 200_000, 32 << 20
 TOGETHER = 4096
 
 

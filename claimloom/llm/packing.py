@@ -12,6 +12,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import small_batches, text_of, write_table
 
 END_ID = 1
-CACHED_WORDS = 400_000
+#: Words kept during a task (in each of two generations), and between tasks, when the process may do other work.
+CACHED_WORDS, KEPT_WORDS = 400_000, 60_000
 #: Neither Latin letters and ASCII signs, for which Python's lower case is the tokenizer's, nor free of the controls that
 #: only Python's str.split() takes for white space.
 ODD = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
@@ -77,6 +79,11 @@ class WordIds:
             found = map(self.young.__getitem__, words)
         return b"".join(found)
 
+    def shrink(self) -> None:
+        """Keep the words learned first, which are mostly the frequent ones."""
+        self.old = {}
+        self.young = dict(islice(self.young.items(), KEPT_WORDS))
+
     def _learn(self, words: list[str]) -> None:
         other, young, model = [], self.young, self.tokenizer.model
         for w in words:
@@ -146,6 +153,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: st
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], ["id", "piece", "start", "length", "ids_crc32"])
+        if tokenizer_path in _word_ids:
+            _word_ids[tokenizer_path].shrink()
 
     return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
