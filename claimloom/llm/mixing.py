@@ -26,9 +26,10 @@ def source_shares(sized: DataFrame) -> DataFrame:
     return sized.groupBy("_source").agg(F.sum("_tokens").alias("_t"))
 
 
-def find_exponent(sources: DataFrame, total: int, budget: float, target_entropy: float, max_repeats: float) -> float:
+def find_exponent(sources: DataFrame, total: int, budget: float | None, target_entropy: float, max_repeats: float) -> float:
     """The largest exponent in [0, 1] whose weights p^a / sum(p^a) reach the target entropy, raised where some
-    source would else be repeated more than ``max_repeats`` times.
+    source would else be repeated more than ``max_repeats`` times by the budget that will be spent: without one,
+    that is the least that needs every source once, so a source is repeated (p_max / p)^(1 - a) times.
 
     Each round evaluates 64 exponents in one aggregation over the sources, so 5 rounds narrow the interval as 30
     bisection steps would; the driver sees 130 rows a round, whatever the number of sources.
@@ -42,7 +43,9 @@ def find_exponent(sources: DataFrame, total: int, budget: float, target_entropy:
         at = live.withColumn("_a", F.explode(F.array(*[F.lit(a) for a in sorted(set(grids))])))
         power = F.pow("_p", "_a")
         z = F.sum(power)
-        got = at.groupBy("_a").agg((F.log2(z) - F.col("_a") * F.sum(power * F.log2("_p")) / z).alias("h"), (F.max(F.pow("_p", F.col("_a") - 1)) / z * (budget / total)).alias("r")).collect()
+        each = F.pow("_p", F.col("_a") - 1)
+        repeats = F.max(each) / F.min(each) if budget is None else F.max(each) / z * (budget / total)
+        got = at.groupBy("_a").agg((F.log2(z) - F.col("_a") * F.sum(power * F.log2("_p")) / z).alias("h"), repeats.alias("r")).collect()
         flat = {x["_a"]: x["h"] >= target_entropy * most - 1e-12 for x in got}
         calm = {x["_a"]: x["r"] <= max_repeats * (1 + 1e-12) for x in got}
         g = [a for a in sorted(flat) if ent[0] <= a <= ent[1]]
@@ -62,15 +65,14 @@ def mixing_plan(sized: DataFrame, budget: float | None, target_entropy: float, m
     blocks = F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("_t") / block_tokens))).cast("long").alias("_blocks")
     if not total:
         return sources.select("_source", "_t", F.lit(0.0).alias("_w"), F.lit(1.0).alias("_r"), blocks)
-    wanted = float(budget or total)
+    wanted = None if budget is None else float(budget or total)
     a = find_exponent(sources, total, wanted, target_entropy, max_repeats)
     p = F.when(F.col("_t") > 0, F.pow(F.col("_t") / F.lit(float(total)), F.lit(a))).otherwise(0.0)
     z = sources.agg(F.sum(p)).first()[0]
     weighed = sources.withColumn("_w", p / F.lit(z))
-    if budget is None:
+    if wanted is None:
         # No budget: the least one that needs every source once, so nothing is left out.
-        least = weighed.where("_t > 0").agg(F.max(F.col("_t") / F.col("_w"))).first()[0]
-        wanted = float(least)
+        wanted = float(weighed.where("_t > 0").agg(F.max(F.col("_t") / F.col("_w"))).first()[0])
     repeats = F.when(F.col("_t") > 0, F.col("_w") * F.lit(wanted) / F.col("_t")).otherwise(1.0)
     # Repeats that differ from a whole number by rounding errors are that number.
     near = F.when(F.abs(repeats - F.round(repeats)) < 1e-9, F.round(repeats)).otherwise(repeats)
@@ -83,7 +85,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 
     Source shares are raised to the exponent of ``find_exponent`` (``target_entropy`` is a part of the largest
     possible entropy) and normalised to weights. ``budget`` tokens are dealt by these weights; by default the
-    least budget for which every document is used at least once, so that mixing repeats but drops nothing.
+    least budget for which every document is used at least once, so that mixing repeats (each source's tokens
+    ``max_repeats`` times at most) but drops nothing.
     A source with weight w gets w * budget tokens: whole epochs, then a part of one. Each epoch permutes the
     source's blocks and the rows inside each block by a hash; the last epoch takes rows in that order while
     less than the budget has been dealt, so a source ends at most one row above its budget.

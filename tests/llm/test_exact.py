@@ -245,3 +245,20 @@ def test_mixing_by_brute_force(spark):
     for target, most in ((0.97, 50.0), (1.0, 1.7)):
         got = mixing.mix_sources(df, target_entropy=target, max_repeats=most, block_tokens=100, seed=17)
         assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in got.collect()} == brute_mixing(given, target, most, 17, 100)
+
+
+@pytest.mark.parametrize("sizes", [[1000] + [60] * 30 + [1] * 100, [9000] + [10] * 20])
+def test_mixing_repetition_limit_by_default(spark, sizes):
+    """A hot source with small ones beside it: nothing is dropped, and no document is used more than four times."""
+    given = [(s * 10_000 + i, f"s{s}", "w") for s, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(given, "doc_id long, source string, text string")
+    got = Counter((r["source"], r["doc_id"]) for r in mixing.mix_sources(df, max_repeats=4.0).select("source", "doc_id").collect())
+    assert len(got) == len(given) and max(got.values()) == 4
+    uses = Counter()
+    for (s, _), n in got.items():
+        uses[s] += n
+    # The limit binds: the least source is repeated four times, and the exponent gives the others theirs.
+    a = 1 - math.log(4) / math.log(max(sizes) / min(sizes))
+    for s, n in enumerate(sizes):
+        assert 0 <= uses[f"s{s}"] - n * (max(sizes) / n) ** (1 - a) <= 1 + 1e-6 * n
+    assert Counter(r["doc_id"] for r in mixing.repeat_rows(df).collect()) == Counter({i: n for (_, i), n in got.items()})
