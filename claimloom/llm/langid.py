@@ -91,32 +91,38 @@ def _counted(sample: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 8000, sizes: tuple[int, ...] = (1, 2, 3, 4, 5), max_entries: int = 40_000, smooth: float = 0.5) -> LanguageModel:
     """Word and n-gram frequencies of each language from the rows that satisfy ``learn`` and have a language.
 
-    Bounds: about ``max_docs`` whole documents, shared evenly among the languages and drawn by a hash of the id, and
-    for words and each n-gram length the ``max_entries`` most frequent. The counts of all drawn rows are summed by
-    Spark; the driver gets only the entries that stay.
+    Bounds: about ``max_docs`` whole documents, shared evenly among the languages and drawn by a hash of the id (of
+    each language one at least, so none is left out), and for words and each n-gram length the ``max_entries`` most
+    frequent. The counts of all drawn rows are summed by Spark; the driver gets only the entries that stay. The model
+    takes eight bytes for each of these in each language.
     """
-    known = docs.where(learn & F.col(lang_col).isNotNull())
-    per_lang = known.groupBy(F.col(lang_col).alias("lang")).count()
-    counts = {r["lang"]: r["count"] for r in per_lang.orderBy(F.desc("count"), "lang").limit(1000).collect()}
-    if not counts:
-        return LanguageModel([], Frequencies([], np.zeros((0, 0))), {})
-    share = max_docs / len(counts)
-    draw = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, share / n)))])
+    spark = docs.sparkSession
     ticket = F.pmod(F.xxhash64(F.lit("langid"), id_col), F.lit(1 << 30)) / (1 << 30)
-    sample = known.where(ticket < F.coalesce(F.try_element_at(draw, F.col(lang_col)), F.lit(0.0))).select(F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
-    small_batches(docs.sparkSession)
+    known = docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text_of(text_col).alias("text"), ticket.alias("ticket"))
+    found_langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("ticket").alias("first")).collect()
+    if not found_langs:
+        return LanguageModel([], Frequencies([], np.zeros((0, 0))), {})
+    share = max_docs / len(found_langs)
+    draw = spark.createDataFrame([(r["lang"], min(1.0, share / r["count"]), r["first"]) for r in found_langs], "lang string, part double, first double")
+    sample = known.join(F.broadcast(draw), "lang").where("ticket < part or ticket = first").select("lang", "text")
+    small_batches(spark)
     grams = write_table(_counted(sample, sizes), "grams")
-    totals = grams.groupBy("size").pivot("lang", sorted(counts)).agg(F.sum("n")).collect()
-    langs = [k for k in sorted(counts) if any(r[k] for r in totals)]
+    totals: dict[int, dict[str, int]] = {}
+    for r in grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect():
+        totals.setdefault(r["size"], {})[r["lang"]] = r["n"]
+    langs = sorted({k for by in totals.values() for k in by})
+    place = {k: i for i, k in enumerate(langs)}
     found = {0: Frequencies([], np.zeros((0, len(langs))))}
-    for row in totals:
-        size = row["size"]
+    for size, by_lang in totals.items():
         # A word seen once or twice in the sample says less than its n-grams.
         top = grams.where(F.col("size") == size).groupBy("gram").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
         top = top.where(F.col("all") >= (3 if size == 0 else 1)).orderBy(F.desc("all"), "gram").limit(max_entries)
         got = top.select("gram", "by").collect()
-        n = np.array([[r["by"].get(k, 0) for k in langs] for r in got], float).reshape(len(got), len(langs))
-        size_of = np.array([row[k] or 0 for k in langs], float)
+        n = np.zeros((len(got), len(langs)))
+        for i, r in enumerate(got):
+            for k, times in r["by"].items():
+                n[i, place[k]] = times
+        size_of = np.array([by_lang.get(k, 0) for k in langs], float)
         found[size] = Frequencies([r["gram"] for r in got], np.log((n + smooth) / (size_of + smooth * (len(got) + 1))))
     return LanguageModel(langs, found.pop(0), found)
 

@@ -59,6 +59,18 @@ def test_language_backoff_and_edges(spark):
     assert langid.predict_languages(nothing(spark), model).count() == 0
 
 
+def test_language_learns_every_language(spark):
+    """More than a thousand languages, most with one document, and fewer documents to draw than languages."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 2
+    given = [(i, f"l{i:04}", " ".join([word(i)] * 5)) for i in range(1003)]
+    given += [(2000 + i, f"l{i % 5:04}", " ".join([word(i % 5)] * 5)) for i in range(500)]
+    df = spark.createDataFrame(given, "doc_id long, lang string, text string")
+    for most in (8000, 100):
+        model = langid.train(df, F.lit(True), max_docs=most, sizes=(1, 2))
+        assert model.langs == [f"l{i:04}" for i in range(1003)]
+        assert langid.predict_languages(df, model).where("lang_pred <> lang").count() == 0
+
+
 def test_quality_held_out(spark):
     got = queries.op3_quality(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("held_out").collect()
     right = sum(r["quality"] == r["predicted"] for r in got) / len(got)
