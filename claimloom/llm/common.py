@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +19,13 @@ SPACE = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary one is made and set.
+    Only where the session names none and all runs on one machine (tests) a temporary one is made and set; on a cluster
+    that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="claimloom-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -28,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
 def write_table(df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
-    The files outlive lost executors and go when the driver's JVM ends.
+    The files outlive lost executors. They go by ``drop_tables``, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/claimloom-{tag}-{uuid.uuid4().hex}"
@@ -36,7 +43,36 @@ def write_table(df: DataFrame, tag: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of ``write_table`` that nothing still to be computed reads."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(t._written_at)
+        at.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def thrifty(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``; after its task the worker gives the memory it no longer needs back to the system,
+    since workers wait for a minute and others run beside them."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    """Free memory that the allocators of this process keep (the C one only where it can)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:

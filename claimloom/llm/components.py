@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import write_table
+from claimloom.llm.common import drop_tables, write_table
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,4 +39,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         digest = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if digest == seen:
             return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+        drop_tables(now)
         now, seen = stars, digest

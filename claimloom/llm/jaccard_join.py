@@ -17,6 +17,7 @@ Two documents link when ``den * |A & B| >= num * |A | B|`` for their sets of wor
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -27,13 +28,20 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import small_batches, text_of, write_table
+from claimloom.llm.common import drop_tables, small_batches, text_of, thrifty, write_table
 from claimloom.llm.components import connected_components
 from claimloom.llm.shingles import _mix, shingle_sets
 
 SKETCH_PARTS = 16
 MAX_MATCHES = 4
-SALTS = 16
+#: Pairs of one centre that are verified in one task; more are dealt over lanes.
+LANE_PAIRS = 128
+#: Postings of a token that go to one task; tokens the sketch holds for more frequent are dealt over lanes.
+HOT_LIST = 50_000
+#: Counters of the sketch: one for each so many bytes of text, within these bounds.
+BYTES_A_COUNTER, LEAST_BITS, MOST_BITS = 128, 16, 24
+#: The broadcast sketch holds counts as the nearest power of exp(1 / STEPS), a byte each.
+STEPS = 11
 #: A centre with so many pairs is a hub: its tokens are known to all lists.
 HUB_PAIRS = 32
 #: Members of a list that are compared in one task; larger lists are compared block by block.
@@ -53,6 +61,22 @@ def _text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters, compressed, in the fewest bytes that hold the largest."""
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32) if counts.max(initial=0) <= np.iinfo(t).max)
+    return zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    raw = zlib.decompress(data)
+    return np.frombuffer(raw, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(raw) // n])
+
+
+def sketch_bits_for(text_bytes: int) -> int:
+    """The sketch's size grows with the corpus, up to 2**MOST_BITS counters."""
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, text_bytes / BYTES_A_COUNTER)))))
+
+
 def _summaries(docs: DataFrame, k: int, bits: int) -> DataFrame:
     """Rows of kind 0: id, n, d1, d2 of a document. Rows of kind 1: a part of a task's counters."""
 
@@ -73,29 +97,30 @@ def _summaries(docs: DataFrame, k: int, bits: int) -> DataFrame:
             none = pa.nulls(len(b))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(b), np.int32)), b.column(0), pa.array(n), pa.array(d1), pa.array(d2), none.cast(pa.int32()), none.cast(pa.binary())], names)
         if counts is not None:
-            parts = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(SKETCH_PARTS, -1)]
+            parts = [_packed(x) for x in counts.reshape(SKETCH_PARTS, -1)]
             none = pa.nulls(len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([1] * len(parts), pa.int32()), none, none, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, "kind int, id long, n long, d1 long, d2 long, part int, data binary")
+    return docs.mapInArrow(thrifty(run), "kind int, id long, n long, d1 long, d2 long, part int, data binary")
 
 
 def _sketch(summaries: DataFrame, bits: int) -> np.ndarray:
-    """The counters of all tasks, added up in two steps; 4 * 2**bits bytes reach the driver, whatever the corpus."""
+    """The counters of all tasks, added up in two steps; 4 * 2**bits bytes at most reach the driver."""
+    n = (1 << bits) // SKETCH_PARTS
 
     def add(t: pa.Table) -> pa.Table:
-        total = np.zeros((1 << bits) // SKETCH_PARTS, np.uint64)
+        total = np.zeros(n, np.uint64)
         for x in t.column("data"):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
-        packed = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
+            total += _unpacked(x.as_py(), n)
+        packed = _packed(np.minimum(total, 0xFFFFFFFF))
         return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "data": pa.array([packed], pa.binary())})
 
     parts = summaries.where("kind = 1").select("part", "data", F.pmod(F.xxhash64("data"), F.lit(64)).alias("lane"))
     once = parts.groupBy("part", "lane").applyInArrow(add, "part int, data binary")
     rows = once.groupBy("part").applyInArrow(add, "part int, data binary").collect()
-    out = np.zeros((SKETCH_PARTS, (1 << bits) // SKETCH_PARTS), np.uint32)
+    out = np.zeros((SKETCH_PARTS, n), np.uint32)
     for r in rows:
-        out[r["part"]] = np.frombuffer(zlib.decompress(r["data"]), np.uint32)
+        out[r["part"]] = _unpacked(r["data"], n)
     return out.reshape(-1)
 
 
@@ -103,10 +128,13 @@ class Prefixes:
     """Order, prefix length and hub score of sets, by the sketch."""
 
     def __init__(self, sketch: np.ndarray, num: int, den: int):
-        self.sketch, self.num, self.den = sketch, num, den
+        self.num, self.den = num, den
+        self.sketch = np.round(np.log1p(sketch) * STEPS).astype(np.uint8)
+        self.count_of = np.expm1(np.arange(256) / STEPS)
         self.shift = np.uint64(64 - (len(sketch) - 1).bit_length())
         self.noise = float(sketch.sum(dtype=np.float64)) / len(sketch)
         self.margin = 1 + self.noise + 3 * self.noise**0.5
+        self.hot_list = HOT_LIST
 
     def least(self, n: int) -> int:
         """The prefix any linked pair shares a token of: n - ceil(num * n / den) + 1."""
@@ -115,11 +143,19 @@ class Prefixes:
     def length(self, n: int, matches: int) -> int:
         return min(n, self.least(n) + matches - 1)
 
+    def steps(self, s: np.ndarray) -> np.ndarray:
+        return self.sketch[(s >> self.shift).astype(np.int64)]
+
+    def lanes(self, tokens: np.ndarray) -> np.ndarray:
+        """0, or over how many lanes a token's postings are dealt: those that stand out by more than HOT_LIST."""
+        extra = self.count_of[self.steps(tokens)] - 1.25 * self.margin
+        return np.where(extra > self.hot_list, np.ceil(extra / self.hot_list), 0).astype(np.int64)
+
     def of(self, s: np.ndarray) -> tuple[np.ndarray, int, float]:
         """The set, rarest first; how many shared tokens its prefix asks for; its hub score."""
-        c = self.sketch[(s >> self.shift).astype(np.int64)]
-        order = np.lexsort((s, c))
-        extra = np.maximum(c[order[: self.length(len(s), MAX_MATCHES)]] - self.margin, 0)
+        c = self.steps(s)
+        order = np.argsort(c, kind="stable")  # s is sorted: ties go by token
+        extra = np.maximum(self.count_of[c[order[: self.length(len(s), MAX_MATCHES)]]] - self.margin, 0)
         cost = np.cumsum(extra)
         best, matches = None, 1
         for m in range(1, MAX_MATCHES + 1):
@@ -129,7 +165,7 @@ class Prefixes:
             found = p + cost[p - 1] + VERIFY_COST * cost[p - 1] / m
             if best is None or found < best:
                 best, matches = found, m
-        return s[order], matches, float(np.log1p(np.maximum(c - self.noise, 0)).mean())
+        return s[order], matches, float((np.bincount(c, minlength=256) @ np.log1p(np.maximum(self.count_of - self.noise, 0))) / len(s))
 
 
 def _prefixes(docs: DataFrame, k: int, shared: Broadcast) -> DataFrame:
@@ -150,30 +186,42 @@ def _prefixes(docs: DataFrame, k: int, shared: Broadcast) -> DataFrame:
                 prefix.append(tokens[: order.length(len(s), matches)].tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(info, pa.int64()), pa.array(prefix, pa.binary())], ["id", "info", "prefix"])
 
-    return docs.mapInArrow(run, "id long, info long, prefix binary").where("prefix is not null")
+    return docs.mapInArrow(thrifty(run), "id long, info long, prefix binary").where("prefix is not null")
 
 
-def _postings(prefixes: DataFrame) -> DataFrame:
-    """A row for each token of each prefix, with its place in it."""
+def _postings(prefixes: DataFrame, shared: Broadcast) -> DataFrame:
+    """A row for each token of each prefix, with its place in it. Tokens held for very frequent have a lane above 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order: Prefixes = shared.value
         for b in batches:
             parts = b.column(2).to_pylist()
             n = np.array([len(x) // 8 for x in parts], np.int64)
             row = np.repeat(np.arange(len(b)), n)
             place = np.arange(len(row)) - (np.cumsum(n) - n)[row]
             at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(parts), np.int64)), b.column(0).take(at), b.column(1).take(at), pa.array(place.astype(np.int32))], ["token", "id", "info", "place"])
+            tokens = np.frombuffer(b"".join(parts), np.uint64)
+            lanes = order.lanes(tokens)
+            ids = b.column(0).take(at)
+            with np.errstate(over="ignore"):
+                lane = np.where(lanes > 0, 1 + _mix(ids.to_numpy().astype(np.uint64)).astype(np.int64) % np.maximum(lanes, 1), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids, b.column(1).take(at), pa.array(place.astype(np.int32)), pa.array(lane.astype(np.int32))], ["token", "id", "info", "place", "lane"])
 
-    return prefixes.mapInArrow(run, "token long, id long, info long, place int")
+    return prefixes.mapInArrow(thrifty(run), "token long, id long, info long, place int, lane int")
 
 
 def _shared_tokens(postings: DataFrame) -> DataFrame:
-    """The postings whose token another row has too. Rows come sorted by token; one row is held back."""
+    """The postings whose token another row has too. Rows come sorted by token; one row is held back. Those in lanes all
+    go on: their tokens are frequent, and one that is not makes a list of one row, which no step pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, same = None, False  # the last row so far, and whether the row before it has its token
         for b in batches:
+            dealt = b.column(4).to_numpy() > 0
+            if dealt.any():
+                yield b.filter(pa.array(dealt)).select(names)
+                b = b.filter(pa.array(~dealt))
+            b = b.select(names)
             if not len(b):
                 continue
             if held is not None:
@@ -186,7 +234,8 @@ def _shared_tokens(postings: DataFrame) -> DataFrame:
         if held is not None and same:
             yield held
 
-    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token long, id long, info long, place int")
+    names = ["token", "id", "info", "place"]
+    return postings.repartition("token", "lane").sortWithinPartitions("token").mapInArrow(thrifty(run), "token long, id long, info long, place int")
 
 
 def _size(info: str) -> Column:
@@ -225,13 +274,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, shared: Broadcast, hubs
     """Each pair's whole texts compared: a, b, common, rest (tokens of b past its prefix that a lacks), linked.
 
     With ``hubs``, further rows (b null) carry the tokens of each a with HUB_PAIRS pairs or more. Texts of b stream by
-    the set of a; the pairs of one a are dealt over SALTS lanes, each with its own copy of a.
+    the set of a; the pairs of one a are dealt over lanes of about LANE_PAIRS, each with its own copy of a.
     """
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
-    mine = pairs.select("a", salt.alias("lane"), "b", F.lit(0).alias("many"), F.lit(1).alias("turn"))
-    sums = mine.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"), F.min("lane").alias("low"))
-    own = mine.select("a", "lane").distinct().join(sums, "a")
-    own = own.select("a", "lane", F.col("a").alias("b"), ((F.col("pairs") >= HUB_PAIRS) & (F.col("lane") == F.col("low"))).cast("int").alias("many"), F.lit(0).alias("turn"))
+    sums = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs")).withColumn("lanes", F.ceil(F.col("pairs") / LANE_PAIRS).cast("int"))
+    mine = pairs.join(sums, "a").select("a", F.pmod(F.xxhash64("b"), "lanes").cast("int").alias("lane"), "b", F.lit(0).alias("many"), F.lit(1).alias("turn"))
+    own = sums.withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)))
+    own = own.select("a", "lane", F.col("a").alias("b"), ((F.col("pairs") >= HUB_PAIRS) & (F.col("lane") == 0)).cast("int").alias("many"), F.lit(0).alias("turn"))
     texts = docs.select(F.col("id").alias("b"), "text")
     wanted = mine.unionByName(own)
     if pairs.count() <= BROADCAST_PAIRS:
@@ -265,11 +313,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, shared: Broadcast, hubs
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["a", "b", "common", "rest", "linked", "tokens"])
 
-    return rows.mapInArrow(run, "a long, b long, common long, rest long, linked boolean, tokens binary")
+    return rows.mapInArrow(thrifty(run), "a long, b long, common long, rest long, linked boolean, tokens binary")
 
 
-def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): pairs across components that share a list, without those that cannot link.
+def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b), and a written table it reads: pairs across components that share a list, without those that cannot link.
 
     A document's home is the hub it shares most tokens with. Let o and m have the same home h and meet in a list whose
     token h holds. If they share no prefix token that h lacks, then |o & m| <= min(|o & h|, |m & h|) + rest(o) +
@@ -323,7 +371,7 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
         if held is not None and len(held):
             yield from _cross_pairs(held, np.array([0, len(held)]), num, den)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(thrifty(run), "a long, b long").distinct(), mixed
 
 
 def _cross_pairs(t: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -388,18 +436,20 @@ def _pair_batch(parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100, sketch_bits: int = 22) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100, sketch_bits: int | None = None) -> DataFrame:
     """A row per input row: the id, ``n_shingles`` and ``component_id``, the least id reachable by links.
 
     Documents link at a Jaccard similarity of num / den or more of their sets of ``shingle``-word shingles. Null and
     empty texts, and texts of white space, have no shingles, link with nothing and are their own component. Texts
     with fewer words than a shingle have one. Rows of equal sets are linked (also those with a null id, which take the
     component of such rows, or null). Ids are integers; rows repeated with one id and text get one result. An empty
-    table gives no rows.
+    table gives no rows. The sketch has 2**sketch_bits counters; without a number, as many as ``sketch_bits_for`` says.
     """
     spark = docs.sparkSession
     small_batches(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    if sketch_bits is None:
+        sketch_bits = sketch_bits_for(slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     summaries = write_table(_summaries(slim, shingle, sketch_bits), "summaries")
     shared = spark.sparkContext.broadcast(Prefixes(_sketch(summaries, sketch_bits), num, den))
     nodes = summaries.where("kind = 0").select("id", "n", "d1", "d2")
@@ -407,15 +457,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = write_table(nodes.where("n > 0").groupBy(*digest).agg(F.min("id").alias("rep")), "classes")
 
     prefixes = _prefixes(slim, shingle, shared).join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    lists = write_table(_shared_tokens(_postings(prefixes)), "lists")
-    first = write_table(_verified(write_table(_star_pairs(lists, num, den), "stars"), slim, shingle, shared, hubs=True), "first")
+    lists = write_table(_shared_tokens(_postings(prefixes, shared)), "lists")
+    stars = write_table(_star_pairs(lists, num, den), "stars")
+    first = write_table(_verified(stars, slim, shingle, shared, hubs=True), "first")
     links = first.where("linked").select("a", "b")
     components = write_table(connected_components(links), "components")
     done = first.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = write_table(_rest(lists, first, components, num, den).join(done, ["a", "b"], "left_anti"), "rest")
+    rest, mixed = _rest(lists, first, components, num, den)
+    more = write_table(rest.join(done, ["a", "b"], "left_anti"), "rest")
     second = write_table(_verified(more, slim, shingle, shared, hubs=False).where("linked").select("a", "b"), "second")
     if not second.isEmpty():
-        components = write_table(connected_components(links.unionByName(second)), "components")
+        before, components = components, write_table(connected_components(links.unionByName(second)), "components")
+        drop_tables(before)
+    drop_tables(lists, stars, first, mixed, more, second)
 
     reps = nodes.join(classes, digest, "left").withColumn("key", F.coalesce("rep", "id"))
     out = reps.join(components.select(F.col("id").alias("key"), "component"), "key", "left")
