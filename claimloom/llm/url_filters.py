@@ -11,9 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import write_table
+from claimloom.llm.common import drop_tables, write_table
 
 MAX_LEVELS = 64
+MAX_BYTES = 256 << 20
+#: Words of a filter that travel together.
+CHUNK = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -33,6 +36,10 @@ def bit_places(h1: np.ndarray, h2: np.ndarray, level: int, bits: int, hashes: in
         return [((a + np.uint64(i) * b) >> np.uint64(11)) % np.uint64(bits) for i in range(hashes)]
 
 
+class FilterTooLarge(ValueError):
+    """The filters of a cascade would be above the limit."""
+
+
 @dataclass
 class Level:
     bits: int
@@ -73,11 +80,12 @@ def key_hashes(key: Column) -> list[Column]:
 
 
 def _encode(keys: DataFrame, n: int, rate: float, level: int, max_bytes: int) -> Level:
-    """The filter of a level. Its words are OR-ed by an aggregation with partial results in each task."""
+    """The filter of a level. Its words are OR-ed by an aggregation with partial results in each task, and reach the
+    driver in packed parts of CHUNK words."""
     hashes = max(1, round(-math.log2(rate)))
     bits = max(64, 64 * math.ceil(n * hashes / math.log(2) / 64))
     if bits > 8 * max_bytes:
-        raise ValueError(f"a filter of {bits // 8} bytes is above the limit of {max_bytes}; use member_by_join")
+        raise FilterTooLarge(f"a filter of {bits // 8} bytes is above the {max_bytes} that are left; use member_by_join")
 
     def places(batches):
         for b in batches:
@@ -88,11 +96,18 @@ def _encode(keys: DataFrame, n: int, rate: float, level: int, max_bytes: int) ->
             np.bitwise_or.at(value, inverse, np.uint64(1) << (at & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["w", "v"])
 
-    rows = keys.select("_h1", "_h2").mapInArrow(places, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).collect()
-    words = np.zeros(bits // 64, np.uint64)
-    for r in rows:  # one row a word of the filter, whose size was checked above
-        words[r["w"]] = np.int64(r["v"]).view(np.uint64)
-    return Level(bits, hashes, words)
+    def pack(t: pa.Table) -> pa.Table:
+        at = t.column("w").to_numpy()
+        part = np.zeros(CHUNK, np.int64)
+        part[at % CHUNK] = t.column("v").to_numpy()
+        return pa.table({"c": pa.array(at[:1] // CHUNK), "data": pa.array([part.tobytes()], pa.binary())})
+
+    rows = keys.select("_h1", "_h2").mapInArrow(places, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v"))
+    chunks = rows.withColumn("c", F.floor(F.col("w") / CHUNK)).groupBy("c").applyInArrow(pack, "c long, data binary")
+    words = np.zeros(CHUNK * math.ceil(bits / 64 / CHUNK), np.uint64)
+    for r in chunks.collect():  # all together the filter, whose size was checked above
+        words[r["c"] * CHUNK : (r["c"] + 1) * CHUNK] = np.frombuffer(r["data"], np.uint64)
+    return Level(bits, hashes, words[: bits // 64])
 
 
 def member_flag(spark: SparkSession, cascade: Cascade):
@@ -120,33 +135,33 @@ def _where_has(keys: DataFrame, level: Level, i: int) -> DataFrame:
     return keys.mapInArrow(test, keys.schema)
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = 256 << 20) -> Cascade:
+def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
     """The cascade for the keys ``listed.key`` over ``universe.key`` (null keys are left out, repeats count once).
 
     Level 1 encodes the listed keys, level 2 the universe's keys that level 1 wrongly has, level 3 the listed keys
     that level 2 wrongly has, and so on until a level has no false positive. Sets halve from level to level; all
-    of them stay distributed, and only filters (each under ``max_bytes``) reach the driver.
+    of them stay distributed, and only filters (under ``max_bytes`` all together, else FilterTooLarge) reach the
+    driver. Which keys are listed is found while the universe is made distinct, by one aggregation.
     """
-    ours = write_table(listed.where("key is not null").select("key").distinct().select("key", *key_hashes(F.col("key"))), "listed")
-    n = ours.count()
-    cascade = Cascade()
-    if not n:
-        return cascade
-    every = write_table(universe.where("key is not null").select("key").distinct().select("key", *key_hashes(F.col("key"))), "universe")
-    rate = min(0.5, max(1e-6, math.sqrt(0.5) * n / max(1, every.count())))
-    inside, outside = ours, every
-    for i in range(MAX_LEVELS):
-        level = _encode(inside, n, rate if i == 0 else 0.5, i, max_bytes)
-        cascade.levels.append(level)
-        wrong = _where_has(outside, level, i)
-        if i == 0:
-            wrong = wrong.join(ours.select("key"), "key", "left_anti").select("key", "_h1", "_h2")
-        wrong = write_table(wrong, f"level{i}")
-        n = wrong.count()
-        if not n:
-            return cascade
-        inside, outside = wrong, inside
-    raise ValueError("two keys share all 128 bits of their hashes")
+    both = listed.select("key", F.lit(True).alias("_ours")).unionByName(universe.select("key", F.lit(False).alias("_ours")))
+    keys = both.where("key is not null").groupBy("key").agg(F.max("_ours").alias("_ours"))
+    every = write_table(keys.select("_ours", *key_hashes(F.col("key"))), "universe")
+    sizes = {r["_ours"]: r["count"] for r in every.groupBy("_ours").count().collect()}
+    n, cascade, written = sizes.get(True, 0), Cascade(), [every]
+    inside, outside = (every.where(x).select("_h1", "_h2") for x in (F.col("_ours"), ~F.col("_ours")))
+    rate = min(0.5, max(1e-6, math.sqrt(0.5) * n / max(1, sum(sizes.values()))))
+    try:
+        while n:
+            i = len(cascade.levels)
+            if i == MAX_LEVELS:
+                raise ValueError("two keys share all 128 bits of their hashes")
+            cascade.levels.append(_encode(inside, n, rate if i == 0 else 0.5, i, max_bytes - cascade.size))
+            written.append(write_table(_where_has(outside, cascade.levels[-1], i), f"level{i}"))
+            inside, outside = written[-1], inside
+            n = inside.count()
+    finally:
+        drop_tables(*written)
+    return cascade
 
 
 def member_by_join(keys: DataFrame, listed: DataFrame) -> DataFrame:
@@ -171,7 +186,17 @@ def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
     return F.flatten(F.transform(parents, lambda h: F.transform(sizes, lambda n: F.concat(h, F.substring(path, F.lit(1), n)))))
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
+def _judged_by_join(out: DataFrame, keys: Column, listed: DataFrame, id_col: str, default: str) -> DataFrame:
+    """``judge_urls`` without filters, for ``out`` (id, host, path) and the candidate ``keys`` of each."""
+    urls = out.select("host", "path").distinct().select("host", "path", F.posexplode(keys).alias("_i", "key"))
+    rules = listed.groupBy("key").agg(F.max("blocked").alias("_blocked"))
+    best = F.max_by(F.struct("key", "_blocked"), F.struct(F.length("key"), -F.col("_i")))
+    ruled = urls.join(rules, "key").groupBy("host", "path").agg(best.alias("_best"))
+    verdict = F.when(F.col("_best").isNull(), F.lit(default)).when(F.col("_best._blocked"), "block").otherwise("allow")
+    return out.join(ruled, ["host", "path"], "left").select(id_col, "host", "path", F.col("_best.key").alias("rule"), verdict.alias("verdict"))
+
+
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str = "page_id", url_col: str = "url", default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """A row per page: id, host, path, rule, verdict.
 
     ``rules`` are (host, path, blocked). A rule fits its host and all subdomains if the url's path starts with the
@@ -179,7 +204,9 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str
     all other keys of the corpus, a second the blocking rules from the others; both are exact, and no page is
     joined with the rules or shuffled. Where no rule fits, the url is in no list: ``rule`` is null and the verdict
     ``default``. Null, empty and odd urls have an empty host and path, fit no rule (unless a rule's host and path
-    are empty) and get ``default``. Repeated pages get a row each; of repeated rules, one that blocks wins.
+    are empty) and get ``default``. Repeated pages get a row each; of repeated rules, one that blocks wins. Where the
+    cascade's filters would be above ``max_bytes``, the distinct urls' keys are joined with the rules instead; the
+    result is the same.
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col(url_col))
@@ -190,8 +217,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str
     keys = candidate_keys(F.col("host"), F.col("path"), lengths)
     universe = out.select("host", "path").distinct().select(F.explode(keys).alias("key"))
     listed = spark.createDataFrame([(h + p, b) for h, p, b in rules], "key string, blocked boolean")
-    known = member_flag(spark, build_cascade(listed, universe.unionByName(listed.select("key"))))
-    blocking = member_flag(spark, build_cascade(listed.where("blocked"), listed))
+    try:
+        known = member_flag(spark, build_cascade(listed, universe, max_bytes))
+        blocking = member_flag(spark, build_cascade(listed.where("blocked"), listed, max_bytes))
+    except FilterTooLarge:
+        return _judged_by_join(out, keys, listed, id_col, default)
 
     hashed = out.withColumn("_keys", keys)
     hashed = hashed.withColumn("_h1", F.transform("_keys", lambda k: key_hashes(k)[0])).withColumn("_h2", F.transform("_keys", lambda k: key_hashes(k)[1]))
