@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import text_of, write_table
 
-MAX_BLOCKS = 4096
+#: Blocks of a group. An epoch permutes a source's groups, and the blocks in each: no window holds all blocks.
+GROUP = 4096
 SECTIONS, ROUNDS = 64, 5
 
 
@@ -26,10 +27,15 @@ def source_shares(sized: DataFrame) -> DataFrame:
     return sized.groupBy("_source").agg(F.sum("_tokens").alias("_t"))
 
 
-def find_exponent(sources: DataFrame, total: int, budget: float | None, target_entropy: float, max_repeats: float) -> float:
-    """The largest exponent in [0, 1] whose weights p^a / sum(p^a) reach the target entropy, raised where some
-    source would else be repeated more than ``max_repeats`` times by the budget that will be spent: without one,
-    that is the least that needs every source once, so a source is repeated (p_max / p)^(1 - a) times.
+def find_exponent(sources: DataFrame, total: int, budget: float | None, target_entropy: float, max_repeats: float) -> tuple[float, str]:
+    """The exponent in [0, 1] of the weights p^a / sum(p^a), and what decided it.
+
+    It is the largest one whose weights reach the target entropy ("shares" if the sources' own do, else "entropy"),
+    raised where some source would else be repeated more than ``max_repeats`` times by the budget that will be spent
+    ("repeats": the entropy yields to the limit). Without a budget that is the least that needs every source once, so a
+    source is repeated (p_max / p)^(1 - a) times and exponent 1 always keeps a limit of 1 or more. A budget can ask for
+    more than the limit allows whatever the exponent: then exponent 1, which repeats all sources alike, is as near as
+    it gets ("budget": the limit yields).
 
     Each round evaluates 64 exponents in one aggregation over the sources, so 5 rounds narrow the interval as 30
     bisection steps would; the driver sees 130 rows a round, whatever the number of sources.
@@ -37,7 +43,7 @@ def find_exponent(sources: DataFrame, total: int, budget: float | None, target_e
     p = F.col("_t") / F.lit(float(total))
     live = sources.where("_t > 0").select(p.alias("_p"))
     most = math.log2(max(1, live.count()))
-    ent, rep = (0.0, 1.0), (0.0, 1.0)
+    ent, rep, held = (0.0, 1.0), (0.0, 1.0), True
     for _ in range(ROUNDS):
         grids = [lo + (hi - lo) * i / SECTIONS for lo, hi in (ent, rep) for i in range(SECTIONS + 1)]
         at = live.withColumn("_a", F.explode(F.array(*[F.lit(a) for a in sorted(set(grids))])))
@@ -48,6 +54,7 @@ def find_exponent(sources: DataFrame, total: int, budget: float | None, target_e
         got = at.groupBy("_a").agg((F.log2(z) - F.col("_a") * F.sum(power * F.log2("_p")) / z).alias("h"), repeats.alias("r")).collect()
         flat = {x["_a"]: x["h"] >= target_entropy * most - 1e-12 for x in got}
         calm = {x["_a"]: x["r"] <= max_repeats * (1 + 1e-12) for x in got}
+        held = calm.get(1.0, held)
         g = [a for a in sorted(flat) if ent[0] <= a <= ent[1]]
         ok = [a for a in g if flat[a]]
         ent = (1.0, 1.0) if flat.get(1.0) else (max(ok, default=0.0), min((a for a in g if a > max(ok, default=0.0)), default=1.0))
@@ -55,18 +62,23 @@ def find_exponent(sources: DataFrame, total: int, budget: float | None, target_e
         ok = [a for a in g if calm[a]]
         least = min(ok, default=1.0)
         rep = (0.0, 0.0) if calm.get(0.0) else (max((a for a in g if a < least), default=0.0), least)
-    return max(ent[0], rep[1])
+    if not held:
+        return 1.0, "budget"
+    if rep[1] > ent[0]:
+        return rep[1], "repeats"
+    return ent[0], "shares" if ent[0] == 1.0 else "entropy"
 
 
 def mixing_plan(sized: DataFrame, budget: float | None, target_entropy: float, max_repeats: float, block_tokens: int) -> DataFrame:
-    """A row per source: tokens, weight, repeats ``_r`` (its target tokens over its tokens) and number of blocks."""
+    """A row per source: tokens, weight, repeats ``_r`` (its target tokens over its tokens), number of blocks, and
+    what decided the exponent (null where no source has a token)."""
     sources = write_table(source_shares(sized), "sources")
     total = sources.agg(F.sum("_t")).first()[0] or 0
-    blocks = F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(F.col("_t") / block_tokens))).cast("long").alias("_blocks")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("_t") / block_tokens)).cast("long").alias("_blocks")
     if not total:
-        return sources.select("_source", "_t", F.lit(0.0).alias("_w"), F.lit(1.0).alias("_r"), blocks)
+        return sources.select("_source", "_t", F.lit(0.0).alias("_w"), F.lit(1.0).alias("_r"), blocks, F.lit(None).cast("string").alias("_by"))
     wanted = None if budget is None else float(budget or total)
-    a = find_exponent(sources, total, wanted, target_entropy, max_repeats)
+    a, by = find_exponent(sources, total, wanted, target_entropy, max_repeats)
     p = F.when(F.col("_t") > 0, F.pow(F.col("_t") / F.lit(float(total)), F.lit(a))).otherwise(0.0)
     z = sources.agg(F.sum(p)).first()[0]
     weighed = sources.withColumn("_w", p / F.lit(z))
@@ -76,37 +88,41 @@ def mixing_plan(sized: DataFrame, budget: float | None, target_entropy: float, m
     repeats = F.when(F.col("_t") > 0, F.col("_w") * F.lit(wanted) / F.col("_t")).otherwise(1.0)
     # Repeats that differ from a whole number by rounding errors are that number.
     near = F.when(F.abs(repeats - F.round(repeats)) < 1e-9, F.round(repeats)).otherwise(repeats)
-    return weighed.select("_source", "_t", "_w", near.alias("_r"), blocks)
+    return weighed.select("_source", "_t", "_w", near.alias("_r"), blocks, F.lit(by).alias("_by"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget: float | None = None, target_entropy: float = 0.9, max_repeats: float = 4.0, block_tokens: int = 1 << 20, seed: int = 17) -> DataFrame:
     """The mixture, a row for each time a document is used: id, source, tokens, weight of the source, epoch,
-    block, start (tokens of the source's epoch before this row).
+    block, start (tokens of the source's epoch before this row), repeats (how often the plan uses the source's tokens)
+    and decided_by (see ``find_exponent``): "repeats" means that the entropy is missed for the limit's sake, "budget"
+    that the limit is, since the budget is above ``max_repeats`` times all tokens.
 
     Source shares are raised to the exponent of ``find_exponent`` (``target_entropy`` is a part of the largest
     possible entropy) and normalised to weights. ``budget`` tokens are dealt by these weights; by default the
     least budget for which every document is used at least once, so that mixing repeats (each source's tokens
     ``max_repeats`` times at most) but drops nothing.
     A source with weight w gets w * budget tokens: whole epochs, then a part of one. Each epoch permutes the
-    source's blocks and the rows inside each block by a hash; the last epoch takes rows in that order while
-    less than the budget has been dealt, so a source ends at most one row above its budget.
+    source's blocks (those of each GROUP, and the groups) and the rows inside each block by a hash; the last epoch
+    takes rows in that order while less than the budget has been dealt, so a source ends at most one row above its
+    budget.
 
     A null source is a source of its own; null and empty texts have 0 tokens; a source without tokens is used
     once. Rows with equal ids are rows of their own. An empty table gives no rows. A hot source only means
-    more blocks: no window holds more than one block.
+    more blocks of about ``block_tokens``: no window holds more rows than one block has, or GROUP blocks, or one row for
+    each group of a source.
     """
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(text_of(text_col)).alias("_tokens"))
     sized = write_table(sized, "sized")
     plan = mixing_plan(sized, budget, target_entropy, max_repeats, block_tokens)
     used = _permuted(sized, plan, seed)
-    return used.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_tokens").alias("tokens"), F.col("_w").alias("weight"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_start").alias("start"))
+    return used.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_tokens").alias("tokens"), F.col("_w").alias("weight"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_start").alias("start"), F.col("_r").alias("repeats"), F.col("_by").alias("decided_by"))
 
 
 def _permuted(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     plan = write_table(plan, "plan")
     # (none, value) stands for the source, so that a null joins like any value.
     key = [F.col("_source").isNull().alias("_none"), F.coalesce("_source", F.lit("")).alias("_key")]
-    right = plan.select(*key, "_t", "_w", "_r", "_blocks")
+    right = plan.select(*key, "_t", "_w", "_r", "_blocks", "_by")
     rows = sized.select("*", *key).join(right, ["_none", "_key"]).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_id"), "_blocks"))
     epochs = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil("_r").cast("int") - 1))
     rows = rows.where("_r > 0").withColumn("_epoch", F.explode(epochs))
@@ -114,8 +130,13 @@ def _permuted(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     inside = Window.partitionBy(*home, "_block").orderBy(F.xxhash64(F.lit(seed), "_epoch", "_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_cum", F.sum("_tokens").over(inside) - F.col("_tokens"))
     sums = sized.select("*", *key).join(right, ["_none", "_key"]).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_id"), "_blocks")).groupBy("_none", "_key", "_block", "_r").agg(F.sum("_tokens").alias("_bt"))
-    order = Window.partitionBy(*home).orderBy(F.xxhash64(F.lit(seed), "_epoch", "_block"), "_block")
-    starts = sums.where("_r > 0").withColumn("_epoch", F.explode(epochs)).select(*home, "_block", (F.sum("_bt").over(order) - F.col("_bt")).alias("_before"))
+    blocks = sums.where("_r > 0").withColumns({"_epoch": F.explode(epochs), "_group": F.floor(F.col("_block") / GROUP)})
+    grouped = Window.partitionBy(*home, "_group")
+    blocks = blocks.withColumn("_in", F.sum("_bt").over(grouped.orderBy(F.xxhash64(F.lit(seed), "_epoch", "_block"), "_block")) - F.col("_bt"))
+    groups = blocks.groupBy(*home, "_group").agg(F.sum("_bt").alias("_gt"))
+    order = Window.partitionBy(*home).orderBy(F.xxhash64(F.lit(seed), "_epoch", "_group"), "_group")
+    groups = groups.select(*home, "_group", (F.sum("_gt").over(order) - F.col("_gt")).alias("_ahead"))
+    starts = blocks.join(groups, [*home, "_group"]).select(*home, "_block", (F.col("_ahead") + F.col("_in")).alias("_before"))
     placed = rows.join(starts, [*home, "_block"]).withColumn("_start", F.col("_before") + F.col("_cum"))
     part = (F.col("_r") - F.col("_epoch")) * F.col("_t")
     return placed.where((F.col("_r") - F.col("_epoch") >= 1) | (F.col("_start") < part) | (F.col("_t") == 0))

@@ -2,10 +2,13 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from claimloom.llm import exact_dedup as xd
@@ -161,6 +164,22 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs(spark)).count() == len(rows()) and line_dedup.dedup_lines(nothing(spark)).count() == 0
 
 
+def test_line_dedup_is_linear(spark):
+    """Four times the lines take about four times as long (a look at the whole text for each line would take 16)."""
+
+    def took(n):
+        texts = [(i, "\n".join(["a shared line", "and another", "and a third", *(f"line {i} {k}" for k in range(n))])) for i in range(2)]
+        df = spark.createDataFrame(texts, "doc_id long, text string")
+        started = time.perf_counter()
+        got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+        assert got[0]["n_removed"] == 0 and got[1]["n_removed"] == 3 and got[1]["clean_text"] == texts[1][1].split("\n", 3)[3]
+        return time.perf_counter() - started
+
+    took(100)
+    few = took(8_000)
+    assert took(32_000) < 8 * few + 4
+
+
 def test_cascade_is_exact(spark):
     every = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
     listed = every.where("key like '%7'").unionByName(spark.createDataFrame([(None,), ("absent",)], "key string"))
@@ -189,62 +208,87 @@ def test_urls(spark):
         fits = [(len(h + p), h + p, b) for h, p, b in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
         rule = max(fits, default=(0, None, False))
         assert got[i] == (host, path, rule[1], "block" if rule[2] else "allow"), u
+    # Filters above the limit: the same rows by a join.
+    joined = url_filters.judge_urls(df.unionByName(df), rules, max_bytes=1)
+    assert Counter(tuple(r) for r in joined.collect()) == Counter({(i, *v): 2 for i, v in got.items()})
+    assert joined.columns == url_filters.judge_urls(df, rules).columns == ["page_id", "host", "path", "rule", "verdict"]
     assert url_filters.judge_urls(df.limit(0), rules).count() == 0 and url_filters.judge_urls(df, []).where("verdict = 'allow' and rule is null").count() == len(URLS)
 
 
-def brute_mixing(given, target, most, seed, block_tokens):
-    """given: (id, source, tokens). The rows of mix_sources without a budget."""
-    xxhash = pytest.importorskip("xxhash")
+def spark_hash(*values):
+    out = 42
+    for v, size in values:
+        out = xxhash.xxh64(int(v).to_bytes(size, "little", signed=True), out).intdigest()
+    return out - (1 << 64) if out >> 63 else out
 
-    def h(*values):
-        out = 42
-        for v, size in values:
-            out = xxhash.xxh64(int(v).to_bytes(size, "little", signed=True), out).intdigest()
-        return out - (1 << 64) if out >> 63 else out
 
+def brute_mixing(given, target, most, seed, block_tokens, group):
+    """given: (id, source, tokens). The rows of mix_sources without a budget, from its statement: the budget is the
+    least that uses every source once; the exponent the largest that reaches the entropy and keeps the repeats of that
+    budget within ``most``, the latter first."""
     tokens = Counter()
     for _, s, t in given:
         tokens[s] += t
     total = sum(tokens.values())
-    p = {s: t / total for s, t in tokens.items()}
-
-    def weights(a):
-        z = sum(x**a for x in p.values())
-        return {s: x**a / z for s, x in p.items()}
-
-    lo, hi = 0.0, 1.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if entropy(list(weights(mid).values())) >= target * math.log2(len(p)) else (lo, mid)
-    a = 1.0 if entropy(list(p.values())) >= target * math.log2(len(p)) else lo
-    low, high = 0.0, 1.0
-    for _ in range(60):
-        mid = (low + high) / 2
-        ok = max(w * total / tokens[s] for s, w in weights(mid).items()) <= most
-        low, high = (low, mid) if ok else (mid, high)
-    w = weights(max(a, high if low else 0.0))
-    budget = max(tokens[s] / w[s] for s in w)
+
+    def plan(a):
+        powers = {s: (t / total) ** a for s, t in tokens.items()}
+        weights = {s: x / sum(powers.values()) for s, x in powers.items()}
+        budget = max(tokens[s] / weights[s] for s in weights)
+        return weights, {s: weights[s] * budget / tokens[s] for s in weights}
+
+    def flat(a):
+        return entropy(list(plan(a)[0].values())) >= target * math.log2(len(tokens)) - 1e-12
+
+    def calm(a):
+        return max(plan(a)[1].values()) <= most * (1 + 1e-12)
+
+    def bisect(good, bad, holds):
+        if holds(bad):
+            return bad
+        for _ in range(60):
+            mid = (good + bad) / 2
+            good, bad = (mid, bad) if holds(mid) else (good, mid)
+        return good
+
+    weights, repeats = plan(max(bisect(0.0, 1.0, flat), bisect(1.0, 0.0, calm)))
     out = set()
-    for s in w:
-        r = w[s] * budget / tokens[s]
-        blocks = min(4096, max(1, math.ceil(tokens[s] / block_tokens)))
-        rows = [(i, t, h((seed, 4), (i, 8)) % blocks) for i, x, t in given if x == s]
+    for s, r in repeats.items():
+        blocks = max(1, math.ceil(tokens[s] / block_tokens))
+        rows = [(i, t, spark_hash((seed, 4), (i, 8)) % blocks) for i, x, t in given if x == s]
         for e in range(math.ceil(r - 1e-9)):
             start = 0
-            for b in sorted({b for _, _, b in rows}, key=lambda b: (h((seed, 4), (e, 4), (b, 8)), b)):
-                for i, t, _ in sorted((x for x in rows if x[2] == b), key=lambda x: (h((seed, 4), (e, 4), (x[0], 8)), x[0])):
+            place = lambda x: (spark_hash((seed, 4), (e, 4), (x, 8)), x)  # noqa: B023, E731
+            for b in sorted({b for _, _, b in rows}, key=lambda b: (place(b // group), place(b))):  # noqa: B023
+                for i, t, _ in sorted((x for x in rows if x[2] == b), key=lambda x: place(x[0])):  # noqa: B023
                     if e + 1 <= r + 1e-9 or start < (r - e) * tokens[s]:
                         out.add((i, s, e, b, start))
                     start += t
     return out
 
 
-def test_mixing_by_brute_force(spark):
+def test_mixing_by_brute_force(spark, monkeypatch):
     given = [(i, ["big", "mid", "small"][(i % 10 > 6) + (i % 10 > 8)], i % 7 + 1) for i in range(900)]
     df = spark.createDataFrame([(i, s, " ".join(["w"] * t)) for i, s, t in given], "doc_id long, source string, text string")
-    for target, most in ((0.97, 50.0), (1.0, 1.7)):
+    for target, most, group in ((0.97, 50.0, 4096), (1.0, 1.7, 4096), (0.97, 50.0, 4)):
+        monkeypatch.setattr(mixing, "GROUP", group)
         got = mixing.mix_sources(df, target_entropy=target, max_repeats=most, block_tokens=100, seed=17)
-        assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in got.collect()} == brute_mixing(given, target, most, 17, 100)
+        assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in got.collect()} == brute_mixing(given, target, most, 17, 100, group)
+
+
+def test_mixing_limit_holds_or_is_named(spark):
+    """Skewed shares at random: no source is above the limit unless the result says that the budget asks for it."""
+    r = random.Random(5)
+    for k in range(6):
+        sizes = [(f"s{i}", max(1, int(r.paretovariate(0.4) * 100)) % 10**9) for i in range(r.choice([1, 2, 7, 40]))]
+        total, most = sum(t for _, t in sizes), r.choice([1.0, 1.5, 4.0])
+        budget = None if k % 2 == 0 else total * r.choice([0.5, 1.0, 3.0])
+        plan = mixing.mixing_plan(spark.createDataFrame(sizes, "_source string, _tokens long"), budget, r.choice([0.5, 0.9, 1.0]), most, 1 << 20).collect()
+        over = max(x["_r"] for x in plan) > most * (1 + 1e-9)
+        assert {x["_by"] for x in plan} <= {"budget"} if over else "budget" not in {x["_by"] for x in plan}
+        assert over == (budget is not None and budget > most * total * (1 + 1e-9))
+        if budget is None:
+            assert min(x["_r"] for x in plan) >= 1 - 1e-9
 
 
 @pytest.mark.parametrize("sizes", [[1000] + [60] * 30 + [1] * 100, [9000] + [10] * 20])
