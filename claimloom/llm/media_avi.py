@@ -8,6 +8,7 @@ ordinary table, yet rows of samples are coded and decoded side by side in numpy.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import small_batches, text_of
+from claimloom.llm.common import small_batches, text_of, thrifty
 
 ROW = 64  # samples in a row of a frame
 MAX_ROWS = 32  # rows of a frame
@@ -26,6 +27,7 @@ BINS = 16
 WORD_BITS = 9
 SPAN = 8  # frames on either side that set the threshold of a shot
 BATCH_BYTES = 2 << 20
+KNOWN_HEADS = 1000
 
 #: Code length of each category of difference (0 to 8 extra bits): nine bits with the extra bits.
 CODE_LENGTHS = {s: (9 if s == 0 else 9 - s) for s in range(9)}
@@ -49,8 +51,6 @@ def _tables(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         s = abs(d).bit_length()
         extra = d if d >= 0 else d + (1 << s) - 1
         code, n = codes[s]
-        if n + s != WORD_BITS:
-            raise ValueError("only tables whose codes and extra bits make nine bits are read")
         w = (code << s) | extra
         word[d + 255], back[w] = w, d
     return word, back
@@ -145,83 +145,143 @@ def encode_avis(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
+class DamagedFile(ValueError):
+    """A file that can't be read whole."""
+
+
 def _chunks_of(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
     while at + 8 <= end:
         kind, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
+        if at + 8 + size > end:
+            raise DamagedFile("cut off")
         yield kind, at + 8, size
         at += 8 + size + size % 2
 
 
-def parse_avi(data: bytes) -> tuple[list[tuple[int, int]], int]:
-    """Where the frames lie (by the index), and the payload's length (by the comment)."""
+def _frame_at(data: bytes, at: int, size: int) -> bool:
+    return data[at - 8 : at - 6].isdigit() and data[at - 6 : at - 4] in (b"dc", b"db") and at + size <= len(data)
+
+
+def parse_avi(data: bytes) -> tuple[list[tuple[int, int]], int | None]:
+    """Where the frames lie, and the payload's length by the comment (None without one).
+
+    Frames are found by the index, whose places count from the list of frames or from the file's start; without an
+    index, by the list itself.
+    """
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
-        raise ValueError("not an AVI file")
-    movi = payload = None
-    frames: list[tuple[int, int]] = []
+        raise DamagedFile("not an AVI file")
+    movi = payload = index = None
     for kind, at, size in _chunks_of(data, 12, len(data)):
         if kind == b"LIST" and data[at : at + 4] == b"movi":
-            movi = at
+            movi = (at, size)
         elif kind == b"LIST" and data[at : at + 4] == b"INFO":
-            payload = next(int(data[a : a + s].split(b"=")[1].rstrip(b"\0")) for k, a, s in _chunks_of(data, at + 4, at + size) if k == b"ICMT")
+            said = [data[a : a + s] for k, a, s in _chunks_of(data, at + 4, at + size) if k == b"ICMT"]
+            found = re.fullmatch(rb"payload=(\d+)\0*", said[0]) if said else None
+            payload = int(found[1]) if found else None
         elif kind == b"idx1":
-            frames = [(movi + o + 8, n) for c, _, o, n in struct.iter_unpack("<4sIII", data[at : at + size]) if c == b"00dc"]
+            index = [(o, n) for c, _, o, n in struct.iter_unpack("<4sIII", data[at : at + size - size % 16]) if c[2:] in (b"dc", b"db")]
+    if movi is None:
+        raise DamagedFile("no frames")
+    if index is None:
+        frames = [(at, size) for kind, at, size in _chunks_of(data, movi[0] + 4, movi[0] + movi[1]) if kind[2:] in (b"dc", b"db")]
+    else:
+        start = next((s for s in (movi[0], 0) if all(_frame_at(data, s + o + 8, n) for o, n in index)), None)
+        if start is None:
+            raise DamagedFile("the index names no frames")
+        frames = [(start + o + 8, n) for o, n in index]
+    if not frames:
+        raise DamagedFile("no frames")
     return frames, payload
 
 
-_known_heads: dict[bytes, tuple[int, np.ndarray]] = {}
+_known_heads: dict[bytes, int] = {}
 
 
-def parse_jpeg(data: bytes, at: int, size: int) -> tuple[int, int, np.ndarray]:
-    """Rows of the frame, where its coded bytes begin, and the difference of each word by the frame's own table."""
-    scan = data.index(b"\xff\xda", at, at + size)
+def parse_jpeg(data: bytes, at: int, size: int) -> tuple[int, int]:
+    """Rows of the frame, and where its coded bytes begin. Every frame's own table is looked at: only the one whose codes
+    and extra bits make nine bits is read."""
+    scan = data.find(b"\xff\xda", at, at + size)
+    if scan < 0 or data[at : at + 2] != b"\xff\xd8" or data[at + size - 2 : at + size] != b"\xff\xd9":
+        raise DamagedFile("a frame is no JPEG image")
     head = data[at:scan]
     begin = scan + 2 + struct.unpack_from(">H", data, scan + 2)[0]
     if head not in _known_heads:
-        pos, rows, table = 2, 0, None
-        while pos < len(head):
+        pos, rows, lengths = 2, 0, None
+        while pos + 4 <= len(head):
             marker, n = head[pos + 1], struct.unpack_from(">H", head, pos + 2)[0]
             body = head[pos + 4 : pos + 2 + n]
             if marker == 0xC4:
-                counts, symbols = body[1:17], iter(body[17:])
-                table = _tables({next(symbols): k + 1 for k, c in enumerate(counts) for _ in range(c)})[1]
-            elif marker == 0xC3:
+                symbols = list(body[17:])
+                lengths = dict(zip(symbols, (k + 1 for k, c in enumerate(body[1:17]) for _ in range(c)), strict=True))
+            elif 0xC0 <= marker <= 0xCF and marker != 0xC8 and marker != 0xCC:
                 depth, rows, width = struct.unpack_from(">BHH", body)
-                if depth != 8 or width != ROW:
-                    raise ValueError("frames are 64 samples of 8 bits wide")
+                if marker != 0xC3 or depth != 8 or width != ROW:
+                    raise DamagedFile("a frame is not lossless, of 8 bits and 64 samples wide")
             pos += 2 + n
-        _known_heads[head] = (rows, table)
-    return (_known_heads[head][0], begin, _known_heads[head][1])
+        if not rows or lengths != CODE_LENGTHS:
+            raise DamagedFile("a frame has no size or not the table of nine bits")
+        if len(_known_heads) >= KNOWN_HEADS:
+            _known_heads.clear()
+        _known_heads[head] = rows
+    return _known_heads[head], begin
+
+
+class _Parsed:
+    """A file's payload length, and for each frame its rows and its coded bytes."""
+
+    def __init__(self, data: bytes):
+        places, payload = parse_avi(data)
+        self.rows, self.coded = [], []
+        for at, size in places:
+            rows, begin = parse_jpeg(data, at, size)
+            coded = data[begin : at + size - 2].replace(b"\xff\0", b"\xff")
+            if len(coded) != rows * ROW * WORD_BITS // 8:
+                raise DamagedFile("a frame's samples are cut off")
+            self.rows.append(rows)
+            self.coded.append(coded)
+        self.payload = ROW * sum(self.rows) if payload is None else payload
+        if self.payload > ROW * sum(self.rows):
+            raise DamagedFile("the payload is cut off")
+
+
+def read_avis(files: list[bytes]) -> list[tuple[bytes, np.ndarray] | str]:
+    """For each file what ``decode_avis`` gives, or why it can't be read."""
+    parsed: list[_Parsed | str] = []
+    for data in files:
+        try:
+            parsed.append(_Parsed(data))
+        except (ValueError, struct.error, IndexError) as wrong:  # what a damaged file can lead to; DamagedFile is one
+            parsed.append(str(wrong) or type(wrong).__name__)
+    good = [p for p in parsed if isinstance(p, _Parsed)]
+    read = iter(_decoded(good) if good else [])
+    return [next(read) if isinstance(p, _Parsed) else p for p in parsed]
 
 
 def decode_avis(files: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
     """For each file its payload, and its frames' histograms (frames x BINS, parts of the frame's samples; rows after
     the payload's end don't count)."""
-    coded, rows_of, frames_of, sizes, table = [], [], [], [], DIFFERENCE_OF
-    for data in files:
-        frames, payload = parse_avi(data)
-        frames_of.append(len(frames))
-        sizes.append(payload)
-        for at, size in frames:
-            rows, begin, table = parse_jpeg(data, at, size)
-            rows_of.append(rows)
-            coded.append(data[begin : at + size - 2].replace(b"\xff\0", b"\xff"))
-    d = table[unpack_words(np.frombuffer(b"".join(coded), np.uint8))].astype(np.int32)
-    rows_of = np.array(rows_of, np.int64)
-    tops = np.concatenate([[0], np.cumsum(rows_of)])
+    return _decoded([_Parsed(data) for data in files])
+
+
+def _decoded(files: list[_Parsed]) -> list[tuple[bytes, np.ndarray]]:
+    rows_of = np.array([r for f in files for r in f.rows], np.int64)
+    words = unpack_words(np.frombuffer(b"".join(c for f in files for c in f.coded), np.uint8))
     frame = np.repeat(np.arange(len(rows_of)), rows_of)
+    d = DIFFERENCE_OF[words].astype(np.int32)
+    tops = np.concatenate([[0], np.cumsum(rows_of)])
     column = np.cumsum(d[:, 0])
     before = np.concatenate([[0], column])[tops[:-1]]
     d[:, 0] = column - before[frame] + 128
     samples = (np.cumsum(d, axis=1) & 0xFF).astype(np.uint8)
-    ends = np.concatenate([[0], np.cumsum(frames_of)])
+    ends = np.concatenate([[0], np.cumsum([len(f.rows) for f in files])])
     row_ends = tops[ends]
     live = np.ones(len(samples), bool)
-    for i, n in enumerate(sizes):
-        live[row_ends[i] + n // ROW : row_ends[i + 1]] = False
+    for i, f in enumerate(files):
+        live[row_ends[i] + f.payload // ROW : row_ends[i + 1]] = False
     bins = (frame[live, None] * BINS + (samples[live] >> 4)).ravel()
     counts = np.bincount(bins, minlength=len(rows_of) * BINS).reshape(-1, BINS).astype(float)
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return [(samples[row_ends[i] : row_ends[i + 1]].tobytes()[:n], shares[ends[i] : ends[i + 1]]) for i, n in enumerate(sizes)]
+    return [(samples[row_ends[i] : row_ends[i + 1]].tobytes()[: f.payload], shares[ends[i] : ends[i + 1]]) for i, f in enumerate(files)]
 
 
 def shots(histograms: np.ndarray) -> list[tuple[int, int]]:
@@ -271,17 +331,19 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(start, len(part)), pa.array([len(t) for t in part], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(thrifty(run), f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
 CLIP = "array<struct<clip:int,start_s:double,end_s:double,frames:int,mean_luma:double>>"
 
 
 def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """A row per file: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, clips.
+    """A row per file: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, clips, error.
 
     ``clips`` are the shots: number, start and end in seconds, frames, mean of the histogram's bin middles. Null
-    media give null values.
+    media give null values. So do files that are damaged or of another kind (only AVI files of lossless JPEG frames,
+    64 samples of 8 bits wide with nine-bit tables, are read), but for media_bytes and media_sha256, and ``error`` says
+    why. A file without the comment that tells the payload's length has all its samples as payload.
     """
     kind = media.schema[id_col].dataType.simpleString()
 
@@ -289,26 +351,28 @@ def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
         middles = (np.arange(BINS) + 0.5) * 256 / BINS
         for b in batches:
             files = b.column(2).to_pylist()
-            got = iter(_in_parts([f for f in files if f is not None], decode_avis))
-            cols: list[list] = [[] for _ in range(6)]
+            got = iter(_in_parts([f for f in files if f is not None], read_avis))
+            cols: list[list] = [[] for _ in range(7)]
             for f in files:
-                if f is None:
-                    for c in cols:
-                        c.append(None)
+                read = None if f is None else next(got)
+                if f is None or isinstance(read, str):
+                    stored = (None, None) if f is None else (len(f), hashlib.sha256(f).hexdigest())
+                    for c, v in zip(cols, (None, None, None, *stored, None, read), strict=True):
+                        c.append(v)
                     continue
-                payload, hist = next(got)
+                payload, hist = read
                 clips = [{"clip": i, "start_s": s / FPS, "end_s": e / FPS, "frames": e - s, "mean_luma": float(hist[s:e].mean(axis=0) @ middles)} for i, (s, e) in enumerate(shots(hist))]
-                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(f), hashlib.sha256(f).hexdigest(), clips)
+                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(f), hashlib.sha256(f).hexdigest(), clips, None)
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), clip_type]
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), clip_type, pa.string()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names)
 
-    names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "clips"]
+    names = ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "clips", "error"]
     clip_type = pa.list_(pa.struct([("clip", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("frames", pa.int32()), ("mean_luma", pa.float64())]))
     rows = media.select(F.col(id_col).alias("id"), "n_bytes", F.col(media_col))
-    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, clips {CLIP}"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, clips {CLIP}, error string"
+    return rows.mapInArrow(thrifty(run), schema).withColumnRenamed("id", id_col)
 
 
 def clip_rows(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

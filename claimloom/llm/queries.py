@@ -20,6 +20,8 @@ from claimloom.llm.url_filters import judge_urls
 #: (host, path, blocked)
 URL_RULES = [("com", "/", False), ("example.com", "/en/", True), ("www.example.com", "/en/", False), ("net", "/es/", True), ("net", "/fr/", True)]
 SHARD_BYTES = 64 << 20
+#: A limit at which small tables split too, so that splits are held against SQL.
+SMALL_SHARD_BYTES = 64 << 10
 CAPACITY = 4096
 QUALITY_CUT = 0.3
 
@@ -43,6 +45,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_shards(table(spark, sf_dir, "documents"), limit_bytes=SHARD_BYTES)
 
 
+def sharding_small_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_shards(table(spark, sf_dir, "documents"), limit_bytes=SMALL_SHARD_BYTES)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = quality_cnn.learn_quality(docs, table(spark, sf_dir, "labels"), fold_of("doc_id", 5) != 0)
@@ -76,7 +82,7 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = media_avi.decode_media(media_avi.encode_media(table(spark, sf_dir, "documents")))
-    return read.withColumn("feature", media_avi.feature_of()).drop("clips")
+    return read.withColumn("feature", media_avi.feature_of()).drop("clips", "error")
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +97,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters]
-    return {f.__name__: f for f in found} | {"pipeline": pipeline}
+    return {f.__name__: f for f in found} | {"pipeline": pipeline, "sharding_small_limit": sharding_small_limit}
 
 
-OP2_SQL = f"""
+OP2_SQL = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS k,
          CAST(strlen(coalesce(text, '')) AS BIGINT) AS b
@@ -106,10 +112,10 @@ node AS (
   UNION ALL
   SELECT depth + 1, k >> (60 - depth - 1), doc_id, k, b,
          sum(b) OVER w, count(*) OVER w, min(k) OVER w, max(k) OVER w
-  FROM node WHERE sb > {SHARD_BYTES} AND lo < hi AND depth < 60
+  FROM node WHERE sb > LIMIT_BYTES AND lo < hi AND depth < 60
   WINDOW w AS (PARTITION BY k >> (60 - depth - 1)))
 SELECT doc_id, b AS bytes, depth, prefix, CAST(0 AS BIGINT) AS overflow, CAST(sb AS BIGINT) AS shard_bytes, sn AS shard_docs
-FROM node WHERE sb <= {SHARD_BYTES} OR lo = hi
+FROM node WHERE sb <= LIMIT_BYTES OR lo = hi
 """
 
 OP5_SQL = r"""
@@ -162,4 +168,5 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_url_filters": OP10_SQL}
+    limits = {"op2_sharding": SHARD_BYTES, "sharding_small_limit": SMALL_SHARD_BYTES}
+    return {k: OP2_SQL.replace("LIMIT_BYTES", str(v)) for k, v in limits.items()} | {"op5_line_dedup": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_url_filters": OP10_SQL}
