@@ -85,6 +85,24 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) ->
             spark.conf.set(key, str(most))
 
 
+_WHITE = re.compile(r"\s")
+#: Characters of a text whose words are listed at once.
+SLICE = 1 << 20
+
+
+def slices(text: str) -> Iterator[str]:
+    """The text in parts of about SLICE characters, cut before white space, so that no word is cut. What a text's words
+    take beside the text itself does then not grow with it, unless it has no white space."""
+    at = 0
+    while len(text) - at > SLICE:
+        found = _WHITE.search(text, at + SLICE)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
 def text_of(col: str | Column) -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import small_batches, text_of, write_table
+from claimloom.llm.common import slices, small_batches, text_of, thrifty, write_table
 
 END_ID = 1
 #: Words kept during a task (in each of two generations), and between tasks, when the process may do other work.
@@ -125,13 +125,18 @@ def encode_texts(texts: Iterable[str | None], path: str) -> Iterator[bytes]:
         if "<|" in text or odd and NOT_SPACE.search(text):
             yield table.whole(text)
             continue
-        if not odd:
-            text = text.lower()
-            if RUN.search(text):
-                text = MARK.sub(r" \1", text)
-            else:
-                text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
-        yield table.of(text.split())
+        yield b"".join(table.of(_words(part, odd)) for part in slices(text))
+
+
+def _words(text: str, odd: object) -> list[str]:
+    """The words; without odd characters lower-cased, with signs at their ends set apart, so that fewer are different."""
+    if not odd:
+        text = text.lower()
+        if RUN.search(text):
+            text = MARK.sub(r" \1", text)
+        else:
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+    return text.split()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +161,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: st
         if tokenizer_path in _word_ids:
             _word_ids[tokenizer_path].shrink()
 
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(thrifty(cut), f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:

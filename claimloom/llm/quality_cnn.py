@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import others, small_batches, text_of
+from claimloom.llm.common import give_back, others, small_batches, text_of
 
 EMBED, WIDTH, FILTERS = 8, 6, 24
 BLOCK = 256  # a chunk is two neighbouring blocks, so chunks overlap by half
@@ -215,5 +215,6 @@ def score_quality(docs: DataFrame, net: Network | None, text_col: str = "text",
     def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in parts:
             yield pa.array(score_texts(shared.value, [x.as_py() for x in texts]) if shared.value is not None else np.full(len(texts), 0.5))
+        give_back()
 
     return docs.select(*[docs[c] for c in others(docs, [made])], scored(text_of(text_col).cast("binary")).alias(made))

@@ -59,6 +59,15 @@ def test_language_backoff_and_edges(spark):
     assert langid.predict_languages(nothing(spark), model).count() == 0
 
 
+def test_numerals_are_no_letters(spark):
+    model = langid.train(spark.read.parquet(f"{SMALL}/documents.parquet"), F.lit(True), max_docs=200)
+    texts = ["² ½", "Ⅷ", "٣", "_", "²", "the ² house½of the people"]
+    got = langid.predict_languages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got[:5]] == ["und"] * 5 and got[5]["lang_pred"] in model.langs
+    assert langid.letters_of(texts[5]) == ["the", "house", "of", "the", "people"]
+    assert langid.letters_of("Ünï²cøde") == ["ünï", "cøde"]
+
+
 def test_language_learns_every_language(spark):
     """More than a thousand languages, most with one document, and fewer documents to draw than languages."""
     word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 2
@@ -140,7 +149,7 @@ def test_media_frames_are_lossless_jpeg():
     codes = {c: s for s, c in media_avi._codes(media_avi.CODE_LENGTHS).items()}
     out = b""
     for at, n in frames:
-        rows_, begin, _ = media_avi.parse_jpeg(data, at, n)
+        rows_, begin = media_avi.parse_jpeg(data, at, n)
         bits = "".join(f"{x:08b}" for x in data[begin : at + n - 2].replace(b"\xff\0", b"\xff"))
         pos, got = 0, []
         for i in range(rows_ * 64):
@@ -178,6 +187,36 @@ def test_media_edges(spark):
     assert none["payload_sha256"] is None and none["clips"] is None
 
 
+def test_damaged_and_foreign_media(spark):
+    """Each gives a row that says why, beside whole files that are read; no task fails."""
+    payload = media_avi.payload_of(bytes(range(256)) * 40)
+    whole = media_avi.encode_avis([payload])[0]
+    frames, _ = media_avi.parse_avi(whole)
+    at, n = frames[1]
+    flip = lambda i, x=0xFF: whole[:i] + bytes([whole[i] ^ x]) + whole[i + 1 :]
+    table, size = whole.index(b"\xff\xc4", at), whole.index(b"\xff\xc3", at)
+    bad = {
+        "empty": b"", "text": b"no film", "riff": b"RIFF\x04\0\0\0WAVE", "head": whole[:40], "half": whole[: len(whole) // 2], "last": whole[:-9], "first byte": flip(0),
+        "image": flip(at), "image end": flip(at + n - 1), "table": flip(table + 6), "width": flip(size + 8, 1), "lossy": flip(size + 1, 3), "index": flip(len(whole) - 8, 0x40), "comment": whole.replace(b"payload=1", b"payload=9"),
+    }
+    given = [(k, 0, v) for k, v in bad.items()] + [("whole", len(payload), whole), ("null", 0, None)]
+    got = {r["doc_id"]: r for r in media_avi.decode_media(spark.createDataFrame(given, "doc_id string, n_bytes long, media binary").coalesce(1)).collect()}
+    for k, data in bad.items():
+        assert got[k]["payload_sha256"] is None and got[k]["clips"] is None and got[k]["error"], k
+        assert (got[k]["media_bytes"], got[k]["media_sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
+    assert got["whole"]["payload_sha256"] == hashlib.sha256(payload).hexdigest() and got["whole"]["error"] is None
+    assert got["null"]["error"] is None and got["null"]["media_sha256"] is None
+
+
+def test_media_without_index_or_comment():
+    payload = media_avi.payload_of(b"some text " * 700)
+    whole = media_avi.encode_avis([payload])[0]
+    index, comment = whole.index(b"idx1"), whole.index(b"ICMT")
+    for other in (whole[:index] + b"JUNK" + whole[index + 4 :], whole[:comment] + b"ISFT" + whole[comment + 4 :]):
+        (back, histograms), plain = media_avi.read_avis([other])[0], media_avi.decode_avis([whole])[0]
+        assert back.rstrip(b"\0") == payload.rstrip(b"\0") and len(histograms) == len(plain[1])
+
+
 def test_ids_are_the_tokenizers():
     path = queries.tokenizer_path()
     whole = tokenizers.Tokenizer.from_file(path)
