@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
+# Fixed value: the zone of runs and schedules that name none, or none that exists.
+DEFAULT_ZONE = "Asia/Manila"
+
+
+def valid_zone(zone: str | None) -> str:
+    try:
+        return ZoneInfo(zone or DEFAULT_ZONE).key
+    except (KeyError, ValueError, OSError):  # no such zone, or no name of one
+        return DEFAULT_ZONE
+
+
+def clock(now: str, zone: str | None) -> dict[str, str]:
+    """Of a run's time (ISO; without zone UTC): local time with offset, UTC time, and the zone, or the default zone where
+    there is none of that name."""
+    name = valid_zone(zone)
+    at = datetime.fromisoformat(now)
+    at = at.replace(tzinfo=at.tzinfo or UTC).astimezone(ZoneInfo(name))
+    return {"timestamp": at.isoformat(), "timestamp_utc": at.astimezone(UTC).isoformat().replace("+00:00", "Z"), "timezone": name}
 
 
 def micros(c: Column) -> Column:
@@ -31,13 +52,18 @@ def age_days(c: Column, now: Column) -> Column:
 
 
 def time_triple(now: Column, zone: str) -> list[Column]:
-    """Local time with offset, UTC time and zone."""
+    """Local time with offset, UTC time and zone (the default zone where there is none of that name)."""
+    zone = valid_zone(zone)
     utc = F.timestamp_micros(micros(now))
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.to_timestamp_ntz(F.date_format(utc, "yyyy-MM-dd HH:mm:ss")))
     minutes = F.round((F.unix_micros(F.to_utc_timestamp(F.from_utc_timestamp(utc, zone), "UTC")) - F.unix_micros(utc)) / 60e6).cast("int")
     sign = F.when(minutes < 0, "-").otherwise("+")
     offset = F.concat(sign, F.lpad(F.floor(F.abs(minutes) / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((F.abs(minutes) % 60).cast("string"), 2, "0"))
-    return [F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("timestamp"), F.concat(F.date_format(F.to_timestamp_ntz(F.date_format(utc, "yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("timestamp_utc"), F.lit(zone).alias("timezone")]
+    return [
+        F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("timestamp"),
+        F.concat(F.date_format(F.to_timestamp_ntz(F.date_format(utc, "yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("timestamp_utc"),
+        F.lit(zone).alias("timezone")
+    ]
 
 
 def recall_score(status: Column, age: Column, sources: Column, recurrence: Column) -> Column:

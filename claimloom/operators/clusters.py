@@ -39,7 +39,9 @@ def cluster_ids(components: DataFrame) -> DataFrame:
 
 def first_mode(rows: DataFrame, group: str, value: str, order: list[str], out: str) -> DataFrame:
     """The most frequent non-null value of each group; at a tie the one seen first by ``order``."""
-    counted = rows.where(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
+    counted = rows.where(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(group, value).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first")
+    )
     best = Window.partitionBy(group).orderBy(F.desc("_n"), "_first")
     return counted.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").select(group, F.col(value).alias(out))
 
@@ -59,14 +61,22 @@ def build_clusters(survivors: DataFrame) -> DataFrame:
     edges = survivors.select(F.col("candidate_id").alias("src"), F.explode("merge_candidate_ids").alias("dst"))
     labels = merge_components(edges, nodes)
     members = survivors.join(labels.withColumnRenamed("id", "candidate_id"), "candidate_id")
-    shape = F.struct("candidate_id", "text", "type_hint", "source_refs", F.col("verdict").alias("pass_1_verdict"), F.col("rationale").alias("pass_1_rationale"), "compress_target")
+    shape = F.struct(
+        "candidate_id", "text", "type_hint", "source_refs", F.col("verdict").alias("pass_1_verdict"),
+        F.col("rationale").alias("pass_1_rationale"), "compress_target"
+    )
     grouped = members.groupBy("component").agg(F.array_sort(F.collect_list(shape)).alias("candidates"))
     slim = members.select("component", F.col("candidate_id").alias("id"), "text", "type_hint", "source_refs")
     kinds = first_mode(slim, "component", "type_hint", ["id"], "proposed_type")
     refs = slim.select("component", "id", F.posexplode("source_refs").alias("pos", "ref")).withColumn("source", F.col("ref.source"))
     subjects = first_mode(refs, "component", "source", ["id", "pos"], "shared_subject")
     home = F.create_map(*[F.lit(x) for kv in DEFAULT_HOME.items() for x in kv])
-    joined = grouped.join(cluster_ids(labels), "component").join(shared_entities(slim, "component"), "component").join(kinds, "component", "left").join(subjects, "component", "left")
+    joined = grouped.join(cluster_ids(labels), "component").join(
+        shared_entities(slim, "component"), "component"
+    ).join(kinds, "component", "left").join(subjects, "component", "left")
     kind = F.coalesce("proposed_type", F.lit(UNKNOWN_TYPE))
-    hints = F.struct(F.col("entities").alias("shared_entities"), "shared_subject", kind.alias("proposed_type"), F.try_element_at(home, kind).alias("proposed_primary_home"), F.array().cast("array<string>").alias("contradiction_candidates"))
+    hints = F.struct(
+        F.col("entities").alias("shared_entities"), "shared_subject", kind.alias("proposed_type"),
+        F.try_element_at(home, kind).alias("proposed_primary_home"), F.array().cast("array<string>").alias("contradiction_candidates")
+    )
     return joined.select("cluster_id", "candidates", hints.alias("cluster_hints"))

@@ -34,7 +34,10 @@ def _cut(df: DataFrame, out: str) -> DataFrame:
     and not headings alone, as (start, end, body) with lines from 1."""
     spans = F.arrays_zip(F.col("_starts").alias("s"), F.col("_stops").alias("e"))
     made = F.transform(spans, lambda x: F.struct((x["s"] + 1).alias("start"), x["e"].alias("end"), F.slice("_lines", x["s"] + 1, x["e"] - x["s"]).alias("part")))
-    bodies = F.transform(made, lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), strip(F.array_join(u["part"], "\n")).alias("body"), heading_only(u["part"]).alias("bare")))
+    bodies = F.transform(
+        made,
+        lambda u: F.struct(u["start"].alias("start"), u["end"].alias("end"), strip(F.array_join(u["part"], "\n")).alias("body"), heading_only(u["part"]).alias("bare"))
+    )
     kept = F.filter(bodies, lambda u: (F.length(u["body"]) >= MIN_CHARS) & ~u["bare"])
     units = F.transform(kept, lambda u: F.struct(u["start"].cast("int").alias("start"), u["end"].cast("int").alias("end"), u["body"].alias("body")))
     return _let(df, out, units).drop("_starts", "_stops")
@@ -47,7 +50,10 @@ def _with_lines(df: DataFrame, text_col: str) -> DataFrame:
 def with_paragraphs(df: DataFrame, text_col: str = "text", out: str = "units") -> DataFrame:
     """Units between blank lines and horizontal rules."""
     lined = _let(_with_lines(df, text_col), "_gaps", F.transform("_lines", lambda x: strip(x).isin("", *RULES)))
-    marks = F.transform(F.arrays_zip(F.col("_gaps").alias("gap"), _shifted("_gaps", True).alias("before"), _shifted("_gaps", False).alias("after")), lambda x, i: F.struct(i.alias("i"), x["gap"].alias("gap"), x["before"].alias("before"), x["after"].alias("after")))
+    marks = F.transform(
+        F.arrays_zip(F.col("_gaps").alias("gap"), _shifted("_gaps", True).alias("before"), _shifted("_gaps", False).alias("after")),
+        lambda x, i: F.struct(i.alias("i"), x["gap"].alias("gap"), x["before"].alias("before"), x["after"].alias("after"))
+    )
     marked = _let(lined, "_marks", F.filter(marks, lambda x: ~x["gap"] & (x["before"] | x["after"])))
     starts = F.transform(F.filter("_marks", lambda x: x["before"]), lambda x: x["i"])
     stops = F.transform(F.filter("_marks", lambda x: x["after"]), lambda x: x["i"] + 1)
@@ -60,7 +66,9 @@ def with_sections(df: DataFrame, text_col: str = "text", out: str = "units") ->
     lined = _with_lines(df, text_col)
     heads = F.transform("_lines", lambda x, i: F.struct(i.alias("i"), x.startswith("## ").alias("h")))
     headed = _let(lined, "_starts", F.transform(F.filter(heads, lambda x: x["h"]), lambda x: x["i"]))
-    stops = F.when(F.size("_starts") > 0, F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(F.size("_lines")))).otherwise(F.array().cast("array<int>"))
+    stops = F.when(
+        F.size("_starts") > 0, F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(F.size("_lines")))
+    ).otherwise(F.array().cast("array<int>"))
     both = with_paragraphs(_cut(headed.withColumn("_stops", stops), "_sections"), text_col, "_paragraphs")
     return both.withColumn(out, F.when(F.size("_sections") > 0, F.col("_sections")).otherwise(F.col("_paragraphs"))).drop("_sections", "_paragraphs")
 
@@ -93,4 +101,8 @@ def extract_candidates(sources: DataFrame) -> DataFrame:
     cut = with_paragraphs(read.where(~episode & ~sectioned)).unionByName(with_sections(read.where(sectioned))).unionByName(with_whole(read.where(episode)))
     rows = cut.select("path", "captured_at", F.explode("units").alias("u"))
     ref = F.struct(F.col("path").alias("source"), F.array("u.start", "u.end").alias("line_span"), "captured_at")
-    return rows.select(candidate_id(F.col("path"), F.col("u.start"), F.col("u.body")).alias("candidate_id"), F.col("u.body").alias("text"), type_hint(F.col("path")).alias("type_hint"), F.array(ref).alias("source_refs"), "path", F.col("u.start").alias("line_start"), F.col("u.end").alias("line_end"))
+    return rows.select(
+        candidate_id(F.col("path"), F.col("u.start"), F.col("u.body")).alias("candidate_id"), F.col("u.body").alias("text"),
+        type_hint(F.col("path")).alias("type_hint"), F.array(ref).alias("source_refs"), "path", F.col("u.start").alias("line_start"),
+        F.col("u.end").alias("line_end")
+    )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.functions.text import strip
+from claimloom.functions.text import blank, strip
 from claimloom.operators.resolve import active, route_state
-from claimloom.schemas import CLAIM_SCORES, CONFIDENCE, DIGEST_CAP, EPISODE_DIR, FRESHNESS, HOMES, INACTIVE, PERSONAL_HOMES, PROVENANCE_TYPES, RELATIONS, STATUSES, TYPES
+from claimloom.schemas import CLAIM_SCORES, CONFIDENCE, DIGEST_CAP, EPISODE_DIR, FRESHNESS, HOMES, INACTIVE, MANIFEST_KEYS, PERSONAL_HOMES, PROFILES, PROVENANCE_TYPES, RELATIONS, RUN_STATUSES, STATUSES, TYPES
 
 
 def _not_in(c: Column, allowed: list[str]) -> Column:
@@ -36,7 +36,10 @@ def canonical_violations(claims: DataFrame, clusters: DataFrame, profile: str, p
         "personal_home": c("primary_home").isin(PERSONAL_HOMES) & F.lit(profile != "personal"),
         "text_empty": strip(F.coalesce(c("text"), F.lit(""))) == "", "provenance_empty": F.coalesce(F.size("provenance"), F.lit(0)) == 0,
         "provenance_type": F.exists("provenance", lambda p: p["type"].isNotNull() & _not_in(p["type"], PROVENANCE_TYPES)),
-        "contradiction_empty": F.exists("contradictions", lambda x: (F.coalesce(x["competing_claim_id"], F.lit("")) == "") & (F.coalesce(x["competing_text"], F.lit("")) == "")),
+        "contradiction_empty": F.exists(
+            "contradictions",
+            lambda x: (F.coalesce(x["competing_claim_id"], F.lit("")) == "") & (F.coalesce(x["competing_text"], F.lit("")) == "")
+        ),
         "contradiction_relation": F.exists("contradictions", lambda x: x["relation"].isNotNull() & _not_in(x["relation"], RELATIONS)),
         "freshness_posture": F.col("freshness_posture").isNotNull() & _not_in(F.col("freshness_posture"), FRESHNESS),
         "confidence_posture": F.col("confidence_posture").isNotNull() & _not_in(F.col("confidence_posture"), CONFIDENCE),
@@ -49,9 +52,16 @@ def canonical_violations(claims: DataFrame, clusters: DataFrame, profile: str, p
     missing = _named(known.join(ids, "source_cluster_id", "left_anti"), "source_cluster_id", "cluster_missing")
     named = claims.where(F.coalesce("claim_id", F.lit("")) != "<new>").select("source_cluster_id", "claim_id")
     strange = _named(named.join(prior_ids.select(F.col("id").alias("claim_id")), "claim_id", "left_anti"), "source_cluster_id", "claim_id_unknown")
-    allowed = clusters.select("cluster_id", F.explode("candidates").alias("m")).select("cluster_id", F.explode("m.source_refs").alias("r")).select(F.col("cluster_id").alias("source_cluster_id"), F.col("r.source").alias("source"))
-    used = claims.select("source_cluster_id", F.explode("provenance").alias("p")).select("source_cluster_id", F.col("p.source").alias("source")).where(F.col("source") != "")
-    untraced = _named(used.distinct().join(allowed, ["source_cluster_id", "source"], "left_anti").select("source_cluster_id").distinct(), "source_cluster_id", "provenance_untraceable")
+    allowed = clusters.select("cluster_id", F.explode("candidates").alias("m")).select("cluster_id", F.explode("m.source_refs").alias("r")).select(
+        F.col("cluster_id").alias("source_cluster_id"), F.col("r.source").alias("source")
+    )
+    used = claims.select(
+        "source_cluster_id", F.explode("provenance").alias("p")
+    ).select("source_cluster_id", F.col("p.source").alias("source")).where(F.col("source") != "")
+    untraced = _named(
+        used.distinct().join(allowed, ["source_cluster_id", "source"], "left_anti").select("source_cluster_id").distinct(),
+        "source_cluster_id", "provenance_untraceable"
+    )
     out = own
     for part in (twice, unknown, missing, strange, untraced):
         out = out.unionByName(part)
@@ -59,38 +69,48 @@ def canonical_violations(claims: DataFrame, clusters: DataFrame, profile: str, p
 
 
 def claim_violations(claims: DataFrame, profile: str) -> DataFrame:
-    """Stored claims: errors as they are named, warnings with ``warn:`` before the name."""
-    state = route_state(F.col("type"), F.col("primary_home"))["route_state"]
+    """Stored claims: errors as they are named, warnings with ``warn:`` before the name. A claim without an id has no
+    other finding."""
     home, body = F.col("primary_home"), F.coalesce(F.col("text"), F.lit(""))
+    # Routes are only looked at where type and home are ones the profile has.
+    allowed = HOMES if profile == "personal" else [h for h in HOMES if h not in PERSONAL_HOMES]
+    state = F.when(F.col("type").isin(TYPES) & home.isin(allowed), route_state(F.col("type"), home)["route_state"])
     rules = {
-        "id_missing": F.coalesce("id", F.lit("")) == "", "type": _not_in(F.col("type"), TYPES), "status": _not_in(F.col("status"), STATUSES),
+        "type": _not_in(F.col("type"), TYPES), "status": _not_in(F.col("status"), STATUSES),
         "primary_home": _not_in(home, HOMES), "personal_home": home.isin(PERSONAL_HOMES) & F.lit(profile != "personal"),
         "route_impossible": state == "impossible", "warn:route": state.isin("acceptable", "suspicious"),
         "text_empty": strip(body) == "", "provenance_empty": F.coalesce(F.size("provenance"), F.lit(0)) == 0,
-        "self_tag": F.array_contains("secondary_tags", home),
-        "warn:digest_long": (home == "EPISODES.md") & (F.length(body) > DIGEST_CAP),
-        "warn:episode_source": (home == "EPISODES.md") & ~F.coalesce(F.get(F.col("provenance"), F.lit(0))["source"].startswith(EPISODE_DIR), F.lit(False)),
+        "warn:self_tag": F.array_contains("secondary_tags", home), "warn:profile_scope": F.col("profile_scope").isNotNull() & _not_in(F.col("profile_scope"), PROFILES),
+        "warn:digest_long": (F.col("type") == "episode") & (F.length(body) > DIGEST_CAP),
+        "warn:episode_source": (F.col("type") == "episode") & (F.size("provenance") > 0) & ~F.coalesce(
+            F.get(F.col("provenance"), F.lit(0))["source"].startswith(EPISODE_DIR), F.lit(False)
+        ),
     }
+    named = blank(F.col("id")) != ""
+    rules = {"id_missing": ~named} | {rule: named & test for rule, test in rules.items()}
     twice = _named(claims.where(F.col("id") != "").groupBy("id").count().where("count > 1"), "id", "id_duplicate")
     return _broken(claims, F.col("id"), rules).unionByName(twice).unionByName(supersession_violations(claims))
 
 
 def supersession_violations(claims: DataFrame) -> DataFrame:
-    """Self references, dangling ids, and edges written on one side only."""
-    ids = claims.select("id").distinct()
-    down = claims.select("id", F.explode("supersedes").alias("other"))
-    up = claims.select("id", F.explode("superseded_by").alias("other"))
+    """Self references, edges written on one side only, and targets that are not marked superseded (errors); ids that no
+    claim has (warnings)."""
+    rows = claims.where(blank(F.col("id")) != "")
+    marked = rows.groupBy(F.col("id").alias("other")).agg(F.max(F.coalesce(F.col("status") == "superseded", F.lit(False))).alias("_marked"))
+    down = rows.select("id", F.explode("supersedes").alias("other"))
+    up = rows.select("id", F.explode("superseded_by").alias("other"))
     out = _named(down.where("id = other"), "id", "supersedes_self").unionByName(_named(up.where("id = other"), "id", "superseded_by_self"))
-    out = out.unionByName(_named(down.join(ids.withColumnRenamed("id", "other"), "other", "left_anti"), "id", "supersedes_dangling"))
-    out = out.unionByName(_named(up.join(ids.withColumnRenamed("id", "other"), "other", "left_anti"), "id", "superseded_by_dangling"))
-    there = down.where("id <> other").join(ids.withColumnRenamed("id", "other"), "other", "left_semi")
+    there = down.join(marked, "other", "left")
+    out = out.unionByName(_named(there.where("_marked is null"), "id", "warn:supersedes_dangling"))
+    out = out.unionByName(_named(there.where("not _marked"), "id", "supersedes_status"))
+    out = out.unionByName(_named(up.join(marked, "other", "left_anti"), "id", "warn:superseded_by_dangling"))
     back = up.select(F.col("other").alias("id"), F.col("id").alias("other"))
-    return out.unionByName(_named(there.join(back, ["id", "other"], "left_anti"), "id", "supersedes_one_sided"))
+    return out.unionByName(_named(there.where("_marked is not null and id <> other").join(back, ["id", "other"], "left_anti"), "id", "supersedes_one_sided"))
 
 
 def route_violations(routes: DataFrame, claims: DataFrame) -> DataFrame:
-    """Routed ids (home, claim_ids) that are unknown, of another home, or inactive."""
-    rows = routes.select("home", F.explode("claim_ids").alias("id"))
+    """Routed ids, as (home, claim_ids) or as (home, claim_id), that are unknown, of another home, or inactive."""
+    rows = routes.select("home", F.col("claim_id").alias("id") if "claim_id" in routes.columns else F.explode("claim_ids").alias("id")).where("id is not null")
     joined = rows.join(claims.select("id", "primary_home", "status", F.lit(True).alias("_known")), "id", "left")
     known = F.col("_known").isNotNull()
     rules = {"route_unknown": ~known, "route_home": known & ~F.col("primary_home").eqNullSafe(F.col("home")), "route_inactive": known & F.col("status").isin(INACTIVE)}
@@ -102,10 +122,35 @@ def view_violations(views: DataFrame, claims: DataFrame, profile: str) -> DataFr
     profile has none."""
     counts = active(claims).groupBy(F.col("primary_home").alias("home")).agg(F.count(F.lit(1)).alias("n"))
     joined = views.join(counts, "home", "left")
-    rules = {"view_empty": (F.col("n") > 0) & ~F.col("text").rlike(r"(?m)^### "), "view_personal": F.col("home").isin(PERSONAL_HOMES) & F.lit(profile != "personal")}
+    personal = F.col("home").isin(PERSONAL_HOMES)
+    rules = {
+        "warn:view_empty": (F.col("n") > 0) & ~F.col("text").contains("###") & (~personal | F.lit(profile == "personal")),
+        "warn:view_personal": personal & F.lit(profile != "personal")
+    }
     return _broken(joined, F.col("home"), rules)
 
 
+def store_violations(spark: SparkSession, tables: list[str], found: list[str], views: list[str], found_views: list[str]) -> DataFrame:
+    """What a published version lacks: tables (errors) and views (warnings)."""
+    rows = [(t, "table_missing") for t in tables if t not in found] + [(v, "warn:view_missing") for v in views if v not in found_views]
+    return spark.createDataFrame(rows, "id string, rule string")
+
+
+def manifest_violations(manifests: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """Manifests (id, JSON text) that are no JSON object, lack a required key (one with a null value counts as there),
+    or have an unknown status or profile (warnings)."""
+    value = F.try_parse_json(F.col(json_col))
+    keys = F.coalesce(F.json_object_keys(F.col(json_col)), F.array().cast("array<string>"))
+    text = lambda k: F.try_variant_get(value, f"$.{k}", "string")
+    is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    rules = {"manifest_unreadable": ~is_object} | {f"manifest_key:{k}": is_object & ~F.array_contains(keys, k) for k in MANIFEST_KEYS}
+    rules |= {
+        "warn:manifest_status": text("status").isNotNull() & _not_in(text("status"), RUN_STATUSES),
+        "warn:manifest_profile": text("profileScope").isNotNull() & _not_in(text("profileScope"), PROFILES)
+    }
+    return _broken(manifests, F.col(id_col), rules)
+
+
 def report_status(violations: DataFrame) -> DataFrame:
     """One row, ``status``: errors before warnings before ok."""
     worst = F.max(F.when(F.col("rule").startswith("warn:"), 1).otherwise(2))

@@ -45,7 +45,9 @@ def apply_supersession(claims: DataFrame, new: DataFrame, run_id: str) -> DataFr
 def chain_warnings(new: DataFrame, prior: DataFrame) -> DataFrame:
     """(new_id, target, successor): new claims that supersede a prior one that was superseded before."""
     edges = new.select(F.col("id").alias("new_id"), F.explode("supersedes").alias("target"))
-    gone = prior.where("status = 'superseded'").select(F.col("id").alias("target"), F.coalesce(F.try_element_at("superseded_by", F.lit(-1)), F.lit("unknown")).alias("successor"))
+    gone = prior.where("status = 'superseded'").select(
+        F.col("id").alias("target"), F.coalesce(F.try_element_at("superseded_by", F.lit(-1)), F.lit("unknown")).alias("successor")
+    )
     return edges.join(gone, "target").select("new_id", "target", "successor")
 
 
@@ -53,12 +55,16 @@ def retire_unsourced(claims: DataFrame, removed: DataFrame, run_id: str) -> Data
     """Active claims all of whose sources are in ``removed`` (path) become candidates for retirement, with the reason."""
     sources = active(claims).select("id", F.explode("provenance").alias("p")).select("id", F.col("p.source").alias("path")).where(F.col("path") != "").distinct()
     marked = sources.join(removed.select("path").distinct().withColumn("_gone", F.lit(1)), "path", "left")
-    lost = marked.groupBy("id").agg(F.min(F.coalesce("_gone", F.lit(0))).alias("_all"), F.array_sort(F.collect_list("path")).alias("_paths")).where("_all = 1").select("id", "_paths")
+    lost = marked.groupBy("id").agg(
+        F.min(F.coalesce("_gone", F.lit(0))).alias("_all"), F.array_sort(F.collect_list("path")).alias("_paths")
+    ).where("_all = 1").select("id", "_paths")
     joined = claims.join(lost, "id", "left")
     hit = F.col("_paths").isNotNull()
     reason = F.array(F.struct(F.lit(run_id).alias("run_id"), F.lit("all_sources_removed").alias("reason"), F.col("_paths").alias("removed_sources")))
     return joined.withColumns({
-        "retirement_reasons": F.when(hit, F.concat(F.coalesce("retirement_reasons", F.array().cast(claims.schema["retirement_reasons"].dataType)), reason)).otherwise(F.col("retirement_reasons")),
+        "retirement_reasons": F.when(
+            hit, F.concat(F.coalesce("retirement_reasons", F.array().cast(claims.schema["retirement_reasons"].dataType)), reason)
+        ).otherwise(F.col("retirement_reasons")),
         "status": F.when(hit, "retire_candidate").otherwise(F.col("status")),
         "updated_in_run_id": F.when(hit, F.lit(run_id)).otherwise(F.col("updated_in_run_id")),
     }).select(*claims.columns)
@@ -72,7 +78,11 @@ def contradiction_cluster_id(claim_id: Column) -> Column:
 def contradiction_rows(new: DataFrame, run_id: str) -> DataFrame:
     """One row for each claim and what competes with it."""
     rows = new.select("ord", F.col("id").alias("claim_id"), F.posexplode("contradictions").alias("pos", "c"))
-    return rows.select("ord", "pos", contradiction_cluster_id(F.col("claim_id")).alias("contradiction_cluster_id"), "claim_id", F.col("c.competing_claim_id").alias("competing_claim_id"), F.col("c.competing_text").alias("competing_text"), F.col("c.relation").alias("relation"), F.coalesce(F.col("c.flagged_in_run_id"), F.lit(run_id)).alias("flagged_in_run_id"))
+    return rows.select(
+        "ord", "pos", contradiction_cluster_id(F.col("claim_id")).alias("contradiction_cluster_id"), "claim_id",
+        F.col("c.competing_claim_id").alias("competing_claim_id"), F.col("c.competing_text").alias("competing_text"),
+        F.col("c.relation").alias("relation"), F.coalesce(F.col("c.flagged_in_run_id"), F.lit(run_id)).alias("flagged_in_run_id")
+    )
 
 
 def merge_contradictions(prior: DataFrame, new: DataFrame) -> DataFrame:
@@ -82,6 +92,18 @@ def merge_contradictions(prior: DataFrame, new: DataFrame) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn", "_gen")
 
 
+def entity_rows(claims: DataFrame) -> DataFrame:
+    """(subject, claim_id): what ``entities`` gathers, a row each, so that a common subject is no long array."""
+    return claims.where(F.col("subject") != "").select("subject", F.col("id").alias("claim_id")).distinct()
+
+
+def route_rows(claims: DataFrame) -> DataFrame:
+    """(home, claim_id) of active claims; a home without any has one row with a null id."""
+    found = active(claims).where(F.col("primary_home").isNotNull()).select(F.col("primary_home").alias("home"), F.col("id").alias("claim_id"))
+    every = claims.sparkSession.createDataFrame([(h,) for h in HOMES], "home string")
+    return found.unionByName(every.join(found.select("home").distinct(), "home", "left_anti").withColumn("claim_id", F.lit(None).cast("string")))
+
+
 def entities(claims: DataFrame) -> DataFrame:
     """(subject, claim_ids): ids of all claims, inactive ones too, of each subject as written."""
     return claims.where(F.col("subject") != "").groupBy("subject").agg(F.array_sort(F.collect_set("id")).alias("claim_ids"))
@@ -107,4 +129,7 @@ def status_totals(claims: DataFrame) -> DataFrame:
 def claim_totals(claims: DataFrame) -> DataFrame:
     """Claims, and how many supersede something or are contradicted."""
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    return claims.agg(F.count(F.lit(1)).alias("claims"), F.count_if(size("supersedes") > 0).alias("with_supersedes"), F.count_if(size("contradictions") > 0).alias("with_contradictions"))
+    return claims.agg(
+        F.count(F.lit(1)).alias("claims"), F.count_if(size("supersedes") > 0).alias("with_supersedes"),
+        F.count_if(size("contradictions") > 0).alias("with_contradictions")
+    )

@@ -54,8 +54,11 @@ def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
     """(id, target_id, score, dominant): the most alike active prior claim of the same home scoring THRESHOLD or more,
     the first by ``ord`` at a tie; for claims without exact reuse.
 
-    Without an equal subject no sum reaches the threshold, so home and normalised subject are the join key. Priors with
-    equal keys, tokens and object score alike, so the first of them stands for all, and equal new claims are scored once.
+    Without an equal subject no sum reaches the threshold. With it and the home, what is missing comes from an equal
+    predicate, from equal tokens, or from an equal object and tokens of a similarity of one half. So pairs come from three
+    equi-joins and never from the subject alone: similar token sets share a token among the first of each, by any order.
+    Priors with equal keys, tokens and object score alike, so the first of them stands for all, and equal new claims are
+    scored once.
     """
     def looks(df: DataFrame) -> DataFrame:
         df = _full(with_keys(df), KEYS if df is new else ["n_home", "n_subject"])
@@ -65,8 +68,20 @@ def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
     mine = looks(new)
     asks = mine.select(*same).distinct().withColumn("ask", F.struct(*same))
     theirs = looks(active(prior)).groupBy(*same).agg(F.min(F.struct("ord", "id")).alias("who"))
-    theirs = theirs.select("n_home", "n_subject", F.col("n_predicate").alias("p_predicate"), F.col("n_object").alias("p_object"), F.col("tokens").alias("p_tokens"), "who")
-    pairs = asks.join(theirs, ["n_home", "n_subject"])
+    theirs = theirs.select(
+        "n_home", "n_subject", F.col("n_predicate").alias("p_predicate"), F.col("n_object").alias("p_object"),
+        F.col("tokens").alias("p_tokens"), "who"
+    )
+    key = (F.col("n.n_home") == F.col("p.n_home")) & (F.col("n.n_subject") == F.col("p.n_subject"))
+    met = lambda mine, other, more: mine.alias("n").join(other.alias("p"), key & more).select(
+        *[F.col(f"n.{c}").alias(c) for c in ("ask", *same)],
+        *[F.col(f"p.{c}").alias(c) for c in ("p_predicate", "p_object", "p_tokens", "who")]
+    )
+    # At least half of the union is shared, so at least half of either set: one of the first n - ceil(n / 2) + 1.
+    leading = lambda df, tokens: df.withColumn("_token", F.explode(F.slice(tokens, F.lit(1), F.size(tokens) - F.ceil(F.size(tokens) / 2).cast("int") + 1)))
+    alike = (F.col("n.n_object") == F.col("p.p_object")) & (F.col("n._token") == F.col("p._token"))
+    pairs = met(asks, theirs, F.col("n.n_predicate") == F.col("p.p_predicate")).unionByName(met(asks, theirs, F.col("n.tokens") == F.col("p.p_tokens")))
+    pairs = pairs.unionByName(met(leading(asks.where("n_object <> ''"), "tokens"), leading(theirs.where("p_object <> ''"), "p_tokens"), alike))
     predicate = F.when(F.col("n_predicate") == F.col("p_predicate"), 1.0).otherwise(0.0)
     text = jaccard(F.col("tokens"), F.col("p_tokens"))
     bonus = F.when((F.col("n_object") != "") & (F.col("n_object") == F.col("p_object")), OBJECT_BONUS).otherwise(0.0)
@@ -89,9 +104,14 @@ def dispositions(new: DataFrame, prior: DataFrame) -> DataFrame:
         named = F.coalesce(~F.col("claim_id").isin("<new>", ""), F.lit(False))
     made = stable_id(F.col("subject"), F.col("predicate"), F.col("text"), F.col("primary_home"))
     kind = F.when(named, "new_claim").when(F.col("_reuse").isNotNull(), "reuse_existing").when(F.col("_likely").isNotNull(), "probable_duplicate").otherwise("new_claim")
-    reason = F.when(named, F.lit(None)).when(F.col("_reuse").isNotNull(), "exact_normalized_match").when(F.col("_likely").isNotNull(), F.concat(F.lit("composite_"), F.format_string("%.2f", "_score"), F.lit("_"), "_dominant")).otherwise("no_candidates_above_threshold")
+    reason = F.when(named, F.lit(None)).when(F.col("_reuse").isNotNull(), "exact_normalized_match").when(
+        F.col("_likely").isNotNull(), F.concat(F.lit("composite_"), F.format_string("%.2f", "_score"), F.lit("_"), "_dominant")
+    ).otherwise("no_candidates_above_threshold")
     final = F.when(named, F.col("claim_id") if "claim_id" in new.columns else None).otherwise(F.coalesce("_reuse", made))
-    return joined.select(*new.columns, kind.alias("disposition"), F.when(~named, F.coalesce("_reuse", "_likely")).alias("duplicate_target"), reason.alias("duplicate_reason"), signature().alias("normalization_signature"), final.alias("final_id"))
+    return joined.select(
+        *new.columns, kind.alias("disposition"), F.when(~named, F.coalesce("_reuse", "_likely")).alias("duplicate_target"),
+        reason.alias("duplicate_reason"), signature().alias("normalization_signature"), final.alias("final_id")
+    )
 
 
 def route_state(kind: Column, home: Column) -> dict[str, Column]:
@@ -101,7 +121,9 @@ def route_state(kind: Column, home: Column) -> dict[str, Column]:
     acceptable = F.try_element_at(table({k: v[1] for k, v in AFFINITY.items()}), blank(kind))
     impossible = F.try_element_at(table({k: v[2] for k, v in AFFINITY.items()}), blank(kind))
     has = lambda a: F.coalesce(F.array_contains(a, blank(home)), F.lit(False))
-    state = F.when(strong.isNull(), "suspicious").when(has(impossible), "impossible").when(strong.eqNullSafe(home), "strong").when(has(acceptable), "acceptable").otherwise("suspicious")
+    state = F.when(strong.isNull(), "suspicious").when(has(impossible), "impossible").when(
+        strong.eqNullSafe(home), "strong"
+    ).when(has(acceptable), "acceptable").otherwise("suspicious")
     score = F.try_element_at(table(ROUTE_SCORES), state)
     return {"route_state": state, "route_score": score, "route_suggested": F.when(state != "strong", strong)}
 

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new place in the shared folder, for files that are written and read again."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="claimloom-")
+    return f"{root.rstrip('/')}/claimloom-{tag}-{uuid.uuid4().hex}"
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """The rows as a checkpoint in the shared folder of ``spark.checkpoint.dir``; a local folder only where none is set."""
+    """The rows as a checkpoint in the shared folder of ``spark.checkpoint.dir``. Where none is set, a local folder does
+    if all runs on one machine; on a cluster that is an error."""
     spark: SparkSession = df.sparkSession
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
     return df.checkpoint(eager=True)

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions.dates import DEFAULT_ZONE
+
 # What a job is assumed to have where its listing and the configuration say nothing.
-DEFAULT_ZONE, DEFAULT_TIMEOUT = "Asia/Manila", 1200
+DEFAULT_TIMEOUT = 1200
 ACTIONS = ["skipped_indeterminate", "in_sync", "skipped_missing_fields", "skipped_missing_announce_target", "would_update"]
 
 
@@ -57,7 +59,8 @@ class Delivery:
         there = level(reporting, "delivery")
         enabled, timeout = reporting.get("enabled"), cron.get("timeout_seconds")
         return cls(
-            enabled if isinstance(enabled, bool) else None, text(there.get("channel")) or text(cron.get("announce_channel")), text(there.get("to")) or text(cron.get("announce_to")),
+            enabled if isinstance(enabled, bool) else None, text(there.get("channel")) or text(cron.get("announce_channel")),
+            text(there.get("to")) or text(cron.get("announce_to")),
             text(cron.get("tz")) or DEFAULT_ZONE, timeout if isinstance(timeout, int) and not isinstance(timeout, bool) and timeout > 0 else DEFAULT_TIMEOUT,
         )
 
@@ -70,10 +73,51 @@ def delivery_actions(jobs: DataFrame, wanted: Delivery, prefix: str) -> DataFram
     lost = F.coalesce(F.trim("cron"), F.lit("")) == ""
     reachable = F.lit(bool(wanted.channel and wanted.target))
     names = dict(zip(("unknown", "same", "fields", "target", "update"), ACTIONS, strict=True))
-    action = F.when(F.col("deliver").isNull(), names["unknown"]).when(F.col("deliver") == desired, names["same"]).when(lost | (zone == ""), names["fields"]).when(desired & ~reachable, names["target"]).otherwise(names["update"])
+    action = F.when(F.col("deliver").isNull(), names["unknown"]).when(F.col("deliver") == desired, names["same"])
+    action = action.when(lost | (zone == ""), names["fields"]).when(desired & ~reachable, names["target"]).otherwise(names["update"])
     return mine.select("name", F.col("deliver").alias("current"), action.alias("action"))
 
 
+def listed_jobs(listing: DataFrame, json_col: str, prefix: str) -> DataFrame:
+    """The jobs of a scheduler's listing, one JSON object a row: name, cron, tz, deliver, message, whose names begin with
+    ``prefix``. Rows that are no JSON objects are left out.
+
+    Whether a job delivers is told in one of several spellings; the first that is there counts: the booleans ``deliver``
+    and ``announce``, the reverse booleans ``no_deliver`` and ``noDeliver``, and ``delivery`` as a word. Else it is null.
+    """
+    value = F.try_parse_json(F.col(json_col))
+    of = lambda k, kind: F.when(
+        F.schema_of_variant(F.try_variant_get(value, f"$.{k}", "variant")) == kind,
+        F.try_variant_get(value, f"$.{k}", {"STRING": "string", "BOOLEAN": "boolean"}[kind])
+    )
+    word = of("delivery", "STRING")
+    deliver = F.coalesce(
+        of("deliver", "BOOLEAN"), of("announce", "BOOLEAN"), ~of("no_deliver", "BOOLEAN"), ~of("noDeliver", "BOOLEAN"),
+        F.when(word == "announce", True).when(word.isin("no-deliver", "no_deliver", "silent"), False)
+    )
+    names = of("name", "STRING")
+    rows = listing.where(F.schema_of_variant(value).startswith("OBJECT") & names.startswith(prefix))
+    return rows.select(
+        names.alias("name"), F.coalesce(of("cron", "STRING"), of("schedule", "STRING")).alias("cron"), of("tz", "STRING").alias("tz"),
+        deliver.alias("deliver"), of("message", "STRING").alias("message")
+    )
+
+
+def sync_plan(jobs: DataFrame, wanted: Delivery, prefix: str) -> DataFrame:
+    """What a scheduler's client would carry out, in order, for the jobs that ``delivery_actions`` would update: each is
+    deleted and added again. (name, step, command, cron, tz, timeout_seconds, channel, target)."""
+    update = delivery_actions(jobs, wanted, prefix).where("action = 'would_update'").select("name").distinct()
+    rows = jobs.join(update, "name").withColumn("command", F.explode(F.array(F.lit("delete"), F.lit("add"))))
+    add = F.col("command") == "add"
+    announce = add & F.lit(bool(wanted.enabled))
+    zone = F.coalesce(F.when(F.trim("tz") != "", F.trim("tz")), F.lit(wanted.zone))
+    return rows.select(
+        "name", F.when(add, 2).otherwise(1).alias("step"), "command", F.when(add, F.col("cron")).alias("cron"),
+        F.when(add, zone).alias("tz"), F.when(add, F.lit(wanted.timeout)).alias("timeout_seconds"),
+        F.when(announce, F.lit(wanted.channel)).alias("channel"), F.when(announce, F.lit(wanted.target)).alias("target")
+    )
+
+
 def sync_status(actions: DataFrame) -> DataFrame:
     """One row, ``status``: synced if anything changes, else in_sync."""
     return actions.agg(F.when(F.count_if(F.col("action") == "would_update") > 0, "synced").otherwise("in_sync").alias("status"))

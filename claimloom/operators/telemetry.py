@@ -26,7 +26,10 @@ def usage_fold(rows: DataFrame, *groups: str) -> DataFrame:
 def usage_struct(prompt: Column, completion: Column, source: str) -> Column:
     """A usage block; two counts of 0 are no count at all."""
     nothing = (prompt == 0) & (completion == 0)
-    return F.struct(prompt.alias("prompt_tokens"), completion.alias("completion_tokens"), (prompt + completion).alias("total_tokens"), F.when(nothing, "unavailable").otherwise(source).alias("source"))
+    return F.struct(
+        prompt.alias("prompt_tokens"), completion.alias("completion_tokens"), (prompt + completion).alias("total_tokens"),
+        F.when(nothing, "unavailable").otherwise(source).alias("source")
+    )
 
 
 def status_by_day(events: DataFrame, ts: str, status: str) -> DataFrame:
@@ -39,7 +42,10 @@ def recall_surface(claims: DataFrame, now: Column) -> DataFrame:
     pool = claims.where(F.col("status").isin(RECALLED)).withColumn("age_days", age)
     scored = pool.withColumn("_score", recall_score(F.col("status"), F.col("age_days"), F.coalesce(F.size("provenance"), F.lit(0)), F.col("recurrence")))
     top = scored.orderBy(F.desc("_score"), F.coalesce("updated_at", F.lit("")), "id").limit(1)
-    return top.select("id", "type", "status", shortened(F.coalesce("text", F.lit("")), 240, 237, "...").alias("text"), "primary_home", "updated_at", "age_days", F.bround("_score", 3).alias("recall_score"))
+    return top.select(
+        "id", "type", "status", shortened(F.coalesce("text", F.lit("")), 240, 237, "...").alias("text"), "primary_home", "updated_at",
+        "age_days", F.bround("_score", 3).alias("recall_score")
+    )
 
 
 def posture(score: Column, names: list[str]) -> Column:

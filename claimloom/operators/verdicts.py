@@ -66,6 +66,11 @@ def scored_candidates(verdicts: DataFrame, candidates: DataFrame, run_id: str) -
     return verdicts.join(about, "candidate_id", "left").withColumn("run_id", F.lit(run_id))
 
 
+def only_asked(given: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """The answers to what was asked; rows on anything else, or on nothing, go."""
+    return given.join(asked.select(key).distinct(), key, "left_semi").select(*given.columns)
+
+
 def _rule(name: str, broken: Column) -> Column:
     return F.when(broken, F.lit(name))
 

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.text import blank, digest, lines_of, shortened, strip
 from claimloom.operators.resolve import active
+from claimloom.operators.verdicts import global_rank
 from claimloom.schemas import DIGEST_CAP, EP, EPISODE_DIR, HI, LT, PB, SECTIONS, WI
 
 # Titles and notes of the views.
-TITLES = {LT: "LTMEMORY — Purified Durable Memory", PB: "PLAYBOOKS — Purified Reusable Methods", EP: "EPISODES — Purified Event Digest", HI: "HISTORY — Personal Milestones & Turning Points", WI: "WISHES — Stable Aspirations"}
+TITLES = {
+    LT: "LTMEMORY — Purified Durable Memory", PB: "PLAYBOOKS — Purified Reusable Methods", EP: "EPISODES — Purified Event Digest",
+    HI: "HISTORY — Personal Milestones & Turning Points", WI: "WISHES — Stable Aspirations"
+}
 KEEP_OUT = "_Do not edit this file by hand — changes will be overwritten on the next run._"
 NOTES = {
     EP: "_Full narratives live in `episodes/<slug>.md`. This file is an index._",
@@ -56,7 +60,13 @@ def _tags() -> Column:
 
 def _contested() -> Column:
     some = lambda c: F.when(c != "", c)
-    each = F.transform("contradictions", lambda c: F.concat(F.lit("> - ["), F.coalesce(some(c["relation"]), F.lit("contested")), F.lit("] "), F.coalesce(some(c["competing_claim_id"]), some(c["competing_text"]), F.lit("(unknown)"))))
+    each = F.transform(
+        "contradictions",
+        lambda c: F.concat(
+            F.lit("> - ["), F.coalesce(some(c["relation"]), F.lit("contested")), F.lit("] "),
+            F.coalesce(some(c["competing_claim_id"]), some(c["competing_text"]), F.lit("(unknown)"))
+        )
+    )
     return F.when(F.size("contradictions") > 0, F.concat(F.lit("\n> Contested by:\n"), F.array_join(each, "\n")))
 
 
@@ -100,7 +110,10 @@ def episode_block() -> Column:
     first = F.get(F.col("provenance"), F.lit(0))
     source = blank(first["source"])
     link = F.when(source.startswith(EPISODE_DIR), F.concat(F.lit("["), source, F.lit("]("), source, F.lit(") "))).otherwise(F.concat(source, F.lit(" ")))
-    parts = F.array(F.concat(F.lit("_Source: "), link, F.coalesce(_span(first), F.lit("L1-1")), F.lit("_")), F.when(F.size(_tags()) > 0, F.concat(F.lit("_Tags: "), F.array_join(_tags(), ", "), F.lit("_"))))
+    parts = F.array(
+        F.concat(F.lit("_Source: "), link, F.coalesce(_span(first), F.lit("L1-1")), F.lit("_")),
+        F.when(F.size(_tags()) > 0, F.concat(F.lit("_Tags: "), F.array_join(_tags(), ", "), F.lit("_")))
+    )
     return _block(head, _filled(digest(F.col("text"), DIGEST_CAP)), F.lit(""), F.array_join(parts, "  "), _contested())
 
 
@@ -111,7 +124,13 @@ def _short_subject() -> Column:
 def history_block() -> Column:
     day = F.substring(_captured(), 1, 10)
     head = F.concat(F.lit("### "), F.when(day != "", F.concat(day, F.lit(" — "), _short_subject())).otherwise(_short_subject()))
-    parts = F.array_join(F.array(F.when(F.size("provenance") > 0, F.concat(F.lit("_Source: "), _sources(), F.lit("_"))), F.when(F.size(_tags()) > 0, F.concat(F.lit("_Tags: "), F.array_join(_tags(), ", "), F.lit("_")))), "  ")
+    parts = F.array_join(
+        F.array(
+            F.when(F.size("provenance") > 0, F.concat(F.lit("_Source: "), _sources(), F.lit("_"))),
+            F.when(F.size(_tags()) > 0, F.concat(F.lit("_Tags: "), F.array_join(_tags(), ", "), F.lit("_")))
+        ),
+        "  "
+    )
     return _block(head, _filled(strip(blank(F.col("text")))), F.when(parts != "", F.concat(F.lit("\n"), parts)), _contested())
 
 
@@ -146,10 +165,9 @@ def playbook_view(claims: DataFrame) -> DataFrame:
     here = active(claims).where((F.col("primary_home") == PB) & F.col("type").isin("method", "procedure"))
     tag = F.coalesce(F.get(_tags(), F.lit(0)), F.lit(OTHER))
     rows = _rows(here, tag, F.lit(0), ORDERS["subject_asc"](), claim_block())
-    names = rows.select("section").distinct()
-    place = Window.orderBy((F.col("section") == OTHER).asc(), F.lower("section"), "section")
-    numbered = names.withColumn("_o", F.row_number().over(place) - 1)
-    return rows.join(numbered, "section").select(F.col("_o").alias("section_ord"), "section", "row_ord", "id", "block")
+    names = rows.select("section").distinct().withColumns({"_last": F.col("section") == OTHER, "_low": F.lower("section")})
+    numbered = global_rank(names, "_last", "_low", "section", out="_o").select("section", F.col("_o").cast("int").alias("section_ord"))
+    return rows.drop("section_ord").join(numbered, "section").select("section_ord", "section", "row_ord", "id", "block")
 
 
 def episode_view(claims: DataFrame) -> DataFrame:
@@ -172,7 +190,8 @@ VIEWS = {LT: memory_view, PB: playbook_view, EP: episode_view, HI: history_view,
 
 
 def view_text(rows: DataFrame, home: str, stamp: str, zone: str) -> str:
-    """A view as markdown. It is one file for people to read, so its blocks come to the driver, in order."""
+    """A view as markdown, stamped with a local time and its zone. It is one file for people to read, so its blocks come
+    to the driver, one partition after the other, in order."""
     head = [f"# {TITLES[home]}", "", f"_Regenerated {stamp[:10]} {stamp.split('T')[1][:5] if 'T' in stamp else ''} {zone} from the claim store._"]
     if home == LT:
         head.append(KEEP_OUT)

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.functions import dates, text
 from claimloom.operators import clusters, delta, extract, integrity, merge, recovery, resolve, retrieval, schedule, telemetry, verdicts, views
+from claimloom.plans.engine import Settings, claims_of
 from claimloom.plans.oracle import ORACLE
-from claimloom.schemas import CONFIDENCE, DEFAULT_HOME, EP, FRESHNESS, HI, HOMES, LT, PB, TYPES, WI
-from claimloom.sources import files, fixtures
+from claimloom.plans.store import TABLES
+from claimloom.schemas import CLAIM_SCORES, CONFIDENCE, DEFAULT_HOME, EP, FRESHNESS, HI, HOMES, LT, PB, TYPES, WI
+from claimloom.sources import files, fixtures, jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -53,7 +56,10 @@ def _six(c: str | Column) -> Column:
 def extract_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fixtures.src_docs(_docs(spark, sf_dir))
     rows = extract.with_paragraphs(docs).select("doc_id", F.explode("units").alias("u"))
-    return rows.select("doc_id", F.col("u.start").alias("line_start"), F.col("u.end").alias("line_end"), F.length("u.body").cast("long").alias("n_chars"), F.md5("u.body").alias("body_md5"))
+    return rows.select(
+        "doc_id", F.col("u.start").alias("line_start"), F.col("u.end").alias("line_end"), F.length("u.body").cast("long").alias("n_chars"),
+        F.md5("u.body").alias("body_md5")
+    )
 
 
 @_query
@@ -99,7 +105,13 @@ def cursor_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.verdict_rows(_docs(spark, sf_dir).where("doc_id is not null"))
     d = F.col("doc_id")
-    plain = {n: ((d * k) % 101) / 100.0 for n, k in zip(["durability", "future_judgment_value", "action_value", "identity_relationship_weight", "cross_time_persistence", "noise_risk"], (3, 7, 11, 13, 17, 19), strict=True)}
+    plain = {
+        n: ((d * k) % 101) / 100.0 for n,
+        k in zip(
+            ["durability", "future_judgment_value", "action_value", "identity_relationship_weight", "cross_time_persistence", "noise_risk"],
+            (3, 7, 11, 13, 17, 19), strict=True
+        )
+    }
     return rows.select("candidate_id", _six(verdicts.strength(lambda n: plain[n])).alias("strength"))
 
 
@@ -107,8 +119,17 @@ def strength(spark: SparkSession, sf_dir: str) -> DataFrame:
 def verdict_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     d = F.col("doc_id")
-    plain = {n: ((d * k) % 101) / 100.0 for n, k in zip(["durability", "future_judgment_value", "action_value", "identity_relationship_weight", "cross_time_persistence", "noise_risk"], (3, 7, 11, 13, 17, 19), strict=True)}
-    return docs.select(F.concat(F.lit("cand-"), d.cast("string")).alias("candidate_id"), verdicts.rule_verdict(verdicts.strength(lambda n: plain[n]), plain["noise_risk"]).alias("verdict"))
+    plain = {
+        n: ((d * k) % 101) / 100.0 for n,
+        k in zip(
+            ["durability", "future_judgment_value", "action_value", "identity_relationship_weight", "cross_time_persistence", "noise_risk"],
+            (3, 7, 11, 13, 17, 19), strict=True
+        )
+    }
+    return docs.select(
+        F.concat(F.lit("cand-"), d.cast("string")).alias("candidate_id"),
+        verdicts.rule_verdict(verdicts.strength(lambda n: plain[n]), plain["noise_risk"]).alias("verdict")
+    )
 
 
 @_query
@@ -132,9 +153,14 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def json_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id") % 4
-    raw = F.when(e == 0, F.col("props")).when(e == 1, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(e == 2, F.concat(F.lit("Here it is: "), "props", F.lit(" as asked."))).otherwise("no answer")
+    raw = F.when(e == 0, F.col("props")).when(e == 1, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(
+        e == 2, F.concat(F.lit("Here it is: "), "props", F.lit(" as asked."))
+    ).otherwise("no answer")
     value = recovery.recovered_json(raw)
-    return _read(spark, sf_dir, "events").select("event_id", recovery.recovery_step(raw).alias("step"), F.try_variant_get(value, "$.k", "bigint").alias("k"), recovery.recovery_error(raw, ["k"]).alias("error"))
+    return _read(spark, sf_dir, "events").select(
+        "event_id", recovery.recovery_step(raw).alias("step"), F.try_variant_get(value, "$.k", "bigint").alias("k"),
+        recovery.recovery_error(raw, ["k"]).alias("error")
+    )
 
 
 # Clusters
@@ -187,7 +213,9 @@ def _new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def norm_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _read(spark, sf_dir, "part").select(F.col("p_name").alias("s")).union(_read(spark, sf_dir, "customer").select("c_name")).union(_claims(spark, sf_dir).select("subject"))
+    names = _read(spark, sf_dir, "part").select(F.col("p_name").alias("s")).union(
+        _read(spark, sf_dir, "customer").select("c_name")
+    ).union(_claims(spark, sf_dir).select("subject"))
     return names.distinct().select("s", text.subject_key(F.col("s")).alias("n"))
 
 
@@ -201,13 +229,17 @@ def norm_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def retrieval_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = text.retrieval_tokens(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", F.array_sort(tokens).alias("t")).select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
+    return _docs(spark, sf_dir).select("doc_id", F.array_sort(tokens).alias("t")).select(
+        "doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5")
+    )
 
 
 @_query
 def dup_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = text.duplicate_tokens(F.col("text"))
-    return _docs(spark, sf_dir).select("doc_id", F.array_sort(tokens).alias("t")).select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
+    return _docs(spark, sf_dir).select("doc_id", F.array_sort(tokens).alias("t")).select(
+        "doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5")
+    )
 
 
 @_query
@@ -219,13 +251,18 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def entity_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", F.explode(text.entity_mentions(F.col("text"))).alias("entity")).groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
+    return _docs(spark, sf_dir).select(
+        "doc_id", F.explode(text.entity_mentions(F.col("text"))).alias("entity")
+    ).groupBy("doc_id", "entity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @_query
 def text_truncations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return _docs(spark, sf_dir).select("doc_id", F.md5(text.shortened(t, 80, 77, "…")).alias("heading_md5"), F.md5(text.shortened(t, 240, 237, "...")).alias("recall_md5"), text.approximate_tokens(t).alias("tokens"))
+    return _docs(spark, sf_dir).select(
+        "doc_id", F.md5(text.shortened(t, 80, 77, "…")).alias("heading_md5"), F.md5(text.shortened(t, 240, 237, "...")).alias("recall_md5"),
+        text.approximate_tokens(t).alias("tokens")
+    )
 
 
 # New claims against prior ones
@@ -381,20 +418,21 @@ def normalization_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def integrity_supersedes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.supersession_violations(_store(spark, sf_dir))
+    return integrity.supersession_violations(fixtures.broken_claims(_docs(spark, sf_dir)))
 
 
 @_query
 def integrity_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _claims(spark, sf_dir)
     wrong = F.when(F.col("ord") % 10 == 0, "OTHER.md").otherwise(F.col("primary_home"))
-    table = rows.groupBy(wrong.alias("home")).agg(F.collect_list("id").alias("claim_ids"))
+    named = F.when(F.col("ord") % 15 == 0, F.concat(F.lit("unknown-"), F.col("ord").cast("string"))).otherwise(F.col("id"))
+    table = rows.groupBy(wrong.alias("home")).agg(F.collect_list(named).alias("claim_ids"))
     return integrity.route_violations(table, rows)
 
 
 @_query
 def integrity_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.claim_violations(_claims(spark, sf_dir).withColumn("supersedes", F.array().cast("array<string>")), "business")
+    return integrity.claim_violations(fixtures.broken_claims(_docs(spark, sf_dir)), "business")
 
 
 # Runs
@@ -414,7 +452,11 @@ def age_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def usage_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
-    rows = _read(spark, sf_dir, "events").select("event_type", F.col("user_id").alias("prompt_tokens"), (e % 7).alias("completion_tokens"), (F.col("user_id") + e % 7).alias("total_tokens"), F.get(F.array(F.lit("exact"), F.lit("approximate"), F.lit("unavailable")), (e % 3).cast("int")).alias("source"))
+    rows = _read(spark, sf_dir, "events").select(
+        "event_type", F.col("user_id").alias("prompt_tokens"), (e % 7).alias("completion_tokens"),
+        (F.col("user_id") + e % 7).alias("total_tokens"),
+        F.get(F.array(F.lit("exact"), F.lit("approximate"), F.lit("unavailable")), (e % 3).cast("int")).alias("source")
+    )
     return telemetry.usage_fold(rows, "event_type")
 
 
@@ -433,8 +475,12 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job a customer: some fields missing, some schedules odd."""
     k = F.col("c_custkey")
     name = F.concat(F.when(k % 9 == 0, "other-").otherwise("claims-"), F.when(k % 2 == 0, "reconciliation-").otherwise("incremental-"), k.cast("string"))
-    cron = F.when(k % 7 == 0, "").otherwise(F.concat((k % 60).cast("string"), F.lit(" "), (k % 24).cast("string"), F.lit(" * * "), F.when(k % 5 == 0, "*").otherwise((k % 7).cast("string"))))
-    return _read(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), cron.alias("cron"), F.lit("UTC").alias("tz"), F.when(k % 4 != 0, k % 3 == 0).alias("deliver"))
+    cron = F.when(k % 7 == 0, "").otherwise(
+        F.concat((k % 60).cast("string"), F.lit(" "), (k % 24).cast("string"), F.lit(" * * "), F.when(k % 5 == 0, "*").otherwise((k % 7).cast("string")))
+    )
+    return _read(spark, sf_dir, "customer").select(
+        "c_custkey", name.alias("name"), cron.alias("cron"), F.lit("UTC").alias("tz"), F.when(k % 4 != 0, k % 3 == 0).alias("deliver")
+    )
 
 
 @_query
@@ -464,7 +510,10 @@ def config_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def prior_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = retrieval.prior_context(_prior(spark, sf_dir))
-    return rows.select("claim_id", "type", "primary_home", _joined(F.transform("provenance", lambda p: p["source"])).alias("sources"), F.get(F.col("provenance"), F.lit(0))["line_span"][1].alias("last_line"))
+    return rows.select(
+        "claim_id", "type", "primary_home", _joined(F.transform("provenance", lambda p: p["source"])).alias("sources"),
+        F.get(F.col("provenance"), F.lit(0))["line_span"][1].alias("last_line")
+    )
 
 
 # Views
@@ -497,3 +546,232 @@ def view_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def view_wishes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, WI)
+
+
+# Files and lines
+
+
+@_query
+def discovered_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, missing, denied = files.discover(fixtures.source_files(_docs(spark, sf_dir)), "personal", fixtures.CHECKED)
+    row = lambda df, kind: df.select(F.lit(kind).alias("kind"), "path", F.col("severity") if "severity" in df.columns else F.lit(None).cast("string").alias("severity"))
+    return row(found, "found").unionByName(row(missing, "missing")).unionByName(row(denied, "denied"))
+
+
+@_query
+def denied_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.source_files(_docs(spark, sf_dir)).where(files.is_denied(F.col("path")))
+
+
+@_query
+def type_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.source_files(_docs(spark, sf_dir)).select("path", extract.type_hint(F.col("path")).alias("hint"))
+
+
+@_query
+def jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fixtures.written_lines(_read(spark, sf_dir, "customer"))
+    return jsonl.read_jsonl(spark, path, T.StructType.fromDDL("k long, name string"), None)
+
+
+@_query
+def jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fixtures.written_lines(_read(spark, sf_dir, "customer"))
+    return jsonl.read_jsonl_checked(spark, path, T.StructType.fromDDL("k long, name string"))[1].select("line", "value")
+
+
+@_query
+def episode_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = extract.with_whole(_docs(spark, sf_dir).select("doc_id", "text")).select("doc_id", F.explode("units").alias("u"))
+    return rows.select("doc_id", F.col("u.start").alias("line_start"), F.col("u.end").alias("line_end"), F.md5("u.body").alias("body_md5"))
+
+
+# Passes
+
+
+@_query
+def cluster_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = clusters.build_clusters(fixtures.survivors(_docs(spark, sf_dir)))
+    each = lambda f: F.transform("candidates", f)
+    sources = F.array_sort(F.array_distinct(F.flatten(each(lambda c: F.transform(c["source_refs"], lambda r: r["source"])))))
+    hints = F.col("cluster_hints")
+    return made.select(
+        "cluster_id", _joined(each(lambda c: c["candidate_id"])).alias("members"), _joined(sources).alias("sources"),
+        hints["shared_subject"].alias("subject"), hints["proposed_type"].alias("kind"), hints["proposed_primary_home"].alias("home")
+    )
+
+
+@_query
+def scored_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    known = docs.where("doc_id % 3 <> 0").select(
+        F.concat(F.lit("cand-"), F.col("doc_id").cast("string")).alias("candidate_id"), "text", F.lit("fact").alias("type_hint"),
+        F.array().cast("array<string>").alias("source_refs")
+    )
+    return verdicts.scored_candidates(fixtures.verdict_rows(docs), known, fixtures.RUN).select(
+        "candidate_id", "verdict", "run_id", "type_hint", F.md5("text").alias("text_md5")
+    )
+
+
+@_query
+def asked_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.verdict_rows(_docs(spark, sf_dir))
+    return verdicts.only_asked(rows, rows.where("doc_id % 4 = 0"), "candidate_id").select("candidate_id", "verdict")
+
+
+@_query
+def canonical_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims, made, shown = fixtures.canonical_rows(_docs(spark, sf_dir))
+    return integrity.canonical_violations(claims, made, "business", shown)
+
+
+@_query
+def stored_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, none = _new(spark, sf_dir), F.lit(None).cast("string")
+    canonical = F.struct("type", "status", "text", "subject", "predicate", "object", "primary_home", "secondary_tags")
+    answers = new.select(
+        F.lit("<new>").alias("claim_id"), F.col("id").alias("source_cluster_id"),
+        F.struct(*[F.lit(0.5).alias(n) for n in CLAIM_SCORES]).alias("scores"), canonical.alias("canonical"), "provenance",
+        "contradictions", "supersedes", "superseded_by", none.alias("freshness_posture"), "confidence_posture", none.alias("rationale"),
+        none.alias("route_rationale")
+    )
+    out = claims_of(answers, _prior(spark, sf_dir), Settings("", "", fixtures.RUN, fixtures.NOW))
+    flagged = F.get(F.col("contradictions"), F.lit(0))["flagged_in_run_id"]
+    return out.select(
+        "source_cluster_id", "id", "status", "profile_scope", "updated_in_run_id", "updated_at", flagged.alias("flagged_in"),
+        _joined(F.transform("provenance", lambda p: p["source"])).alias("sources")
+    )
+
+
+RECENT = "2024-02-05T00:00:00Z"
+
+
+def _ranked_recent(spark: SparkSession, sf_dir: str, keep: int) -> DataFrame:
+    return retrieval.ranked_priors(fixtures.clusters_q(_docs(spark, sf_dir)).withColumn("subject", F.lower("subject")), _prior(spark, sf_dir), F.lit(RECENT), keep)
+
+
+@_query
+def prior_topk_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ranked_recent(spark, sf_dir, 5).where("rank between 1 and 5").select("cluster_id", "claim_id", "rank", _six("score").alias("score"))
+
+
+@_query
+def reconciliation_priors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cap, each = retrieval.caps("reconciliation")
+    ranked = _ranked_recent(spark, sf_dir, each + retrieval.BONUS)
+    return retrieval.global_cap(retrieval.widened(ranked, each), cap).select("claim_id", _six("score").alias("score"))
+
+
+# Checks of a published version
+
+
+def _views(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(LT, "nothing"), (PB, "### a claim"), (EP, "nothing"), (HI, "nothing"), (WI, "### a wish")], "home string, text string")
+
+
+@_query
+def view_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _claims(spark, sf_dir)
+    both = [integrity.view_violations(_views(spark), rows, p).withColumn("profile", F.lit(p)) for p in ("business", "personal")]
+    return both[0].unionByName(both[1])
+
+
+@_query
+def check_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = integrity.claim_violations(fixtures.broken_claims(_docs(spark, sf_dir)), "business")
+    parts = {"all": found, "warnings": found.where("rule like 'warn:%'"), "none": found.where("rule = ''")}
+    out = [integrity.report_status(rows).withColumn("part", F.lit(name)) for name, rows in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@_query
+def manifest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.manifest_violations(fixtures.manifests(_docs(spark, sf_dir)), "doc_id", "body")
+
+
+@_query
+def store_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.store_violations(spark, TABLES, TABLES[:3], HOMES, HOMES[1:])
+
+
+@_query
+def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.entity_rows(_claims(spark, sf_dir))
+
+
+@_query
+def route_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.route_rows(_claims(spark, sf_dir))
+
+
+# Times, versions, usage
+
+
+@_query
+def claim_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at, d = F.col("updated_at"), F.col("ord") % 5
+    bare = F.replace(at, F.lit("Z"), F.lit(""))
+    odd = F.when(d == 0, at).when(d == 1, F.concat(bare, F.lit("+02:00"))).when(d == 2, bare).when(d == 3, "junk")
+    return _claims(spark, sf_dir).select("id", dates.epoch(odd).alias("epoch"))
+
+
+@_query
+def time_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _claims(spark, sf_dir)
+    known, unknown = (rows.select("id", F.lit(z).alias("asked"), *dates.time_triple(F.col("updated_at"), z)) for z in ("Etc/GMT+5", "Nowhere/None"))
+    return known.unionByName(unknown)
+
+
+@_query
+def schedule_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events").select("event_id", dates.in_window(F.dayofweek("ts") - 1, F.hour("ts"), fixtures.SCHEDULES).alias("inside"))
+
+
+@_query
+def run_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    return _docs(spark, sf_dir).select("doc_id", telemetry.run_seconds(fixtures.updated_at(d), fixtures.updated_at(d + d % 50)).alias("seconds"))
+
+
+@_query
+def version_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    version = F.concat((k % 10).cast("string"), F.lit("."), (k % 77).cast("string"), F.lit("-rc."), F.when(k % 3 == 0, "x").otherwise((k % 5).cast("string")))
+    return _read(spark, sf_dir, "part").select("p_partkey", _joined(F.transform(text.version_tuple(version), lambda x: x.cast("string"))).alias("parts"))
+
+
+@_query
+def state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(v, telemetry.state_version(v, "1.0.0", "1.0.0")) for v in ("1.0.0", "1.1.0")], "logic string, state string")
+
+
+@_query
+def usage_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    made = telemetry.usage_struct(e % 3, F.when(e % 2 == 0, 0).otherwise(e % 7), "exact")
+    return _read(spark, sf_dir, "events").select("event_id", made.alias("u")).select("event_id", "u.*")
+
+
+@_query
+def unwrapped_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    said = F.concat(F.lit("said "), e.cast("string"))
+    made = F.when(
+        e % 5 == 0, F.concat(F.lit('{"response": "'), said, F.lit('", "text": "later"}'))
+    ).when(e % 5 == 1, F.concat(F.lit('{"message": " ", "content": "'), said, F.lit('"}')))
+    made = made.when(e % 5 == 2, F.concat(F.lit('{"output": {"k": 1}, "result": "'), said, F.lit('"}'))).when(e % 5 == 3, said).otherwise(F.col("props"))
+    return _read(spark, sf_dir, "events").select("event_id", recovery.unwrapped(made).alias("answer"))
+
+
+# Scheduler
+
+
+@_query
+def listed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule.listed_jobs(fixtures.listings(_read(spark, sf_dir, "customer")), "body", "claims-").select("name", "cron", "deliver")
+
+
+@_query
+def sync_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = schedule.listed_jobs(fixtures.listings(_read(spark, sf_dir, "customer")), "body", "claims-")
+    return schedule.sync_plan(jobs, schedule.Delivery(enabled=True, channel="c", target="t"), "claims-")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from claimloom.operators.extract import MIN_CHARS
-from claimloom.schemas import AFFINITY, DEFAULT_HOME, DUPLICATE_STOPWORDS, ENTITY_STOPWORDS, HOMES, INACTIVE, RELATIONS, RETRIEVAL_STOPWORDS, SECTIONS, STATUSES, TYPES, VERDICT_SCORES, VERDICTS
-from claimloom.sources.fixtures import NOW, REMOVED, RUN, STEMS
+from claimloom.plans.store import TABLES
+from claimloom.schemas import (
+    AFFINITY, DEFAULT_HOME, DENIED_FILES, DUPLICATE_STOPWORDS, ENTITY_STOPWORDS, HOMES, INACTIVE, MANIFEST_KEYS, PERSONAL_HOMES, PERSONAL_SOURCES, RELATIONS, RETRIEVAL_STOPWORDS, SECTIONS,
+    SHARED_SOURCES, SOURCE_TYPES, STATUSES, TYPES, VERDICT_SCORES, VERDICTS,
+)
+from claimloom.sources.fixtures import CHECKED, HINTS, NAMED, NOW, REMOVED, RUN, STEMS
 
 
 def _list(values: list) -> str:
@@ -58,6 +62,7 @@ def _score(name: str, k: int) -> str:
     return f"((doc_id * {k}) % 101) / 100.0::DOUBLE"
 
 
+_WORD = "\\p{L}\\p{M}\\p{Nd}\\p{Pc}"  # characters of words
 _SCORES = dict(zip(VERDICT_SCORES, (3, 7, 11, 13, 17, 19), strict=True))
 _TOTAL = " + ".join(_score(n, k) for n, k in list(_SCORES.items())[:5]) + f" - {_score('noise_risk', 19)}"
 _UPDATED = "CAST(DATE '2024-01-01' + CAST(doc_id // 24 AS INTEGER) AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00Z'"
@@ -115,7 +120,7 @@ CTES = {
     "q": f"SELECT cluster_id, qs, {_retrieval('qs')} AS qst, ['operator'] AS qe, {_retrieval('text')} AS qtok, qt, qh FROM clusters",
     "c": f"SELECT ord, id AS claim_id, updated_at, lower({_strip('subject')}) AS cs, {_retrieval("lower(" + _strip("subject") + ")")} AS cst, {_retrieval('predicate')} AS cp, {_retrieval('text')} AS ct, primary_home AS ch, type AS ctype FROM claims WHERE NOT is_new",
     "scored": f"""
-  SELECT cluster_id, claim_id, ord, updated_at,
+  SELECT cluster_id, claim_id, ord, updated_at, qs <> '' AND qs = cs AS same_subject,
     (CASE WHEN qs <> '' AND qs = cs THEN 3.0 ELSE 0.0 END)::DOUBLE + 2.0::DOUBLE * {_jaccard('qst', 'cst')}
     + 1.5::DOUBLE * least(1.0::DOUBLE, len(list_intersect(qe, ct)) / 1.0::DOUBLE)
     + (CASE WHEN qh = ch THEN 1.0 ELSE 0.0 END)::DOUBLE + (CASE WHEN qt = ctype THEN 0.5 ELSE 0.0 END)::DOUBLE + 1.0::DOUBLE * {_jaccard('qtok', 'ct')}
@@ -124,13 +129,50 @@ CTES = {
     "ranked": f"SELECT cluster_id, claim_id, ord, updated_at, score, row_number() OVER (PARTITION BY cluster_id ORDER BY round(score, 9) DESC, {_LATEST}, ord) AS rank FROM scored WHERE score >= 0.5::DOUBLE",
     "border": "SELECT cluster_id, row_number() OVER (ORDER BY cluster_id) AS k FROM (SELECT DISTINCT cluster_id FROM scored WHERE score >= 0.3::DOUBLE AND score < 0.5::DOUBLE)",
     "wide": "SELECT r.* FROM ranked r LEFT JOIN border b USING (cluster_id) WHERE rank <= 5 + CASE WHEN b.k IS NULL THEN 0 ELSE greatest(0, least(3, 30 - 3 * (b.k - 1))) END",
+    "scored_recent": "SELECT * REPLACE (score + CASE WHEN same_subject AND epoch(TIMESTAMP '2024-02-05 00:00:00') - epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP)) <= 30 * 86400 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score) FROM scored",
+    "ranked_recent": f"SELECT cluster_id, claim_id, ord, updated_at, score, row_number() OVER (PARTITION BY cluster_id ORDER BY round(score, 9) DESC, {_LATEST}, ord) AS rank FROM scored_recent WHERE score >= 0.5::DOUBLE",
+    "border_recent": "SELECT cluster_id, row_number() OVER (ORDER BY cluster_id) AS k FROM (SELECT DISTINCT cluster_id FROM scored_recent WHERE score >= 0.3::DOUBLE AND score < 0.5::DOUBLE)",
+    "wide_recent": "SELECT r.* FROM ranked_recent r LEFT JOIN border_recent b USING (cluster_id) WHERE rank <= 10 + CASE WHEN b.k IS NULL THEN 0 ELSE greatest(0, least(3, 30 - 3 * (b.k - 1))) END",
     "affinity": "SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{s}', {_list(a)}, {_list(i)})" for t, (s, a, i) in AFFINITY.items()) + ") AS v(type, strong, acceptable, impossible)",
     "routed": "SELECT c.*, CASE WHEN list_contains(a.impossible, primary_home) THEN 'impossible' WHEN a.strong = primary_home THEN 'strong' WHEN list_contains(a.acceptable, primary_home) THEN 'acceptable' ELSE 'suspicious' END AS state, a.strong FROM claims c JOIN affinity a USING (type)",
     "retired": f"SELECT id, sources FROM claims WHERE NOT is_new AND status NOT IN {_in(INACTIVE)} AND len(list_filter(sources, lambda s: NOT list_contains({_list(REMOVED)}, s))) = 0",
     "shown_": f"SELECT * FROM (SELECT * REPLACE (({_list(STATUSES)})[(ord // 11) % 7 + 1] AS status) FROM claims) WHERE status NOT IN {_in(INACTIVE)}",
     "jobs": "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN 'other-' ELSE 'claims-' END || CASE WHEN c_custkey % 2 = 0 THEN 'reconciliation-' ELSE 'incremental-' END || c_custkey AS name, c_custkey % 7 <> 0 AS ok, c_custkey % 60 AS mi, c_custkey % 24 AS ho, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey % 7 END AS dow, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 3 = 0 END AS deliver FROM customer",
     "job_fires": "SELECT c_custkey, min(t) AS t FROM (SELECT c_custkey, dow, unnest([TIMESTAMP '2025-03-01 00:00:00' + to_days(CAST(k AS INTEGER)) + to_hours(ho) + to_minutes(mi) FOR k IN range(0, 8)]) AS t FROM jobs WHERE ok) WHERE t > TIMESTAMP '2025-03-01 10:30:00' AND (dow IS NULL OR dayofweek(t) = dow) GROUP BY c_custkey",
+    "files": f"SELECT CASE WHEN doc_id < {len(NAMED)} THEN ({_list(NAMED)})[doc_id + 1] ELSE ['episodes/', 'memory/', 'notes/'][doc_id % 3 + 1] || doc_id || '.md' END AS path FROM documents",
+    "survivors_": f"SELECT doc_id, component, 'd' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS cid, ({_list(HINTS)})[doc_id % 5 + 1] AS hint, ['src' || (doc_id % 4), 'src' || (doc_id % 7)] AS srcs FROM documents JOIN labels_ ON id = doc_id",
+    "kinds_": "SELECT component, hint, row_number() OVER (PARTITION BY component ORDER BY count(*) DESC, min(cid)) AS rn FROM survivors_ GROUP BY component, hint",
+    "subjects_": "SELECT component, src, row_number() OVER (PARTITION BY component ORDER BY count(*) DESC, min(cid || pos)) AS rn FROM (SELECT component, cid, unnest(srcs) AS src, unnest([0, 1]) AS pos FROM survivors_) GROUP BY component, src",
+    "canon": f"SELECT doc_id AS k, 'clust-' || CASE WHEN doc_id % 11 = 0 THEN doc_id + 1 ELSE doc_id END AS id FROM documents",
+    "bad": """
+  SELECT ord, CASE WHEN ord % 53 = 0 THEN NULL WHEN ord % 59 = 0 THEN 'other-' || (ord + 1) ELSE 'other-' || ord END AS id, CASE WHEN ord % 61 = 0 THEN 'odd' ELSE type END AS type,
+    CASE WHEN ord % 67 = 0 THEN 'odd' ELSE status END AS status, CASE WHEN ord % 71 = 0 THEN 'odd' ELSE primary_home END AS home,
+    ord % 3 = 0 AND ord % 71 <> 0 AS self_tag, ord % 73 = 0 AS no_text, ord % 73 <> 0 AND ord % 7 = 3 AS long_text, ord % 6 = 1 AS alien, ord % 47 = 0 AS no_source, ord % 5 = 0 AS from_episode,
+    CASE WHEN ord % 10 = 0 THEN ['other-' || (ord + 1), 'other-' || ord] WHEN ord % 10 = 4 THEN ['nobody'] WHEN ord % 10 = 6 THEN ['other-' || (ord + 1)] ELSE [] END AS down,
+    CASE WHEN ord % 10 = 7 THEN ['other-' || (ord - 1)] WHEN ord % 10 = 8 THEN ['other-' || ord] WHEN ord % 10 = 9 THEN ['nobody'] ELSE [] END AS up
+  FROM claims""",
+    "bad_down": "SELECT id, unnest(down) AS other FROM bad WHERE id IS NOT NULL",
+    "bad_up": "SELECT id, unnest(up) AS other FROM bad WHERE id IS NOT NULL",
+    "bad_marked": "SELECT id AS other, bool_or(status = 'superseded') AS marked FROM bad WHERE id IS NOT NULL GROUP BY id",
+    "bad_links": """
+  SELECT id, 'supersedes_self' AS rule FROM bad_down WHERE id = other UNION ALL SELECT id, 'superseded_by_self' FROM bad_up WHERE id = other
+  UNION ALL SELECT id, 'warn:supersedes_dangling' FROM bad_down WHERE other NOT IN (SELECT other FROM bad_marked)
+  UNION ALL SELECT id, 'supersedes_status' FROM bad_down JOIN bad_marked USING (other) WHERE NOT marked
+  UNION ALL SELECT id, 'warn:superseded_by_dangling' FROM bad_up WHERE other NOT IN (SELECT other FROM bad_marked)
+  UNION ALL SELECT d.id, 'supersedes_one_sided' FROM bad_down d JOIN bad_marked USING (other) WHERE d.id <> d.other AND NOT EXISTS (SELECT 1 FROM bad_up u WHERE u.id = d.other AND u.other = d.id)""",
+    "bad_routed": f"SELECT b.id, CASE WHEN list_contains(a.impossible, b.home) THEN 'impossible' WHEN a.strong = b.home THEN 'strong' WHEN list_contains(a.acceptable, b.home) THEN 'acceptable' ELSE 'suspicious' END AS state FROM bad b JOIN affinity a USING (type) WHERE b.id IS NOT NULL AND b.home IN {_in([h for h in HOMES if h not in PERSONAL_HOMES])}",
+    "bad_found": f"""
+  SELECT id, rule FROM (SELECT id, unnest([
+      CASE WHEN type = 'odd' THEN 'type' END, CASE WHEN status = 'odd' THEN 'status' END, CASE WHEN home = 'odd' THEN 'primary_home' END, CASE WHEN home IN {_in(PERSONAL_HOMES)} THEN 'personal_home' END,
+      CASE WHEN no_text THEN 'text_empty' END, CASE WHEN no_source THEN 'provenance_empty' END, CASE WHEN self_tag THEN 'warn:self_tag' END, CASE WHEN alien THEN 'warn:profile_scope' END,
+      CASE WHEN type = 'episode' AND long_text THEN 'warn:digest_long' END, CASE WHEN type = 'episode' AND NOT no_source AND NOT from_episode THEN 'warn:episode_source' END]) AS rule FROM bad WHERE id IS NOT NULL) WHERE rule IS NOT NULL
+  UNION ALL SELECT NULL, 'id_missing' FROM bad WHERE id IS NULL
+  UNION ALL SELECT id, CASE WHEN state = 'impossible' THEN 'route_impossible' ELSE 'warn:route' END FROM bad_routed WHERE state <> 'strong'
+  UNION ALL SELECT id, 'id_duplicate' FROM bad WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+  UNION ALL SELECT id, rule FROM bad_links""",
+    "lists": f"SELECT c_custkey AS k, 'claims-' || c_custkey AS name, CASE WHEN c_custkey % 4 <> 0 THEN (c_custkey % 60) || ' 3 * * *' END AS cron, ([true, false, false, true, false, true, NULL])[c_custkey % 7 + 1] AS deliver FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 31 <> 0",
     "active_": f"SELECT * FROM claims WHERE status NOT IN {_in(INACTIVE)}",
+    "homes_active": "SELECT primary_home AS home, count(*) AS n FROM active_ GROUP BY primary_home",
 }
 
 
@@ -229,9 +271,51 @@ GROUP BY component""",
     "route_warnings": "SELECT id, type, primary_home, state AS route_state FROM routed WHERE state <> 'strong'",
     "default_homes": f"SELECT c.id, h.home AS proposed_home FROM claims c JOIN (VALUES {_values(list(DEFAULT_HOME.items()))}) AS h(type, home) USING (type)",
     "normalization_signature": "SELECT id, ns || '|' || np || '|' || nh AS sig, 'cl-' || substr(sha256(subject || '|' || predicate || '|' || text || '|' || primary_home), 1, 16) AS stable_id FROM keyed",
-    "integrity_supersedes": "SELECT by_id AS id, 'supersedes_one_sided' AS rule FROM supers",
-    "integrity_routes": f"SELECT id, 'route_inactive' AS rule FROM claims WHERE status IN {_in(INACTIVE)} UNION ALL SELECT id, 'route_home' AS rule FROM claims WHERE ord % 10 = 0",
-    "integrity_claims": "SELECT id, CASE WHEN state = 'impossible' THEN 'route_impossible' ELSE 'warn:route' END AS rule FROM routed WHERE state <> 'strong' UNION ALL SELECT id, 'personal_home' AS rule FROM claims WHERE primary_home IN ('HISTORY.md', 'WISHES.md') UNION ALL SELECT id, 'warn:episode_source' AS rule FROM claims WHERE primary_home = 'EPISODES.md'",
+    "integrity_supersedes": "SELECT id, rule FROM bad_links",
+    "integrity_routes": f"SELECT 'unknown-' || ord AS id, 'route_unknown' AS rule FROM claims WHERE ord % 15 = 0 UNION ALL SELECT id, 'route_inactive' AS rule FROM claims WHERE ord % 15 <> 0 AND status IN {_in(INACTIVE)} UNION ALL SELECT id, 'route_home' AS rule FROM claims WHERE ord % 15 <> 0 AND ord % 10 = 0",
+    "integrity_claims": "SELECT id, rule FROM bad_found",
+    "discovered_sources": f"""
+SELECT 'found' AS kind, path, CAST(NULL AS VARCHAR) AS severity FROM files WHERE path IN {_in(SHARED_SOURCES + PERSONAL_SOURCES)} OR path LIKE 'episodes/%'
+UNION ALL SELECT 'missing', path, severity FROM (VALUES {_values([(n, 'warn') for n in SHARED_SOURCES] + [(n, 'info') for n in PERSONAL_SOURCES])}) AS v(path, severity) WHERE path NOT IN (SELECT path FROM files)
+UNION ALL SELECT 'denied', path, NULL FROM (VALUES {_values([(n,) for n in CHECKED])}) AS v(path) WHERE path IN {_in(DENIED_FILES)} OR path LIKE 'memory/%' OR path LIKE 'runtime/%'""",
+    "denied_paths": f"SELECT path FROM files WHERE path IN {_in(DENIED_FILES)} OR path LIKE 'memory/%' OR path LIKE 'runtime/%'",
+    "type_hints": "SELECT path, CASE WHEN path LIKE 'episodes/%' THEN 'episode' " + " ".join(f"WHEN path = '{k}' THEN '{v}'" for k, v in SOURCE_TYPES.items()) + " ELSE 'unknown' END AS hint FROM files",
+    "jsonl_records": "SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 7 NOT IN (0, 3)",
+    "jsonl_rejects": "SELECT line, '{broken ' || c_custkey AS value FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS line FROM customer) WHERE c_custkey % 7 = 3",
+    "episode_units": f"SELECT doc_id, CAST(1 AS INTEGER) AS line_start, CAST(greatest(1, len(string_split(text, chr(10))) - CASE WHEN ends_with(text, chr(10)) THEN 1 ELSE 0 END) AS INTEGER) AS line_end, md5({_strip('text')}) AS body_md5 FROM documents WHERE length({_strip('text')}) >= {MIN_CHARS}",
+    "cluster_hints": "SELECT 'clust-' || substr(sha256(string_agg(cid, '|' ORDER BY cid)), 1, 16) AS cluster_id, string_agg(cid, ',' ORDER BY cid) AS members, array_to_string(list_sort(list_distinct(flatten(list(srcs)))), ',') AS sources, any_value(j.src) AS subject, any_value(k.hint) AS kind, any_value(CASE k.hint " + " ".join(f"WHEN '{h}' THEN '{DEFAULT_HOME[h]}'" for h in HINTS if h in DEFAULT_HOME) + " END) AS home FROM survivors_ s JOIN kinds_ k ON k.component = s.component AND k.rn = 1 JOIN subjects_ j ON j.component = s.component AND j.rn = 1 GROUP BY s.component",
+    "scored_candidates": f"SELECT v.candidate_id, v.verdict, '{RUN}' AS run_id, CASE WHEN doc_id % 3 <> 0 THEN 'fact' END AS type_hint, CASE WHEN doc_id % 3 <> 0 THEN md5(text) END AS text_md5 FROM verdicts v JOIN documents USING (doc_id)",
+    "asked_verdicts": "SELECT candidate_id, verdict FROM verdicts WHERE doc_id % 4 = 0",
+    "canonical_checks": """
+SELECT id, rule FROM (SELECT id, unnest([
+    CASE WHEN k % 13 = 0 THEN 'score_missing:semantic_cluster_confidence' END, CASE WHEN k % 17 = 0 THEN 'score_range:canonical_clarity' END, CASE WHEN k % 19 = 0 THEN 'type' END, CASE WHEN k % 23 = 0 THEN 'status' END,
+    CASE WHEN k % 29 = 0 THEN 'primary_home' WHEN k % 5 >= 3 THEN 'personal_home' END, CASE WHEN k % 31 = 0 THEN 'text_empty' END, CASE WHEN k % 37 = 0 THEN 'provenance_empty' WHEN k % 43 = 0 THEN 'provenance_type' END,
+    CASE WHEN k % 10 = 0 THEN 'contradiction_empty' END, CASE WHEN k % 15 = 0 THEN 'contradiction_relation' END, CASE WHEN k % 47 = 0 THEN 'freshness_posture' END, CASE WHEN k % 7 = 2 THEN 'confidence_posture' END,
+    CASE WHEN k % 7 = 0 THEN 'claim_id_unknown' END]) AS rule FROM canon) WHERE rule IS NOT NULL
+UNION ALL SELECT id, 'cluster_duplicate' FROM canon GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT DISTINCT id, 'cluster_unknown' FROM canon WHERE id NOT IN (SELECT 'clust-' || k FROM canon)
+UNION ALL SELECT 'clust-' || k, 'cluster_missing' FROM canon WHERE 'clust-' || k NOT IN (SELECT id FROM canon)
+UNION ALL SELECT DISTINCT id, 'provenance_untraceable' FROM canon WHERE k % 37 <> 0 AND (k % 41 = 0 OR id NOT IN (SELECT 'clust-' || k FROM canon))""",
+    "stored_claims": f"SELECT c.id AS source_cluster_id, CASE WHEN d.disposition = 'reuse_existing' THEN r.target_id ELSE 'cl-' || substr(sha256(subject || '|' || predicate || '|' || text || '|' || primary_home), 1, 16) END AS id, CASE WHEN d.disposition = 'probable_duplicate' THEN 'probable_duplicate' ELSE status END AS status, 'business' AS profile_scope, '{RUN}' AS updated_in_run_id, '{NOW}' AS updated_at, CASE WHEN competing IS NOT NULL THEN '{RUN}' END AS flagged_in, array_to_string(sources, ',') AS sources FROM claims c JOIN disposed d ON d.id = c.id LEFT JOIN reuse r ON r.id = c.id AND r.rn = 1",
+    "prior_topk_recent": "SELECT cluster_id, claim_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM ranked_recent WHERE rank <= 5",
+    "reconciliation_priors": f"SELECT claim_id, round(score, 6) AS score FROM (SELECT claim_id, max(score) AS score, any_value(updated_at) AS updated_at, min(cluster_id || lpad(CAST(rank AS VARCHAR), 3, '0')) AS first FROM wide_recent GROUP BY claim_id) ORDER BY round(score, 9) DESC, {_LATEST}, first LIMIT 120",
+    "view_checks": "SELECT home AS id, 'warn:view_empty' AS rule, 'business' AS profile FROM homes_active WHERE home IN ('LTMEMORY.md', 'EPISODES.md') UNION ALL SELECT unnest(['HISTORY.md', 'WISHES.md']), 'warn:view_personal', 'business' UNION ALL SELECT home, 'warn:view_empty', 'personal' FROM homes_active WHERE home IN ('LTMEMORY.md', 'EPISODES.md', 'HISTORY.md')",
+    "check_status": "SELECT 'all' AS part, CASE WHEN count(*) FILTER (WHERE rule NOT LIKE 'warn:%') > 0 THEN 'errors' WHEN count(*) > 0 THEN 'warnings' ELSE 'ok' END AS status FROM bad_found UNION ALL SELECT 'warnings', CASE WHEN count(*) > 0 THEN 'warnings' ELSE 'ok' END FROM bad_found WHERE rule LIKE 'warn:%' UNION ALL SELECT 'none', 'ok'",
+    "manifest_checks": "SELECT doc_id AS id, CASE WHEN doc_id % 29 = 0 THEN 'manifest_unreadable' ELSE 'manifest_key:' || (" + _list(MANIFEST_KEYS) + ")[doc_id % 17 + 1] END AS rule FROM documents WHERE doc_id % 29 = 0 OR doc_id % 17 < 16 UNION ALL SELECT doc_id, 'warn:manifest_status' FROM documents WHERE doc_id % 5 = 0 AND doc_id % 17 <> 3 AND doc_id % 29 <> 0 UNION ALL SELECT doc_id, 'warn:manifest_profile' FROM documents WHERE doc_id % 7 = 0 AND doc_id % 17 <> 4 AND doc_id % 29 <> 0",
+    "store_checks": f"SELECT * FROM (VALUES {_values([(t, 'table_missing') for t in TABLES[3:]] + [(HOMES[0], 'warn:view_missing')])}) AS v(id, rule)",
+    "entity_rows": "SELECT DISTINCT subject, id AS claim_id FROM claims",
+    "route_rows": f"SELECT h.home, a.id AS claim_id FROM (VALUES {_values([(h,) for h in HOMES])}) AS h(home) LEFT JOIN active_ a ON a.primary_home = h.home",
+    "claim_epochs": "SELECT id, CAST(CASE ord % 5 WHEN 0 THEN e WHEN 1 THEN e - 7200 WHEN 2 THEN e ELSE 0 END AS DOUBLE) AS epoch FROM (SELECT *, epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP)) AS e FROM claims)",
+    "time_triples": "SELECT id, asked, strftime(moment + to_hours(h), '%Y-%m-%dT%H:%M:%S') || o AS timestamp, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS timestamp_utc, timezone FROM (SELECT id, CAST(replace(updated_at, 'Z', '') AS TIMESTAMP) AS moment FROM claims), (VALUES ('Etc/GMT+5', -5, '-05:00', 'Etc/GMT+5'), ('Nowhere/None', 8, '+08:00', 'Asia/Manila')) AS z(asked, h, o, timezone)",
+    "schedule_windows": "SELECT event_id, (dayofweek(ts) IN (1, 3) AND abs(hour(ts) - 3) <= 1) OR (dayofweek(ts) = 0 AND abs(hour(ts) - 22) <= 1) AS inside FROM events",
+    "run_durations": "SELECT doc_id, CAST(doc_id % 50 * 3600 AS DOUBLE) AS seconds FROM documents",
+    "version_parts": "SELECT p_partkey, (p_partkey % 10) || ',' || (p_partkey % 77) || ',' || CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE p_partkey % 5 END AS parts FROM part",
+    "state_versions": "SELECT logic, substr(sha1(logic || '|1.0.0|1.0.0'), 1, 12) AS state FROM (VALUES ('1.0.0'), ('1.1.0')) AS v(logic)",
+    "usage_blocks": "SELECT event_id, p AS prompt_tokens, c AS completion_tokens, p + c AS total_tokens, CASE WHEN p + c = 0 THEN 'unavailable' ELSE 'exact' END AS source FROM (SELECT event_id, event_id % 3 AS p, CASE WHEN event_id % 2 = 0 THEN 0 ELSE event_id % 7 END AS c FROM events)",
+    "unwrapped_answers": "SELECT event_id, CASE WHEN event_id % 5 = 4 THEN props ELSE 'said ' || event_id END AS answer FROM events",
+    "listed_jobs": "SELECT name, cron, deliver FROM lists",
+    "sync_plan": "SELECT name, step, command, CASE WHEN step = 2 THEN cron END AS cron, CASE WHEN step = 2 THEN 'Asia/Manila' END AS tz, CASE WHEN step = 2 THEN 1200 END AS timeout_seconds, CASE WHEN step = 2 THEN 'c' END AS channel, CASE WHEN step = 2 THEN 't' END AS target FROM lists, (VALUES (1, 'delete'), (2, 'add')) AS v(step, command) WHERE deliver = false AND cron IS NOT NULL",
+    "entity_mentions": f"SELECT doc_id, entity, count(*) AS n FROM (SELECT doc_id, unnest(list_filter(regexp_extract_all(text, '(?:^|[^{_WORD}])([A-Z][{_WORD}./-]*[{_WORD}])', 1), lambda e: length(e) >= 3 AND NOT list_contains({_list(ENTITY_STOPWORDS)}, e))) AS entity FROM documents) GROUP BY doc_id, entity",
     "recall_surface": f"""
 SELECT id, status, age_days, round_even(score, 3) AS recall_score FROM (
   SELECT id, status, updated_at, age_days, least(age_days::DOUBLE, 14.0::DOUBLE) * 0.1::DOUBLE + (CASE status WHEN 'contested' THEN 3.0 WHEN 'unresolved' THEN 2.0 ELSE 1.0 END)::DOUBLE + least(len(sources)::DOUBLE, 5.0::DOUBLE) * 0.3::DOUBLE + least(coalesce(recurrence, 0.0::DOUBLE), 10.0::DOUBLE) * 0.2::DOUBLE AS score

@@ -7,7 +7,10 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["claims", "contradictions", "entities", "routes", "inventory"]
+from claimloom.sources.jsonl import write_jsonl
+
+#: Of every version.
+TABLES = ["claims", "contradictions", "entities", "routes", "inventory", "pending"]
 LOCK, MANIFEST = "_lock.json", "manifest.json"
 STALE_LOCK_SECONDS = 2 * 3600
 
@@ -86,6 +89,10 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_lines(self, run_id: str, name: str, df: DataFrame) -> None:
+        """The same rows as JSON lines, for readers that want them; null fields are written too."""
+        write_jsonl(df, f"{self.path}/v={run_id}/{name}.jsonl")
+
     def load(self, name: str, schema) -> DataFrame:
         """A table of the current version, empty if there is none."""
         version = self.manifest().get("version_dir")
@@ -106,5 +113,20 @@ class Store:
     def publish(self, run_id: str, manifest: dict) -> None:
         self.write_text(MANIFEST, json.dumps(manifest | {"version_dir": f"v={run_id}"}, indent=1, sort_keys=True))
 
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
     def drop_version(self, run_id: str) -> None:
-        self._fs.delete(self._at(f"v={run_id}"), True)
+        self.delete(f"v={run_id}")
+
+    def names(self, name: str) -> list[str]:
+        """What lies in a folder, sorted."""
+        if not self.exists(name):
+            return []
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(self._at(name)))
+
+    def keep_tables(self, run_id: str) -> None:
+        """Of a version only what readers see: what the steps in between wrote goes."""
+        for name in self.names(f"v={run_id}"):
+            if name not in (*TABLES, "views", "warnings", "violations") and not name.endswith(".jsonl"):
+                self.delete(f"v={run_id}/{name}")

@@ -7,7 +7,10 @@ from pyspark.sql import types as T
 # Enumerations of the record formats.
 VERDICTS = ["reject", "defer", "compress", "merge", "promote"]
 SURVIVING = ["compress", "merge", "promote"]
-TYPES = ["fact", "lesson", "decision", "commitment", "constraint", "preference", "identity", "relationship", "method", "procedure", "episode", "aspiration", "milestone", "open_question"]
+TYPES = [
+    "fact", "lesson", "decision", "commitment", "constraint", "preference", "identity", "relationship", "method", "procedure", "episode",
+    "aspiration", "milestone", "open_question"
+]
 STATUSES = ["resolved", "contested", "unresolved", "superseded", "stale", "retire_candidate", "probable_duplicate"]
 INACTIVE = ["superseded", "stale", "retire_candidate"]
 HOMES = ["LTMEMORY.md", "PLAYBOOKS.md", "EPISODES.md", "HISTORY.md", "WISHES.md"]
@@ -18,12 +21,25 @@ PROVENANCE_TYPES = ["direct", "inferred", "merged"]
 RELATIONS = ["contested", "stale", "superseded"]
 RUN_STATUSES = ["ok", "skipped", "skipped_superseded", "partial_failure", "failed", "upgrade_required"]
 VERDICT_SCORES = ["durability", "future_judgment_value", "action_value", "identity_relationship_weight", "cross_time_persistence", "noise_risk"]
-CLAIM_SCORES = ["semantic_cluster_confidence", "canonical_clarity", "provenance_strength", "contradiction_pressure", "freshness", "confidence", "route_fitness", "supersession_confidence"]
+CLAIM_SCORES = [
+    "semantic_cluster_confidence", "canonical_clarity", "provenance_strength", "contradiction_pressure", "freshness", "confidence",
+    "route_fitness", "supersession_confidence"
+]
+
+PROFILES = ["business", "personal", "shared"]
+# Keys that a manifest must have.
+MANIFEST_KEYS = [
+    "version", "runId", "mode", "status", "profileScope", "startedAt", "finishedAt", "timezone", "sourceInventory", "processedSegments", "promotionStats", "claimStats", "warnings",
+    "partialFailures", "lastSuccessfulCursor", "downstreamWikiIngestSuggested",
+]
 
 # Source files, in the order they are looked for, and what is never read.
 SHARED_SOURCES = ["MEMORY.md", "RTMEMORY.md", "PROCEDURES.md"]
 PERSONAL_SOURCES = ["CHRONICLES.md", "DREAMS.md"]
-DENIED_FILES = ["CONSTITUTION.md", "KNOWLEDGE.md", "AGENTS.md", "SOUL.md", "HARNESS.md", "LTMEMORY.md", "PLAYBOOKS.md", "EPISODES.md", "HISTORY.md", "WISHES.md", "TRENDS.md"]
+DENIED_FILES = [
+    "CONSTITUTION.md", "KNOWLEDGE.md", "AGENTS.md", "SOUL.md", "HARNESS.md", "LTMEMORY.md", "PLAYBOOKS.md", "EPISODES.md", "HISTORY.md",
+    "WISHES.md", "TRENDS.md"
+]
 DENIED_DIRS = ["memory/", "runtime/"]
 EPISODE_DIR = "episodes/"
 SECTIONED_SOURCE = "PROCEDURES.md"
@@ -67,7 +83,9 @@ RETRIEVAL_STOPWORDS = "the a an is are was were be been being to of and or in on
 DUPLICATE_STOPWORDS = "the a an is are was were be been to of and or in on at for with by this that it as from".split()
 ENTITY_STOPWORDS = "The When This That These Those What How Why Where Who Operator User".split()
 
-SOURCE_REF = T.StructType([T.StructField("source", T.StringType()), T.StructField("line_span", T.ArrayType(T.IntegerType())), T.StructField("captured_at", T.StringType())])
+SOURCE_REF = T.StructType(
+    [T.StructField("source", T.StringType()), T.StructField("line_span", T.ArrayType(T.IntegerType())), T.StructField("captured_at", T.StringType())]
+)
 PROVENANCE = T.StructType([*SOURCE_REF.fields[:2], T.StructField("type", T.StringType()), T.StructField("captured_at", T.StringType())])
 CONTRADICTION = T.StructType([T.StructField(c, T.StringType()) for c in ("competing_claim_id", "competing_text", "relation", "flagged_in_run_id")])
 
@@ -81,6 +99,21 @@ VERDICT = T.StructType([
     T.StructField("verdict", T.StringType()), T.StructField("rationale", T.StringType()), T.StructField("merge_candidate_ids", T.ArrayType(T.StringType())),
     T.StructField("compress_target", T.StringType()),
 ])
+CANONICAL = T.StructType([
+    T.StructField("claim_id", T.StringType()), T.StructField("source_cluster_id", T.StringType()), T.StructField("scores", _doubles(CLAIM_SCORES)),
+    T.StructField(
+        "canonical",
+        T.StructType(
+            [
+                *[T.StructField(c, T.StringType()) for c in ("type", "status", "text", "subject", "predicate", "object", "primary_home")],
+                T.StructField("secondary_tags", T.ArrayType(T.StringType()))
+            ]
+        )
+    ),
+    T.StructField("provenance", T.ArrayType(PROVENANCE)), T.StructField("contradictions", T.ArrayType(CONTRADICTION)),
+    T.StructField("supersedes", T.ArrayType(T.StringType())), T.StructField("superseded_by", T.ArrayType(T.StringType())),
+    *[T.StructField(c, T.StringType()) for c in ("freshness_posture", "confidence_posture", "rationale", "route_rationale")],
+])
 CLAIM = T.StructType([
     T.StructField("ord", T.LongType()),
     *[T.StructField(c, T.StringType()) for c in ("id", "source_cluster_id", "type", "status", "text", "subject", "predicate", "object", "primary_home")],
@@ -91,5 +124,12 @@ CLAIM = T.StructType([
     T.StructField("freshness_posture", T.StringType()), T.StructField("confidence_posture", T.StringType()),
     T.StructField("rationale", T.StringType()), T.StructField("route_rationale", T.StringType()),
     T.StructField("recurrence", T.DoubleType()), T.StructField("updated_in_run_id", T.StringType()), T.StructField("updated_at", T.StringType()),
-    T.StructField("retirement_reasons", T.ArrayType(T.StructType([T.StructField("run_id", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("removed_sources", T.ArrayType(T.StringType()))]))),
+    T.StructField(
+        "retirement_reasons",
+        T.ArrayType(
+            T.StructType(
+                [T.StructField("run_id", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("removed_sources", T.ArrayType(T.StringType()))]
+            )
+        )
+    ),
 ])

@@ -32,7 +32,10 @@ def read_sources(spark: SparkSession, workspace: str) -> DataFrame:
     if found is None:
         return spark.createDataFrame([], FILES)
     stamp = F.concat(F.date_format(F.to_utc_timestamp("modificationTime", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
-    return found.select(F.col("name").alias("path"), F.col("length").alias("bytes"), stamp.alias("mtime_utc"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("content_hash"), F.col("content").cast("string").alias("text"))
+    return found.select(
+        F.col("name").alias("path"), F.col("length").alias("bytes"), stamp.alias("mtime_utc"),
+        F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("content_hash"), F.col("content").cast("string").alias("text")
+    )
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

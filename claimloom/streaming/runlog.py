@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-EVENT = "log_date string, timestamp_utc string, run_id string, status string, mode string, profile string"
+EVENT = "log_date string, timestamp_utc string, event string, run_id string, status string, mode string, profile string"
 
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(EVENT).json(path).withColumn("at", F.try_to_timestamp("timestamp_utc"))
+    """The ends of runs."""
+    return spark.readStream.schema(EVENT).json(path).where("event <> 'run_started'").withColumn("at", F.try_to_timestamp("timestamp_utc"))
 
 
 def status_counts(events: DataFrame, late: str = "2 days") -> DataFrame:

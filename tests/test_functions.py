@@ -15,14 +15,18 @@ def values(spark, inputs, make):
 
 
 @pytest.mark.parametrize(("given", "key"), [
-    ("cats", "cat"), ("address", "address"), ("gas", "gas"), ("The cat", "cat"), ("a notes", "notes"), ("  An Apple ", "apple"), (None, ""), ("the", "the"), ("Items\t", "item"), ("cities", "cities"),
+    ("cats", "cat"), ("address", "address"), ("gas", "gas"), ("The cat", "cat"), ("a notes", "notes"), (
+        "  An Apple ", "apple"
+    ), (None, ""), ("the", "the"), ("Items\t", "item"), ("cities", "cities"),
 ])
 def test_subject_key(spark, given, key):
     assert values(spark, [given], text.subject_key) == [key]
 
 
 @pytest.mark.parametrize(("given", "key"), [
-    ("running", "runn"), ("preferred", "preferr"), ("notes", "note"), ("noted", "not"), ("uses", "uses"), ("prefers", "prefer"), ("using", "using"), ("prefers!s", "prefers!s"), ("", ""), (None, ""),
+    ("running", "runn"), ("preferred", "preferr"), ("notes", "note"), ("noted", "not"), ("uses", "uses"), ("prefers", "prefer"), ("using", "using"), (
+        "prefers!s", "prefers!s"
+    ), ("", ""), (None, ""),
 ])
 def test_predicate_key(spark, given, key):
     assert values(spark, [given], text.predicate_key) == [key]
@@ -86,15 +90,22 @@ def test_units(spark):
 
 
 def test_candidates_by_source(spark):
-    rows = [("MEMORY.md", "A long enough fact.\n\nAnother fact here."), ("PROCEDURES.md", "no sections but text"), ("episodes/x.md", "what happened\n\nthat day"), ("MEMORY2.md", None), ("episodes/y.md", "tiny")]
-    got = {(r["path"], r["line_start"], r["line_end"], r["type_hint"]) for r in extract.extract_candidates(spark.createDataFrame(rows, "path string, text string")).collect()}
+    rows = [
+        ("MEMORY.md", "A long enough fact.\n\nAnother fact here."), ("PROCEDURES.md", "no sections but text"),
+        ("episodes/x.md", "what happened\n\nthat day"), ("MEMORY2.md", None), ("episodes/y.md", "tiny")
+    ]
+    got = {
+        (r["path"], r["line_start"], r["line_end"], r["type_hint"]) for r in extract.extract_candidates(spark.createDataFrame(rows, "path string, text string")).collect()
+    }
     assert got == {("MEMORY.md", 1, 1, "fact"), ("MEMORY.md", 3, 3, "fact"), ("PROCEDURES.md", 1, 1, "method"), ("episodes/x.md", 1, 3, "episode")}
 
 
 def test_recovery(spark):
     samples = ['{"a": 1}', '```json\n{"a": 2}\n```', 'Sure: {"a": 3} done', "null", "[1]", "nothing", '```\n{"b": 1}\n```', None]
     assert values(spark, samples, recovery.recovery_step) == ["direct", "fence_strip", "brace_scan", None, "direct", None, "fence_strip", None]
-    assert values(spark, samples, lambda c: recovery.recovery_error(c, ["a"])) == [None, None, None, "parse_failed", "not_object", "parse_failed", "missing_keys", "parse_failed"]
+    assert values(spark, samples, lambda c: recovery.recovery_error(c, ["a"])) == [
+        None, None, None, "parse_failed", "not_object", "parse_failed", "missing_keys", "parse_failed"
+    ]
 
 
 def test_envelopes(spark):

@@ -9,7 +9,9 @@ from claimloom.schemas import CLAIM
 def claim(ord_, id_, **more):
     base = {f: None for f in CLAIM.fieldNames()} | {
         "ord": ord_, "id": id_, "type": "fact", "status": "resolved", "text": "some text", "subject": "cat", "predicate": "sleeps", "primary_home": "LTMEMORY.md", "secondary_tags": [],
-        "provenance": [("MEMORY.md", [1, 2], "direct", "2025-01-01T00:00:00Z")], "contradictions": [], "supersedes": [], "superseded_by": [], "updated_at": "2025-01-01T00:00:00Z", "retirement_reasons": [],
+        "provenance": [
+            ("MEMORY.md", [1, 2], "direct", "2025-01-01T00:00:00Z")
+        ], "contradictions": [], "supersedes": [], "superseded_by": [], "updated_at": "2025-01-01T00:00:00Z", "retirement_reasons": [],
     }
     return tuple((base | more)[f] for f in CLAIM.fieldNames())
 
@@ -43,13 +45,20 @@ def test_retirement_needs_all_sources_gone(spark):
 
 
 def test_reuse_across_wordings(spark):
-    prior = table(spark, claim(0, "old", subject="cat", predicate="prefers"), claim(1, "newer", subject="The cats", predicate="prefer", updated_at="2025-02-01T00:00:00Z"), claim(2, "gone", status="superseded", updated_at="2026-01-01T00:00:00Z"))
+    prior = table(
+        spark, claim(0, "old", subject="cat", predicate="prefers"),
+        claim(1, "newer", subject="The cats", predicate="prefer", updated_at="2025-02-01T00:00:00Z"),
+        claim(2, "gone", status="superseded", updated_at="2026-01-01T00:00:00Z")
+    )
     new = table(spark, claim(0, "x", subject="cats", predicate="prefers"), claim(1, "y", subject="", predicate="p"))
     assert [tuple(r) for r in resolve.exact_reuse(new, prior).collect()] == [("x", "newer")]
 
 
 def test_probable_duplicate_first_of_ties(spark):
-    prior = table(spark, claim(5, "p5", predicate="moves", object="home"), claim(3, "p3", predicate="moves", object="home"), claim(1, "weak", predicate="moves", text="quite different words"))
+    prior = table(
+        spark, claim(5, "p5", predicate="moves", object="home"), claim(3, "p3", predicate="moves", object="home"),
+        claim(1, "weak", predicate="moves", text="quite different words")
+    )
     new = table(spark, claim(0, "x", predicate="relocates", object="Home"))
     got = resolve.probable_duplicates(new, prior).first()
     assert (got["target_id"], got["score"]) == ("p3", 0.9)
@@ -59,12 +68,17 @@ def test_probable_duplicate_first_of_ties(spark):
 
 def test_clusters(spark):
     schema = "candidate_id string, text string, type_hint string, source_refs array<struct<source:string,line_span:array<int>,captured_at:string>>, verdict string, rationale string, merge_candidate_ids array<string>, compress_target string"
-    rows = [(f"c{i}", f"Alpha Beta{i % 2}", ["fact", "lesson"][i % 2], [("M.md", [1, 1], "")], "promote", "", m, None) for i, m in enumerate([["c1"], [], ["gone"], ["c4"], []])]
+    rows = [
+        (f"c{i}", f"Alpha Beta{i % 2}", ["fact", "lesson"][i % 2], [("M.md", [1, 1], "")], "promote", "", m, None)
+        for i, m in enumerate([["c1"], [], ["gone"], ["c4"], []])
+    ]
     got = clusters.build_clusters(spark.createDataFrame(rows, schema)).collect()
     sizes = {tuple(c["candidate_id"] for c in r["candidates"]): r["cluster_hints"] for r in got}
     assert set(sizes) == {("c0", "c1"), ("c2",), ("c3", "c4")}
     hint = sizes[("c0", "c1")]
-    assert hint["shared_entities"] == ["Alpha"] and hint["proposed_type"] == "fact" and hint["shared_subject"] == "M.md" and hint["proposed_primary_home"] == "LTMEMORY.md"
+    assert hint["shared_entities"] == ["Alpha"] and hint["proposed_type"] == "fact" and hint["shared_subject"] == "M.md" and hint[
+        "proposed_primary_home"
+    ] == "LTMEMORY.md"
 
 
 def test_long_chain_of_merges(spark):
@@ -75,9 +89,15 @@ def test_long_chain_of_merges(spark):
 
 
 def test_integrity(spark):
-    rows = table(spark, claim(0, "a", supersedes=["a", "b", "zz"]), claim(1, "b"), claim(2, "b", type="milestone", primary_home="LTMEMORY.md"), claim(3, "d", text="  ", provenance=[], secondary_tags=["LTMEMORY.md"]))
+    rows = table(
+        spark, claim(0, "a", supersedes=["a", "b", "zz"]), claim(1, "b"), claim(2, "b", type="milestone", primary_home="LTMEMORY.md"),
+        claim(3, "d", text="  ", provenance=[], secondary_tags=["LTMEMORY.md"])
+    )
     got = {(r["id"], r["rule"]) for r in integrity.claim_violations(rows, "business").collect()}
-    assert {("a", "supersedes_self"), ("a", "supersedes_dangling"), ("a", "supersedes_one_sided"), ("b", "id_duplicate"), ("b", "route_impossible"), ("d", "text_empty"), ("d", "provenance_empty"), ("d", "self_tag")} <= got
+    assert {
+        ("a", "supersedes_self"), ("a", "warn:supersedes_dangling"), ("a", "supersedes_one_sided"), ("b", "id_duplicate"),
+        ("b", "route_impossible"), ("d", "text_empty"), ("d", "provenance_empty"), ("d", "warn:self_tag")
+    } <= got
     assert integrity.report_status(integrity.claim_violations(rows.where("id = 'none'"), "business")).first()["status"] == "ok"
 
 
@@ -102,14 +122,25 @@ def ask(spark, *rows):
 
 
 def test_relevance_beats_recency(spark):
-    prior = table(spark, claim(0, "topic", subject="python", text="python packaging rules", updated_at="2020-01-01T00:00:00Z"), *[claim(i, f"o{i}", subject="rust", text="unrelated words", type="lesson", primary_home="PLAYBOOKS.md", updated_at=f"2025-01-{i % 28 + 1:02d}T00:00:00Z") for i in range(1, 60)])
+    prior = table(
+        spark, claim(0, "topic", subject="python", text="python packaging rules", updated_at="2020-01-01T00:00:00Z"),
+        *[
+            claim(
+                i, f"o{i}", subject="rust", text="unrelated words", type="lesson", primary_home="PLAYBOOKS.md",
+                updated_at=f"2025-01-{i % 28 + 1:02d}T00:00:00Z"
+            ) for i in range(1, 60)
+        ]
+    )
     got = retrieval.widened(retrieval.ranked_priors(ask(spark, ("c", "python", [], "python packaging", "fact", "LTMEMORY.md")), prior)).where("rank <= 3")
     assert "topic" in {r["claim_id"] for r in got.collect()}
 
 
 def test_no_cluster_starves_and_noise_is_cut(spark):
     langs = ["python", "rust", "typescript"]
-    prior = table(spark, *[claim(20 * k + i, f"{x}{i}", subject=x, text=f"{x} note {i}", type="lesson", primary_home="PLAYBOOKS.md") for k, x in enumerate(langs) for i in range(20)])
+    prior = table(
+        spark,
+        *[claim(20 * k + i, f"{x}{i}", subject=x, text=f"{x} note {i}", type="lesson", primary_home="PLAYBOOKS.md") for k, x in enumerate(langs) for i in range(20)]
+    )
     asks = ask(spark, *[(x, x, [], f"{x} note", "fact", "LTMEMORY.md") for x in langs], ("none", "zzz", [], "qqq", "episode", "EPISODES.md"))
     got = retrieval.widened(retrieval.ranked_priors(asks, prior))
     sizes = {r["cluster_id"]: r["count"] for r in got.groupBy("cluster_id").count().collect()}
@@ -129,7 +160,10 @@ def test_same_subject_window(spark):
 def test_delivery_reads_only_good_values():
     from claimloom.operators.schedule import Delivery
 
-    got = Delivery.read({"claims": {"reporting": {"enabled": True, "delivery": {"channel": "", "to": 5}}}}, {"cron": {"tz": "", "timeout_seconds": -1, "announce_channel": "c"}})
+    got = Delivery.read(
+        {"claims": {"reporting": {"enabled": True, "delivery": {"channel": "", "to": 5}}}},
+        {"cron": {"tz": "", "timeout_seconds": -1, "announce_channel": "c"}}
+    )
     assert got == Delivery(True, "c", None, "Asia/Manila", 1200)
     assert Delivery.read({"claims": {"reporting": {"enabled": "yes"}}}, None).enabled is None
 
@@ -137,7 +171,10 @@ def test_delivery_reads_only_good_values():
 def test_delivery_actions(spark):
     from claimloom.operators import schedule
 
-    jobs = spark.createDataFrame([("p-a", "0 3 * * *", "", None), ("p-b", "0 3 * * *", "", True), ("p-c", " ", "", False), ("p-d", "0 3 * * *", "UTC", False), ("x", "", "", False)], "name string, cron string, tz string, deliver boolean")
+    jobs = spark.createDataFrame(
+        [("p-a", "0 3 * * *", "", None), ("p-b", "0 3 * * *", "", True), ("p-c", " ", "", False), ("p-d", "0 3 * * *", "UTC", False), ("x", "", "", False)],
+        "name string, cron string, tz string, deliver boolean"
+    )
     act = lambda d: {r["name"]: r["action"] for r in schedule.delivery_actions(jobs, d, "p-").collect()}
     assert act(schedule.Delivery(True, "c", "t")) == {"p-a": "skipped_indeterminate", "p-b": "in_sync", "p-c": "skipped_missing_fields", "p-d": "would_update"}
     assert act(schedule.Delivery(True, "c"))["p-d"] == "skipped_missing_announce_target" and act(schedule.Delivery()) == {}
