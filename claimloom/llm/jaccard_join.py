@@ -95,11 +95,17 @@ def _summaries(docs: DataFrame, k: int, bits: int) -> DataFrame:
                     d2[i] = _mix(s ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).view(np.int64)
                     np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
             none = pa.nulls(len(b))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(b), np.int32)), b.column(0), pa.array(n), pa.array(d1), pa.array(d2), none.cast(pa.int32()), none.cast(pa.binary())], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(b), np.int32)), b.column(0), pa.array(n), pa.array(d1), pa.array(d2), none.cast(pa.int32()), none.cast(pa.binary())],
+                names
+            )
         if counts is not None:
             parts = [_packed(x) for x in counts.reshape(SKETCH_PARTS, -1)]
             none = pa.nulls(len(parts), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([1] * len(parts), pa.int32()), none, none, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([1] * len(parts), pa.int32()), none, none, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
+                names
+            )
 
     return docs.mapInArrow(thrifty(run), "kind int, id long, n long, d1 long, d2 long, part int, data binary")
 
@@ -205,7 +211,10 @@ def _postings(prefixes: DataFrame, shared: Broadcast) -> DataFrame:
             ids = b.column(0).take(at)
             with np.errstate(over="ignore"):
                 lane = np.where(lanes > 0, 1 + _mix(ids.to_numpy().astype(np.uint64)).astype(np.int64) % np.maximum(lanes, 1), 0)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids, b.column(1).take(at), pa.array(place.astype(np.int32)), pa.array(lane.astype(np.int32))], ["token", "id", "info", "place", "lane"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens.view(np.int64)), ids, b.column(1).take(at), pa.array(place.astype(np.int32)), pa.array(lane.astype(np.int32))],
+                ["token", "id", "info", "place", "lane"]
+            )
 
     return prefixes.mapInArrow(thrifty(run), "token long, id long, info long, place int, lane int")
 
@@ -330,7 +339,9 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
     lists are the longest, stand last.
     """
     named = lists.join(components.withColumnRenamed("component", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
-    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi").select("token", "members")
+    mixed = named.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members")
+    ).where("lo <> hi").select("token", "members")
     mixed = write_table(mixed, "mixed")
 
     hubs = found.where("tokens is not null").select(F.col("a").alias("hub"), F.col("common").alias("n"), "tokens")
@@ -350,12 +361,26 @@ def _rest(lists: DataFrame, found: DataFrame, components: DataFrame, num: int, d
     members = named.join(mixed, "token").join(home, "id", "left")
     groups = F.ceil(F.col("members") / LIST_BLOCK).cast("int")
     common = ["token", "u", "v", "turn", "group", "id", "size", "asked", "place", "comp", "home", "common", "rest"]
-    mine = members.withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("id"), "groups").cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    mine = mine.select("token", F.least("group", "x").alias("u"), F.greatest("group", "x").alias("v"), F.lit(1).alias("turn"), "group", "id", _size("info").alias("size"), F.col("info").bitwiseAND(7).alias("asked"), "place", "comp", "home", "common", "rest")
-    marks = held.withColumn("groups", groups).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).withColumn("v", F.explode(F.sequence(F.col("u"), F.col("groups") - 1)))
+    mine = members.withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("id"), "groups").cast("int")).withColumn(
+        "x", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
+    )
+    mine = mine.select(
+        "token", F.least("group", "x").alias("u"), F.greatest("group", "x").alias("v"), F.lit(1).alias("turn"), "group", "id",
+        _size("info").alias("size"), F.col("info").bitwiseAND(7).alias("asked"), "place", "comp", "home", "common", "rest"
+    )
+    marks = held.withColumn("groups", groups).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).withColumn(
+        "v", F.explode(F.sequence(F.col("u"), F.col("groups") - 1))
+    )
     none = F.lit(None).cast("long")
-    marks = marks.select("token", "u", "v", F.lit(0).alias("turn"), F.lit(0).alias("group"), F.col("hub").alias("id"), none.alias("size"), none.alias("asked"), F.lit(None).cast("int").alias("place"), none.alias("comp"), none.alias("home"), none.alias("common"), none.alias("rest"))
-    rows = mine.unionByName(marks).select(*common).repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "turn", "size")
+    marks = marks.select(
+        "token", "u", "v", F.lit(0).alias("turn"), F.lit(0).alias("group"), F.col("hub").alias("id"), none.alias("size"),
+        none.alias("asked"), F.lit(None).cast("int").alias("place"), none.alias("comp"), none.alias("home"), none.alias("common"),
+        none.alias("rest")
+    )
+    # A number of its own: few bytes are much work here, so small partitions must not be put together.
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = mine.unionByName(marks).select(*common).repartition(parts, "token", "u", "v")
+    rows = rows.sortWithinPartitions("token", "u", "v", "turn", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -436,7 +461,10 @@ def _pair_batch(parts: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100, sketch_bits: int | None = None) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100,
+    sketch_bits: int | None = None
+) -> DataFrame:
     """A row per input row: the id, ``n_shingles`` and ``component_id``, the least id reachable by links.
 
     Documents link at a Jaccard similarity of num / den or more of their sets of ``shingle``-word shingles. Null and
@@ -473,7 +501,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     reps = nodes.join(classes, digest, "left").withColumn("key", F.coalesce("rep", "id"))
     out = reps.join(components.select(F.col("id").alias("key"), "component"), "key", "left")
-    return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "key").cast(docs.schema[id_col].dataType).alias("component_id"))
+    return out.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
+        F.coalesce("component", "key").cast(docs.schema[id_col].dataType).alias("component_id")
+    )
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
