@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.dates import epoch
 from claimloom.functions.text import blank, duplicate_tokens, home_key, jaccard, predicate_key, short_hash, subject_key
+from claimloom.operators.saving import saved
 from claimloom.schemas import AFFINITY, INACTIVE, ROUTE_SCORES
 
 THRESHOLD = 0.80
@@ -57,6 +58,7 @@ def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
     Without an equal subject no sum reaches the threshold. With it and the home, what is missing comes from an equal
     predicate, from equal tokens, or from an equal object and tokens of a similarity of one half. So pairs come from three
     equi-joins and never from the subject alone: similar token sets share a token among the first of each, by any order.
+    Both sides are saved, so that keys and tokens are made once.
     Priors with equal keys, tokens and object score alike, so the first of them stands for all, and equal new claims are
     scored once.
     """
@@ -66,12 +68,12 @@ def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
 
     same = [*KEYS, "n_object", "tokens"]
     mine = looks(new)
-    asks = mine.select(*same).distinct().withColumn("ask", F.struct(*same))
+    asks = saved(mine.select(*same).distinct()).withColumn("ask", F.struct(*same))
     theirs = looks(active(prior)).groupBy(*same).agg(F.min(F.struct("ord", "id")).alias("who"))
-    theirs = theirs.select(
+    theirs = saved(theirs.select(
         "n_home", "n_subject", F.col("n_predicate").alias("p_predicate"), F.col("n_object").alias("p_object"),
         F.col("tokens").alias("p_tokens"), "who"
-    )
+    ))
     key = (F.col("n.n_home") == F.col("p.n_home")) & (F.col("n.n_subject") == F.col("p.n_subject"))
     met = lambda mine, other, more: mine.alias("n").join(other.alias("p"), key & more).select(
         *[F.col(f"n.{c}").alias(c) for c in ("ask", *same)],

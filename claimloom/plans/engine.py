@@ -173,7 +173,7 @@ class Engine:
             c["timestamp"][:10], c["timestamp"], c["timestamp_utc"], c["timezone"], "memory", "claimloom", event, s.run_id,
             report["status"], s.agent, s.profile, s.mode, (0, 0, 0, "unavailable"), json.dumps(details, default=str, ensure_ascii=False)
         )
-        self.store.append("events", self.spark.createDataFrame([row], EVENT), "log_date")
+        self.store.append("events", self.spark.createDataFrame([row], EVENT).coalesce(1), "log_date")
 
     def _remember(self, report: dict) -> None:
         """When each mode last succeeded, and up to which cursor."""

@@ -24,8 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @pytest.fixture(autouse=True, scope="module")
 def small_plans(spark):
-    """A run is many small jobs here: they are not planned anew while they run, nor compiled."""
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    """A run is many small jobs here: they are not planned anew while they run, nor compiled, and write few files."""
+    settings = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.enabled": "false", "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
     before = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
