@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="claimloom-")
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(found)  # from now on this is what getCheckpointDir() gives
     return found.rstrip("/")
 
 
@@ -45,9 +45,25 @@ def write_table(df: DataFrame, tag: str) -> DataFrame:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
+    for seen in _watching:
+        seen.append(out)
     return out
 
 
+_watching: list[list[DataFrame]] = []
+
+
+@contextmanager
+def tables_written() -> Iterator[list[DataFrame]]:
+    """The tables that ``write_table`` makes meanwhile, for who wants to delete them."""
+    seen: list[DataFrame] = []
+    _watching.append(seen)
+    try:
+        yield seen
+    finally:
+        _watching.remove(seen)
+
+
 def drop_tables(*tables: DataFrame) -> None:
     """Delete tables of ``write_table`` that nothing still to be computed reads."""
     for t in tables:

@@ -38,6 +38,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         stars = write_table(_star(_star(now, True), False), "stars")
         digest = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if digest == seen:
-            return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+            return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+                stars.select(F.col("v").alias("id"), F.col("v").alias("component"))
+            ).distinct()
         drop_tables(now)
         now, seen = stars, digest

@@ -91,13 +91,22 @@ def _counted(sample: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
                         for g in grams_of(word, k):
                             seen[k, lang, g] += n
             keys = list(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array(list(seen.values()), pa.int64())], ["size", "lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string()),
+                    pa.array([k[2] for k in keys], pa.string()), pa.array(list(seen.values()), pa.int64())
+                ],
+                ["size", "lang", "gram", "n"]
+            )
 
     made = sample.mapInArrow(thrifty(count), "size int, lang string, gram string, n long")
     return made.groupBy("size", "lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 8000, sizes: tuple[int, ...] = (1, 2, 3, 4, 5), max_entries: int = 40_000, least_uses: int = 3, smooth: float = 0.5) -> LanguageModel:
+def train(
+    docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 8000,
+    sizes: tuple[int, ...] = (1, 2, 3, 4, 5), max_entries: int = 40_000, least_uses: int = 3, smooth: float = 0.5
+) -> LanguageModel:
     """Word and n-gram frequencies of each language from the rows that satisfy ``learn`` and have a language.
 
     Bounds: about ``max_docs`` whole documents, shared evenly among the languages and drawn by a hash of the id (of

@@ -132,7 +132,8 @@ def encode_avis(payloads: list[bytes]) -> list[bytes]:
     left = np.empty_like(data)
     left[:, 1:] = data[:, :-1]
     left[1:, 0] = data[:-1, 0]
-    tops = np.concatenate([np.arange(f, dtype=np.int64) * r + at for (r, f), at in zip(shapes, np.concatenate([[0], np.cumsum([r * f for r, f in shapes])]), strict=False)])
+    begins = np.concatenate([[0], np.cumsum([r * f for r, f in shapes])])
+    tops = np.concatenate([np.arange(f, dtype=np.int64) * r + at for (r, f), at in zip(shapes, begins, strict=False)])
     left[tops, 0] = 128
     coded = pack_words(WORD_OF[data - left + 255])
     raw, stride, at, out = coded.tobytes(), coded.shape[1], 0, []
@@ -328,7 +329,10 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     size += len(part[-1])
                     at += 1
                 media = _in_parts([payload_of(t) for t in part], encode_avis)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, len(part)), pa.array([len(t) for t in part], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(start, len(part)), pa.array([len(t) for t in part], pa.int64()), pa.array(media, pa.binary())],
+                    ["id", "n_bytes", "media"]
+                )
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(thrifty(run), f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
@@ -361,7 +365,10 @@ def decode_media(media: DataFrame, id_col: str = "doc_id", media_col: str = "med
                         c.append(v)
                     continue
                 payload, hist = read
-                clips = [{"clip": i, "start_s": s / FPS, "end_s": e / FPS, "frames": e - s, "mean_luma": float(hist[s:e].mean(axis=0) @ middles)} for i, (s, e) in enumerate(shots(hist))]
+                clips = [
+                    {"clip": i, "start_s": s / FPS, "end_s": e / FPS, "frames": e - s, "mean_luma": float(hist[s:e].mean(axis=0) @ middles)}
+                    for i, (s, e) in enumerate(shots(hist))
+                ]
                 row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(f), hashlib.sha256(f).hexdigest(), clips, None)
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)

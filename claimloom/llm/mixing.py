@@ -91,7 +91,10 @@ def mixing_plan(sized: DataFrame, budget: float | None, target_entropy: float, m
     return weighed.select("_source", "_t", "_w", near.alias("_r"), blocks, F.lit(by).alias("_by"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget: float | None = None, target_entropy: float = 0.9, max_repeats: float = 4.0, block_tokens: int = 1 << 20, seed: int = 17) -> DataFrame:
+def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget: float | None = None,
+    target_entropy: float = 0.9, max_repeats: float = 4.0, block_tokens: int = 1 << 20, seed: int = 17
+) -> DataFrame:
     """The mixture, a row for each time a document is used: id, source, tokens, weight of the source, epoch,
     block, start (tokens of the source's epoch before this row), repeats (how often the plan uses the source's tokens)
     and decided_by (see ``find_exponent``): "repeats" means that the entropy is missed for the limit's sake, "budget"
@@ -115,7 +118,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     sized = write_table(sized, "sized")
     plan = mixing_plan(sized, budget, target_entropy, max_repeats, block_tokens)
     used = _permuted(sized, plan, seed)
-    return used.select(F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_tokens").alias("tokens"), F.col("_w").alias("weight"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_start").alias("start"), F.col("_r").alias("repeats"), F.col("_by").alias("decided_by"))
+    return used.select(
+        F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_tokens").alias("tokens"), F.col("_w").alias("weight"),
+        F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_start").alias("start"), F.col("_r").alias("repeats"),
+        F.col("_by").alias("decided_by")
+    )
 
 
 def _permuted(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
@@ -129,7 +136,9 @@ def _permuted(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     home = ["_none", "_key", "_epoch"]
     inside = Window.partitionBy(*home, "_block").orderBy(F.xxhash64(F.lit(seed), "_epoch", "_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_cum", F.sum("_tokens").over(inside) - F.col("_tokens"))
-    sums = sized.select("*", *key).join(right, ["_none", "_key"]).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_id"), "_blocks")).groupBy("_none", "_key", "_block", "_r").agg(F.sum("_tokens").alias("_bt"))
+    sums = sized.select("*", *key).join(right, ["_none", "_key"]).withColumn(
+        "_block", F.pmod(F.xxhash64(F.lit(seed), "_id"), "_blocks")
+    ).groupBy("_none", "_key", "_block", "_r").agg(F.sum("_tokens").alias("_bt"))
     blocks = sums.where("_r > 0").withColumns({"_epoch": F.explode(epochs), "_group": F.floor(F.col("_block") / GROUP)})
     grouped = Window.partitionBy(*home, "_group")
     blocks = blocks.withColumn("_in", F.sum("_bt").over(grouped.orderBy(F.xxhash64(F.lit(seed), "_epoch", "_block"), "_block")) - F.col("_bt"))

@@ -157,11 +157,16 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: st
                     start.append(at // 4)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], ["id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
+                ["id", "piece", "start", "length", "ids_crc32"]
+            )
         if tokenizer_path in _word_ids:
             _word_ids[tokenizer_path].shrink()
 
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(thrifty(cut), f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(
+        thrifty(cut), f"id {kind}, piece int, start long, length long, ids_crc32 long"
+    )
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:

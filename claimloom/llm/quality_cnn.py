@@ -36,7 +36,10 @@ class Network:
 def new_network(seed: int = 5) -> Network:
     r = np.random.default_rng(seed)
     f = np.float32
-    return Network(r.normal(0, 0.5, (256, EMBED)).astype(f), r.normal(0, 1 / np.sqrt(WIDTH * EMBED), (WIDTH * EMBED, FILTERS)).astype(f), np.zeros(FILTERS, f), r.normal(0, 0.3, 2 * FILTERS).astype(f), np.zeros(1, f))
+    return Network(
+        r.normal(0, 0.5, (256, EMBED)).astype(f), r.normal(0, 1 / np.sqrt(WIDTH * EMBED), (WIDTH * EMBED, FILTERS)).astype(f),
+        np.zeros(FILTERS, f), r.normal(0, 0.3, 2 * FILTERS).astype(f), np.zeros(1, f)
+    )
 
 
 def layout(sizes: list[int]) -> tuple[np.ndarray, int]:
@@ -174,7 +177,10 @@ def score_texts(net: Network, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 700, max_doc_bytes: int = 1 << 17) -> Network | None:
+def learn_quality(
+    docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    per_class: int = 700, max_doc_bytes: int = 1 << 17
+) -> Network | None:
     """The network from labelled rows that satisfy ``learn`` (an expression over the id).
 
     Bounds: about ``per_class`` whole documents of each class, drawn by a hash of the id, of at most
@@ -195,7 +201,10 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
         rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), key=lambda r: (r[0], r[1], r[2]))
         if rows:
             net = fit([r[1] for r in rows], [r[2] for r in rows])
-            yield pa.RecordBatch.from_arrays([pa.array([p.astype(np.float32).tobytes() for p in net.parts()], pa.binary()), pa.array(range(5), pa.int32())], ["part", "at"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p.astype(np.float32).tobytes() for p in net.parts()], pa.binary()), pa.array(range(5), pa.int32())],
+                ["part", "at"]
+            )
 
     # The bounded sample trains in one task; the network, some ten thousand numbers, is what comes back.
     got = {r["at"]: np.frombuffer(r["part"], np.float32) for r in sample.repartition(1).mapInArrow(train, "part binary, at int").collect()}

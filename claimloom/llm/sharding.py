@@ -38,7 +38,10 @@ def extendible_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     while True:
         depth = min(KEY_BITS, base + step)
         cell = F.expr(f"shiftright(_k, {KEY_BITS - depth})")
-        cells = write_table(rows.groupBy(cell.alias("_cell")).agg(F.sum("_b").alias("_b"), F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")), "cells")
+        cells = write_table(
+            rows.groupBy(cell.alias("_cell")).agg(F.sum("_b").alias("_b"), F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")),
+            "cells"
+        )
         up = cells.withColumn("_d", F.explode(F.sequence(F.lit(base), F.lit(depth)))).withColumn("_p", F.expr(f"shiftright(_cell, {depth} - _d)"))
         nodes = up.groupBy("_d", "_p").agg(F.sum("_b").alias("_b"), F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
         fits = (F.col("_b") <= limit_bytes) | (F.col("_lo") == F.col("_hi"))
@@ -60,7 +63,10 @@ def extendible_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chained = found.where(~whole)
     if not chained.isEmpty():
         plain = plain.unionByName(_pages(write_table(chained, "chained"), limit_bytes))
-    return plain.select(F.col("_id").alias(id_col), F.col("_b").alias("bytes"), F.col("_d").alias("depth"), F.col("_p").alias("prefix"), F.col("_page").alias("overflow"), F.col("_sb").alias("shard_bytes"), F.col("_sn").alias("shard_docs"))
+    return plain.select(
+        F.col("_id").alias(id_col), F.col("_b").alias("bytes"), F.col("_d").alias("depth"), F.col("_p").alias("prefix"),
+        F.col("_page").alias("overflow"), F.col("_sb").alias("shard_bytes"), F.col("_sn").alias("shard_docs")
+    )
 
 
 def _pages(rows: DataFrame, limit: int) -> DataFrame:
@@ -83,6 +89,9 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Write the rows as Parquet folders ``depth=/prefix=/overflow=`` under ``path``; returns the shard of each row."""
     shards = write_table(extendible_shards(docs, id_col, text_col, limit_bytes), "shards")
     keys = ["depth", "prefix", "overflow"]
-    named = docs.join(shards.select(F.col(id_col).alias("_sid"), *[F.col(k).alias(f"shard_{k}") for k in keys]).distinct(), docs[id_col].eqNullSafe(F.col("_sid"))).drop("_sid")
+    named = docs.join(
+        shards.select(F.col(id_col).alias("_sid"), *[F.col(k).alias(f"shard_{k}") for k in keys]).distinct(),
+        docs[id_col].eqNullSafe(F.col("_sid"))
+    ).drop("_sid")
     named.repartition(*[f"shard_{k}" for k in keys]).write.partitionBy(*[f"shard_{k}" for k in keys]).parquet(path)
     return shards

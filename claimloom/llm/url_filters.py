@@ -196,7 +196,10 @@ def _judged_by_join(out: DataFrame, keys: Column, listed: DataFrame, id_col: str
     return out.join(ruled, ["host", "path"], "left").select(id_col, "host", "path", F.col("_best.key").alias("rule"), verdict.alias("verdict"))
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str = "page_id", url_col: str = "url", default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: list[tuple[str, str, bool]], id_col: str = "page_id", url_col: str = "url", default: str = "allow",
+    max_bytes: int = MAX_BYTES
+) -> DataFrame:
     """A row per page: id, host, path, rule, verdict.
 
     ``rules`` are (host, path, blocked). A rule fits its host and all subdomains if the url's path starts with the

@@ -53,7 +53,11 @@ def test_exact_dedup_columns(spark):
 def test_shards_fit(spark):
     sized = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
     got = sharding.extendible_shards(sized, limit_bytes=2000, slack_bits=1)
-    by = {(r["depth"], r["prefix"]): r for r in got.groupBy("depth", "prefix").agg(F.sum("bytes").alias("b"), F.first("shard_bytes").alias("s"), F.count("*").alias("n")).collect()}
+    by = {
+        (r["depth"], r["prefix"]): r for r in got.groupBy("depth", "prefix").agg(
+            F.sum("bytes").alias("b"), F.first("shard_bytes").alias("s"), F.count("*").alias("n")
+        ).collect()
+    }
     assert got.count() == 3000 and all(r["b"] == r["s"] <= 2000 for r in by.values())
     total = {}
     for (d, p), r in by.items():  # each split was needed: the bucket above is too large
@@ -84,7 +88,10 @@ def test_written_shards(spark, tmp_path):
 
 
 def mixed(spark, **how):
-    spread = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "big").when(F.col("id") < 3800, "mid").otherwise("small").alias("source"), F.repeat(F.lit("w "), 10).alias("text"))
+    spread = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "big").when(F.col("id") < 3800, "mid").otherwise("small").alias("source"),
+        F.repeat(F.lit("w "), 10).alias("text")
+    )
     return mixing.mix_sources(spread, block_tokens=500, **how)
 
 
@@ -193,7 +200,11 @@ def test_cascade_is_exact(spark):
         url_filters.build_cascade(listed, every, max_bytes=16)
 
 
-URLS = ["http://a.example.com/en/x?q#f", "https://WWW.Example.com/en/", "http://www.example.com/en", "https://x.net/es/1", "x.net/es/", None, "", "ftp://net", "http://fr.net?/fr/", "http://net/fr/", "http://badexample.com/en/", "http://a.net#x/es/", "http://u:p@h.org:80/en/", "://com/"]
+URLS = [
+    "http://a.example.com/en/x?q#f", "https://WWW.Example.com/en/", "http://www.example.com/en", "https://x.net/es/1", "x.net/es/", None,
+    "", "ftp://net", "http://fr.net?/fr/", "http://net/fr/", "http://badexample.com/en/", "http://a.net#x/es/", "http://u:p@h.org:80/en/",
+    "://com/"
+]
 
 
 def test_urls(spark):

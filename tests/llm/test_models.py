@@ -197,7 +197,9 @@ def test_damaged_and_foreign_media(spark):
     table, size = whole.index(b"\xff\xc4", at), whole.index(b"\xff\xc3", at)
     bad = {
         "empty": b"", "text": b"no film", "riff": b"RIFF\x04\0\0\0WAVE", "head": whole[:40], "half": whole[: len(whole) // 2], "last": whole[:-9], "first byte": flip(0),
-        "image": flip(at), "image end": flip(at + n - 1), "table": flip(table + 6), "width": flip(size + 8, 1), "lossy": flip(size + 1, 3), "index": flip(len(whole) - 8, 0x40), "comment": whole.replace(b"payload=1", b"payload=9"),
+        "image": flip(at), "image end": flip(at + n - 1), "table": flip(table + 6), "width": flip(size + 8, 1), "lossy": flip(size + 1, 3), "index": flip(len(whole) - 8, 0x40), "comment": whole.replace(
+            b"payload=1", b"payload=9"
+        ),
     }
     given = [(k, 0, v) for k, v in bad.items()] + [("whole", len(payload), whole), ("null", 0, None)]
     got = {r["doc_id"]: r for r in media_avi.decode_media(spark.createDataFrame(given, "doc_id string, n_bytes long, media binary").coalesce(1)).collect()}
@@ -220,7 +222,10 @@ def test_media_without_index_or_comment():
 def test_ids_are_the_tokenizers():
     path = queries.tokenizer_path()
     whole = tokenizers.Tokenizer.from_file(path)
-    texts = [r[1] or "" for r in rows()] + ["It's the DOG's, isn't it?!", "a<|endoftext|>b", "x\x1cy z", "İstanbul ΑΣ ΣΑΣ", "é café,", "naïve... 12,3  q", "ﬁ ǅ ß. Ǆ!", "'s 't a's.", "foo_bar. (x) [y]", "« mot ». Puis", "bell\x07. x", "x². y½, z", "a\xa0. b", "ªº µ ŉ."]
+    texts = [r[1] or "" for r in rows()] + [
+        "It's the DOG's, isn't it?!", "a<|endoftext|>b", "x\x1cy z", "İstanbul ΑΣ ΣΑΣ", "é café,", "naïve... 12,3  q", "ﬁ ǅ ß. Ǆ!",
+        "'s 't a's.", "foo_bar. (x) [y]", "« mot ». Puis", "bell\x07. x", "x². y½, z", "a\xa0. b", "ªº µ ŉ."
+    ]
     got = [np.frombuffer(x, "<u4").tolist() for x in packing.encode_texts(texts, path)]
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from claimloom.llm import common
 from claimloom.llm import jaccard_join as jj
 from claimloom.llm import queries
 from claimloom.llm import shingles as shingles_of
@@ -124,7 +125,10 @@ def test_long_texts(spark):
     for at in range(0, len(near), 40):
         near[at] = "changed"
     far = [r.choice(words) for _ in range(300_000)]
-    given = [(1, " ".join(long)), (2, "  " + "\n".join(near)), (3, " ".join(far)), (4, "x" * 3_000_000), (5, " " + "X" * 3_000_000 + " "), (6, "x" * 2_999_999), (7, ("y" * 70_000 + " ") * 40)]
+    given = [
+        (1, " ".join(long)), (2, "  " + "\n".join(near)), (3, " ".join(far)), (4, "x" * 3_000_000), (5, " " + "X" * 3_000_000 + " "),
+        (6, "x" * 2_999_999), (7, ("y" * 70_000 + " ") * 40)
+    ]
     assert all(len(t) > 2_500_000 for _, t in given)
     assert ask(spark, given, shingle=4, num=80, den=100) == brute(given, 4, 80, 100)
 
@@ -132,7 +136,9 @@ def test_long_texts(spark):
 def test_parts_of_any_size(monkeypatch):
     """Sets don't depend on where parts end."""
     r = random.Random(4)
-    texts = [" ".join(r.choice(["a", "bb", "Ccc", "d" * r.randint(1, 50)]) for _ in range(r.randint(0, 200))) + r.choice(["", " ", "  "]) for _ in range(80)] + ["x" * 3000, "   ", "", "x" * 100 + " " + "y" * 900]
+    texts = [
+        " ".join(r.choice(["a", "bb", "Ccc", "d" * r.randint(1, 50)]) for _ in range(r.randint(0, 200))) + r.choice(["", " ", "  "]) for _ in range(80)
+    ] + ["x" * 3000, "   ", "", "x" * 100 + " " + "y" * 900]
     data = [t.encode() for t in texts]
     given = np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in data])])
     for k in (1, 5):
@@ -191,6 +197,19 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert df.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").isEmpty()
 
 
+def test_pipeline_leaves_little(spark, tmp_path, monkeypatch):
+    """run() gives every kept document's pieces, and deletes what its stages wrote on their way."""
+    sf = "/root/testdata/sf0.001"
+    kept = []
+    monkeypatch.setattr(corpus_pipeline, "write_table", lambda df, tag: kept.append(common.write_table(df, tag)) or kept[-1])
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    out = corpus_pipeline.run(spark, sf)
+    assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").isEmpty()
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {r["doc_id"] for r in kept[-1].select("doc_id").collect()}
+    left = [p.name for p in tmp_path.iterdir() if p.name.startswith("claimloom-")]
+    assert sorted(n.split("-")[1] for n in left) == ["mixture", "pieces"]
+
+
 def test_pipeline_on_edge_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs(spark), "")
