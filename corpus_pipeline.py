@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import langid
-from claimloom.llm.common import fold_of, write_table
+from claimloom.llm.common import drop_tables, fold_of, tables_written, write_table
 from claimloom.llm.exact_dedup import drop_copies
 from claimloom.llm.jaccard_join import keep_first
 from claimloom.llm.mixing import repeat_rows
@@ -60,7 +60,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = write_table(stage(spark, docs, sf_dir), name)
+        with tables_written() as made:
+            docs = write_table(stage(spark, docs, sf_dir), name)
+        # What this stage wrote on its way, and the documents it read, are not needed any more.
+        drop_tables(*before, *[t for t in made if t is not docs])
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
