@@ -12,6 +12,7 @@ from claimloom.llm.common import fold_of
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.jaccard_join import jaccard_components
 from claimloom.llm.line_dedup import dedup_lines
+from claimloom.llm.merkle import merkle_manifest
 from claimloom.llm.mixing import mix_sources
 from claimloom.llm.packing import pack
 from claimloom.llm.sharding import extendible_shards
@@ -89,6 +90,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
 
@@ -96,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters]
+    found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters, op13_merkle]
     return {f.__name__: f for f in found} | {"pipeline": pipeline, "sharding_small_limit": sharding_small_limit}
 
 
@@ -166,7 +171,60 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE rn = 1
 """
 
+# crc32 has no function there: a bit at a time over the digits' bytes.
+OP13_SQL = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, text,
+         concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, x: CASE WHEN xor(a, x) & 1 = 1 THEN xor(xor(a, x) >> 1, 3988292384) ELSE xor(a, x) >> 1 END)) % 3 = 0 AS changed
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN changed THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS cur
+  FROM f),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT 0 AS lvl, lang, pos, n, leaf AS h FROM ranked
+  UNION ALL
+  SELECT lvl + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lvl, lang, pos // 8, n),
+tops AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS lvl, pos, n, subroot AS h FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY lvl, pos // 8, n),
+low AS (
+  SELECT r.lang, r.pos, x.lvl,
+         coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos < r.pos // (8 ** x.lvl)::BIGINT), '') AS l,
+         coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos > r.pos // (8 ** x.lvl)::BIGINT), '') AS r
+  FROM ranked r JOIN nodes x ON x.lang IS NOT DISTINCT FROM r.lang AND x.n > 1 AND x.pos // 8 = r.pos // (8 ** (x.lvl + 1))::BIGINT
+  GROUP BY ALL),
+high AS (
+  SELECT t.lang, x.lvl,
+         coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos < t.pos // (8 ** x.lvl)::BIGINT), '') AS l,
+         coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos > t.pos // (8 ** x.lvl)::BIGINT), '') AS r
+  FROM tops t JOIN upper_nodes x ON x.n > 1 AND x.pos // 8 = t.pos // (8 ** (x.lvl + 1))::BIGINT
+  GROUP BY ALL),
+below AS (SELECT lang, pos, list(l || '|' || r ORDER BY lvl) AS steps FROM low GROUP BY lang, pos),
+above AS (SELECT lang, list(l || '|' || r ORDER BY lvl) AS steps FROM high GROUP BY lang),
+ways AS (
+  SELECT r.doc_id, r.leaf, r.cur, t.subroot, (SELECT h FROM upper_nodes WHERE n = 1) AS root,
+         list_concat(coalesce(b.steps, []), coalesce(a.steps, [])) AS steps
+  FROM ranked r JOIN tops t ON t.lang IS NOT DISTINCT FROM r.lang
+  LEFT JOIN below b ON b.lang IS NOT DISTINCT FROM r.lang AND b.pos = r.pos
+  LEFT JOIN above a ON a.lang IS NOT DISTINCT FROM r.lang),
+done AS (
+  SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+         list_reduce(list_concat([cur], steps), lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+  FROM ways)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     limits = {"op2_sharding": SHARD_BYTES, "sharding_small_limit": SMALL_SHARD_BYTES}
-    return {k: OP2_SQL.replace("LIMIT_BYTES", str(v)) for k, v in limits.items()} | {"op5_line_dedup": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_url_filters": OP10_SQL}
+    return {k: OP2_SQL.replace("LIMIT_BYTES", str(v)) for k, v in limits.items()} | {"op5_line_dedup": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op10_url_filters": OP10_SQL, "op13_merkle": OP13_SQL}
