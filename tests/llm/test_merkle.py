@@ -10,7 +10,10 @@ from claimloom.llm.merkle import merkle_manifest
 from edge import docs, nothing
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-CHANGED = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+
+
+def changed():
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 0
 
 
 def digest(text):
@@ -72,14 +75,14 @@ def many(spark):
 @pytest.mark.parametrize("run, levels", [(8, 3), (8, 1), (2, 2)])
 def test_manifest(spark, run, levels):
     given = many(spark)
-    got = merkle_manifest(given, tampered=CHANGED, run=run, levels=levels)
+    got = merkle_manifest(given, tampered=changed(), run=run, levels=levels)
     assert sorted(map(tuple, got.collect()), key=str) == brute([r.asDict() for r in given.collect()], run)
 
 
 def test_edge_rows(spark):
     given = docs(spark)
     rows = [r.asDict() for r in given.collect()]
-    assert sorted(map(tuple, merkle_manifest(given, tampered=CHANGED).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, merkle_manifest(given, tampered=changed()).collect()), key=str) == brute(rows)
     assert all(r["verified"] for r in merkle_manifest(given).collect())
     assert merkle_manifest(nothing(spark)).collect() == []
 
