@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import langid, media_avi, quality_cnn
-from claimloom.llm.common import fold_of
+from claimloom.llm import class_lm, langid, media_avi, quality_cnn
+from claimloom.llm.common import drop_tables, fold_of
+from claimloom.llm.alignment import align_tokenizers
 from claimloom.llm.exact_dedup import exact_dedup
 from claimloom.llm.jaccard_join import jaccard_components
 from claimloom.llm.line_dedup import dedup_lines
@@ -27,11 +28,11 @@ CAPACITY = 4096
 QUALITY_CUT = 0.3
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file, where this machine has it; another place can be given to ``pack``."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The vocabulary file, where this machine has it; another place can be given to the operators."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +91,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, encoded = class_lm.learn_classes(docs, fold_of("doc_id", 7) != 2)
+    found = class_lm.score_texts(docs, model, encoded)
+    drop_tables(encoded)
+    return found.withColumn("held_out", fold_of("doc_id", 7) == 2)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
 
@@ -101,7 +114,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters, op13_merkle]
+    found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters, op11_alignment, op12_class_lm, op13_merkle]
     return {f.__name__: f for f in found} | {"pipeline": pipeline, "sharding_small_limit": sharding_small_limit}
 
 

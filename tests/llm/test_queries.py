@@ -14,4 +14,4 @@ def test_query_equals_sql(spark, name):
 
 def test_an_operator_a_number_and_the_pipeline():
     found = queries.queries()
-    assert [sum(k.startswith(f"op{n}_") for k in found) for n in range(1, 11)] == [1] * 10 and "pipeline" in found
+    assert [sum(k.startswith(f"op{n}_") for k in found) for n in range(1, 14)] == [1] * 13 and "pipeline" in found
