@@ -87,14 +87,29 @@ def heading_only(lines: Column) -> Column:
     return F.forall(filled, lambda x: x.startswith("#"))
 
 
+def first_filled(*given: Column) -> Column:
+    """The first that is neither null nor empty; null if there is none."""
+    return F.coalesce(*[F.when(c != "", c) for c in given])
+
+
+def lenient_text(content: Column) -> Column:
+    """Bytes as text; what is no UTF-8 becomes replacement marks."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
 def shortened(c: Column, most: int, keep: int, mark: str) -> Column:
     """Texts over ``most`` characters cut to ``keep`` and marked."""
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, keep), F.lit(mark))).otherwise(c)
 
 
+def trimmed_end(c: Column) -> Column:
+    """Without the white space behind."""
+    return F.regexp_replace(c, rf"(?U){_SPACE}+\z", "")
+
+
 def digest(c: Column, cap: int) -> Column:
     body = strip(blank(c))
-    cut = F.concat(F.regexp_replace(F.substring(body, 1, cap - 1), rf"(?U){_SPACE}+\z", ""), F.lit("…"))
+    cut = F.concat(trimmed_end(F.substring(body, 1, cap - 1)), F.lit("…"))
     return F.when(F.length(body) > cap, cut).otherwise(body)
 
 

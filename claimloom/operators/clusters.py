@@ -6,29 +6,61 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import entity_mentions, short_hash
-from claimloom.operators.saving import saved
+from claimloom.operators.saving import forget, saved
 from claimloom.schemas import DEFAULT_HOME, UNKNOWN_TYPE
 
 
-def merge_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def merge_components(edges: DataFrame, nodes: DataFrame, sizes: list[int] | None = None) -> DataFrame:
     """(id, component) for every node: the least id it is connected with through ``edges`` (src, dst) whose ends are
     both nodes.
 
-    Labels go along edges and then jump to the label of their label, which halves paths; rounds grow with the
-    logarithm of the longest path. Each round is checkpointed.
+    By contraction. In a round each node that has a smaller neighbour points to its least one; pointers are followed to
+    their ends, the ends replace the nodes in the edges, and edges inside a component go. Only nodes that still have
+    edges take part in a round, so rounds shrink; the rounds' pointers are followed one after the other at last. What a
+    round leaves are its pointers alone. ``sizes`` gets the number of edges of each round.
     """
     ids = nodes.select("id").distinct()
     inside = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    both = saved(inside.select("src", "dst").unionByName(inside.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct())
-    labels = saved(ids.withColumn("component", F.col("id")))
+    now, rounds = saved(_undirected(inside)), []
+    while (count := now.count()) > 0:
+        if sizes is not None:
+            sizes.append(count)
+        both = now.select("src", "dst").unionByName(now.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        pointers = _followed(saved(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("to"))))
+        to = lambda end, pointers=pointers: pointers.select(F.col("node").alias(end), F.col("to").alias(f"new_{end}"))
+        moved = now.join(to("src"), "src").join(to("dst"), "dst").select(F.col("new_src").alias("src"), F.col("new_dst").alias("dst"))
+        after = saved(_undirected(moved))
+        forget(now)
+        rounds.append(pointers)
+        now = after
+    forget(now)
+    if not rounds:
+        return ids.withColumn("component", F.col("id"))
+    # Nodes of a round are ends of the round before.
+    whole = rounds[-1]
+    for earlier in reversed(rounds[:-1]):
+        later = whole.select(F.col("node").alias("to"), F.col("to").alias("_end"))
+        whole = earlier.join(later, "to", "left").select("node", F.coalesce("_end", "to").alias("to"))
+    labels = saved(ids.join(whole.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("to", "id").alias("component")))
+    forget(*rounds)
+    return labels
+
+
+def _undirected(edges: DataFrame) -> DataFrame:
+    """Each pair once, the greater id first; without loops."""
+    return edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
+
+
+def _followed(pointers: DataFrame) -> DataFrame:
+    """Pointers to the ends of the ways of pointers: each step doubles how far they go."""
     while True:
-        seen = both.join(labels.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("component").alias("near"))
-        hopped = labels.join(seen, "id", "left").select("id", F.col("component").alias("old"), F.least("component", F.coalesce("near", "component")).alias("component"))
-        up = hopped.select(F.col("id").alias("component"), F.col("component").alias("above"))
-        after = saved(hopped.join(up, "component", "left").select("id", "old", F.least("component", F.coalesce("above", "component")).alias("component")))
-        labels = after.select("id", "component")
-        if after.where("old <> component").isEmpty():
-            return labels
+        further = pointers.select(F.col("node").alias("to"), F.col("to").alias("_next"))
+        after = saved(pointers.join(further, "to").select("node", F.col("_next").alias("to"), (F.col("_next") != F.col("to")).alias("moved")))
+        forget(pointers)
+        if after.where("moved").isEmpty():
+            return after
+        pointers = after.drop("moved")
+        pointers._saved_at = after._saved_at
 
 
 def cluster_ids(components: DataFrame) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.operators.ranking import grouped_rank
+from claimloom.operators.saving import saved
+
+#: Lines that are hashed as one text.
+CURSOR_RUN = 1 << 14
+
 
 def changed_sources(current: DataFrame, prior: DataFrame) -> DataFrame:
     """Rows of ``current`` (path, content_hash, ...) that are new or differ from ``prior``."""
@@ -18,11 +24,24 @@ def removed_sources(current: DataFrame, prior: DataFrame) -> DataFrame:
     return prior.where(F.col("path") != "").select("path").distinct().join(current.select("path"), "path", "left_anti")
 
 
-def cursor_hash(inventory: DataFrame) -> DataFrame:
-    """One row, ``cursor``: a hash of the sorted ``path:hash`` lines. An inventory is a list of files: it is gathered."""
-    lines = F.array_sort(F.collect_list(F.struct("path", "content_hash")))
-    text = F.array_join(F.transform(lines, lambda x: F.concat(x["path"], F.lit(":"), F.coalesce(x["content_hash"], F.lit("None")))), "\n")
-    return inventory.where(F.col("path") != "").agg(F.concat(F.lit("cursor-v1:"), F.substring(F.sha2(text, 256), 1, 16)).alias("cursor"))
+def cursor_hash(inventory: DataFrame, run: int = CURSOR_RUN) -> DataFrame:
+    """One row, ``cursor``: a hash of the sorted ``path:hash`` lines.
+
+    Up to ``run`` lines are hashed as one text. Of more, each ``run`` consecutive lines become one digest, each ``run``
+    digests one, and so on; such a cursor says ``v2``. No row holds more than ``run`` lines, and no task all of them.
+    """
+    named = inventory.where(F.col("path") != "").select("path", F.coalesce("content_hash", F.lit("None")).alias("h"), F.col("content_hash").isNotNull().alias("known"))
+    line = F.concat("path", F.lit(":"), "h")
+    placed = grouped_rank(named.withColumn("line", line), [], [F.col("path").asc(), F.col("known").asc(), F.col("h").asc()], "pos").select("pos", "line")
+    level, count = 1, placed.count()
+    while count > run:
+        digests = placed.groupBy(F.floor(F.col("pos") / run).alias("pos")).agg(F.sha2(_ordered(), 256).alias("line"))
+        placed, level, count = saved(digests), 2, -(-count // run)
+    return placed.agg(F.concat(F.lit(f"cursor-v{level}:"), F.substring(F.sha2(_ordered(), 256), 1, 16)).alias("cursor"))
+
+
+def _ordered() -> Column:
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
 
 
 def select_scope(current: DataFrame, prior: DataFrame | None, mode: str) -> tuple[DataFrame, str, DataFrame]:

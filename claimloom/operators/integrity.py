@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.text import blank, strip
+from claimloom.functions.text import blank, strip, version_tuple
 from claimloom.operators.resolve import active, route_state
 from claimloom.schemas import CLAIM_SCORES, CONFIDENCE, DIGEST_CAP, EPISODE_DIR, FRESHNESS, HOMES, INACTIVE, MANIFEST_KEYS, PERSONAL_HOMES, PROFILES, PROVENANCE_TYPES, RELATIONS, RUN_STATUSES, STATUSES, TYPES
 
@@ -130,10 +133,14 @@ def view_violations(views: DataFrame, claims: DataFrame, profile: str) -> DataFr
     return _broken(joined, F.col("home"), rules)
 
 
-def store_violations(spark: SparkSession, tables: list[str], found: list[str], views: list[str], found_views: list[str]) -> DataFrame:
-    """What a published version lacks: tables (errors) and views (warnings)."""
-    rows = [(t, "table_missing") for t in tables if t not in found] + [(v, "warn:view_missing") for v in views if v not in found_views]
-    return spark.createDataFrame(rows, "id string, rule string")
+def store_violations(listings: DataFrame, tables: list[str], views: list[str]) -> DataFrame:
+    """What versions (id, names of their ``tables``, of their ``views``) lack: tables (errors) and views (warnings)."""
+    lacks = lambda names, wanted, rule: F.transform(
+        F.array_except(F.array(*[F.lit(w) for w in wanted]).cast("array<string>"), F.coalesce(names, F.array().cast("array<string>"))),
+        lambda x: F.concat(F.lit(rule), x)
+    )
+    broken = F.concat(lacks(F.col("tables"), tables, "table_missing:"), lacks(F.col("views"), views, "warn:view_missing:"))
+    return listings.select("id", F.explode(broken).alias("rule"))
 
 
 def manifest_violations(manifests: DataFrame, id_col: str, json_col: str) -> DataFrame:
@@ -151,6 +158,18 @@ def manifest_violations(manifests: DataFrame, id_col: str, json_col: str) -> Dat
     return _broken(manifests, F.col(id_col), rules)
 
 
+def upgrade_states(manifests: DataFrame, id_col: str, json_col: str, running: dict[str, str]) -> DataFrame:
+    """(id, state) of stores by their manifests: ``refuse`` where any version of ``running`` is newer than the stored one,
+    ``warn`` where one is older, ``new`` where there is no manifest, else ``ok``. A version that isn't stored is the oldest."""
+    value = F.try_parse_json(F.col(json_col))
+    stored = {k: version_tuple(F.coalesce(F.try_variant_get(value, f"$.{k}", "string"), F.lit("0"))) for k in running}
+    now = {k: version_tuple(F.lit(v)) for k, v in running.items()}
+    some = lambda test: reduce(or_, [test(stored[k], now[k]) for k in running])
+    is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    state = F.when(~is_object, "new").when(some(lambda a, b: a < b), "refuse").when(some(lambda a, b: a > b), "warn").otherwise("ok")
+    return manifests.select(F.col(id_col).alias("id"), state.alias("state"))
+
+
 def report_status(violations: DataFrame) -> DataFrame:
     """One row, ``status``: errors before warnings before ok."""
     worst = F.max(F.when(F.col("rule").startswith("warn:"), 1).otherwise(2))

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.operators.ranking import segments
 from claimloom.operators.resolve import active
 from claimloom.schemas import HOMES, INACTIVE
 
 CONTRADICTION_KEY = ["contradiction_cluster_id", "claim_id", "competing_claim_id", "competing_text"]
 
 
-def upsert_claims(prior: DataFrame, new: DataFrame) -> DataFrame:
+def upsert_claims(prior: DataFrame, new: DataFrame, last: int | None = None) -> DataFrame:
     """Both by id: the last new row of an id replaces all others, and keeps the place of the prior one; rows without
-    an id go. ``ord`` of new claims starts after the prior ones."""
-    last = prior.agg(F.max("ord")).first()[0]
+    an id go. ``ord`` of new claims starts after ``last``, by default the greatest of the prior ones."""
+    last = prior.agg(F.max("ord")).first()[0] if last is None else last
     shifted = new.withColumn("_place", F.lit(0 if last is None else last + 1).cast("long") + F.col("ord"))
     rows = prior.withColumn("_place", F.col("ord")).withColumn("_gen", F.lit(0)).unionByName(shifted.withColumn("_gen", F.lit(1))).where(F.col("id") != "")
     same = Window.partitionBy("id")
@@ -51,13 +52,17 @@ def chain_warnings(new: DataFrame, prior: DataFrame) -> DataFrame:
     return edges.join(gone, "target").select("new_id", "target", "successor")
 
 
-def retire_unsourced(claims: DataFrame, removed: DataFrame, run_id: str) -> DataFrame:
-    """Active claims all of whose sources are in ``removed`` (path) become candidates for retirement, with the reason."""
+def unsourced(claims: DataFrame, removed: DataFrame) -> DataFrame:
+    """(id, _paths): active claims all of whose sources are in ``removed`` (path), and these."""
     sources = active(claims).select("id", F.explode("provenance").alias("p")).select("id", F.col("p.source").alias("path")).where(F.col("path") != "").distinct()
     marked = sources.join(removed.select("path").distinct().withColumn("_gone", F.lit(1)), "path", "left")
-    lost = marked.groupBy("id").agg(
-        F.min(F.coalesce("_gone", F.lit(0))).alias("_all"), F.array_sort(F.collect_list("path")).alias("_paths")
-    ).where("_all = 1").select("id", "_paths")
+    each = marked.groupBy("id").agg(F.min(F.coalesce("_gone", F.lit(0))).alias("_all"), F.array_sort(F.collect_list("path")).alias("_paths"))
+    return each.where("_all = 1").select("id", "_paths")
+
+
+def retire_unsourced(claims: DataFrame, removed: DataFrame, run_id: str) -> DataFrame:
+    """Active claims all of whose sources are in ``removed`` (path) become candidates for retirement, with the reason."""
+    lost = unsourced(claims, removed)
     joined = claims.join(lost, "id", "left")
     hit = F.col("_paths").isNotNull()
     reason = F.array(F.struct(F.lit(run_id).alias("run_id"), F.lit("all_sources_removed").alias("reason"), F.col("_paths").alias("removed_sources")))
@@ -116,6 +121,16 @@ def routes(claims: DataFrame) -> DataFrame:
     return every.join(found, "home", "left").select("home", F.coalesce("claim_ids", F.array().cast("array<string>")).alias("claim_ids"))
 
 
+def entity_segments(claims: DataFrame, size: int) -> DataFrame:
+    """(subject, segment, items): ``entities`` in lists of at most ``size`` ids."""
+    return segments(entity_rows(claims), "subject", "claim_id", size)
+
+
+def route_segments(claims: DataFrame, size: int) -> DataFrame:
+    """(home, segment, items): ``routes`` in lists of at most ``size`` ids; homes without any aren't there."""
+    return segments(route_rows(claims).where("claim_id is not null"), "home", "claim_id", size)
+
+
 def cross_surface(claims: DataFrame) -> DataFrame:
     """(id, sources): distinct sorted sources of each claim, found inside the row."""
     named = F.filter(F.transform("provenance", lambda p: p["source"]), lambda s: s != "")

@@ -51,47 +51,76 @@ def exact_reuse(new: DataFrame, prior: DataFrame) -> DataFrame:
     return _full(with_keys(new), KEYS).join(best, KEYS).select("id", "target_id")
 
 
+GROUP = ["n_home", "n_subject", "n_object"]
+
+
 def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
     """(id, target_id, score, dominant): the most alike active prior claim of the same home scoring THRESHOLD or more,
-    the first by ``ord`` at a tie; for claims without exact reuse.
-
-    Without an equal subject no sum reaches the threshold. With it and the home, what is missing comes from an equal
-    predicate, from equal tokens, or from an equal object and tokens of a similarity of one half. So pairs come from three
-    equi-joins and never from the subject alone: similar token sets share a token among the first of each, by any order.
-    Both sides are saved, so that keys and tokens are made once.
-    Priors with equal keys, tokens and object score alike, so the first of them stands for all, and equal new claims are
-    scored once.
+    the first by ``ord`` at a tie; for claims without exact reuse, so claims that have one get no row.
+
+    Without an equal subject no sum reaches the threshold. With it and the home, and with another predicate (an equal one
+    is exact reuse), what is missing comes from equal tokens, or from an equal object and tokens of a similarity of one
+    half. Of prior claims with equal tokens only the first of each object, and of all, can win, so these are found
+    without pairs. The others come from ``half_alike``. Both sides are saved, so that keys and tokens are made once.
     """
     def looks(df: DataFrame) -> DataFrame:
         df = _full(with_keys(df), KEYS if df is new else ["n_home", "n_subject"])
         return df.withColumns({"n_object": subject_key(F.col("object")), "tokens": F.array_sort(duplicate_tokens(F.col("text")))})
 
     same = [*KEYS, "n_object", "tokens"]
-    mine = looks(new)
-    asks = saved(mine.select(*same).distinct()).withColumn("ask", F.struct(*same))
-    theirs = looks(active(prior)).groupBy(*same).agg(F.min(F.struct("ord", "id")).alias("who"))
-    theirs = saved(theirs.select(
-        "n_home", "n_subject", F.col("n_predicate").alias("p_predicate"), F.col("n_object").alias("p_object"),
-        F.col("tokens").alias("p_tokens"), "who"
-    ))
-    key = (F.col("n.n_home") == F.col("p.n_home")) & (F.col("n.n_subject") == F.col("p.n_subject"))
-    met = lambda mine, other, more: mine.alias("n").join(other.alias("p"), key & more).select(
-        *[F.col(f"n.{c}").alias(c) for c in ("ask", *same)],
-        *[F.col(f"p.{c}").alias(c) for c in ("p_predicate", "p_object", "p_tokens", "who")]
-    )
-    # At least half of the union is shared, so at least half of either set: one of the first n - ceil(n / 2) + 1.
-    leading = lambda df, tokens: df.withColumn("_token", F.explode(F.slice(tokens, F.lit(1), F.size(tokens) - F.ceil(F.size(tokens) / 2).cast("int") + 1)))
-    alike = (F.col("n.n_object") == F.col("p.p_object")) & (F.col("n._token") == F.col("p._token"))
-    pairs = met(asks, theirs, F.col("n.n_predicate") == F.col("p.p_predicate")).unionByName(met(asks, theirs, F.col("n.tokens") == F.col("p.p_tokens")))
-    pairs = pairs.unionByName(met(leading(asks.where("n_object <> ''"), "tokens"), leading(theirs.where("p_object <> ''"), "p_tokens"), alike))
-    predicate = F.when(F.col("n_predicate") == F.col("p_predicate"), 1.0).otherwise(0.0)
-    text = jaccard(F.col("tokens"), F.col("p_tokens"))
-    bonus = F.when((F.col("n_object") != "") & (F.col("n_object") == F.col("p_object")), OBJECT_BONUS).otherwise(0.0)
-    score = F.lit(1.0 * W_SUBJECT) + predicate * W_PREDICATE + F.lit(1.0 * W_HOME) + text * W_TEXT + bonus
-    top = pairs.withColumn("score", score).where(F.col("score") >= THRESHOLD).groupBy("ask").agg(F.min(F.struct((-F.col("score")).alias("s"), "who")).alias("best"))
-    found = top.select(*[F.col("ask")[c].alias(c) for c in same], F.col("best.who.id").alias("target_id"), F.bround(-F.col("best.s"), 3).alias("score"))
+    known = looks(active(prior))
+    mine = looks(new).join(_full(known, KEYS).select(*KEYS).distinct(), KEYS, "left_anti")
+    asks = saved(mine.select(*same).distinct())
+    # Prior claims that differ in predicate alone score alike beside another predicate.
+    theirs = saved(known.groupBy(*GROUP, "tokens").agg(F.min(F.struct("ord", "id")).alias("who")))
+    equal = ["n_home", "n_subject", "tokens"]
+    filled = asks.where(F.size("tokens") > 0)
+    any_object = theirs.groupBy(*equal).agg(F.min("who").alias("who"))
+    found = filled.join(any_object, equal).select(*same, "who", _duplicate_score(F.lit(1.0), F.lit(0.0)))
+    found = found.unionByName(filled.where("n_object <> ''").join(theirs, [*GROUP, "tokens"]).select(*same, "who", _duplicate_score(F.lit(1.0), F.lit(OBJECT_BONUS))))
+    alike = half_alike(asks.where("n_object <> ''").select(*GROUP, "tokens").distinct(), theirs.where("n_object <> ''"))
+    found = found.unionByName(asks.join(alike, [*GROUP, "tokens"]).select(*same, "who", _duplicate_score(F.col("text"), F.lit(OBJECT_BONUS))))
+    top = found.where(F.col("score") >= THRESHOLD).groupBy(*same).agg(F.min(F.struct((-F.col("score")).alias("s"), "who")).alias("best"))
+    best = top.select(*same, F.col("best.who.id").alias("target_id"), F.bround(-F.col("best.s"), 3).alias("score"))
     # The subject's 0.4 is never below another signal's weight.
-    return mine.join(found, same).select("id", "target_id", "score", F.lit("subject").alias("dominant"))
+    return mine.join(best, same).select("id", "target_id", "score", F.lit("subject").alias("dominant"))
+
+
+def _duplicate_score(text: Column, bonus: Column) -> Column:
+    """Of claims of one subject and home and of different predicates."""
+    return (F.lit(1.0 * W_SUBJECT) + F.lit(0.0 * W_PREDICATE) + F.lit(1.0 * W_HOME) + text * W_TEXT + bonus).alias("score")
+
+
+def _prefixes(sets: DataFrame, counts: DataFrame, *keep: str) -> DataFrame:
+    """The leading tokens of each set, rarest in its group first, with their place and the set's size. Sets that share
+    half of their union share half of either, so one of the first n - ceil(n / 2) + 1 in any common order."""
+    each = sets.select(*GROUP, *keep, "tokens", F.explode("tokens").alias("token")).join(counts, [*GROUP, "token"], "left")
+    ordered = each.groupBy(*GROUP, *keep, "tokens").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("by_n"))
+    n = F.size("by_n")
+    first = ordered.withColumn("size", n).withColumn("by_n", F.slice("by_n", F.lit(1), n - F.ceil(n / 2).cast("int") + 1))
+    return first.select(*GROUP, *keep, "tokens", "size", F.posexplode("by_n").alias("place", "t")).select(*GROUP, *keep, "tokens", "size", "place", F.col("t.token").alias("token"))
+
+
+def meeting(asks: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Sets of tokens (``tokens`` and ``p_tokens`` with ``who``) of one group that can share half of their union: they
+    share a leading token, sizes differ by twice at most, and what is left behind it is enough. A pair comes as often as
+    it shares leading tokens."""
+    counts = saved(theirs.select(*GROUP, F.explode("tokens").alias("token")).groupBy(*GROUP, "token").agg(F.count(F.lit(1)).alias("n")))
+    mine = _prefixes(asks, counts)
+    other = _prefixes(theirs, counts, "who").select(*GROUP, "token", "who", F.col("tokens").alias("p_tokens"), F.col("size").alias("p_size"), F.col("place").alias("p_place"))
+    met = mine.join(other, [*GROUP, "token"])
+    behind = F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place"))
+    near = (F.col("size") <= 2 * F.col("p_size")) & (F.col("p_size") <= 2 * F.col("size")) & (3 * behind >= F.col("size") + F.col("p_size"))
+    return met.where(near).select(*GROUP, "tokens", "p_tokens", "who")
+
+
+def half_alike(asks: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(group, tokens, who, text): for each set of ``asks`` the most similar one of ``theirs`` in its group, of those with
+    a Jaccard similarity of one half or more; the first at a tie."""
+    text = jaccard(F.col("tokens"), F.col("p_tokens"))
+    scored = meeting(asks, theirs).withColumn("text", text).where(F.col("text") >= 0.5)
+    best = scored.groupBy(*GROUP, "tokens").agg(F.min(F.struct((-F.col("text")).alias("t"), "who")).alias("best"))
+    return best.select(*GROUP, "tokens", F.col("best.who").alias("who"), (-F.col("best.t")).alias("text"))
 
 
 def dispositions(new: DataFrame, prior: DataFrame) -> DataFrame:

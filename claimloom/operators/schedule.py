@@ -65,6 +65,29 @@ class Delivery:
         )
 
 
+def delivery_columns(state: Column, config: Column, namespace: str = "claims") -> dict[str, Column]:
+    """``Delivery.read`` of JSON documents in columns."""
+    def at(document: Column, path: str) -> tuple[Column, Column]:
+        found = F.try_variant_get(F.try_parse_json(document), f"$.{path}", "variant")
+        return found, F.coalesce(F.schema_of_variant(found), F.lit(""))
+
+    def text(document: Column, path: str) -> Column:
+        found, kind = at(document, path)
+        return F.when(kind == "STRING", F.nullif(F.try_variant_get(found, "$", "string"), F.lit("")))
+
+    said, said_kind = at(state, f"{namespace}.reporting.enabled")
+    timeout, timeout_kind = at(config, "cron.timeout_seconds")
+    seconds = F.try_variant_get(timeout, "$", "int")
+    there = f"{namespace}.reporting.delivery"
+    return {
+        "enabled": F.when(said_kind == "BOOLEAN", F.try_variant_get(said, "$", "boolean")),
+        "channel": F.coalesce(text(state, f"{there}.channel"), text(config, "cron.announce_channel")),
+        "target": F.coalesce(text(state, f"{there}.to"), text(config, "cron.announce_to")),
+        "zone": F.coalesce(text(config, "cron.tz"), F.lit(DEFAULT_ZONE)),
+        "timeout": F.when((timeout_kind == "BIGINT") & (seconds > 0), seconds).otherwise(DEFAULT_TIMEOUT),
+    }
+
+
 def delivery_actions(jobs: DataFrame, wanted: Delivery, prefix: str) -> DataFrame:
     """(name, current, action) of jobs (name, cron, tz, deliver) against what is wanted; one of ACTIONS each. No rows
     where nothing is wanted."""

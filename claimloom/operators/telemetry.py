@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.dates import age_days, micros, recall_score
+from claimloom.functions.dates import age_days, micros, recall_score, valid_zone
 from claimloom.functions.text import shortened
 
 # Usage sources from best to worst, and what the recall looks at.
@@ -36,6 +36,11 @@ def status_by_day(events: DataFrame, ts: str, status: str) -> DataFrame:
     return events.groupBy(F.date_format(ts, "yyyy-MM-dd").alias("log_date"), F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def log_shards(events: DataFrame, ts: str, zone: str) -> DataFrame:
+    """The events with ``log_date``, the local day of a UTC time, which names the log's folder."""
+    return events.withColumn("log_date", F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(valid_zone(zone)), F.col(ts).cast("timestamp_ntz")), "yyyy-MM-dd"))
+
+
 def recall_surface(claims: DataFrame, now: Column) -> DataFrame:
     """The one claim most worth a look: best score, then the oldest, then the least id."""
     age = age_days(F.col("updated_at"), now)
@@ -62,6 +67,34 @@ def route_warnings(claims: DataFrame) -> DataFrame:
     return claims.where("route_state <> 'strong'").select("id", "type", "primary_home", "route_state", "route_suggested")
 
 
+def state_version_of(logic: Column, manifest: Column, artifact: Column) -> Column:
+    return F.substring(F.sha1(F.concat_ws("|", logic, manifest, artifact)), 1, 12)
+
+
+def step_warnings(**steps: DataFrame) -> DataFrame:
+    """(step, warning): the warnings of all steps, repeats kept; each step is a table whose first column is the warning."""
+    parts = [rows.select(F.lit(step).alias("step"), F.col(rows.columns[0]).cast("string").alias("warning")) for step, rows in steps.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def scope_warnings(gone: DataFrame, waiting: DataFrame) -> DataFrame:
+    """What scoping has to say: sources that went, and candidates that still wait from before."""
+    left = gone.select(F.concat(F.lit("source is gone: "), "path").alias("warning"))
+    return left.unionByName(waiting.select(F.concat(F.lit("waited for a batch: "), "candidate_id").alias("warning")))
+
+
+def pass_warnings(attempts: DataFrame, answered: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """What a judging pass has to say: batches that were asked for again (batch, attempt, rule), and ids that were not
+    asked for and whose answers were dropped."""
+    again = attempts.groupBy("batch", "attempt").agg(F.count(F.lit(1)).alias("n"), F.min("rule").alias("rule"))
+    said = F.format_string("batch %d was asked for again after attempt %d: %d broken rules, %s among them", "batch", F.col("attempt") + 1, "n", "rule")
+    foreign = answered.select(key).distinct().join(asked.select(key), key, "left_anti").where(F.col(key) != "")
+    return again.select(said.alias("warning")).unionByName(foreign.select(F.concat(F.lit("answer to nothing that was asked: "), F.col(key)).alias("warning")))
+
+
 def state_version(logic: str, manifest: str, artifact: str) -> str:
     return hashlib.sha1(f"{logic}|{manifest}|{artifact}".encode()).hexdigest()[:12]
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.saving import saved
+from claimloom.operators.ranking import global_rank
 from claimloom.schemas import SURVIVING, VERDICT_SCORES, VERDICTS
 
 TOLERANCE = 0.01
@@ -26,18 +26,6 @@ def rule_verdict(total: Column, noise: Column) -> Column:
     return F.when((total <= 0.5) | (noise >= 0.8), "reject").when(total < 2.0, "defer").otherwise("promote")
 
 
-def global_rank(rows: DataFrame, *by: str, out: str = "rank") -> DataFrame:
-    """Places from 0 over the whole table in two steps: rows are range-partitioned, counted by partition, and ranked
-    inside their partition, so no task sees all rows. The partitioned rows are saved, as another evaluation could draw
-    other bounds."""
-    parts = saved(rows.repartitionByRange(*[F.col(c) for c in by]).withColumn("_part", F.spark_partition_id()))
-    counts = parts.groupBy("_part").count()
-    before = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
-    inside = Window.partitionBy("_part").orderBy(*by)
-    ranked = parts.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(before), "_part")
-    return ranked.withColumn(out, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_part", "_rank", "_before")
-
-
 def batch_chunks(rows: DataFrame, id_col: str, size: int, cap: int) -> DataFrame:
     """``batch`` (from 0, by id; all 0 for size 0) and ``pending`` for rows past ``cap`` batches."""
     if size <= 0:

@@ -1,13 +1,13 @@
-"""The human-facing views as ordered rows of blocks; ``view_text`` joins them."""
+"""The human-facing views as ordered rows of blocks, and as text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.text import blank, digest, lines_of, shortened, strip
+from claimloom.functions.text import blank, digest, lines_of, shortened, strip, trimmed_end
+from claimloom.operators.ranking import global_rank, grouped_rank
 from claimloom.operators.resolve import active
-from claimloom.operators.verdicts import global_rank
 from claimloom.schemas import DIGEST_CAP, EP, EPISODE_DIR, HI, LT, PB, SECTIONS, WI
 
 # Titles and notes of the views.
@@ -31,17 +31,18 @@ def _captured() -> Column:
     return strip(blank(F.get(F.col("provenance"), F.lit(0))["captured_at"]))
 
 
-def _latest(c: Column) -> list[Column]:
+def _latest(c: Column) -> list[tuple[Column, bool]]:
     """Descending as the views have it: blank first."""
-    return [(c == "").desc(), c.desc()]
+    return [(c == "", True), (c, True)]
 
 
+#: Sort keys and whether they descend.
 ORDERS = {
-    "subject_asc": lambda: [F.lower(blank(F.col("subject"))).asc(), _updated().asc()],
+    "subject_asc": lambda: [(F.lower(blank(F.col("subject"))), False), (_updated(), False)],
     "updated_desc": lambda: _latest(_updated()),
     "captured_desc": lambda: _latest(_captured()),
-    "captured_asc": lambda: [_captured().asc()],
-    "recurrence_desc": lambda: [F.coalesce("recurrence", F.lit(0.0)).desc(), *_latest(_updated())],
+    "captured_asc": lambda: [(_captured(), False)],
+    "recurrence_desc": lambda: [(F.coalesce("recurrence", F.lit(0.0)), True), *_latest(_updated())],
 }
 
 
@@ -141,10 +142,14 @@ def wish_block() -> Column:
     return _block(F.concat(F.lit("### "), _short_subject()), _filled(strip(blank(F.col("text")))), F.when(parts != "", F.concat(F.lit("\n"), parts)), _contested())
 
 
-def _rows(claims: DataFrame, section: Column, section_ord: Column, order: list[Column], block: Column) -> DataFrame:
+def _rows(claims: DataFrame, section: Column, section_ord: Column, order: list[tuple[Column, bool]], block: Column) -> DataFrame:
+    """Blocks numbered inside their sections; no task sees all of a section."""
     made = claims.withColumn("section", section).withColumn("section_ord", section_ord)
-    place = Window.partitionBy("section_ord", "section").orderBy(*order, F.col("ord").asc())
-    return made.withColumn("row_ord", F.row_number().over(place)).select("section_ord", "section", "row_ord", "id", block.alias("block"))
+    keys = [k for k, _ in order]
+    slim = made.select("section_ord", "section", "id", block.alias("block"), "ord", *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    by = [F.col(f"_k{i}").desc() if down else F.col(f"_k{i}").asc() for i, (_, down) in enumerate(order)]
+    ranked = grouped_rank(slim, ["section_ord", "section"], [*by, F.col("ord").asc()], "_place")
+    return ranked.select("section_ord", "section", (F.col("_place") + 1).cast("int").alias("row_ord"), "id", "block")
 
 
 def memory_view(claims: DataFrame) -> DataFrame:
@@ -189,18 +194,30 @@ def wish_view(claims: DataFrame) -> DataFrame:
 VIEWS = {LT: memory_view, PB: playbook_view, EP: episode_view, HI: history_view, WI: wish_view}
 
 
-def view_text(rows: DataFrame, home: str, stamp: str, zone: str) -> str:
-    """A view as markdown, stamped with a local time and its zone. It is one file for people to read, so its blocks come
-    to the driver, one partition after the other, in order."""
+def view_head(home: str, stamp: str, zone: str) -> str:
+    """The lines above a view's blocks, with a local time and its zone."""
     head = [f"# {TITLES[home]}", "", f"_Regenerated {stamp[:10]} {stamp.split('T')[1][:5] if 'T' in stamp else ''} {zone} from the claim store._"]
     if home == LT:
         head.append(KEEP_OUT)
     if home in NOTES:
         head.append(NOTES[home])
-    lines, now = [*head, "", "---", ""], None
-    for r in rows.orderBy("section_ord", "row_ord").toLocalIterator():
-        if r["section"] and r["section"] != now:
-            now = r["section"]
-            lines += [f"## {now}", ""]
-        lines += [r["block"], ""]
-    return "\n".join(lines).rstrip() + "\n"
+    return "\n".join([*head, "", "---"]) + "\n"
+
+
+def view_lines(rows: DataFrame) -> DataFrame:
+    """(value): the text of each block with what stands around it, in order over the partitions. Written as lines, one
+    part after the other, these follow ``view_head``."""
+    last = rows.agg(F.max(F.struct("section_ord", "row_ord")).alias("m")).select(F.col("m.section_ord").alias("_so"), F.col("m.row_ord").alias("_ro"))
+    ended = rows.crossJoin(F.broadcast(last))  # one row
+    ends = (F.col("section_ord") == F.col("_so")) & (F.col("row_ord") == F.col("_ro"))
+    first = (F.col("row_ord") == 1) & (F.col("section") != "")
+    title = F.when(first, F.concat(F.lit("## "), F.col("section"), F.lit("\n\n"))).otherwise("")
+    body = F.when(ends, trimmed_end(F.col("block"))).otherwise(F.concat("block", F.lit("\n")))
+    placed = ended.select("section_ord", "row_ord", F.concat(title, body).alias("value"))
+    return placed.repartitionByRange("section_ord", "row_ord").sortWithinPartitions("section_ord", "row_ord").select("value")
+
+
+def view_text(rows: DataFrame, home: str, stamp: str, zone: str) -> str:
+    """A small view as one text; ``Store.write_view`` puts large ones together without passing them through here."""
+    lines = "".join(f"{r['value']}\n" for r in view_lines(rows).toLocalIterator())
+    return view_head(home, stamp, zone) + (f"\n{lines}" if lines else "")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from claimloom.functions import dates, text
 from claimloom.operators import clusters, delta, extract, integrity, merge, recovery, resolve, retrieval, schedule, telemetry, verdicts, views
+from claimloom.operators.saving import scratch_folder
 from claimloom.plans.engine import Settings, claims_of
 from claimloom.plans.oracle import ORACLE
 from claimloom.plans.store import TABLES
@@ -280,6 +281,13 @@ def probable_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.probable_duplicates(left, prior).select("id", "target_id", "score")
 
 
+@_query
+def probable_duplicates_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New claims and priors whose texts are those of documents."""
+    rows = fixtures.text_claims(_docs(spark, sf_dir))
+    return resolve.probable_duplicates(rows.where("is_new"), rows.where("not is_new")).select("id", "target_id", "score")
+
+
 @_query
 def disposition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = resolve.dispositions(_new(spark, sf_dir), _prior(spark, sf_dir))
@@ -295,6 +303,15 @@ def prior_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranked(spark, sf_dir).where("rank between 1 and 5").select("cluster_id", "claim_id", "rank", _six("score").alias("score"))
 
 
+@_query
+def prior_topk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters and priors whose texts are those of documents."""
+    docs = _docs(spark, sf_dir)
+    asks = fixtures.clusters_q(docs, fixtures.text_claims).withColumn("subject", F.lower("subject"))
+    ranked = retrieval.ranked_priors(asks, fixtures.text_claims(docs).where("not is_new"))
+    return ranked.where("rank between 1 and 5").select("cluster_id", "claim_id", "rank", _six("score").alias("score"))
+
+
 @_query
 def prior_topk_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.widened(_ranked(spark, sf_dir)).select("cluster_id", "claim_id", "rank")
@@ -426,8 +443,7 @@ def integrity_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _claims(spark, sf_dir)
     wrong = F.when(F.col("ord") % 10 == 0, "OTHER.md").otherwise(F.col("primary_home"))
     named = F.when(F.col("ord") % 15 == 0, F.concat(F.lit("unknown-"), F.col("ord").cast("string"))).otherwise(F.col("id"))
-    table = rows.groupBy(wrong.alias("home")).agg(F.collect_list(named).alias("claim_ids"))
-    return integrity.route_violations(table, rows)
+    return integrity.route_violations(rows.select(wrong.alias("home"), named.alias("claim_id")), rows)
 
 
 @_query
@@ -691,7 +707,95 @@ def manifest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def store_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.store_violations(spark, TABLES, TABLES[:3], HOMES, HOMES[1:])
+    return integrity.store_violations(fixtures.listed_versions(_docs(spark, sf_dir)), TABLES, HOMES)
+
+
+@_query
+def upgrade_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.upgrade_states(fixtures.stored_versions(_docs(spark, sf_dir)), "doc_id", "body", {"logic": "1.10.0", "artifact_schema": "1.0"})
+
+
+@_query
+def delivery_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.reporting_states(_read(spark, sf_dir, "customer"))
+    return rows.select("c_custkey", *[c.alias(n) for n, c in schedule.delivery_columns(F.col("state"), F.col("config")).items()])
+
+
+@_query
+def log_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = telemetry.log_shards(_read(spark, sf_dir, "events"), "ts", "Etc/GMT+5")
+    return rows.groupBy("log_date").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
+
+
+@_query
+def first_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = F.when(F.col("ord") % 6 == 0, F.get("secondary_tags", F.lit(0))).when(F.col("ord") % 5 == 0, "")
+    return _claims(spark, sf_dir).select("id", text.first_filled(tag, F.col("confidence_posture"), F.col("object")).alias("found"))
+
+
+@_query
+def lenient_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = F.concat(F.coalesce("text", F.lit("")).cast("binary"), F.unhex(F.lit("FF41C3")))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(text.lenient_text(content)).alias("text_md5"))
+
+
+@_query
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.json_documents(_read(spark, sf_dir, "customer"))
+    return jsonl.records_of(rows, T.StructType().add("k", "long").add("name", "string"), "rows", "body")
+
+
+@_query
+def json_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = T.StructType().add("rows", T.ArrayType(T.StructType().add("k", "long")))
+    none = F.struct(F.array().cast("array<struct<k:long>>").alias("rows"))
+    found = jsonl.object_or(F.col("body"), schema, none)
+    return fixtures.json_documents(_read(spark, sf_dir, "customer")).select("c_custkey", F.coalesce(F.size(found["rows"]), F.lit(-1)).cast("long").alias("n"))
+
+
+@_query
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark, "lines")
+    rows = _claims(spark, sf_dir).select("ord", "id", "object", "text", "secondary_tags", "recurrence")
+    jsonl.write_jsonl(rows, path)
+    return jsonl.read_jsonl(spark, path, rows.schema).select("ord", "id", "object", "text", _joined("secondary_tags").alias("tags"), "recurrence")
+
+
+SEGMENT = 64
+
+
+@_query
+def entity_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(merge.entity_segments(_claims(spark, sf_dir), SEGMENT), "subject")
+
+
+@_query
+def route_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(merge.route_segments(_claims(spark, sf_dir), SEGMENT), "home")
+
+
+def _segments(rows: DataFrame, group: str) -> DataFrame:
+    return rows.select(group, "segment", F.size("items").cast("long").alias("n"), F.md5(_joined("items")).alias("ids_md5"))
+
+
+@_query
+def step_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    before, now = fixtures.inventories(docs)
+    verdicts_, asked = fixtures.verdict_rows(docs), _candidates_asked(docs)
+    broken = verdicts.verdict_violations(verdicts_, asked).where("candidate_id <> ''").withColumn("n", F.regexp_extract("candidate_id", r"(\d+)", 1).cast("long"))
+    tries = broken.select((F.col("n") % 10).alias("batch"), (F.col("n") % 2).cast("int").alias("attempt"), "rule")
+    claims = _claims(spark, sf_dir)
+    return telemetry.step_warnings(
+        scope=telemetry.scope_warnings(delta.removed_sources(now, before), docs.where("doc_id % 9 = 0").select(F.col("doc_id").cast("string").alias("candidate_id"))),
+        verdicts=telemetry.pass_warnings(tries, verdicts_, asked, "candidate_id"),
+        route=telemetry.route_warnings(resolve.with_routes(claims)).select("id")
+    )
+
+
+def _candidates_asked(docs: DataFrame) -> DataFrame:
+    """All but some of the candidates that there are verdicts on."""
+    return docs.where("doc_id % 45 <> 0").select(F.concat(F.lit("cand-"), F.col("doc_id").cast("string")).alias("candidate_id"))
 
 
 @_query
@@ -742,7 +846,10 @@ def version_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def state_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(v, telemetry.state_version(v, "1.0.0", "1.0.0")) for v in ("1.0.0", "1.1.0")], "logic string, state string")
+    k = F.col("p_partkey")
+    logic = F.concat(F.lit("1."), (k % 9).cast("string"), F.lit(".0"))
+    manifest = F.concat(F.lit("1.0."), F.col("p_size").cast("string"))
+    return _read(spark, sf_dir, "part").select("p_partkey", telemetry.state_version_of(logic, manifest, F.lit("1.0.0")).alias("state"))
 
 
 @_query

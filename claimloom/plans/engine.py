@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.dates import clock, valid_zone
 
-from claimloom.operators import clusters, delta, extract, integrity, merge, resolve, retrieval, telemetry, verdicts, views
+from claimloom.operators import clusters, delta, extract, integrity, merge, ranking, resolve, retrieval, telemetry, verdicts, views
 from claimloom.plans.scorers import RuleScorer, Scorer, ScorerUnavailable
-from claimloom.plans.store import TABLES, LockHeld, Store
+from claimloom.plans.store import TABLES, LockHeld, LockLost, Store, bucket_of
 from claimloom.schemas import CLAIM, HOMES, PERSONAL_HOMES, STATUSES, SURVIVING, VERDICTS
 from claimloom.sources.files import discover, read_sources
 
@@ -45,6 +45,8 @@ class Settings:
     agent: str = "unknown"
     keep_staging: bool = False
     json_lines: bool = False
+    #: Of the store's tables; the first version decides.
+    buckets: int = 64
     #: Called with the signal after a run that published new claims, on the driver.
     downstream: Callable[[dict], None] | None = None
 
@@ -87,7 +89,7 @@ def claims_of(canonical: DataFrame, prior: DataFrame, settings: Settings) -> Dat
         "supersedes", "superseded_by", "freshness_posture", "confidence_posture", "rationale", "route_rationale",
     )
     done = resolve.dispositions(flat, prior)
-    numbered = verdicts.global_rank(done, "source_cluster_id", out="ord")
+    numbered = ranking.global_rank(done, "source_cluster_id", out="ord")
     status = F.when(F.col("disposition") == "probable_duplicate", "probable_duplicate").otherwise(F.col("status"))
     out = numbered.withColumns(
         {
@@ -120,23 +122,26 @@ class Engine:
         if manifest.get("version_dir") == f"v={s.run_id}":
             return self._report("failed", reason="the run id is that of the published version")
         try:
-            store.lock(s.run_id)
+            self.lock = store.lock(s.run_id)
         except LockHeld as held:
             return self._report("skipped", reason=f"run {held} is at work")
         try:
+            self.after, manifest = store.current()  # as it is now that nobody else publishes
             self._log("run_started", self._report("ok"))
             try:
                 getattr(self.scorer, "preflight", lambda: None)()
                 report = self._locked(manifest)
             except ScorerUnavailable as missing:
                 report = self._report("failed", reason=f"the scorer is not available: {missing}")
+            except LockLost as lost:
+                report = self._report("skipped_superseded", reason=str(lost))
             self._clean(report["status"])
             self._log({"ok": "run_completed", "skipped": "run_skipped"}.get(report["status"], "run_failed"), report)
             self._remember(report)
             store.write_text("last-run.md", telemetry.run_report(report | {"finished_at": f"{self.clock['timestamp']} {self.clock['timezone']}"}))
             return report
         finally:
-            store.unlock()
+            store.unlock(self.lock)
 
     def _report(self, status: str, **more) -> dict:
         s = self.settings
@@ -190,11 +195,13 @@ class Engine:
             return self._report("failed", reason="a path was named that is never read")
         found = store.save(s.run_id, "sources", found)
         # The inventory of the last run that succeeded, so changes of failed runs are seen again.
-        before = store.load("inventory", INVENTORY)
+        before = store.load("inventory", INVENTORY, manifest)
         scope, kind, gone = delta.select_scope(found, before if manifest else None, mode)
-        prior = store.load("claims", CLAIM)
+        prior = store.load("claims", CLAIM, manifest)
         sweep = not gone.isEmpty()
-        waiting = store.load("pending", CANDIDATE)
+        waiting = store.load("pending", CANDIDATE, manifest)
+        #: Warnings of the steps so far.
+        self.told: dict[str, DataFrame] = {"scope": telemetry.scope_warnings(gone, waiting)}
         if scope.isEmpty() and not sweep and waiting.isEmpty():
             recall = [r.asDict() for r in telemetry.recall_surface(prior, F.lit(s.now)).collect()]
             return self._report("skipped", reason="nothing changed", claims_total=prior.count(), recall=recall[0] if recall else None)
@@ -228,7 +235,7 @@ class Engine:
             new = store.save(s.run_id, "new_claims", claims_of(canonical, prior, s))
         elif not sweep:
             return self._report("skipped", reason="no candidate was kept", verdicts=counts)
-        return self._publish(found, scope, prior, new, gone, counts, missing, pending, kind)
+        return self._publish(manifest, found, scope, before, prior, new, gone, counts, missing, pending, kind)
 
     def _shown(self, made: DataFrame, prior: DataFrame, mode: str) -> DataFrame:
         """The prior claims that the second pass is shown."""
@@ -252,14 +259,14 @@ class Engine:
         """
         s, store, out_key = self.settings, self.store, out_key or key
         asked = rows.select(F.col(key).alias(out_key), "batch")
-        todo, good = rows, None
+        todo, good, tries, said = rows, None, [], []
         for attempt in range(max(1, s.attempts)):
             if hasattr(self.scorer, "keep"):
                 self.scorer.keep = lambda said, name=f"{step}-{attempt}-answers": store.save(s.run_id, name, said)
-            given = ask(todo)
+            given = store.save(s.run_id, f"{step}-{attempt}", ask(todo))
+            said.append(given.select(out_key))
             if size:
                 given = verdicts.only_asked(given, todo.select(F.col(key).alias(out_key)), out_key)
-            given = store.save(s.run_id, f"{step}-{attempt}", given)
             found = check(given, todo)
             broken = found.select(F.col(found.columns[0]).alias(out_key), "rule")
             broken = store.save(
@@ -270,7 +277,9 @@ class Engine:
             sound = given.join(asked.join(bad, "batch", "left_semi").select(out_key), out_key, "left_anti").select(*given.columns)
             good = sound if good is None else good.unionByName(sound)
             if broken.isEmpty():
+                self.told[step] = self._pass_warnings(tries, said if size else [], asked, out_key)
                 return good, None
+            tries.append(broken.select("batch", "rule", F.lit(attempt).alias("attempt")))
             todo = rows.join(bad, "batch", "left_semi").select(*rows.columns)
         first = broken.agg(F.min("batch")).first()[0]
         worst = broken.where(F.col("batch") == first)
@@ -290,33 +299,72 @@ class Engine:
             store.append("failures", part.select(*about, F.lit(kind).alias("kind"), "body"), "run_id")
         return None, self._failed(step, worst.select(out_key, "rule"), batch=first, attempts=max(1, s.attempts), record=f"failures/run_id={s.run_id}")
 
+    def _pass_warnings(self, tries: list[DataFrame], said: list[DataFrame], asked: DataFrame, key: str) -> DataFrame:
+        """Of a pass whose batches are all sound by now."""
+        attempts = self.spark.createDataFrame([], "batch long, rule string, attempt int")
+        for part in tries:
+            attempts = attempts.unionByName(part)
+        answered = asked.select(key).limit(0)
+        for part in said:
+            answered = answered.unionByName(part)
+        return telemetry.pass_warnings(attempts, answered, asked, key)
+
     def _failed(self, what: str, broken: DataFrame, **more) -> dict:
         rows = broken.limit(SHOWN).collect()  # a report shows some of them; all are in the quarantine
         self.store.append("quarantine", broken.select(F.col(broken.columns[0]).alias("id"), "rule", F.lit(self.settings.run_id).alias("run_id")), "run_id")
         errors = [tuple(r) for r in rows]
         return self._report("partial_failure", failed=what, errors=errors, partial_failures=[{"pass": what, "errors": errors, **more}], **more)
 
+    def _touched(self, name: str, ids: DataFrame) -> list[int]:
+        """The buckets of a table that hold one of the ids; all of them if the table has none yet."""
+        if name not in self.where:
+            return list(range(self.buckets))
+        return sorted(r["b"] for r in ids.select(bucket_of(F.col(ids.columns[0]), self.buckets).alias("b")).distinct().collect())
+
+    def _saved(self, name: str, rows: DataFrame, changed: list[int]) -> DataFrame:
+        """The table with the ``changed`` buckets as they are in ``rows``; the others stay where they are."""
+        self.where[name] = self.store.save_buckets(self.settings.run_id, name, rows, self.buckets, changed, self.where.get(name, {}))
+        return self.store.open(name, rows.schema, self.where[name])
+
+    def _tables(self, found: DataFrame, before: DataFrame, prior: DataFrame, new: DataFrame, gone: DataFrame) -> dict[str, DataFrame]:
+        """The new version's tables, of which only buckets are written that something changes in."""
+        s, store = self.settings, self.store
+        hit = [new.select("id"), merge.supersession_edges(new).select(F.col("target").alias("id")), merge.unsourced(prior, gone).select("id")]
+        touched = self._touched("claims", hit[0].unionByName(hit[1]).unionByName(hit[2]))
+        part = prior.where(bucket_of("id", self.buckets).isin(*touched)) if "claims" not in self.where else store.open("claims", CLAIM, self.where["claims"], touched)
+        merged = merge.apply_supersession(merge.upsert_claims(part, new, prior.agg(F.max("ord")).first()[0]), new, s.run_id)
+        claims = self._saved("claims", merge.retire_unsourced(merged, gone, s.run_id).select(*CLAIM.fieldNames()), touched)
+        rows = merge.contradiction_rows(new, s.run_id)
+        competing = self._touched("contradictions", rows.select("claim_id"))
+        known = self.known_contradictions
+        old = store.open("contradictions", known.schema, self.where["contradictions"], competing) if "contradictions" in self.where else known
+        return {
+            "claims": claims, "contradictions": self._saved("contradictions", merge.merge_contradictions(old, rows), competing),
+            "entities": self._saved("entities", merge.entity_rows(claims), touched),
+            # Homes without a claim have a row without one.
+            "routes": self._saved("routes", merge.route_rows(claims), sorted({0, *touched})),
+            "inventory": self._saved(
+                "inventory", found.select("path", "content_hash"),
+                self._touched("inventory", delta.changed_sources(found, before).select("path").unionByName(gone.select("path")))
+            )
+        }
+
     def _publish(
-        self, found: DataFrame, scope: DataFrame, prior: DataFrame, new: DataFrame, gone: DataFrame, counts: dict, missing: DataFrame,
-        pending: DataFrame, kind: str
+        self, manifest: dict, found: DataFrame, scope: DataFrame, before: DataFrame, prior: DataFrame, new: DataFrame, gone: DataFrame,
+        counts: dict, missing: DataFrame, pending: DataFrame, kind: str
     ) -> dict:
         s, store = self.settings, self.store
-        merged = merge.apply_supersession(merge.upsert_claims(prior, new), new, s.run_id)
-        claims = store.save(s.run_id, "claims", merge.retire_unsourced(merged, gone, s.run_id).select(*CLAIM.fieldNames()))
-        contradictions = store.save(
-            s.run_id, "contradictions",
-            merge.merge_contradictions(store.load("contradictions", CONTRADICTIONS), merge.contradiction_rows(new, s.run_id))
-        )
-        store.save(s.run_id, "entities", merge.entity_rows(claims))
-        routes = store.save(s.run_id, "routes", merge.route_rows(claims))
-        inventory = store.save(s.run_id, "inventory", found.select("path", "content_hash"))
+        self.buckets, self.where = manifest.get("buckets", s.buckets), dict(manifest.get("files", {}))
+        self.known_contradictions = store.load("contradictions", CONTRADICTIONS, manifest)
+        tables = self._tables(found, before, prior, new, gone)
+        claims, contradictions, routes, inventory = (tables[k] for k in ("claims", "contradictions", "routes", "inventory"))
         cursor = delta.cursor_hash(found).first()["cursor"]
         shown = [h for h in views.VIEWS if s.profile == "personal" or h not in PERSONAL_HOMES]
         headings = []
         for home in shown:
-            text = views.view_text(views.VIEWS[home](claims), home, self.clock["timestamp"], self.clock["timezone"])
-            store.write_text(f"v={s.run_id}/views/{home}", text)
-            headings.append((home, "### " if "###" in text else ""))
+            head = views.view_head(home, self.clock["timestamp"], self.clock["timezone"])
+            filled = store.write_view(f"v={s.run_id}/views/{home}", head, views.view_lines(views.VIEWS[home](claims)))
+            headings.append((home, "### " if filled else ""))
         if s.json_lines:
             for name, table in (("claims", claims), ("contradictions", contradictions)):
                 store.save_lines(s.run_id, name, table)
@@ -334,14 +382,14 @@ class Engine:
             "sourceInventory": {"table": "inventory", "sources": inventory.count()}, "processedSegments": {"sources": scope.count()},
             "promotionStats": counts, "claimStats": by("status", STATUSES), "homeStats": by("primary_home", HOMES),
             "warnings": told, "warningCount": told_n, "partialFailures": [], "lastSuccessfulCursor": cursor, "delta": kind,
-            "claims_total": totals, "views": shown, "publishCommitted": True, "downstreamWikiIngestSuggested": added > 0,
+            "claims_total": totals, "views": shown, "buckets": self.buckets, "files": self.where, "publishCommitted": True, "downstreamWikiIngestSuggested": added > 0,
         }
         broken = self._validated(claims, routes, headings, made)
         errors = broken.where(~F.col("rule").startswith("warn:"))
         if not errors.isEmpty():
             return self._failed("validate", errors, reason="the new version breaks a rule and is not published")
         checked = integrity.report_status(broken).first()["status"]
-        store.publish(s.run_id, made)
+        store.publish(s.run_id, made, self.after, self.lock)
         if telemetry.suggests_ingest(made):
             signal = {"run_id": s.run_id, "claims": totals}
             store.write_text("signal.json", json.dumps(signal))
@@ -357,20 +405,17 @@ class Engine:
 
     def _warnings(self, new: DataFrame, prior: DataFrame, missing: DataFrame, claims: DataFrame) -> DataFrame:
         """(step, warning) of all steps."""
-        chains = merge.chain_warnings(new, prior).select(
-            F.lit("supersession").alias("step"),
-            F.concat("new_id", F.lit(" supersedes "), "target", F.lit(", which "), "successor", F.lit(" superseded before")).alias("warning")
-        )
-        lost = missing.where("severity = 'warn'").select(F.lit("discover").alias("step"), F.concat(F.lit("missing source "), "path").alias("warning"))
+        said = lambda rows, form, *cols: rows.select(F.format_string(form, *cols).alias("warning"))
         misplaced = telemetry.route_warnings(resolve.with_routes(claims.where(F.col("updated_in_run_id") == self.settings.run_id)))
-        routed = misplaced.select(
-            F.lit("route").alias("step"),
-            F.concat("id", F.lit(": "), "type", F.lit(" in "), "primary_home", F.lit(" is "), "route_state").alias("warning")
-        )
         zone = [] if valid_zone(self.settings.timezone) == self.settings.timezone else [
-            ("settings", f"there is no zone {self.settings.timezone}; {self.clock['timezone']} is used")
+            (f"there is no zone {self.settings.timezone}; {self.clock['timezone']} is used",)
         ]
-        return lost.unionByName(chains).unionByName(routed).unionByName(self.spark.createDataFrame(zone, "step string, warning string"))
+        return telemetry.step_warnings(
+            discover=said(missing.where("severity = 'warn'"), "missing source %s", "path"), **self.told,
+            supersession=said(merge.chain_warnings(new, prior), "%s supersedes %s, which %s superseded before", "new_id", "target", "successor"),
+            route=said(misplaced, "%s: %s in %s is %s", "id", "type", "primary_home", "route_state"),
+            settings=self.spark.createDataFrame(zone, "warning string")
+        )
 
     def _some(self, rows: DataFrame, col: str) -> tuple[list[str], int]:
         """The first SHOWN values in order of step and text, and how many there are."""
@@ -382,6 +427,7 @@ class Engine:
         shown = [h for h, _ in headings]
         out = integrity.claim_violations(claims, s.profile).unionByName(integrity.route_violations(routes, claims))
         out = out.unionByName(integrity.view_violations(self.spark.createDataFrame(headings, "home string, text string"), claims, s.profile))
-        out = out.unionByName(integrity.store_violations(self.spark, TABLES, store.names(f"v={s.run_id}"), shown, store.names(f"v={s.run_id}/views")))
+        listing = [(s.run_id, [*store.names(f"v={s.run_id}"), *self.where], store.names(f"v={s.run_id}/views"))]
+        out = out.unionByName(integrity.store_violations(self.spark.createDataFrame(listing, "id string, tables array<string>, views array<string>"), TABLES, shown))
         document = self.spark.createDataFrame([("manifest", json.dumps(manifest))], "name string, body string")
         return store.save(s.run_id, "violations", out.unionByName(integrity.manifest_violations(document, "name", "body")))

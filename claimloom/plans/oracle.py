@@ -68,6 +68,8 @@ _TOTAL = " + ".join(_score(n, k) for n, k in list(_SCORES.items())[:5]) + f" - {
 _UPDATED = "CAST(DATE '2024-01-01' + CAST(doc_id // 24 AS INTEGER) AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00Z'"
 _LATEST = "(updated_at = '') DESC, updated_at DESC"
 
+_SAID = f"'operator ' || ({_list(STEMS)})[(doc_id // 4) % 6 + 1] || ' ' || lang || ' item ' || (doc_id % 10) || ' source ' || source AS text"
+
 CTES = {
     "src_docs": "SELECT doc_id, 'doc/' || doc_id || '.md' AS path, replace(coalesce(text, ''), '.' || chr(10), '.' || chr(10) || chr(10)) AS text FROM documents",
     "sections_docs": "SELECT doc_id, replace(coalesce(text, ''), '.' || chr(10), '.' || chr(10) || '## ') AS text FROM documents",
@@ -86,7 +88,7 @@ CTES = {
     CASE WHEN doc_id % 7 <> 0 THEN lang END AS object,
     ({_list(HOMES)})[(doc_id // 2) % 5 + 1] AS primary_home, ({_list(STATUSES)})[(doc_id // 5) % 7 + 1] AS status, ({_list(TYPES)})[doc_id % 14 + 1] AS type,
     doc_id % 3 = 0 AS is_new,
-    'operator ' || ({_list(STEMS)})[(doc_id // 4) % 6 + 1] || ' ' || lang || ' item ' || (doc_id % 10) || ' source ' || source AS text,
+    {_SAID},
     {_UPDATED} AS updated_at,
     list_sort(list_distinct(['src' || (doc_id % 20), 'src' || (doc_id * 7 % 20)])) AS sources,
     CASE WHEN doc_id % 11 = 0 THEN 'cl-' || substr(sha256('near|' || (doc_id + 2)), 1, 16) END AS competing, ({_list(RELATIONS)})[doc_id % 3 + 1] AS relation,
@@ -176,21 +178,22 @@ CTES = {
 }
 
 
-def _with(select: str) -> str:
-    """The select with the CTEs it needs, in order."""
+def _with(select: str, **other: str) -> str:
+    """The select with the CTEs it needs, in order; ``other`` ones take the place of those of their names."""
     import re
 
+    ctes = CTES | other
     need: set[str] = set()
     queue = [select]
     while queue:
         text = queue.pop()
-        for name, body in CTES.items():
+        for name, body in ctes.items():
             if name not in need and re.search(rf"(?:FROM|JOIN)\s+{name}\b", text, re.I):
                 need.add(name)
                 queue.append(body)
     if not need:
         return select
-    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in CTES.items() if n in need) + "\n" + select
+    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes.items() if n in need) + "\n" + select
 
 
 def _broken(rules: list[tuple[str, str]]) -> str:
@@ -302,7 +305,34 @@ UNION ALL SELECT DISTINCT id, 'provenance_untraceable' FROM canon WHERE k % 37 <
     "view_checks": "SELECT home AS id, 'warn:view_empty' AS rule, 'business' AS profile FROM homes_active WHERE home IN ('LTMEMORY.md', 'EPISODES.md') UNION ALL SELECT unnest(['HISTORY.md', 'WISHES.md']), 'warn:view_personal', 'business' UNION ALL SELECT home, 'warn:view_empty', 'personal' FROM homes_active WHERE home IN ('LTMEMORY.md', 'EPISODES.md', 'HISTORY.md')",
     "check_status": "SELECT 'all' AS part, CASE WHEN count(*) FILTER (WHERE rule NOT LIKE 'warn:%') > 0 THEN 'errors' WHEN count(*) > 0 THEN 'warnings' ELSE 'ok' END AS status FROM bad_found UNION ALL SELECT 'warnings', CASE WHEN count(*) > 0 THEN 'warnings' ELSE 'ok' END FROM bad_found WHERE rule LIKE 'warn:%' UNION ALL SELECT 'none', 'ok'",
     "manifest_checks": "SELECT doc_id AS id, CASE WHEN doc_id % 29 = 0 THEN 'manifest_unreadable' ELSE 'manifest_key:' || (" + _list(MANIFEST_KEYS) + ")[doc_id % 17 + 1] END AS rule FROM documents WHERE doc_id % 29 = 0 OR doc_id % 17 < 16 UNION ALL SELECT doc_id, 'warn:manifest_status' FROM documents WHERE doc_id % 5 = 0 AND doc_id % 17 <> 3 AND doc_id % 29 <> 0 UNION ALL SELECT doc_id, 'warn:manifest_profile' FROM documents WHERE doc_id % 7 = 0 AND doc_id % 17 <> 4 AND doc_id % 29 <> 0",
-    "store_checks": f"SELECT * FROM (VALUES {_values([(t, 'table_missing') for t in TABLES[3:]] + [(HOMES[0], 'warn:view_missing')])}) AS v(id, rule)",
+    "store_checks": f"SELECT CAST(doc_id AS VARCHAR) AS id, 'table_missing:' || t.name AS rule FROM documents JOIN (VALUES {_values([(t, i) for i, t in enumerate(TABLES)])}) AS t(name, i) ON doc_id % 11 = t.i UNION ALL SELECT CAST(doc_id AS VARCHAR) AS id, 'warn:view_missing:' || h.name AS rule FROM documents JOIN (VALUES {_values([(h, i) for i, h in enumerate(HOMES)])}) AS h(name, i) ON doc_id % 13 = 0 OR doc_id % 8 = h.i",
+    "upgrade_states": "SELECT doc_id AS id, CASE WHEN doc_id % 19 = 0 THEN 'new' WHEN doc_id % 12 < 10 OR doc_id % 7 = 0 THEN 'refuse' WHEN doc_id % 12 = 11 OR doc_id % 5 = 0 THEN 'warn' ELSE 'ok' END AS state FROM documents",
+    "delivery_settings": (
+        "SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN CASE c_custkey % 5 WHEN 0 THEN true WHEN 1 THEN false END END AS enabled,"
+        " CASE WHEN c_custkey % 17 <> 0 AND c_custkey % 3 = 0 THEN 'c1' WHEN c_custkey % 13 <> 0 THEN 'c2' END AS channel,"
+        " CASE WHEN c_custkey % 17 <> 0 AND c_custkey % 2 = 0 THEN 't1' WHEN c_custkey % 13 <> 0 AND c_custkey % 11 <> 0 THEN 't2' END AS target,"
+        " CASE WHEN c_custkey % 13 <> 0 THEN CASE c_custkey % 4 WHEN 0 THEN 'UTC' WHEN 3 THEN 'Etc/GMT+1' ELSE 'Asia/Manila' END ELSE 'Asia/Manila' END AS zone,"
+        " CASE WHEN c_custkey % 13 <> 0 THEN CASE c_custkey % 7 WHEN 0 THEN 300 WHEN 5 THEN 45 ELSE 1200 END ELSE 1200 END AS timeout FROM customer"
+    ),
+    "log_shards": "SELECT strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d') AS log_date, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1",
+    "first_filled": "SELECT id, coalesce(CASE WHEN ord % 6 = 0 THEN tag END, confidence, object) AS found FROM claims",
+    "lenient_texts": "SELECT doc_id, md5(coalesce(text, '') || chr(65533) || 'A' || chr(65533)) AS text_md5 FROM documents",
+    "json_documents": "SELECT c_custkey, c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 5 IN (2, 3, 4) UNION ALL SELECT c_custkey, c_custkey + 1, c_name FROM customer WHERE c_custkey % 5 IN (3, 4)",
+    "json_objects": "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 0 WHEN c_custkey % 5 >= 3 THEN 2 ELSE -1 END AS n FROM customer",
+    "jsonl_round_trip": "SELECT ord, id, object, text, CASE WHEN tag IS NULL THEN 'NOTES.md' ELSE tag END AS tags, recurrence FROM claims",
+    "step_warnings": (
+        "SELECT 'scope' AS step, 'source is gone: ' || path AS warning FROM inv_prior WHERE path NOT IN (SELECT path FROM inv_cur)"
+        " UNION ALL SELECT 'scope', 'waited for a batch: ' || doc_id FROM documents WHERE doc_id % 9 = 0"
+        " UNION ALL SELECT 'verdicts', 'batch ' || (doc_id % 10) || ' was asked for again after attempt ' || (doc_id % 2 + 1) || ': ' || count(*) || ' broken rules, ' || min(rule) || ' among them'"
+        " FROM (SELECT doc_id, 'score_range:durability' AS rule FROM verdicts WHERE shown NOT BETWEEN 0.0 AND 1.0"
+        " UNION ALL SELECT doc_id, 'strength_formula' FROM verdicts WHERE abs(strength - (total - durability + shown)) > 0.01::DOUBLE"
+        " UNION ALL SELECT doc_id, 'compress_target_missing' FROM verdicts WHERE verdict = 'compress'"
+        " UNION ALL SELECT doc_id, 'candidate_id_unknown' FROM verdicts WHERE doc_id % 45 = 0) GROUP BY doc_id % 10, doc_id % 2"
+        " UNION ALL SELECT 'verdicts', 'answer to nothing that was asked: cand-' || doc_id FROM documents WHERE doc_id % 45 = 0"
+        " UNION ALL SELECT 'route', id FROM routed WHERE state <> 'strong'"
+    ),
+    "entity_segments": "SELECT subject, CAST(r // 64 AS BIGINT) AS segment, count(*) AS n, md5(string_agg(id, ',' ORDER BY id)) AS ids_md5 FROM (SELECT subject, id, row_number() OVER (PARTITION BY subject ORDER BY id) - 1 AS r FROM (SELECT DISTINCT subject, id FROM claims)) GROUP BY subject, r // 64",
+    "route_segments": "SELECT home, CAST(r // 64 AS BIGINT) AS segment, count(*) AS n, md5(string_agg(id, ',' ORDER BY id)) AS ids_md5 FROM (SELECT primary_home AS home, id, row_number() OVER (PARTITION BY primary_home ORDER BY id) - 1 AS r FROM active_) GROUP BY home, r // 64",
     "entity_rows": "SELECT DISTINCT subject, id AS claim_id FROM claims",
     "route_rows": f"SELECT h.home, a.id AS claim_id FROM (VALUES {_values([(h,) for h in HOMES])}) AS h(home) LEFT JOIN active_ a ON a.primary_home = h.home",
     "claim_epochs": "SELECT id, CAST(CASE ord % 5 WHEN 0 THEN e WHEN 1 THEN e - 7200 WHEN 2 THEN e ELSE 0 END AS DOUBLE) AS epoch FROM (SELECT *, epoch(CAST(replace(updated_at, 'Z', '') AS TIMESTAMP)) AS e FROM claims)",
@@ -310,7 +340,7 @@ UNION ALL SELECT DISTINCT id, 'provenance_untraceable' FROM canon WHERE k % 37 <
     "schedule_windows": "SELECT event_id, (dayofweek(ts) IN (1, 3) AND abs(hour(ts) - 3) <= 1) OR (dayofweek(ts) = 0 AND abs(hour(ts) - 22) <= 1) AS inside FROM events",
     "run_durations": "SELECT doc_id, CAST(doc_id % 50 * 3600 AS DOUBLE) AS seconds FROM documents",
     "version_parts": "SELECT p_partkey, (p_partkey % 10) || ',' || (p_partkey % 77) || ',' || CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE p_partkey % 5 END AS parts FROM part",
-    "state_versions": "SELECT logic, substr(sha1(logic || '|1.0.0|1.0.0'), 1, 12) AS state FROM (VALUES ('1.0.0'), ('1.1.0')) AS v(logic)",
+    "state_versions": "SELECT p_partkey, substr(sha1('1.' || (p_partkey % 9) || '.0|1.0.' || p_size || '|1.0.0'), 1, 12) AS state FROM part",
     "usage_blocks": "SELECT event_id, p AS prompt_tokens, c AS completion_tokens, p + c AS total_tokens, CASE WHEN p + c = 0 THEN 'unavailable' ELSE 'exact' END AS source FROM (SELECT event_id, event_id % 3 AS p, CASE WHEN event_id % 2 = 0 THEN 0 ELSE event_id % 7 END AS c FROM events)",
     "unwrapped_answers": "SELECT event_id, CASE WHEN event_id % 5 = 4 THEN props ELSE 'said ' || event_id END AS answer FROM events",
     "listed_jobs": "SELECT name, cron, deliver FROM lists",
@@ -338,4 +368,7 @@ ORDER BY score DESC, updated_at, id LIMIT 1""",
     "text_truncations": "SELECT doc_id, md5(CASE WHEN length(text) > 80 THEN substr(text, 1, 77) || '…' ELSE text END) AS heading_md5, md5(CASE WHEN length(text) > 240 THEN substr(text, 1, 237) || '...' ELSE text END) AS recall_md5, CAST(CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, length(text) // 4) END AS INTEGER) AS tokens FROM documents",
 }
 
-ORACLE = {k: _with(v) for k, v in ORACLE.items()}
+#: The same on the documents' own texts.
+_TEXTS = CTES["claims"].replace(_SAID, "coalesce(text, '') AS text")
+_ON_TEXTS = {f"{k}_texts": _with(ORACLE[k], claims=_TEXTS) for k in ("prior_topk", "probable_duplicates")}
+ORACLE = {k: _with(v) for k, v in ORACLE.items()} | _ON_TEXTS

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimloom.functions.text import lenient_text
 from claimloom.schemas import DENIED_DIRS, DENIED_FILES, EPISODE_DIR, PERSONAL_SOURCES, SHARED_SOURCES
 
 FILES = "path string, bytes long, mtime_utc string, content_hash string, text string"
@@ -34,7 +35,7 @@ def read_sources(spark: SparkSession, workspace: str) -> DataFrame:
     stamp = F.concat(F.date_format(F.to_utc_timestamp("modificationTime", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     return found.select(
         F.col("name").alias("path"), F.col("length").alias("bytes"), stamp.alias("mtime_utc"),
-        F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("content_hash"), F.col("content").cast("string").alias("text")
+        F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("content_hash"), lenient_text(F.col("content")).alias("text")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ RUN = "run-1"
 NAMED = [SHARED_SOURCES[0], SHARED_SOURCES[2], PERSONAL_SOURCES[0], *DENIED_FILES]
 CHECKED = ["runtime/x.json", "SOUL.md", "MEMORY.md"]
 HINTS = ["fact", "lesson", "method", "unknown", "episode"]
+#: The tables of a version, in the store's order.
+TABLE_NAMES = ["claims", "contradictions", "entities", "routes", "inventory", "pending"]
 SCHEDULES = ["0 3 * * 1,3", "30 22 * * 0", "not a schedule"]
 FLAGS = [
     '"deliver": true', '"announce": false', '"no_deliver": true', '"noDeliver": false', '"delivery": "silent"',
@@ -89,6 +93,12 @@ def claims(documents: DataFrame) -> DataFrame:
     )
 
 
+def text_claims(documents: DataFrame) -> DataFrame:
+    """The claims, each with the whole text of its document in place of a made one."""
+    said = documents.select(F.col("doc_id").alias("ord"), F.coalesce("text", F.lit("")).alias("text"))
+    return claims(documents).drop("text").join(said, "ord").select(*claims(documents).columns)
+
+
 def claims_for_views(documents: DataFrame) -> DataFrame:
     """The claims with another deal of states, so that every view has rows."""
     return claims(documents).withColumn("status", _pick(STATUSES, F.floor(F.col("ord") / 11) % 7))
@@ -111,9 +121,9 @@ def claims_new(documents: DataFrame) -> DataFrame:
     return joined.withColumn("supersedes", named).drop("_next")
 
 
-def clusters_q(documents: DataFrame) -> DataFrame:
+def clusters_q(documents: DataFrame, made: Callable[[DataFrame], DataFrame] = claims) -> DataFrame:
     """Groups of new claims as clusters to look up priors for."""
-    rows = claims(documents).where("is_new").withColumn("g", F.floor(F.col("ord") / 30))
+    rows = made(documents).where("is_new").withColumn("g", F.floor(F.col("ord") / 30))
     grouped = rows.groupBy("lang", "g").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), " ").alias("text"),
         F.min(F.struct("ord", "type", "primary_home")).alias("f")
@@ -256,6 +266,46 @@ def manifests(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.when(d % 29 == 0, "no json").otherwise(F.concat(F.lit("{"), F.array_join(F.array(*parts), ", "), F.lit("}"))).alias("body"))
 
 
+def listed_versions(documents: DataFrame) -> DataFrame:
+    """(id, tables, views): what lies in the folder of each version, some of it missing."""
+    d = F.col("doc_id")
+    some = lambda names, k: F.filter(F.array(*[F.when(d % k != i, F.lit(n)) for i, n in enumerate(names)]), lambda x: x.isNotNull())
+    return documents.select(d.cast("string").alias("id"), some(TABLE_NAMES, 11).alias("tables"), F.when(d % 13 != 0, some(HOMES, 8)).alias("views"))
+
+
+def stored_versions(documents: DataFrame) -> DataFrame:
+    """(doc_id, body): manifests by older, equal and newer versions, without some, and none."""
+    d = F.col("doc_id")
+    logic = F.concat(F.lit('"logic": "1.'), (d % 12).cast("string"), F.lit('.0"'))
+    artifact = F.when(d % 7 != 0, F.concat(F.lit(', "artifact_schema": "1.0'), F.when(d % 5 == 0, ".1").otherwise(""), F.lit('"'))).otherwise("")
+    return documents.select("doc_id", F.when(d % 19 == 0, "[]").otherwise(F.concat(F.lit("{"), logic, artifact, F.lit("}"))).alias("body"))
+
+
+def reporting_states(customer: DataFrame) -> DataFrame:
+    """(c_custkey, state, config): settings of reports, with values of the right and of wrong types."""
+    k = F.col("c_custkey")
+    one = lambda *values: _pick(list(values), k % len(values))
+    state = F.concat(
+        F.lit('{"claims": {"reporting": {"enabled": '), one("true", "false", '"yes"', "1", "null"), F.lit(', "delivery": {"channel": '),
+        one('"c1"', '""', "7"), F.lit(', "to": '), one('"t1"', "null"), F.lit("}}}}")
+    )
+    config = F.concat(
+        F.lit('{"cron": {"tz": '), one('"UTC"', '""', "3", '"Etc/GMT+1"'), F.lit(', "timeout_seconds": '), one("300", "0", '"9"', "true", "-4", "45", "null"),
+        F.lit(', "announce_channel": "c2"'), F.when(k % 11 != 0, F.lit(', "announce_to": "t2"')).otherwise(""), F.lit("}}")
+    )
+    return customer.select("c_custkey", F.when(k % 17 == 0, "no json").otherwise(state).alias("state"), F.when(k % 13 == 0, "[]").otherwise(config).alias("config"))
+
+
+def json_documents(customer: DataFrame) -> DataFrame:
+    """(c_custkey, body): documents with two records under ``rows``, with one, without, and broken ones."""
+    k = F.col("c_custkey")
+    record = lambda n: F.concat(F.lit('{"k": '), n.cast("string"), F.lit(', "name": "'), F.col("c_name"), F.lit('"}'))
+    body = F.when(k % 5 == 0, "{broken").when(k % 5 == 1, record(k)).when(
+        k % 5 == 2, F.concat(F.lit('{"rows": '), record(k), F.lit("}"))
+    ).otherwise(F.concat(F.lit('{"rows": ['), record(k), F.lit(", "), record(k + 1), F.lit("]}")))
+    return customer.select("c_custkey", body.alias("body"))
+
+
 def listings(customer: DataFrame) -> DataFrame:
     """(body): a scheduler's listing with the flag in all spellings."""
     k = F.col("c_custkey")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from typing import TextIO
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,24 @@ def read_records(spark: SparkSession, place: str, schema: T.StructType, field: s
         lines = spark.createDataFrame([((stdin or sys.stdin).read(),)], "value string")
     else:
         lines = spark.read.text(place, wholetext=True)
-    value = F.try_parse_json("value")
-    value = value if field is None else F.try_variant_get(value, f"$.{field}", "variant")
-    kind = F.schema_of_variant(value)
-    text = F.to_json(value)
+    return records_of(lines, schema, field)
+
+
+def records_of(documents: DataFrame, schema: T.StructType, field: str | None = None, value: str = "value") -> DataFrame:
+    """The records of JSON documents, one document a row, with the documents' other columns: see ``read_records``."""
+    parsed = F.try_parse_json(value)
+    parsed = parsed if field is None else F.try_variant_get(parsed, f"$.{field}", "variant")
+    kind = F.schema_of_variant(parsed)
+    text = F.to_json(parsed)
     listed = F.when(kind.startswith("ARRAY"), text).when(kind.startswith("OBJECT"), F.concat(F.lit("["), text, F.lit("]")))
-    return lines.select(F.explode(F.from_json(listed, T.ArrayType(schema))).alias("r")).where("r is not null").select("r.*")
+    keep = [c for c in documents.columns if c != value]
+    return documents.select(*keep, F.explode(F.from_json(listed, T.ArrayType(schema))).alias("r")).where("r is not null").select(*keep, "r.*")
+
+
+def object_or(value: Column, schema: T.StructType, default: Column) -> Column:
+    """A JSON object as a struct; ``default`` for what is no object."""
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+    return F.when(is_object, F.from_json(value, schema)).otherwise(default)
 
 
 def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -13,7 +13,7 @@ from claimloom.functions.dates import clock
 from claimloom.plans import engine
 from claimloom.plans.engine import EVENT, Engine, Settings, upgrade_needed, version_of
 from claimloom.plans.scorers import AskingScorer, Command, NoRecord, Records, ReplayScorer, RuleScorer, ScorerUnavailable, payload_key
-from claimloom.plans.store import LOCK, TABLES, Store
+from claimloom.plans.store import TABLES, Store
 from claimloom.schemas import CLAIM, MANIFEST_KEYS, VERDICT
 from claimloom.sources.jsonl import read_records
 from claimloom.streaming.runlog import event_stream, status_counts, write_counts
@@ -73,7 +73,7 @@ def test_runs(spark, place):
     assert sweep["status"] == "ok" and any("RTMEMORY" in w for w in sweep["warnings"])
     three = {r["source"]: r["status"] for r in store.load("claims", CLAIM).selectExpr("provenance[0].source as source", "status").collect()}
     assert three["RTMEMORY.md"] == "retire_candidate" and three["PROCEDURES.md"] == "resolved"
-    assert not store.exists(LOCK)
+    assert store.held_by() is None
 
     stream = write_counts(status_counts(event_stream(spark, str(place / "store" / "events"))), str(place / "days"), str(place / "marks"))
     stream.awaitTermination()
@@ -118,8 +118,7 @@ def test_lock(spark, place):
     store = Store(spark, str(place / "store"))
     store.lock("other")
     assert go(spark, place, "r1")["status"] == "skipped"
-    store.lock("next", now=9e12)  # the first has gone stale by then
-    store.unlock()
+    store.unlock(store.lock("next", now=9e12))  # the first has gone stale by then
     assert go(spark, place, "r2")["status"] == "ok"
 
 
@@ -234,7 +233,7 @@ def test_a_scorer_that_is_not_there(spark, place):
         with pytest.raises(ScorerUnavailable):
             ask.preflight()
     got = go(spark, place, "r1", AskingScorer(Records(str(place / "nowhere"))))
-    assert got["status"] == "failed" and "not available" in got["reason"] and not Store(spark, str(place / "store")).exists(LOCK)
+    assert got["status"] == "failed" and "not available" in got["reason"] and Store(spark, str(place / "store")).held_by() is None
 
 
 def test_a_program_answers(spark, place):
