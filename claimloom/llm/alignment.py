@@ -3,12 +3,12 @@
 1. ``cut``: texts are cut before runs of white space where neither vocabulary can merge across the cut (``Pair`` finds
    from the vocabularies which white space that is). Texts are gathered into chunks of bounded size; a chunk's different
    segments are its dictionary, and a text is a list of places in it.
-2. The dictionaries' segments are made distinct over all chunks, tokenised and aligned once each, and joined back. A
-   segment is in a dictionary once, so even the most frequent one joins as often as there are chunks, not occurrences.
-3. ``compose``: each chunk gets its dictionary, then its texts, in one stream; texts become digests, and the chunk counts
-   how many of its documents hold each linked pair of ids.
-4. Counts of pairs are summed over chunks; what a segment's links are worth is found once a segment, joined back to the
-   dictionaries, and summed over each text's places. This needs no pair of a document: links never cross segments.
+2. ``align``: the dictionaries' entries are sorted by segment. Equal ones lie side by side, so each different segment is
+   tokenised and aligned once, and each entry gets the result on the way. A segment is in a dictionary once, so even
+   the most frequent one comes as often as there are chunks, not occurrences.
+3. ``compose``: each chunk gets its dictionary, then its texts, in one stream; texts become digests and counted links,
+   and the chunk counts how many of its documents hold each linked pair of ids.
+4. Counts of pairs are summed over chunks, joined back to the chunks' pairs, and summed over each text's links.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,8 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import drop_tables, small_batches, text_of, thrifty, write_table
 from claimloom.llm.packing import ALPHABET
 
-#: Bytes of text in a chunk, rows handed on at once.
-CHUNK, ROWS = 8 << 20, 2000
-SALTS = 16
+#: Characters of text in a chunk, of segments that are tokenised together, and rows handed on at once.
+CHUNK, TOGETHER, ROWS = 32 << 20, 1 << 16, 2000
 WHITE = " \t\n\r\x0b\x0c"
 SPACE_SIGN = "▁"
 #: A pair of ids is one number: A's times this, and B's.
@@ -74,6 +74,7 @@ class Pair:
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE_SIGN, " ").encode())
         self.cuts = "".join(w for w in WHITE if self._safe(w.encode()))
         self.front = self.b.piece_to_id(SPACE_SIGN)
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in known], np.int64) for known in (self.bytes_a, self.bytes_b))
         self._odd = _CONTROLS + "".join(w for w in WHITE if w not in self.cuts)
 
     def _safe(self, w: bytes) -> bool:
@@ -107,40 +108,68 @@ class Pair:
                 now.append(part)
         return [*out, "".join(now)]
 
-    def ids(self, segments: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
-        """Ids of both for each segment, None where a tokenizer doesn't give back its bytes."""
-        encoded = self.a.encode_batch(segments, add_special_tokens=False)
-        # The second tokenizer puts a space in front by itself; where the segment has none, its piece goes again.
-        others = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
-        for s, e, b in zip(segments, encoded, others, strict=True):
-            a = e.ids
-            if s == " ":
-                b = [self.front]  # of nothing it would make nothing
-            elif s[0] != " ":
-                if b[:1] != [self.front]:
-                    yield None
-                    continue
-                b = b[1:]
-            raw = s.encode()
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-            yield (a, b) if same and a and b else None
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Ids cut at the byte offsets where tokens of both end."""
-        if len(a) == 1 or len(b) == 1:
-            return [(a, b)]
-        out, i, j, at_a, at_b, from_a, from_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            at_a += len(self.bytes_a[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(self.bytes_b[b[j]])
-                j += 1
-            if at_a == at_b:
-                out.append((a[from_a:i], b[from_b:j]))
-                from_a, from_b = i, j
+    def said(self, segments: list[str]) -> list[str | None]:
+        """The groups of each segment as text, None for one that a tokenizer doesn't give back byte for byte.
+
+        Segments that can be cut before and behind are put together again, as many as TOGETHER holds: cutting them was
+        safe, so the ids of the whole are theirs, one segment after the other.
+        """
+        out: list[str | None] = [None] * len(segments)
+        block, size = [], 0
+        for i, s in enumerate(segments):
+            if s[0] not in self.cuts or _DUBIOUS.match(s[-1]):
+                out[i] = self._alone(s)
+                continue
+            block.append(i)
+            size += len(s)
+            if size > TOGETHER:
+                self._together(segments, block, out)
+                block, size = [], 0
+        if block:
+            self._together(segments, block, out)
         return out
 
+    def _together(self, segments: list[str], block: list[int], out: list[str | None]) -> None:
+        own = [segments[i] for i in block]
+        # A segment in front takes the space that the second tokenizer adds.
+        text = "".join(["a", *own])
+        found = self._groups(self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text, num_threads=1), f" {text}")
+        if found is not None:
+            ends, groups = found
+            last = np.cumsum([2, *[len(s) if s.isascii() else len(s.encode()) for s in own]])
+            at = np.searchsorted(ends, last)
+            if (ends[np.minimum(at, len(ends) - 1)] == last).all():
+                for i, lo, hi in zip(block, at[:-1] + 1, at[1:] + 1, strict=True):
+                    out[i] = groups[lo] if hi - lo == 1 else ";".join(groups[lo:hi])
+                return
+        for i in block:
+            out[i] = self._alone(segments[i])
+
+    def _alone(self, segment: str) -> str | None:
+        a = self.a.encode(segment, add_special_tokens=False).ids
+        # The second tokenizer puts a space in front by itself; where the segment has none, its piece goes again.
+        b = self.b.encode(segment[1:] if segment[0] == " " else segment, num_threads=1)
+        if segment == " ":
+            b = [self.front]  # of nothing it would make nothing
+        elif segment[0] != " ":
+            if b[:1] != [self.front]:
+                return None
+            b = b[1:]
+        found = self._groups(a, b, segment)
+        return None if found is None else ";".join(found[1])
+
+    def _groups(self, a: list[int], b: list[int], text: str) -> tuple[np.ndarray, list[str]] | None:
+        """Byte offsets where tokens of both end, and the ids up to each as text; None if these aren't the text."""
+        raw = text.encode()
+        if not a or not b or b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return None
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        first, second = list(map(str, a)), list(map(str, b))
+        to_a, to_b = (np.searchsorted(x, ends, side="right").tolist() for x in (ends_a, ends_b))
+        cuts = zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
+        return ends, [f"{first[i] if j - i == 1 else ','.join(first[i:j])}|{second[p] if q - p == 1 else ','.join(second[p:q])}" for i, j, p, q in cuts]
+
 
 _pairs: dict[tuple[str, str], Pair] = {}
 
@@ -151,11 +180,6 @@ def pair_of(path_a: str, path_b: str) -> Pair:
     return _pairs[path_a, path_b]
 
 
-def _numbers(raw: Iterable) -> Iterator[np.ndarray]:
-    for x in raw:
-        yield np.frombuffer(x.as_buffer(), np.int64)
-
-
 CUT = "chunk long, at int, segment string, id ID, places binary"
 
 
@@ -185,10 +209,7 @@ def cut(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, c
             order = np.argsort(-times, kind="stable")
             place = np.empty(len(names), np.int32)
             place[order] = np.arange(len(names), dtype=np.int32)
-            packed = []
-            for t in texts:
-                raw = place[t].tobytes()
-                packed.append(len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True))
+            packed = [_packed(place[t], codec) for t in texts]
             all_ids = pa.concat_arrays(ids)
             for k in range(0, len(packed), ROWS):
                 yield rows(all_ids.slice(k, ROWS), packed[k : k + ROWS], [], [])
@@ -222,170 +243,174 @@ def cut(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, c
     return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(thrifty(run), CUT.replace("ID", kind_of))
 
 
-ALIGNED = "segment string, ok boolean, n_a int, n_b int, n_groups int, links binary, said string"
+ALIGNED = "chunk long, at int, said string"
 
 
-def align(segments: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """ALIGNED for each segment of a one-column table: tokens, groups, the pairs of ids that are linked (numbers of 64
-    bits) and the groups as text. Not ``ok`` are segments that a tokenizer doesn't give back byte for byte."""
+def align(entries: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """ALIGNED for entries (chunk, at, segment) of dictionaries: their groups as text, null for segments that a tokenizer
+    doesn't give back byte for byte. Equal segments come one after the other and are tokenised once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(path_a, path_b)
+        before, last = None, None
         for b in batches:
-            for k in range(0, b.num_rows, ROWS):
-                part = b.column(0).slice(k, ROWS)
-                out = []
-                for found in pair.ids(part.to_pylist()):
-                    if found is None:
-                        out.append((False, 0, 0, 0, b"", ""))
-                        continue
-                    groups = pair.groups(*found)
-                    links = [x * SHIFT + y for a, c in groups for x in a for y in c]
-                    said = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, c))}" for a, c in groups)
-                    out.append((True, len(found[0]), len(found[1]), len(groups), np.array(links, np.int64).tobytes(), said))
-                kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
-                cols = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part, *cols], ["segment", "ok", "n_a", "n_b", "n_groups", "links", "said"])
-
-    return segments.mapInArrow(thrifty(run), ALIGNED)
+            for k in range(0, b.num_rows, 10 * ROWS):
+                part = b.slice(k, 10 * ROWS)
+                segments = part["segment"]
+                fresh = np.ones(len(segments), bool)
+                fresh[1:] = pc.not_equal(segments[1:], segments[:-1]).to_numpy(zero_copy_only=False)
+                fresh[0] = segments[0].as_py() != before
+                said = [last, *pair.said(segments.filter(pa.array(fresh)).to_pylist())]
+                before, last = segments[-1].as_py(), said[-1]
+                yield pa.RecordBatch.from_arrays([part["chunk"], part["at"], pa.array(said, pa.string()).take(pa.array(np.cumsum(fresh)))], ["chunk", "at", "said"])
 
-
-def _streamed(entries: DataFrame, texts: DataFrame) -> DataFrame:
-    """Both by chunk, each chunk's entries before its texts: a task holds one chunk's dictionary at a time."""
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = entries.unionByName(texts, allowMissingColumns=True)
-    return both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("at").isNull(), "at")
+    return entries.repartition(parts, "segment").sortWithinPartitions("segment").mapInArrow(thrifty(run), ALIGNED)
 
 
-def _places(raw: bytes, codec: pa.Codec) -> np.ndarray:
-    size = int.from_bytes(raw[:8], "little")
-    return np.frombuffer(codec.decompress(raw[8:], decompressed_size=size), np.int32) if size else np.zeros(0, np.int32)
+def _packed(numbers: np.ndarray, codec: pa.Codec) -> bytes:
+    raw = numbers.astype(np.int32).tobytes()
+    return len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
 
 
-class _Chunks:
-    """Goes through the rows of ``_streamed``: entries are gathered, texts given out with the entries of their chunk."""
+def _unpacked(raw: bytes, codec: pa.Codec) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(codec.decompress(raw[8:], decompressed_size=size), np.int32) if size else np.zeros(0, np.int32)
 
-    def __init__(self, fields: list[str]):
-        self.fields, self.chunk, self.codec = fields, None, pa.Codec("zstd", 1)
-        self.parts: list[pa.RecordBatch] = []
 
-    def rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Table | None, pa.RecordBatch | None]]:
-        """(whether a new chunk begins, its entries or None if they are those of before, its texts)."""
-        for b in batches:
-            chunks = b["chunk"].to_numpy()
-            texts = b["at"].is_null().to_numpy(zero_copy_only=False)
-            turns = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(texts.astype(np.int8)) != 0)) + 1
-            for lo, hi in zip([0, *turns], [*turns, b.num_rows], strict=True):
-                if lo == hi:
-                    continue
-                part = b.slice(lo, hi - lo)
-                if chunks[lo] != self.chunk:
-                    self.chunk, self.parts, self.table = chunks[lo], [], None
-                if not texts[lo]:
-                    self.parts.append(part.select(self.fields))
-                    continue
-                fresh = self.table is None
-                if fresh:
-                    self.table = pa.Table.from_batches(self.parts) if self.parts else False
-                    self.parts = []
-                yield fresh, self.table if fresh else None, part
+def _streamed(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    """Both by chunk, each chunk's entries before its texts: a task holds one chunk's dictionary at a time."""
+    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = entries.unionByName(texts, allowMissingColumns=True)
+    return both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("at").isNull(), "at")
 
 
-COMPOSED = "chunk long, id ID, places binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, docs long"
+def _chunks(batches: Iterator[pa.RecordBatch], fields: list[str]) -> Iterator[tuple[pa.Table | None, pa.RecordBatch]]:
+    """Goes through the rows of ``_streamed``: (a chunk's entries, its first texts), then (None, more of its texts)."""
+    now, entries, told = None, [], True
+    for b in batches:
+        chunks = b["chunk"].to_numpy()
+        texts = b["at"].is_null().to_numpy(zero_copy_only=False)
+        turns = np.flatnonzero((np.diff(chunks) != 0) | (np.diff(texts.astype(np.int8)) != 0)) + 1
+        for lo, hi in zip([0, *turns], [*turns, b.num_rows], strict=True):
+            if lo == hi:
+                continue
+            if chunks[lo] != now:
+                now, entries, told = chunks[lo], [], False
+            part = b.slice(lo, hi - lo)
+            if not texts[lo]:
+                entries.append(part.select(fields))
+                continue
+            yield None if told else pa.Table.from_batches(entries, part.select(fields).schema), part
+            entries, told = [], True
+
+
+class _Dictionary:
+    """The groups of a chunk's entries as arrays: what each entry has, and its links as places among the chunk's pairs."""
+
+    def __init__(self, said: list[str | None]):
+        self.ok = np.array([x is not None for x in said], bool)
+        self.said = [(x or "").encode() for x in said]
+        text = b";".join(x for x, ok in zip(self.said, self.ok, strict=True) if ok) + b";"
+        numbers = np.array(re.split(rb"[,|;]", text)[:-1], "S").astype(np.int64) if len(text) > 1 else np.zeros(0, np.int64)
+        marks = np.frombuffer(text, np.uint8)
+        marks = marks[(marks < 48) | (marks > 57)][: len(numbers)]  # what follows each id
+        group = np.concatenate([[0], np.cumsum(marks == ord(";"))[:-1]]) if len(numbers) else np.zeros(0, np.int64)
+        second = np.concatenate([[0], np.cumsum(marks == ord("|"))[:-1]]) > group if len(numbers) else np.zeros(0, bool)
+        groups = int(group[-1]) + 1 if len(numbers) else 0
+        n_a, n_b = (np.bincount(group[side], minlength=groups) for side in (~second, second))
+        sizes = np.zeros(len(said), np.int64)
+        sizes[self.ok] = [x.count(b";") + 1 for x, ok in zip(self.said, self.ok, strict=True) if ok]
+        entry = np.repeat(np.arange(len(said)), sizes)
+        per = lambda values: np.bincount(entry, weights=values, minlength=len(said)).astype(np.int64)
+        self.tokens = np.stack([per(n_a), per(n_b), sizes, per(n_a * n_b)], axis=1)
+        # Each id of the first side with all of its group's second side.
+        times = n_b[group[~second]]
+        firsts = np.concatenate([[0], np.cumsum(n_b)])[group[~second]]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        links = np.repeat(numbers[~second], times) * SHIFT + numbers[second][np.repeat(firsts, times) + inside]
+        self.pairs, self.index = np.unique(links, return_inverse=True)
+        self.starts = np.concatenate([[0], np.cumsum(self.tokens[:, 3])])
+
+    def links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different pairs that entries hold linked, and how many links each has."""
+        sizes = self.tokens[at, 3]
+        flat = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.unique(self.index[flat], return_counts=True)
+
+
+COMPOSED = "chunk long, id ID, links binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, at int, docs long"
 
 
 def compose(entries: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
-    """COMPOSED: a row for each text with its numbers and digest, and for each pair of ids how many documents of the
-    chunk hold it linked."""
+    """COMPOSED: a row for each text with its numbers, digest and links (places among the chunk's pairs, then how many
+    links each has), and one for each pair (pair, at) with how many of the chunk's documents hold it linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk = _Chunks(["ok", "n_a", "n_b", "n_groups", "links", "said"])
-        pairs = index = None
-        names = ["chunk", "id", "places", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair", "docs"]
-        none = {k: pa.int64() for k in names} | {"places": pa.binary(), "groups_sha256": pa.string()}
+        codec, own, chunk, kind, seen = pa.Codec("zstd", 1), None, None, None, np.zeros(0, np.int64)
+        names = [c.split()[0] for c in COMPOSED.split(", ")]
+        none = dict.fromkeys(names, pa.int64()) | {"links": pa.binary(), "groups_sha256": pa.string(), "at": pa.int32()}
 
         def batch(n: int, **cols) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([cols[k] if k in cols else pa.nulls(n, none[k]) for k in names], names)
 
         def counts() -> Iterator[pa.RecordBatch]:
-            if pairs is not None and len(pairs):
-                held = np.flatnonzero(seen)
-                yield batch(len(held), id=pa.nulls(len(held), kind), pair=pa.array(pairs[held]), docs=pa.array(seen[held]))
+            held = np.flatnonzero(seen)
+            if len(held):
+                yield batch(len(held), chunk=pa.array([chunk] * len(held)), id=pa.nulls(len(held), kind), pair=pa.array(own.pairs[held]), at=pa.array(held.astype(np.int32)), docs=pa.array(seen[held]))
 
-        kind = None
-        for fresh, table, texts_ in walk.rows(batches):
-            if fresh:
+        for table, part in _chunks(batches, ["said"]):
+            if table is not None:
                 yield from counts()
-                kind = texts_["id"].type
-                if table is False:  # texts without a segment only
-                    ok, tokens, said, starts, index, pairs = np.zeros(0, bool), np.zeros((0, 4), np.int64), [], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-                else:
-                    ok = table["ok"].to_numpy()
-                    links = list(_numbers(x for c in table["links"].chunks for x in c))
-                    sizes = np.array([len(x) for x in links], np.int64)
-                    tokens = np.stack([*[table[c].to_numpy().astype(np.int64) for c in ("n_a", "n_b", "n_groups")], sizes], axis=1)
-                    said = [x.encode() for x in table["said"].to_pylist()]
-                    pairs, index = np.unique(np.concatenate(links), return_inverse=True)
-                    starts = np.concatenate([[0], np.cumsum(sizes)])
-                seen = np.zeros(len(pairs), np.int64)
-            rows, digests = [], []
-            for raw in texts_["places"].to_pylist():
-                at = _places(raw, walk.codec)
-                if not len(at) or not ok[at].all():
+                own, chunk, kind = _Dictionary(table["said"].to_pylist()), part["chunk"][0].as_py(), part["id"].type
+                seen = np.zeros(len(own.pairs), np.int64)
+            rows, digests, links = [], [], []
+            for raw in part["places"].to_pylist():
+                at = _unpacked(raw, codec)
+                if not len(at) or not own.ok[at].all():
                     rows.append((0, 0, 0, 0))
                     digests.append("")
+                    links.append(None)
                     continue
-                rows.append(tokens[at].sum(axis=0))
+                rows.append(own.tokens[at].sum(axis=0))
                 sha = hashlib.sha256()
-                words = list(map(said.__getitem__, at.tolist()))
+                words = list(map(own.said.__getitem__, at.tolist()))
                 for k in range(0, len(words), 100_000):
                     sha.update(b";" * (k > 0) + b";".join(words[k : k + 100_000]))
                 digests.append(sha.hexdigest())
-                different = np.unique(at)
-                sizes = starts[different + 1] - starts[different]
-                flat = np.repeat(starts[different] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                seen[np.unique(index[flat])] += 1
-            sums = np.array(rows, np.int64).reshape(-1, 4)
-            yield batch(
-                len(rows), chunk=texts_["chunk"], id=texts_["id"], places=texts_["places"], n_a=pa.array(sums[:, 0]), n_b=pa.array(sums[:, 1]),
-                n_groups=pa.array(sums[:, 2]), n_links=pa.array(sums[:, 3]), groups_sha256=pa.array(digests, pa.string())
-            )
+                held, times = own.links(at)
+                seen[held] += 1
+                links.append(_packed(np.concatenate([np.diff(held, prepend=0), times]), codec))
+            sums = [pa.array(c) for c in np.array(rows, np.int64).reshape(-1, 4).T]
+            tokens = dict(zip(["n_a", "n_b", "n_groups", "n_links"], sums, strict=True))
+            yield batch(len(rows), chunk=part["chunk"], id=part["id"], links=pa.array(links, pa.binary()), groups_sha256=pa.array(digests, pa.string()), **tokens)
         yield from counts()
 
     return _streamed(entries, texts).mapInArrow(thrifty(run), COMPOSED.replace("ID", kind_of))
 
 
-def value(entries: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
-    """Each text's numbers, and the sums over its places of what an entry's links are worth."""
+def value(worth: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
+    """Each text's numbers, and the sums over its links of what their pairs are ``worth`` (chunk, at, is_best, all_docs)."""
     keep = ["n_a", "n_b", "n_groups", "n_links"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk = _Chunks(["n_best", "count_sum"])
-        for fresh, table, texts_ in walk.rows(batches):
-            if fresh:
-                worth = np.zeros((0, 2), np.int64) if table is False else np.stack([table[c].to_numpy() for c in ("n_best", "count_sum")], axis=1)
-            sums = np.zeros((texts_.num_rows, 2), np.int64)
-            for i, (n, raw) in enumerate(zip(texts_["n_a"].to_pylist(), texts_["places"].to_pylist(), strict=True)):
-                if n:
-                    sums[i] = worth[_places(raw, walk.codec)].sum(axis=0)
-            cols = [texts_["id"], *[texts_[c] for c in keep], pa.array(sums[:, 0]), pa.array(sums[:, 1]), texts_["groups_sha256"]]
+        codec, worths = pa.Codec("zstd", 1), np.zeros((0, 2), np.int64)
+        for table, part in _chunks(batches, ["at", "is_best", "all_docs"]):
+            if table is not None:
+                places = table["at"].to_numpy()
+                worths = np.zeros((int(places.max(initial=-1)) + 1, 2), np.int64)
+                worths[places] = np.stack([table[c].to_numpy() for c in ("is_best", "all_docs")], axis=1)
+            sums = np.zeros((part.num_rows, 2), np.int64)
+            for i, raw in enumerate(part["links"].to_pylist()):
+                if raw is not None:
+                    both = _unpacked(raw, codec).astype(np.int64)
+                    held, times = np.cumsum(both[: len(both) // 2]), both[len(both) // 2 :]
+                    sums[i] = (worths[held] * times[:, None]).sum(axis=0)
+            cols = [part["id"], *[part[c] for c in keep], pa.array(sums[:, 0]), pa.array(sums[:, 1]), part["groups_sha256"]]
             yield pa.RecordBatch.from_arrays(cols, ["id", *keep, "n_best", "count_sum", "groups_sha256"])
 
     schema = f"id {kind_of}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return _streamed(entries, texts).mapInArrow(thrifty(run), schema)
-
-
-def _links(aligned: DataFrame) -> DataFrame:
-    """(segment, pair, times) of the links of distinct segments."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = list(_numbers(b["links"]))
-            rows = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b["segment"].take(rows), pa.array(flat)], ["segment", "pair"])
-
-    return aligned.where("ok").select("segment", "links").mapInArrow(run, "segment string, pair long")
+    return _streamed(worth, texts).mapInArrow(thrifty(run), schema)
 
 
 def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -395,28 +420,21 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
     into groups; all pairs of tokens of a group are linked. A pair of ids counts in as many documents (rows) as hold it
     linked. ``n_best`` are the links whose pair has the highest count among those of its first id, ties included,
     ``count_sum`` the counts of all links. Texts that are null, empty, or not given back byte for byte by both have no
-    tokens: zeros and an empty digest. Rows that are equal each count. An empty table gives no rows.
+    tokens: zeros and an empty digest. Rows that are equal each count. An empty table gives no rows. Other columns of
+    ``docs`` have no effect, and none is carried along.
     """
     small_batches(docs.sparkSession)
     kind_of = docs.schema[id_col].dataType.simpleString()
-    pieces = write_table(cut(docs, path_a, path_b, id_col, text_col, chunk), "segments")
-    dictionary = pieces.where("at is not null").select("chunk", "at", "segment")
-    texts = pieces.where("at is null").select("chunk", "id", "places")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    aligned = write_table(align(dictionary.select("segment").repartition(parts, "segment").distinct(), path_a, path_b), "aligned")
-    entries = dictionary.join(aligned, "segment").drop("segment")
-    composed = write_table(compose(entries, texts, kind_of), "composed")
-    df = composed.where("pair is not null").groupBy("pair").agg(F.sum("docs").alias("docs"))
-    df = write_table(df.withColumn("a", F.floor(F.col("pair") / SHIFT)), "pairs")
-    best = df.groupBy("a").agg(F.max("docs").alias("best"))
-    worth = df.join(best, "a").select("pair", "docs", (F.col("docs") == F.col("best")).cast("long").alias("is_best"))
-    # One pair may be in many segments (a full stop at a word's end): its rows are dealt over SALTS keys.
-    salted = worth.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-    links = _links(aligned).withColumn("salt", F.pmod(F.xxhash64("segment"), F.lit(SALTS)).cast("int"))
-    sums = links.join(salted, ["pair", "salt"]).groupBy("segment").agg(F.sum("is_best").alias("n_best"), F.sum("docs").alias("count_sum"))
-    # Segments whose documents all have no tokens have links that nobody holds.
-    valued = dictionary.join(sums, "segment", "left").select("chunk", "at", F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("count_sum", F.lit(0)).alias("count_sum"))
-    held = composed.where("pair is null").select("chunk", "id", "places", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    out = write_table(value(valued, held, kind_of), "alignment")
-    drop_tables(pieces, aligned, composed, df)
-    return out.withColumnRenamed("id", id_col)
+    pieces = write_table(cut(docs, path_a, path_b, id_col, text_col, chunk), "segments", compression="zstd")
+    entries = align(pieces.where("at is not null").select("chunk", "at", "segment"), path_a, path_b)
+    composed = write_table(compose(entries, pieces.where("at is null").select("chunk", "id", "places"), kind_of), "composed", compression="zstd")
+    drop_tables(pieces)
+    held = composed.where("pair is not null").select("chunk", "at", "pair", "docs")
+    sums = held.groupBy("pair").agg(F.sum("docs").alias("all_docs"))
+    first = F.floor(F.col("pair") / SHIFT)
+    best = sums.groupBy(first.alias("first")).agg(F.max("all_docs").alias("best"))
+    worth = sums.join(best, first == F.col("first")).select("pair", "all_docs", (F.col("all_docs") == F.col("best")).cast("long").alias("is_best"))
+    # A pair is in a chunk once, so it comes as often as there are chunks.
+    worth = held.drop("docs").join(worth, "pair").drop("pair")
+    texts = composed.where("pair is null").select("chunk", "id", "links", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
+    return value(worth, texts, kind_of).withColumnRenamed("id", id_col)

@@ -3,7 +3,7 @@
 The probability of a word after another is that of its class after the other's class, times that of the word in its
 class. How the model is made from the rows that may be learned from:
 
-1. Words are counted. The LOCAL most frequent ones travel to the tasks with their place in that order; all others are
+1. Words are counted. The most frequent ones, LOCAL at most, travel to the tasks with their place in that order; all others are
    rows of a table, and to their neighbours they look like their shape (``shape_of``).
 2. Texts are encoded once: a number a token, and the words that have none, each where it stands.
 3. The EXCHANGED most frequent words and the shapes are moved between classes in sweeps, each to the class that gives the
@@ -495,6 +495,21 @@ def _after(items: np.ndarray, rest: Iterable[bytes], group: np.ndarray, base: in
     return zip(rest, before.tolist(), group[items[at]].tolist(), strict=True)
 
 
+def _most_frequent(counted: DataFrame, most: int) -> list[tuple[int, bytes]]:
+    """(-n, word) of the most frequent words, most frequent first: as many as there are above the least frequency that at
+    most ``most`` words reach. Frequencies are cut at sixteenths of an octave, so the driver gets a short histogram and
+    the words that it keeps."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    sizes = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
+    cut, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        held += r["words"]
+        if held > most:
+            break
+        cut = r["level"]
+    return [] if cut is None else sorted((-r["n"], bytes(r["word"])) for r in counted.where(level >= cut).collect())
+
+
 def learn_classes(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, local: int = LOCAL) -> tuple[ClassModel, DataFrame]:
     """The model learned from the rows where ``learn`` holds, and all rows ENCODED.
 
@@ -505,9 +520,8 @@ def learn_classes(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_c
     small_batches(spark)
     learned = docs.where(learn).select(_binary(text_col).alias("text"))
     counted = write_table(count_words(learned), "words")
-    top = counted.where(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(local).collect()
-    ends = docs.where(learn).count()
-    words = Words([bytes(r["word"]) for r in top], np.array([ends, *[r["n"] for r in top]], float))
+    top = _most_frequent(counted.where(F.octet_length("word") <= WORD_BYTES), local)
+    words = Words([w for _, w in top], np.array([docs.where(learn).count(), *[-n for n, _ in top]], float))
     encoded = write_table(encode_texts(docs, learn, id_col, text_col, spark.sparkContext.broadcast(words)), "encoded")
     model = train(encoded, words, counted, classes)
     drop_tables(counted)

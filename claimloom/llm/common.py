@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def write_table(df: DataFrame, tag: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
+def write_table(df: DataFrame, tag: str, **options: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet (with the writer's ``options``) in the shared folder and read it back.
 
     The files outlive lost executors. They go by ``drop_tables``, or when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/claimloom-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
