@@ -324,19 +324,30 @@ class _Dictionary:
         entry = np.repeat(np.arange(len(said)), sizes)
         per = lambda values: np.bincount(entry, weights=values, minlength=len(said)).astype(np.int64)
         self.tokens = np.stack([per(n_a), per(n_b), sizes, per(n_a * n_b)], axis=1)
-        # Each id of the first side with all of its group's second side.
-        times = n_b[group[~second]]
-        firsts = np.concatenate([[0], np.cumsum(n_b)])[group[~second]]
+        # Each different id of the first side with all different ones of its group's second side: a run of one character
+        # can be one group of very many equal tokens.
+        (of_a, ids_a, times_a), (of_b, ids_b, times_b) = (self._different(group[side], numbers[side]) for side in (~second, second))
+        each = np.bincount(of_b, minlength=groups)
+        times = each[of_a]
         inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        links = np.repeat(numbers[~second], times) * SHIFT + numbers[second][np.repeat(firsts, times) + inside]
-        self.pairs, self.index = np.unique(links, return_inverse=True)
-        self.starts = np.concatenate([[0], np.cumsum(self.tokens[:, 3])])
+        other = np.repeat(np.concatenate([[0], np.cumsum(each)])[of_a], times) + inside
+        self.pairs, self.index = np.unique(np.repeat(ids_a, times) * SHIFT + ids_b[other], return_inverse=True)
+        self.weights = np.repeat(times_a, times) * times_b[other]
+        self.sizes = np.bincount(entry, weights=np.bincount(of_a, weights=times, minlength=groups), minlength=len(said)).astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+
+    @staticmethod
+    def _different(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, id, times) without repeats."""
+        keys, times = np.unique(group * SHIFT + ids, return_counts=True)
+        return keys // SHIFT, keys % SHIFT, times
 
     def links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different pairs that entries hold linked, and how many links each has."""
-        sizes = self.tokens[at, 3]
+        sizes = self.sizes[at]
         flat = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        return np.unique(self.index[flat], return_counts=True)
+        held, place = np.unique(self.index[flat], return_inverse=True)
+        return held, np.bincount(place, weights=self.weights[flat], minlength=len(held)).astype(np.int64)
 
 
 COMPOSED = "chunk long, id ID, links binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, at int, docs long"
@@ -380,7 +391,7 @@ def compose(entries: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
                 digests.append(sha.hexdigest())
                 held, times = own.links(at)
                 seen[held] += 1
-                links.append(_packed(np.concatenate([np.diff(held, prepend=0), times]), codec))
+                links.append(_packed(np.concatenate([np.diff(held, prepend=0), times % SHIFT, times // SHIFT]), codec))
             sums = [pa.array(c) for c in np.array(rows, np.int64).reshape(-1, 4).T]
             tokens = dict(zip(["n_a", "n_b", "n_groups", "n_links"], sums, strict=True))
             yield batch(len(rows), chunk=part["chunk"], id=part["id"], links=pa.array(links, pa.binary()), groups_sha256=pa.array(digests, pa.string()), **tokens)
@@ -403,9 +414,8 @@ def value(worth: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
             sums = np.zeros((part.num_rows, 2), np.int64)
             for i, raw in enumerate(part["links"].to_pylist()):
                 if raw is not None:
-                    both = _unpacked(raw, codec).astype(np.int64)
-                    held, times = np.cumsum(both[: len(both) // 2]), both[len(both) // 2 :]
-                    sums[i] = (worths[held] * times[:, None]).sum(axis=0)
+                    steps, low, high = _unpacked(raw, codec).astype(np.int64).reshape(3, -1)
+                    sums[i] = (worths[np.cumsum(steps)] * (low + high * SHIFT)[:, None]).sum(axis=0)
             cols = [part["id"], *[part[c] for c in keep], pa.array(sums[:, 0]), pa.array(sums[:, 1]), part["groups_sha256"]]
             yield pa.RecordBatch.from_arrays(cols, ["id", *keep, "n_best", "count_sum", "groups_sha256"])
 

@@ -44,7 +44,7 @@ def brute(rows):
     held, counts, best = [whole(t, a, b) if t else None for _, t in rows], Counter(), Counter()
     for found in held:
         if found:
-            counts.update({(x, y) for p, q in found[2] for x in p for y in q})
+            counts.update({(x, y) for p, q in found[2] for x in set(p) for y in set(q)})
     for (x, _), n in counts.items():
         best[x] = max(best[x], n)
     out = []
@@ -52,9 +52,13 @@ def brute(rows):
         if not found:
             out.append((doc, 0, 0, 0, 0, 0, 0, ""))
             continue
-        links = [(x, y) for p, q in found[2] for x in p for y in q]
+        links = Counter()
+        for p, q in found[2]:
+            for x, n in Counter(p).items():
+                for y, m in Counter(q).items():
+                    links[x, y] += n * m
         said = ";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in found[2])
-        sums = len(found[0]), len(found[1]), len(found[2]), len(links), sum(counts[x] == best[x[0]] for x in links), sum(counts[x] for x in links)
+        sums = len(found[0]), len(found[1]), len(found[2]), links.total(), sum(n for x, n in links.items() if counts[x] == best[x[0]]), sum(n * counts[x] for x, n in links.items())
         out.append((doc, *sums, hashlib.sha256(said.encode()).hexdigest()))
     return sorted(out, key=str)
 
