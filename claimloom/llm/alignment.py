@@ -305,49 +305,94 @@ def _chunks(batches: Iterator[pa.RecordBatch], fields: list[str]) -> Iterator[tu
             entries, told = [], True
 
 
-class _Dictionary:
-    """The groups of a chunk's entries as arrays: what each entry has, and its links as places among the chunk's pairs."""
+#: Entries of a dictionary that are taken apart at once; groups with more links are counted by different ids.
+ENTRIES, MANY = 1 << 15, 64
+_TO_SPACE = bytes.maketrans(b",|;", b"   ")
+
 
-    def __init__(self, said: list[str | None]):
-        self.ok = np.array([x is not None for x in said], bool)
-        self.said = [(x or "").encode() for x in said]
-        text = b";".join(x for x, ok in zip(self.said, self.ok, strict=True) if ok) + b";"
-        numbers = np.array(re.split(rb"[,|;]", text)[:-1], "S").astype(np.int64) if len(text) > 1 else np.zeros(0, np.int64)
+class _Dictionary:
+    """The groups of a chunk's entries as arrays: what each entry has (n_a, n_b, groups, links), and its links as places
+    among the chunk's ``pairs``."""
+
+    def __init__(self, said: pa.ChunkedArray):
+        """``said``: binary, null for entries that aren't ``ok``."""
+        self.ok = said.is_valid().to_numpy(zero_copy_only=False) if len(said) else np.zeros(0, bool)
+        self.said: list[bytes] = []
+        tokens, sizes, pairs, index, weights = [np.zeros((0, 4), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+        for at in range(0, len(said), ENTRIES):
+            part = [x or b"" for x in said.slice(at, ENTRIES).to_pylist()]
+            self.said += part
+            own, links, times, of = self._taken_apart(part, self.ok[at : at + ENTRIES])
+            tokens.append(own)
+            sizes.append(np.bincount(of, minlength=len(part)))
+            found, place = np.unique(links, return_inverse=True)
+            pairs.append(found)
+            index.append(place.astype(np.int32))
+            weights.append(times)
+        self.tokens, self.starts = np.concatenate(tokens), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        self.pairs = np.unique(np.concatenate(pairs))
+        self.index = np.concatenate([np.zeros(0, np.int32), *[np.searchsorted(self.pairs, own).astype(np.int32)[i] for own, i in zip(pairs[1:], index, strict=True)]])
+        self.weights = np.concatenate([np.zeros(0, np.int64), *weights])
+        # Of the text at hand: how many links each pair has, and where it was seen last.
+        self._sum, self._last = np.zeros(len(self.pairs), np.int64), np.zeros(len(self.pairs), np.int64)
+
+    def _taken_apart(self, said: list[bytes], ok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some entries: what each has, and their links: pair, times, entry."""
+        text = b"".join(x + b";" for x, fine in zip(said, ok, strict=True) if fine)
+        if not text:
+            none = np.zeros(0, np.int64)
+            return np.zeros((len(said), 4), np.int64), none, none, none
+        numbers = np.fromstring(text.translate(_TO_SPACE), np.int64, sep=" ")
         marks = np.frombuffer(text, np.uint8)
-        marks = marks[(marks < 48) | (marks > 57)][: len(numbers)]  # what follows each id
-        group = np.concatenate([[0], np.cumsum(marks == ord(";"))[:-1]]) if len(numbers) else np.zeros(0, np.int64)
-        second = np.concatenate([[0], np.cumsum(marks == ord("|"))[:-1]]) > group if len(numbers) else np.zeros(0, bool)
-        groups = int(group[-1]) + 1 if len(numbers) else 0
+        marks = marks[(marks < 48) | (marks > 57)]  # what follows each id
+        group = np.concatenate([[0], np.cumsum(marks == ord(";"))[:-1]])
+        second = np.concatenate([[0], np.cumsum(marks == ord("|"))[:-1]]) > group
+        groups = int(group[-1]) + 1
         n_a, n_b = (np.bincount(group[side], minlength=groups) for side in (~second, second))
-        sizes = np.zeros(len(said), np.int64)
-        sizes[self.ok] = [x.count(b";") + 1 for x, ok in zip(self.said, self.ok, strict=True) if ok]
-        entry = np.repeat(np.arange(len(said)), sizes)
+        in_entry = np.zeros(len(said), np.int64)
+        in_entry[ok] = [x.count(b";") + 1 for x, fine in zip(said, ok, strict=True) if fine]
+        entry = np.repeat(np.arange(len(said)), in_entry)
         per = lambda values: np.bincount(entry, weights=values, minlength=len(said)).astype(np.int64)
-        self.tokens = np.stack([per(n_a), per(n_b), sizes, per(n_a * n_b)], axis=1)
-        # Each different id of the first side with all different ones of its group's second side: a run of one character
-        # can be one group of very many equal tokens.
-        (of_a, ids_a, times_a), (of_b, ids_b, times_b) = (self._different(group[side], numbers[side]) for side in (~second, second))
-        each = np.bincount(of_b, minlength=groups)
-        times = each[of_a]
-        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        other = np.repeat(np.concatenate([[0], np.cumsum(each)])[of_a], times) + inside
-        self.pairs, self.index = np.unique(np.repeat(ids_a, times) * SHIFT + ids_b[other], return_inverse=True)
-        self.weights = np.repeat(times_a, times) * times_b[other]
-        self.sizes = np.bincount(entry, weights=np.bincount(of_a, weights=times, minlength=groups), minlength=len(said)).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-
-    @staticmethod
-    def _different(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(group, id, times) without repeats."""
-        keys, times = np.unique(group * SHIFT + ids, return_counts=True)
-        return keys // SHIFT, keys % SHIFT, times
+        own = np.stack([per(n_a), per(n_b), in_entry, per(n_a * n_b)], axis=1)
+        # A run of one character can be one group of very many equal tokens.
+        many = (n_a * n_b > MANY)[group]
+        few = _crossed(*[(group[m], numbers[m], np.ones(m.sum(), np.int64)) for m in (~second & ~many, second & ~many)], groups)
+        parts = [few]
+        if many.any():
+            parts.append(_crossed(*[_different(group[m], numbers[m]) for m in (~second & many, second & many)], groups))
+        of, links, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(of, kind="stable") if len(parts) > 1 else slice(None)
+        return own, links[order], times[order], entry[of[order]]
 
     def links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The different pairs that entries hold linked, and how many links each has."""
-        sizes = self.sizes[at]
+        sizes = self.starts[at + 1] - self.starts[at]
         flat = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        held, place = np.unique(self.index[flat], return_inverse=True)
-        return held, np.bincount(place, weights=self.weights[flat], minlength=len(held)).astype(np.int64)
+        index = self.index[flat]
+        places = np.arange(len(index))
+        self._last[index] = places
+        held = np.sort(index[self._last[index] == places])
+        np.add.at(self._sum, index, self.weights[flat])
+        times = self._sum[held]
+        self._sum[held] = 0
+        return held, times
+
+
+def _different(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, id, times) without repeats."""
+    keys, times = np.unique(group * SHIFT + ids, return_counts=True)
+    return keys // SHIFT, keys % SHIFT, times
+
+
+def _crossed(first: tuple, second: tuple, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, pair, times) of all of a group's first ids with all of its second ones; both are (group, id, times), in
+    order of groups."""
+    (of_a, ids_a, times_a), (of_b, ids_b, times_b) = first, second
+    each = np.bincount(of_b, minlength=groups)
+    sizes = each[of_a]
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    other = np.repeat(np.concatenate([[0], np.cumsum(each)])[of_a], sizes) + inside
+    return np.repeat(of_a, sizes), np.repeat(ids_a, sizes) * SHIFT + ids_b[other], np.repeat(times_a, sizes) * times_b[other]
 
 
 COMPOSED = "chunk long, id ID, links binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, at int, docs long"
@@ -373,7 +418,8 @@ def compose(entries: DataFrame, texts: DataFrame, kind_of: str) -> DataFrame:
         for table, part in _chunks(batches, ["said"]):
             if table is not None:
                 yield from counts()
-                own, chunk, kind = _Dictionary(table["said"].to_pylist()), part["chunk"][0].as_py(), part["id"].type
+                own, chunk, kind = _Dictionary(table["said"].cast(pa.binary())), part["chunk"][0].as_py(), part["id"].type
+                del table
                 seen = np.zeros(len(own.pairs), np.int64)
             rows, digests, links = [], [], []
             for raw in part["places"].to_pylist():

@@ -43,6 +43,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def mixing_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents under sources of very different sizes, so that the exponent is below 1 and small sources repeat."""
+    at = F.crc32(F.col("doc_id").cast("string")) % 100
+    source = F.when(at < 70, "web").when(at < 94, "books").when(at < 99, "code").otherwise("notes")
+    return mix_sources(table(spark, sf_dir, "documents").withColumn("source", source))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_shards(table(spark, sf_dir, "documents"), limit_bytes=SHARD_BYTES)
 
@@ -115,7 +122,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_mixing, op2_sharding, op3_quality, op4_jaccard, op5_line_dedup, op6_exact_dedup, op7_packing, op8_langid, op9_media, op10_url_filters, op11_alignment, op12_class_lm, op13_merkle]
-    return {f.__name__: f for f in found} | {"pipeline": pipeline, "sharding_small_limit": sharding_small_limit}
+    return {f.__name__: f for f in found} | {"pipeline": pipeline, "sharding_small_limit": sharding_small_limit, "mixing_skewed": mixing_skewed}
 
 
 OP2_SQL = """

@@ -25,7 +25,7 @@ def whole(text, a, b):
     byte = {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
     found = a.encode(" " + text, add_special_tokens=False)
     first = [bytes(byte[c] for c in t) for t in found.tokens]
-    ids = b.encode(text)
+    own, ids = found.ids, b.encode(text)
     second = [bytes([int(b.id_to_piece(x)[3:5], 16)]) if b.is_byte(x) else b.id_to_piece(x).replace("▁", " ").encode() for x in ids]
     if b"".join(first) != (" " + text).encode() or b"".join(second) != (" " + text).encode():
         return None
@@ -33,9 +33,9 @@ def whole(text, a, b):
     groups, i, j = [], 0, 0
     for end in sorted(set(ends_a) & set(ends_b)):
         p, q = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
-        groups.append((found.ids[i:p], ids[j:q]))
+        groups.append((own[i:p], ids[j:q]))
         i, j = p, q
-    return found.ids, ids, groups
+    return own, ids, groups
 
 
 def brute(rows):

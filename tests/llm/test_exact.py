@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from claimloom.llm import exact_dedup as xd
-from claimloom.llm import line_dedup, mixing, sharding, url_filters
+from claimloom.llm import line_dedup, mixing, queries, sharding, url_filters
 from edge import docs, nothing, rows
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -287,6 +287,15 @@ def test_mixing_by_brute_force(spark, monkeypatch):
         assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in got.collect()} == brute_mixing(given, target, most, 17, 100, group)
 
 
+def test_mixing_of_skewed_sources(spark):
+    docs_ = queries.table(spark, "/root/testdata/sf0.001", "documents")
+    found = queries.mixing_skewed(spark, "/root/testdata/sf0.001").collect()
+    shares = {r["doc_id"]: r["source"] for r in found}
+    given = [(r["doc_id"], shares[r["doc_id"]], len((r["text"] or "").split())) for r in docs_.select("doc_id", "text").collect()]
+    assert {(r["doc_id"], r["source"], r["epoch"], r["block"], r["start"]) for r in found} == brute_mixing(given, 0.9, 4.0, 17, 1 << 20, 4096)
+    assert max(r["repeats"] for r in found) > 1.5 and {r["decided_by"] for r in found} <= {"entropy", "repeats"}
+
+
 def test_mixing_limit_holds_or_is_named(spark):
     """Skewed shares at random: no source is above the limit unless the result says that the budget asks for it."""
     r = random.Random(5)

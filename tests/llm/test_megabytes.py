@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.llm import exact_dedup, langid, line_dedup, media_avi, mixing, packing, quality_cnn, queries, sharding
+from claimloom.llm import alignment, class_lm, exact_dedup, langid, line_dedup, media_avi, merkle, mixing, packing, quality_cnn, queries, sharding
 from claimloom.llm import common
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -85,6 +85,31 @@ def test_media(docs, texts):
     assert {i: r["payload_sha256"] for i, r in got.items()} == {i: hashlib.sha256(media_avi.payload_of(t.encode())).hexdigest() for i, t in texts.items()}
 
 
+def test_aligned(docs, texts):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    first, second = queries.tokenizer_path("byte_bpe_50k.json"), queries.tokenizer_path("piece_bpe_32k.model")
+    a, b = tokenizers.Tokenizer.from_file(first), sentencepiece.SentencePieceProcessor(model_file=second)
+    got = by_id(alignment.align_tokenizers(docs, first, second))
+    assert {i: (r["n_a"], r["n_b"]) for i, r in got.items()} == {i: (len(a.encode(" " + t).ids), len(b.encode(t))) for i, t in texts.items()}
+    assert all(max(r["n_a"], r["n_b"]) <= r["n_links"] and r["n_groups"] <= min(r["n_a"], r["n_b"]) for r in got.values())
+
+
+def test_scored(docs, texts):
+    model, encoded = class_lm.learn_classes(docs, F.col("doc_id") < 4, classes=16)
+    got = by_id(class_lm.score_texts(docs, model, encoded))
+    known = {w for i in (1, 2, 3) for w in texts[i].encode().lower().split()}
+    for i, t in texts.items():
+        words = t.encode().lower().split()
+        assert (got[i]["n_tokens"], got[i]["n_known"]) == (len(words) + 1, sum(w in known for w in words) + 1)
+    assert got[1]["train_tokens"] == sum(len(texts[i].split()) + 1 for i in (1, 2, 3))
+
+
+def test_manifest(docs, texts):
+    got = by_id(merkle.merkle_manifest(docs, fields=("doc_id", "text")))
+    assert all(r["verified"] for r in got.values())
+    assert got[4]["leaf"] == hashlib.sha256(f"1:4{len(texts[4].encode())}:{texts[4]}".encode()).hexdigest()
+
+
 def test_slices(monkeypatch):
     monkeypatch.setattr(common, "SLICE", 5)
     for text in ("", "abc", "one two three  four\n\nfive", "x" * 40, "x" * 40 + " y"):
