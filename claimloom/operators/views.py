@@ -207,13 +207,12 @@ def view_head(home: str, stamp: str, zone: str) -> str:
 def view_lines(rows: DataFrame) -> DataFrame:
     """(value): the text of each block with what stands around it, in order over the partitions. Written as lines, one
     part after the other, these follow ``view_head``."""
-    last = rows.agg(F.max(F.struct("section_ord", "row_ord")).alias("m")).select(F.col("m.section_ord").alias("_so"), F.col("m.row_ord").alias("_ro"))
-    ended = rows.crossJoin(F.broadcast(last))  # one row
-    ends = (F.col("section_ord") == F.col("_so")) & (F.col("row_ord") == F.col("_ro"))
+    last = rows.agg(F.max(F.struct("section_ord", "row_ord")).alias("m")).first()["m"]
+    ends = F.lit(False) if last is None else (F.col("section_ord") == last["section_ord"]) & (F.col("row_ord") == last["row_ord"])
     first = (F.col("row_ord") == 1) & (F.col("section") != "")
     title = F.when(first, F.concat(F.lit("## "), F.col("section"), F.lit("\n\n"))).otherwise("")
     body = F.when(ends, trimmed_end(F.col("block"))).otherwise(F.concat("block", F.lit("\n")))
-    placed = ended.select("section_ord", "row_ord", F.concat(title, body).alias("value"))
+    placed = rows.select("section_ord", "row_ord", F.concat(title, body).alias("value"))
     return placed.repartitionByRange("section_ord", "row_ord").sortWithinPartitions("section_ord", "row_ord").select("value")
 
 
