@@ -40,7 +40,7 @@ SWEEPS = 6
 #: are added to what a word outside the sweeps was seen beside, since a few contexts say little.
 EMIT, MOVE, PRIOR = 1.0, float(CLASSES), 4.0
 #: Bytes of a text whose words are listed at once, and words or pairs a task counts before it hands them on.
-SLICE, FLUSH = 1 << 20, 400_000
+SLICE, FLUSH = 1 << 20, 200_000
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _SIZES, _KINDS, _ENDS = 3, 4, 16
 SHAPES = _SIZES * _KINDS * _ENDS
