@@ -76,18 +76,20 @@ def test_a_publish_that_crashes(spark, place, monkeypatch, step):
     monkeypatch.undo()
     done = step == "replace"  # the copy for people is made after the manifest
     assert store.manifest()["runId"] == ("r2" if done else "r1") and store.load("claims", CLAIM).count() == (2 if done else 1)
-    last = engine(spark, place, "r3").run()
-    assert last["status"] == ("skipped" if done else "ok") and last["claims_total"] == 2
+    assert store.held_by() is None
+    if not done:
+        last = engine(spark, place, "r3").run()
+        assert last["status"] == "ok" and last["claims_total"] == 2
 
 
-def test_a_torn_manifest_is_passed_over(spark, place):
-    write(place, "Operator Ann lives in Lisbon.")
-    engine(spark, place, "r1").run()
-    store = Store(spark, str(place / "store"))
-    (place / "store" / "manifests" / f"{2:012d}.json").write_text('{"runId": "r')
+def test_a_torn_manifest_is_passed_over(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    lock = store.lock("r1")
+    store.publish("r1", {"runId": "r1"}, after=0, lock=lock)
+    (tmp_path / "manifests" / f"{2:012d}.json").write_text('{"runId": "r')
     assert store.current()[0] == 2 and store.manifest()["runId"] == "r1"
-    write(place, "Operator Bob likes tea.")
-    assert engine(spark, place, "r3").run()["status"] == "ok" and store.current()[0] == 3
+    store.publish("r3", {"runId": "r3"}, after=2, lock=lock)
+    assert store.current()[0] == 3 and store.manifest()["version_dir"] == "v=r3"
 
 
 def test_racing_takers(spark, tmp_path):
