@@ -142,7 +142,7 @@ def asked(n, seed=1):
     words = [f"w{i}" for i in range(200)]
     return [
         (
-            f"q{i}", r.choice(["alpha", "beta", f"topic{i % 7}", "none"]), r.choice([["operator"], ["w1x", "w12"], []]),
+            f"q{i}", r.choice(["alpha", "beta", f"topic{i % 7}", "none"]), r.choice([["operator"], ["w1x", "w12"], [], None]),
             " ".join(["operator", *(r.choice(words) for _ in range(r.randint(0, 5))), *[f"unique{r.randrange(300)}"] * r.randint(0, 2)]),
             r.choice(["fact", "lesson", "odd"]), r.choice(["LTMEMORY.md", "PLAYBOOKS.md", None])
         ) for i in range(n)
