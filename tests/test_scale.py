@@ -224,3 +224,17 @@ def test_a_common_first_word_makes_no_pairs(spark):
     before, after = alphabetical.count(), resolve.meeting(asks, theirs).count()
     assert before >= 60 * 200 and after <= 60 * 4
     assert {(tuple(r["tokens"]), r["who"]["id"]) for r in resolve.half_alike(asks, theirs).collect()} == {(tuple(r["tokens"]), r["who"]["id"]) for r in theirs.limit(60).collect()}
+
+
+def test_sets_that_share_a_little_are_not_paired(spark):
+    """Leading tokens that many sets share: a pair for each shared one went through the shuffle, with both sets."""
+    r = random.Random(3)
+    sets = [sorted(r.sample([f"x{i}" for i in range(90)], r.randint(8, 24))) for _ in range(150)]
+    near = [sorted([*s[:-1], f"new{i}"]) for i, s in enumerate(sets[:20])]
+    who = "n_home string, n_subject string, n_object string, tokens array<string>, who struct<ord:long,id:string>"
+    theirs = spark.createDataFrame([("h", "s", "o", s, (i, f"c{i}")) for i, s in enumerate([*sets, ["lone"]])], who)
+    asks = spark.createDataFrame([("h", "s", "o", s, (i, "")) for i, s in enumerate([*near, *sets[100:], ["alone"]])], who).drop("who")
+    alike = lambda a, b: 2 * len(set(a) & set(b)) >= len(set(a) | set(b))
+    want = {(tuple(a), tuple(b)) for a in [*near, *sets[100:]] for b in sets if alike(a, b)}
+    met = [(tuple(x["tokens"]), tuple(x["p_tokens"])) for x in resolve.meeting(asks, theirs).collect()]
+    assert want <= set(met) and len(want) == 70 and len(met) <= 12 * len(want)
