@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import text_of, write_table
 
 KEY_BITS = 60
+#: Cells up to which a join may send them to every task.
+FEW_CELLS = 1 << 16
 OUT = ["bytes", "depth", "prefix", "overflow", "shard_bytes", "shard_docs"]
 
 
@@ -42,21 +44,23 @@ def extendible_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             rows.groupBy(cell.alias("_cell")).agg(F.sum("_b").alias("_b"), F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")),
             "cells"
         )
+        # Spark judges a table by its files, which are much smaller than what it would hold of it.
+        joined = (lambda t: t) if cells.count() <= FEW_CELLS else (lambda t: t.hint("merge"))
         up = cells.withColumn("_d", F.explode(F.sequence(F.lit(base), F.lit(depth)))).withColumn("_p", F.expr(f"shiftright(_cell, {depth} - _d)"))
         nodes = up.groupBy("_d", "_p").agg(F.sum("_b").alias("_b"), F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
         fits = (F.col("_b") <= limit_bytes) | (F.col("_lo") == F.col("_hi"))
         split = nodes.where(~fits).select((F.col("_d") + 1).alias("_d"), F.explode(F.array(F.col("_p") * 2, F.col("_p") * 2 + 1)).alias("_p"))
         # A leaf fits and its parent doesn't; in later rounds the bucket of the round's start is known not to fit.
-        leaves = nodes.where(fits).join(split, ["_d", "_p"], "left_semi")
+        leaves = nodes.where(fits).join(joined(split), ["_d", "_p"], "left_semi")
         if base == 0:
             leaves = leaves.unionByName(nodes.where(fits & (F.col("_d") == 0)))
-        directory = write_table(up.select("_cell", "_d", "_p").join(leaves.withColumnsRenamed({"_b": "_sb", "_n": "_sn"}), ["_d", "_p"]), "directory")
-        placed = rows.withColumn("_cell", cell).join(directory, "_cell").select("_id", "_b", "_d", "_p", "_sb", "_sn")
+        directory = write_table(up.select("_cell", "_d", "_p").join(joined(leaves.withColumnsRenamed({"_b": "_sb", "_n": "_sn"})), ["_d", "_p"]), "directory")
+        placed = rows.withColumn("_cell", cell).join(joined(directory), "_cell").select("_id", "_b", "_d", "_p", "_sb", "_sn")
         found = placed if found is None else found.unionByName(placed)
         large = cells.where(~fits).select("_cell")
         if depth == KEY_BITS or large.isEmpty():
             break
-        rows, base = write_table(rows.withColumn("_cell", cell).join(large, "_cell", "left_semi").drop("_cell"), "split"), depth
+        rows, base = write_table(rows.withColumn("_cell", cell).join(joined(large), "_cell", "left_semi").drop("_cell"), "split"), depth
 
     whole = (F.col("_sb") <= limit_bytes) | (F.col("_sn") == 1)
     plain = found.where(whole).withColumn("_page", F.lit(0).cast("long"))
@@ -77,12 +81,12 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
     before = Window.partitionBy(*bucket).orderBy("_lane")
     starts = lanes.select(*bucket, "_lane", (F.sum("_lb").over(before) - F.col("_lb")).alias("_start"), F.max("_most").over(Window.partitionBy(*bucket)).alias("_max"))
     inside = Window.partitionBy(*bucket, "_lane").orderBy("_id", "_b").rowsBetween(Window.unboundedPreceding, 0)
-    at = rows.withColumn("_cum", F.sum("_b").over(inside) - F.col("_b")).join(starts, [*bucket, "_lane"])
+    at = rows.withColumn("_cum", F.sum("_b").over(inside) - F.col("_b")).join(starts.hint("merge"), [*bucket, "_lane"])
     chunk = F.greatest(F.lit(limit) - F.col("_max") + 1, F.lit(1))
     page = F.floor((F.col("_start") + F.col("_cum")) / chunk)
     out = at.withColumn("_page", page.cast("long")).drop("_start", "_max", "_cum", "_lane")
     sums = out.groupBy(*bucket, "_page").agg(F.sum("_b").alias("_pb"), F.count(F.lit(1)).alias("_pn"))
-    return out.join(sums, [*bucket, "_page"]).select("_id", "_b", *bucket, F.col("_pb").alias("_sb"), F.col("_pn").alias("_sn"), "_page")
+    return out.join(sums.hint("merge"), [*bucket, "_page"]).select("_id", "_b", *bucket, F.col("_pb").alias("_sb"), F.col("_pn").alias("_sn"), "_page")
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit_bytes: int = 64 << 20) -> DataFrame:

@@ -326,3 +326,12 @@ def test_mixing_repetition_limit_by_default(spark, sizes):
     for s, n in enumerate(sizes):
         assert 0 <= uses[f"s{s}"] - n * (max(sizes) / n) ** (1 - a) <= 1 + 1e-6 * n
     assert Counter(r["doc_id"] for r in mixing.repeat_rows(df).collect()) == Counter({i: n for (_, i), n in got.items()})
+
+
+def test_many_cells_are_not_sent_to_every_task(spark, monkeypatch):
+    """The size of a table's files says little of what a broadcast of it takes."""
+    monkeypatch.setattr(sharding, "FEW_CELLS", 4)
+    got = sharding.extendible_shards(docs(spark), limit_bytes=1000)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().toString()
+    monkeypatch.undo()
+    assert sorted(map(str, got.collect())) == sorted(map(str, sharding.extendible_shards(docs(spark), limit_bytes=1000).collect()))
