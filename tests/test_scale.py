@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import clusters, delta, merge, ranking, resolve, retrieval, saving, views
+from claimloom.operators import blocks, clusters, delta, merge, ranking, resolve, retrieval, saving, views
 from claimloom.plans.store import Store
 from claimloom.schemas import CLAIM, LT
 from test_store import ask, claim, table
@@ -246,3 +246,17 @@ def test_a_long_cursor_is_one_digest(spark):
     found = spark.range(n).select(F.format_string("p%06d", F.col("id")).alias("path"), F.concat(F.lit("h"), F.col("id").cast("string")).alias("content_hash"))
     want = hashlib.sha256("\n".join(f"p{i:06d}:h{i}" for i in range(n)).encode()).hexdigest()[:16]
     assert [r["cursor"] for r in delta.cursor_hash(found.orderBy(F.desc("path"))).collect()] == [f"cursor-v1:{want}"]
+
+
+@pytest.mark.parametrize("now", [None, "2025-03-01T00:00:00Z"])
+def test_blocks_find_what_keys_find(spark, monkeypatch, now):
+    """However claims and clusters are dealt over blocks."""
+    prior, asks = table(spark, *notes(300)), ask(spark, *asked(25))
+    at = None if now is None else F.lit(now)
+    rows = lambda **how: sorted((r["cluster_id"], r["rank"], r["claim_id"], r["score"]) for r in retrieval.ranked_priors(asks, prior, at, keep=4, **how).collect() if r["rank"] or how.get("border", True))
+    want = rows(common=1 << 40)
+    key = lambda got: [(c, k, i, None if s is None else round(s, 9)) for c, k, i, s in got]
+    assert key(rows()) == key(want)
+    assert key(rows(border=False)) == [r for r in key(want) if r[1]]
+    monkeypatch.setattr(blocks, "MOST", 1200)
+    assert key(rows()) == key(want)
