@@ -68,9 +68,10 @@ def probable_duplicates(new: DataFrame, prior: DataFrame) -> DataFrame:
     sets of tokens are told by two hashes, so the sets themselves are shuffled once.
     """
     def looks(df: DataFrame) -> DataFrame:
-        df = _full(with_keys(df), KEYS if df is new else ["n_home", "n_subject"])
+        added = df is new
+        df = _full(with_keys(df), KEYS if added else ["n_home", "n_subject"])
         df = df.withColumns({"n_object": subject_key(F.col("object")), "tokens": F.array_sort(duplicate_tokens(F.col("text")))})
-        return _hashed(df.select("id", "ord", *KEYS, "n_object", "tokens")).withColumn("n", F.size("tokens"))
+        return _hashed(df.select("id", *([] if added else ["ord"]), *KEYS, "n_object", "tokens")).withColumn("n", F.size("tokens"))
 
     sets = ["set1", "set2"]
     same = [*KEYS, "n_object", *sets]
